@@ -60,27 +60,29 @@ _MONTH = (
     "|sep(?:tember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?))"
 )
 _WEEKDAY = "(?i:(?:sun|mon|tue|wed|thu|fri|sat)(?:s|nes|rs|ur)?(?:day)?)"
-_ZONE = r"((?:[A-Z]{2,3})?(?:[+-]\d{1,2}:?\d{2})?)"
+_ZONE = r"((?:[A-Z]{2,3}(?:[+-]\d{1,2}:?\d{2})?)|(?:[+-]\d{1,2}:?\d{2}))"
 _N, _S = r"(\d{1,9})", r"[ \t]*"
 _YMD = f"^{_S}{_N}-{_S}{_N}-{_S}{_N}"
 _HMS = f"{_S}{_N}:{_S}{_N}:{_S}{_N}"
 _HEAD = f"^{_S}{_WEEKDAY} {_S}{_MONTH} {_S}{_N} {_HMS}"
 
-# The default formats in the order they are tried. Each is a prefix pattern (text after
-# it is ignored) and the meaning of its groups: y/Y four-digit and two-digit year, M month
-# number, N month name, d day, H hour, h hour of a 12-hour clock, m, s, f fraction, z zone.
+# The default formats in the order they are tried, the first that fits decides. Each is a
+# prefix pattern (text after it is ignored) and its groups as year, month (number or name),
+# day, hour, minute, second, fraction, zone, hour of a 12-hour clock.
 _FORMATS = [
-    (f"{_YMD}T{_HMS}\\.(\\d+)Z", "yMdHmsf"),
-    (f"{_YMD}T{_HMS}", "yMdHms"),
-    (_YMD, "yMd"),
-    (f"{_HEAD} {_S}{_ZONE} {_S}{_N}", "NdhmsZy"),
-    (f"^{_S}{_N}-{_S}{_MONTH}-{_S}{_N}", "dNy"),
-    (f"^{_S}{_N} {_S}{_MONTH} {_S}{_N}", "dNy"),
-    (f"^{_S}{_N}/{_S}{_N}/{_S}{_N}", "Mdy"),
-    (f"{_HEAD} {_S}{_N}", "NdHmsy"),
-    (f"^{_S}{_WEEKDAY}, {_S}{_N}-{_S}{_MONTH}-{_S}(\\d{{2}}) {_HMS} {_S}{_ZONE}", "dNYHmsZ"),
-    (f"^{_S}{_WEEKDAY}, {_S}{_N} {_S}{_MONTH} {_S}{_N} {_HMS} {_S}{_ZONE}", "dNyHmsZ"),
+    (f"{_YMD}T{_HMS}\\.(\\d+)Z", "$1|$2|$3|$4|$5|$6|$7||"),
+    (f"{_YMD}T{_HMS}", "$1|$2|$3|$4|$5|$6|||"),
+    (_YMD, "$1|$2|$3||||||"),
+    (f"{_HEAD} {_S}{_ZONE} {_S}{_N}", "$7|$1|$2||$4|$5||$6|$3"),
+    (f"^{_S}{_N}-{_S}{_MONTH}-{_S}{_N}", "$3|$2|$1||||||"),
+    (f"^{_S}{_N} {_S}{_MONTH} {_S}{_N}", "$3|$2|$1||||||"),
+    (f"^{_S}{_N}/{_S}{_N}/{_S}{_N}", "$3|$1|$2||||||"),
+    (f"{_HEAD} {_S}{_N}", "$6|$1|$2|$3|$4|$5|||"),
+    (f"^{_S}{_WEEKDAY}, {_S}{_N}-{_S}{_MONTH}-{_S}(\\d{{2}}) {_HMS} {_S}{_ZONE}", "20$3|$2|$1|$4|$5|$6||$7|"),
+    (f"^{_S}{_WEEKDAY}, {_S}{_N} {_S}{_MONTH} {_S}{_N} {_HMS} {_S}{_ZONE}", "$3|$2|$1|$4|$5|$6||$7|"),
 ]
+_EPOCH_MILLIS = (r"^([+-]?\d{1,15})$", "epoch|$1")
+_READ = "\u0001"  # marks a text that a format has fitted
 
 _LAST_MILLI = 253402300799999  # 9999-12-31T23:59:59.999
 
@@ -111,41 +113,34 @@ def apply_layout(text: Column, layout: str | None) -> Column:
 
 def _zone_minutes(zone: Column) -> Column:
     name = F.regexp_extract(zone, r"^([A-Z]*)", 1)
-    shift = F.regexp_replace(F.regexp_extract(zone, r"([+-]\d{1,2}:?\d{2})$", 1), ":", "")
-    number = F.coalesce(shift.try_cast("int"), F.lit(0))
-    minutes = F.when(zone == "", None).when(name == "", 0)
+    digits = F.regexp_replace(F.regexp_extract(zone, r"(\d{1,2}:?\d{2})$", 1), ":", "")
+    number = F.coalesce(digits.try_cast("int"), F.lit(0))
+    sign = F.when(F.contains(zone, F.lit("-")), -1).otherwise(1)
+    named = F.when(name == "", 0)
     for abbreviation, offset in ZONE_MINUTES.items():
-        minutes = minutes.when(name == abbreviation, offset)
-    hours = (F.abs(number) / 100).cast("int")
-    return minutes + F.signum(number).cast("int") * (hours * 60 + F.abs(number) % 100)
-
-
-def _month_number(initials: Column) -> Column:
-    return ((F.instr(F.lit("janfebmaraprmayjunjulaugsepoctnovdec"), initials) + 2) / 3).cast("int")
-
-
-def _read(text: Column, pattern: str, fields: str) -> Column:
-    part = {f: F.regexp_extract(text, pattern, i + 1) for i, f in enumerate(fields)}
-    number = {f: c.try_cast("int") for f, c in part.items()}
-    year = number["y"] if "y" in part else number["Y"] + 2000
-    month = number.get("M")
-    if month is None:
-        month = _month_number(F.lower(F.substring(part["N"], 1, 3)))
-    hour = number.get("H", F.lit(0))
-    if "h" in part:
-        hour = F.when(number["h"] == 12, 0).otherwise(number["h"])
-    second = number.get("s", F.lit(0)).cast("decimal(16,6)")
-    if "f" in part:
-        second = second + F.concat(F.lit("0."), F.substring(part["f"], 1, 3)).try_cast("decimal(16,6)")
-    moment = F.try_make_timestamp_ntz(year, month, number["d"], hour, number.get("m", F.lit(0)), second)
-    if "Z" in part:
-        moment = moment - F.make_dt_interval(mins=_zone_minutes(part["Z"]))
-    return F.when(F.regexp_like(text, F.lit(pattern)), moment)
-
-
-def epoch_millis(text: Column) -> Column:
-    """Epoch milliseconds given as text, up to the end of year 9999; else null."""
-    millis = F.when(F.regexp_like(text, F.lit(r"^[+-]?\d{1,15}$")), text.try_cast("bigint"))
+        named = named.when(name == abbreviation, offset)
+    return named + sign * (F.floor(number / 100).cast("int") * 60 + number % 100)
+
+
+def _month_number(month: Column) -> Column:
+    at = F.instr(F.lit("janfebmaraprmayjunjulaugsepoctnovdec"), F.lower(F.substring(month, 1, 3)))
+    return F.coalesce(month.try_cast("int"), ((at + 2) / 3).cast("int"))
+
+
+def _moment(field: list[Column]) -> Column:
+    year, month, day, hour, minute, second, fraction, zone, hour12 = field
+    number = [F.coalesce(f.try_cast("int"), F.lit(0)) for f in (hour, minute, second)]
+    hours = F.when(hour12 == "", number[0]).when(hour12 == "12", 0).otherwise(hour12.try_cast("int"))
+    millis = F.concat(F.lit("0."), F.rpad(F.substring(fraction, 1, 3), 3, "0")).cast("decimal(16,6)")
+    seconds = (number[2].cast("decimal(16,6)") + millis).cast("decimal(16,6)")
+    local = F.try_make_timestamp_ntz(
+        year.try_cast("int"), _month_number(month), day.try_cast("int"), hours, number[1], seconds
+    )
+    return F.when(zone == "", local).otherwise(local - F.make_dt_interval(mins=_zone_minutes(zone)))
+
+
+def _from_millis(text: Column) -> Column:
+    millis = text.try_cast("bigint")
     seconds = (millis.cast("decimal(18,0)") / 1000).cast("decimal(18,6)")
     start = F.lit("1970-01-01").cast("timestamp_ntz")
     return F.when(F.abs(millis) <= _LAST_MILLI, start + F.make_dt_interval(secs=seconds))
@@ -154,11 +149,24 @@ def epoch_millis(text: Column) -> Column:
 def parse_date(text: Column, layout: str | None = None) -> Column:
     """Layout, then month names, then the default formats in order, then epoch milliseconds.
 
-    Out-of-range fields make a text unparseable; null when nothing fits.
+    Out-of-range fields make a text unparseable; null when nothing fits. Each format rewrites
+    the text it fits into one field list, so the text is passed through the formats once and
+    the fields are read once.
     """
     text = english_months(F.trim(apply_layout(text, layout)))
     text = F.regexp_replace(text, "^'(.*)'$", "$1")
-    return F.coalesce(*(_read(text, p, f) for p, f in _FORMATS), epoch_millis(text))
+    for pattern, fields in [*_FORMATS, _EPOCH_MILLIS]:
+        rest = "" if pattern.endswith("$") else "(?s:.*)$"
+        text = F.regexp_replace(text, pattern + rest, _READ + fields)
+
+    def build(read: Column) -> Column:
+        field = [read[i] for i in range(9)]
+        no_mark = F.substring(read[0], 2, 9)
+        moment = _moment([no_mark, *field[1:]])
+        return F.when(F.size(read) == 9, moment).when(no_mark == "epoch", _from_millis(F.try_element_at(read, F.lit(2))))
+
+    fitted = F.when(F.startswith(text, F.lit(_READ)), F.split(text, r"\|", -1))
+    return F.transform(F.array(fitted), build)[0]
 
 
 def post_date_or_now(text: Column, as_of: datetime, layout: str | None = None) -> Column:

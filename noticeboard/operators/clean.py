@@ -69,6 +69,10 @@ def transform_text(text: Column, t: Transform, field: str, as_of: datetime) -> C
     return text
 
 
+def _each(t: Transform, field: str, as_of: datetime) -> Callable[[Column], Column]:
+    return lambda value: transform_text(value, t, field, as_of)
+
+
 def user_function(function: UserFunction) -> Callable[[Column], Column]:
     """A user's function over every element of an array column, one Arrow batch at a time."""
 
@@ -103,7 +107,7 @@ def with_field(
         if t.how == "executeScript":
             df = df.withColumn("__v", user_function((functions or {})[t.value])(F.col("__v")))
         elif t.how != "join":
-            df = df.withColumn("__v", F.transform("__v", lambda v, t=t: transform_text(v, t, field, as_of)))
+            df = df.withColumn("__v", F.transform("__v", _each(t, field, as_of)))
         if t.how in _PLACES:
             df = (tokenize_places if t.how == "tokenize" else format_places)(df, "__v", cities)
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates
+from ..session import cut_lineage
 
 
 def route(candidates: DataFrame, sites: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -90,7 +91,7 @@ def recheck(held: DataFrame, alive_by_round: list[DataFrame], as_of: datetime, a
     columns = [c for c in held.columns if c not in ("expired_date", "expired_page", "expired", "outcome")]
     done = []
     for alive in alive_by_round:
-        checked = guard(with_expiry(held.select(*columns), alive, as_of)).checkpoint()
+        checked = cut_lineage(guard(with_expiry(held.select(*columns), alive, as_of)))
         done.append(checked.where("outcome != 'held'").select("id", "outcome"))
         held = checked.where("outcome = 'held'")
     last = held.select("id", F.lit("confirmed" if accept_uncertain else "alarm").alias("outcome"))

@@ -11,6 +11,7 @@ from ..model import SiteSpec
 from ..operators import clean, index, verify
 from ..operators.extract import extract
 from ..operators.lookup import Dictionary
+from ..session import cut_lineage
 
 
 def alive_urls(pages: DataFrame, specs: list[SiteSpec], cities: Dictionary | None, as_of: datetime) -> DataFrame:
@@ -35,7 +36,7 @@ def recheck_postings(
     candidates = index.open_older_than(postings, as_of, n_days)
     routed, unknown = verify.route(candidates, sites)
     first, *later = alive_by_round
-    checked = verify.guard(verify.with_expiry(verify.with_batch(routed), first, as_of)).checkpoint()
+    checked = cut_lineage(verify.guard(verify.with_expiry(verify.with_batch(routed), first, as_of)))
     settled = checked.where("outcome != 'held'").select("id", "outcome")
     again = verify.recheck(checked.where("outcome = 'held'"), later, as_of, accept_uncertain)
     skipped = unknown.select("id", F.lit("skipped").alias("outcome"))

@@ -36,3 +36,11 @@ def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     writer = df.write.mode("errorifexists")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint into the shared folder, so a lost executor costs a re-read."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
