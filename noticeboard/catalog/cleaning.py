@@ -1,5 +1,7 @@
 """Scalar cleaning."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from ..functions import dates, ids, text
@@ -18,27 +20,31 @@ def _pick(names, number):
     return F.element_at(F.split(F.lit(",".join(names)), ","), number)
 
 
-def _parts(date):
-    """Date parts as text, from the wall-clock value alone."""
-    month, day = F.month(date), F.day(date)
-    two = lambda n: F.lpad(n.cast("string"), 2, "0")
-    return {
-        "y": F.year(date).cast("string"), "M": month.cast("string"), "MM": two(month), "d": day.cast("string"), "dd": two(day),
-        "MMM": _pick(_SHORT, month), "MMMM": _pick(_LONG, month), "EEEE": _pick(_DAYS, F.dayofweek(date)),
-        "EEE": F.substring(_pick(_DAYS, F.dayofweek(date)), 1, 3),
-        "zh": _pick(dates.CHINESE_MONTHS, month),
-        "t": F.substring(date.cast("string"), 12, 8), "yy": F.substring(F.year(date).cast("string"), 3, 2),
-    }
+def _two(number):
+    return F.lpad(number.cast("string"), 2, "0")
+
+
+# Date parts as text, from the wall-clock value alone.
+_PARTS = {
+    "y": lambda d: F.year(d).cast("string"),
+    "yy": lambda d: F.substring(F.year(d).cast("string"), 3, 2),
+    "M": lambda d: F.month(d).cast("string"),
+    "MM": lambda d: _two(F.month(d)),
+    "MMM": lambda d: _pick(_SHORT, F.month(d)),
+    "MMMM": lambda d: _pick(_LONG, F.month(d)),
+    "zh": lambda d: _pick(dates.CHINESE_MONTHS, F.month(d)),
+    "d": lambda d: F.day(d).cast("string"),
+    "dd": lambda d: _two(F.day(d)),
+    "EEE": lambda d: F.substring(_pick(_DAYS, F.dayofweek(d)), 1, 3),
+    "EEEE": lambda d: _pick(_DAYS, F.dayofweek(d)),
+    "t": lambda d: F.substring(d.cast("string"), 12, 8),
+}
 
 
 def _render(date, form):
     """Fill a form such as ``{d} {MMM} {y}`` with date parts."""
-    parts = _parts(date)
-    pieces = []
-    for chunk in form.replace("{", "\0{").replace("}", "}\0").split("\0"):
-        if chunk:
-            pieces.append(parts[chunk[1:-1]] if chunk.startswith("{") else F.lit(chunk))
-    return F.concat(*pieces)
+    chunks = [c for c in re.split(r"(\{\w+\})", form) if c]
+    return F.concat(*(_PARTS[c[1:-1]](date) if c.startswith("{") else F.lit(c) for c in chunks))
 
 
 def _lines(spark, sf, field):

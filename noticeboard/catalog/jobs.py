@@ -22,7 +22,6 @@ SPEC = SiteSpec(
         FieldRule("job_description", "p", method="innerHTML"),
         FieldRule("job_url_type", how="int", value="2"),
     ),
-    n_jobs=3,
 )
 
 
@@ -38,7 +37,7 @@ def _companies(spark, sf):
 
 
 @query(f"""WITH p AS (SELECT *, regexp_extract(url, '^https?://([^/?#]+)', 1) AS site FROM pages WHERE html LIKE '%<h1>%'),
-  k AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY site ORDER BY page_id) <= 3)
+  k AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY site ORDER BY page_id) <= 10000)
   SELECT CAST(page_id AS INTEGER) AS page_no, md5(url) AS id, url AS job_url, CASE WHEN site LIKE '%.org' THEN 'Org ' || site ELSE 'unknown' END AS job_company,
     {_shown("regexp_extract(html, '<h1>(.*?)</h1>', 1)")} AS job_title,
     regexp_replace({_shown("regexp_extract(html, '(?s)<div class=.ad.>(.*?)</div>', 1)")}, '([^.]*)\\..*', '\\1') AS job_sub_company,
@@ -46,7 +45,7 @@ def _companies(spark, sf):
 def collect_job(spark, sf):
     rows = collect_postings(
         _pages(spark, sf), [SPEC], AS_OF, Dictionary(table(spark, sf, "nation"), "n_name", "n_name"), _companies(spark, sf),
-        defaults=Limits(n_pages=1_000_000_000),
+        defaults=Limits(n_pages=1_000_000_000),  # page ids stand for page numbers here
     )
     return rows.select(
         "page_no", "id", "job_url", "job_company", "job_title", "job_sub_company", "job_post_date", "job_type", "job_url_type", "job_expired"
@@ -58,16 +57,16 @@ _LATER_RULES = (FieldRule("job_title", "h1", "TAG_NAME"), FieldRule("job_sub_com
 
 
 @query(f"""WITH p AS (SELECT CAST(page_id AS VARCHAR) AS id, regexp_extract(url, '^https?://([^/?#]+)', 1) AS co, len({_HREFS}) > 4 AS ok,
-    len({_HREFS}) > 5 AS ok2 FROM pages WHERE url LIKE 'https%'),
+    len({_HREFS}) > 5 AS ok2 FROM pages),
   g AS (SELECT *, NOT bool_or(ok) OVER (PARTITION BY co) AS every FROM p WHERE co NOT LIKE '%.net'),
   h AS (SELECT *, NOT bool_or(ok2) OVER (PARTITION BY co) AS every2 FROM g WHERE every)
   SELECT id, CASE WHEN ok THEN 'alive' ELSE 'confirmed' END AS outcome FROM g WHERE NOT every
   UNION ALL SELECT id, CASE WHEN every2 THEN 'alarm' WHEN ok2 THEN 'alive' ELSE 'confirmed' END FROM h
   UNION ALL SELECT id, 'skipped' FROM p WHERE co LIKE '%.net'""")
 def recheck_job(spark, sf):
-    """Pages of https addresses as old postings; their own pages are looked at again, twice."""
+    """Pages as old postings; their own pages are looked at again, twice."""
     pages = _pages(spark, sf)
-    postings = page_source.read_pages(spark, f"{sf}/pages.parquet").where("url like 'https%'").select(
+    postings = page_source.read_pages(spark, f"{sf}/pages.parquet").select(
         F.col("page_id").cast("string").alias("id"),
         F.col("url").alias("job_url"),
         F.col("site").alias("job_company"),

@@ -62,28 +62,41 @@ _MONTH = (
 _WEEKDAY = "(?i:(?:sun|mon|tue|wed|thu|fri|sat)(?:s|nes|rs|ur)?(?:day)?)"
 _ZONE = r"((?:[A-Z]{2,3}(?:[+-]\d{1,2}:?\d{2})?)|(?:[+-]\d{1,2}:?\d{2}))"
 _N, _S = r"(\d{1,9})", r"[ \t]*"
-_YMD = f"^{_S}{_N}-{_S}{_N}-{_S}{_N}"
+_YMD = f"{_N}-{_S}{_N}-{_S}{_N}"
 _HMS = f"{_S}{_N}:{_S}{_N}:{_S}{_N}"
-_HEAD = f"^{_S}{_WEEKDAY} {_S}{_MONTH} {_S}{_N} {_HMS}"
+_HEAD = f"{_WEEKDAY} {_S}{_MONTH} {_S}{_N} {_HMS}"
 
 # The default formats in the order they are tried, the first that fits decides. Each is a
-# prefix pattern (text after it is ignored) and its groups as year, month (number or name),
-# day, hour, minute, second, fraction, zone, hour of a 12-hour clock.
+# prefix pattern (text after it is ignored) and the meaning of its groups: y or Y year of four
+# or two digits, M or N month by number or name, d day, H or h hour of a 24- or 12-hour clock,
+# m minute, s second, f fraction, z zone. A number alone is epoch milliseconds (e).
 _FORMATS = [
-    (f"{_YMD}T{_HMS}\\.(\\d+)Z", "$1|$2|$3|$4|$5|$6|$7||"),
-    (f"{_YMD}T{_HMS}", "$1|$2|$3|$4|$5|$6|||"),
-    (_YMD, "$1|$2|$3||||||"),
-    (f"{_HEAD} {_S}{_ZONE} {_S}{_N}", "$7|$1|$2||$4|$5||$6|$3"),
-    (f"^{_S}{_N}-{_S}{_MONTH}-{_S}{_N}", "$3|$2|$1||||||"),
-    (f"^{_S}{_N} {_S}{_MONTH} {_S}{_N}", "$3|$2|$1||||||"),
-    (f"^{_S}{_N}/{_S}{_N}/{_S}{_N}", "$3|$1|$2||||||"),
-    (f"{_HEAD} {_S}{_N}", "$6|$1|$2|$3|$4|$5|||"),
-    (f"^{_S}{_WEEKDAY}, {_S}{_N}-{_S}{_MONTH}-{_S}(\\d{{2}}) {_HMS} {_S}{_ZONE}", "20$3|$2|$1|$4|$5|$6||$7|"),
-    (f"^{_S}{_WEEKDAY}, {_S}{_N} {_S}{_MONTH} {_S}{_N} {_HMS} {_S}{_ZONE}", "$3|$2|$1|$4|$5|$6||$7|"),
+    (f"{_YMD}T{_HMS}\\.(\\d+)Z", "yMdHmsf"),
+    (f"{_YMD}T{_HMS}", "yMdHms"),
+    (_YMD, "yMd"),
+    (f"{_HEAD} {_S}{_ZONE} {_S}{_N}", "Ndhmszy"),
+    (f"{_N}-{_S}{_MONTH}-{_S}{_N}", "dNy"),
+    (f"{_N} {_S}{_MONTH} {_S}{_N}", "dNy"),
+    (f"{_N}/{_S}{_N}/{_S}{_N}", "Mdy"),
+    (f"{_HEAD} {_S}{_N}", "NdHmsy"),
+    (f"{_WEEKDAY}, {_S}{_N}-{_S}{_MONTH}-{_S}(\\d{{2}}) {_HMS} {_S}{_ZONE}", "dNYHmsz"),
+    (f"{_WEEKDAY}, {_S}{_N} {_S}{_MONTH} {_S}{_N} {_HMS} {_S}{_ZONE}", "dNyHmsz"),
+    (r"([+-]?\d{1,15})\z", "e"),
 ]
-_EPOCH_MILLIS = (r"^([+-]?\d{1,15})$", "epoch|$1")
+_FIELDS = "yYMNdHhmsfze"
 _READ = "\u0001"  # marks a text that a format has fitted
 
+
+def _one_pass() -> tuple[str, str]:
+    """All formats as one pattern, and the replacement that lists the fields of whichever fits:
+    the groups of the others are empty."""
+    groups = [field for _, fields in _FORMATS for field in fields]
+    pattern = "^[ \t]*(?:" + "|".join(p for p, _ in _FORMATS) + ")(?s:.*)$"
+    listed = ("".join(f"${n}" for n, g in enumerate(groups, 1) if g == field) for field in _FIELDS)
+    return pattern, _READ + "|".join(listed)
+
+
+_MONTH_INDEX = ",   ,jan,feb,mar,apr,may,jun,jul,aug,sep,oct,nov,dec"
 _LAST_MILLI = 253402300799999  # 9999-12-31T23:59:59.999
 
 
@@ -113,8 +126,7 @@ def apply_layout(text: Column, layout: str | None) -> Column:
 
 def _zone_minutes(zone: Column) -> Column:
     name = F.regexp_extract(zone, r"^([A-Z]*)", 1)
-    digits = F.regexp_replace(F.regexp_extract(zone, r"(\d{1,2}:?\d{2})$", 1), ":", "")
-    number = F.coalesce(digits.try_cast("int"), F.lit(0))
+    number = _number(F.regexp_replace(zone, r"[^0-9]", ""))
     sign = F.when(F.contains(zone, F.lit("-")), -1).otherwise(1)
     named = F.when(name == "", 0)
     for abbreviation, offset in ZONE_MINUTES.items():
@@ -122,25 +134,24 @@ def _zone_minutes(zone: Column) -> Column:
     return named + sign * (F.floor(number / 100).cast("int") * 60 + number % 100)
 
 
-def _month_number(month: Column) -> Column:
-    at = F.instr(F.lit("janfebmaraprmayjunjulaugsepoctnovdec"), F.lower(F.substring(month, 1, 3)))
-    return F.coalesce(month.try_cast("int"), ((at + 2) / 3).cast("int"))
+def _number(digits: Column) -> Column:
+    """Up to nine digits; none is 0. Never a failing cast, which would cost more than the parse."""
+    return F.concat(F.lit("0"), digits).cast("int")
 
 
-def _moment(field: list[Column]) -> Column:
-    year, month, day, hour, minute, second, fraction, zone, hour12 = field
-    number = [F.coalesce(f.try_cast("int"), F.lit(0)) for f in (hour, minute, second)]
-    hours = F.when(hour12 == "", number[0]).when(hour12 == "12", 0).otherwise(hour12.try_cast("int"))
-    millis = F.concat(F.lit("0."), F.rpad(F.substring(fraction, 1, 3), 3, "0")).cast("decimal(16,6)")
-    seconds = (number[2].cast("decimal(16,6)") + millis).cast("decimal(16,6)")
-    local = F.try_make_timestamp_ntz(
-        year.try_cast("int"), _month_number(month), day.try_cast("int"), hours, number[1], seconds
-    )
-    return F.when(zone == "", local).otherwise(local - F.make_dt_interval(mins=_zone_minutes(zone)))
+def _moment(field: dict[str, Column]) -> Column:
+    year = _number(field["y"]) + F.when(field["Y"] != "", _number(field["Y"]) + 2000).otherwise(0)
+    named = F.instr(F.lit(_MONTH_INDEX), F.concat(F.lit(","), F.rpad(F.lower(field["N"]), 3, " ")))
+    month = _number(field["M"]) + F.floor((named - 1) / 4).cast("int")
+    hour = _number(field["H"]) + F.when(field["h"] == "12", 0).otherwise(_number(field["h"]))
+    millis = F.substring(F.concat(field["f"], F.lit("000")), 1, 3)
+    second = F.concat(F.lit("0"), field["s"], F.lit("."), millis).cast("decimal(16,6)")
+    local = F.try_make_timestamp_ntz(year, month, _number(field["d"]), hour, _number(field["m"]), second)
+    return F.when(field["z"] == "", local).otherwise(local - F.make_dt_interval(mins=_zone_minutes(field["z"])))
 
 
 def _from_millis(text: Column) -> Column:
-    millis = text.try_cast("bigint")
+    millis = text.cast("bigint")
     seconds = (millis.cast("decimal(18,0)") / 1000).cast("decimal(18,6)")
     start = F.lit("1970-01-01").cast("timestamp_ntz")
     return F.when(F.abs(millis) <= _LAST_MILLI, start + F.make_dt_interval(secs=seconds))
@@ -149,24 +160,19 @@ def _from_millis(text: Column) -> Column:
 def parse_date(text: Column, layout: str | None = None) -> Column:
     """Layout, then month names, then the default formats in order, then epoch milliseconds.
 
-    Out-of-range fields make a text unparseable; null when nothing fits. Each format rewrites
-    the text it fits into one field list, so the text is passed through the formats once and
-    the fields are read once.
+    Out-of-range fields make a text unparseable; null when nothing fits.
     """
     text = english_months(F.trim(apply_layout(text, layout)))
-    text = F.regexp_replace(text, "^'(.*)'$", "$1")
-    for pattern, fields in [*_FORMATS, _EPOCH_MILLIS]:
-        rest = "" if pattern.endswith("$") else "(?s:.*)$"
-        text = F.regexp_replace(text, pattern + rest, _READ + fields)
+    text = F.regexp_replace(F.regexp_replace(text, "^'(.*)'$", "$1"), *_one_pass())
 
     def build(read: Column) -> Column:
-        field = [read[i] for i in range(9)]
-        no_mark = F.substring(read[0], 2, 9)
-        moment = _moment([no_mark, *field[1:]])
-        return F.when(F.size(read) == 9, moment).when(no_mark == "epoch", _from_millis(F.try_element_at(read, F.lit(2))))
+        field = {name: F.get(read, F.lit(i)) for i, name in enumerate(_FIELDS)}
+        field["y"] = F.substring(field["y"], 2, 9)
+        moment = F.when(field["e"] == "", _moment(field)).otherwise(_from_millis(field["e"]))
+        return F.when(F.startswith(read[0], F.lit(_READ)), moment)
 
-    fitted = F.when(F.startswith(text, F.lit(_READ)), F.split(text, r"\|", -1))
-    return F.transform(F.array(fitted), build)[0]
+    # The array of one binds the field list, so that it is worked out once and read many times.
+    return F.transform(F.array(F.split(text, r"\|", -1)), build)[0]
 
 
 def post_date_or_now(text: Column, as_of: datetime, layout: str | None = None) -> Column:

@@ -26,12 +26,18 @@ CLOSED_BY = {
 }
 
 
+MAX_DEPTH = 512  # as browsers do, deeper elements become siblings
+
+
 class _Reader(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = ElementTree.Element("document")
         self.open = [self.root]
 
+    def updatepos(self, i, j):
+        return j  # line numbers are not needed
+
     def handle_starttag(self, tag, attrs):
         while tag in CLOSED_BY.get(self.open[-1].tag, ()):
             self.open.pop()
@@ -40,7 +46,7 @@ class _Reader(HTMLParser):
         if tag == "tr" and self.open[-1].tag == "table":
             self.handle_starttag("tbody", [])
         element = ElementTree.SubElement(self.open[-1], tag, {k: v or "" for k, v in attrs})
-        if tag not in VOID:
+        if tag not in VOID and len(self.open) < MAX_DEPTH:
             self.open.append(element)
 
     def handle_startendtag(self, tag, attrs):
@@ -60,10 +66,13 @@ class _Reader(HTMLParser):
             parent.text = (parent.text or "") + data
 
 
-def read_page(html: str) -> ElementTree.Element:
+def read_page(html: str | None) -> ElementTree.Element:
     reader = _Reader()
-    reader.feed(html or "")
-    reader.close()
+    try:
+        reader.feed(html or "")
+        reader.close()
+    except (AssertionError, ValueError):
+        pass  # malformed markup: what was read so far stands
     return reader.root
 
 
@@ -254,7 +263,7 @@ def selector(text: str, how: str = "XPATH") -> Selector:
 class Page:
     """A parsed page with the lookups that relative selectors need."""
 
-    def __init__(self, html: str):
+    def __init__(self, html: str | None):
         self.root = read_page(html)
         self.parents = {child: parent for parent in self.root.iter() for child in parent}
 

@@ -101,6 +101,10 @@ class SiteSpec:
         return replace(self, site=site)
 
 
+LOOP_SCHEMA = (
+    "site string, begin_page int, end_page int, stated boolean, bounded boolean, paged boolean, "
+    "begin_item int, addon boolean"
+)
 SITE_CONFIG_SCHEMA = (
     "site string, id_how string, id_regex string, n_pages int, n_days int, n_jobs int, "
     "check_index boolean, verify_single boolean"
@@ -120,6 +124,19 @@ def site_config(spark: SparkSession, specs: list[SiteSpec]) -> DataFrame:
     return spark.createDataFrame(rows, SITE_CONFIG_SCHEMA)
 
 
+def loop_rules(spark: SparkSession, specs: list[SiteSpec]) -> DataFrame:
+    """Per site how its pages and items are looped over. ``bounded``: the pages say how many
+    there are; ``paged``: the loop is one of pages, so an old row ends it."""
+    rows = []
+    for s in specs:
+        pages, items = s.pages or Loop(), s.items or Loop()
+        stated = pages.total_pages is not None and not pages.selector
+        bounded = stated or bool(pages.selector)
+        paged, addon = pages.item_type != "other", items.item_type == "job_addon"
+        rows.append((s.site, pages.begin_from, pages.end_to, stated, bounded, paged, items.begin_from, addon))
+    return spark.createDataFrame(rows, LOOP_SCHEMA)
+
+
 def extract_rules(spark: SparkSession, specs: list[SiteSpec]) -> DataFrame:
     rows = [
         (s.site, level, no, r.field, r.selector, r.how, r.method, r.value, r.is_fatal,

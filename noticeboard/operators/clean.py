@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -69,10 +70,6 @@ def transform_text(text: Column, t: Transform, field: str, as_of: datetime) -> C
     return text
 
 
-def _each(t: Transform, field: str, as_of: datetime) -> Callable[[Column], Column]:
-    return lambda value: transform_text(value, t, field, as_of)
-
-
 def user_function(function: UserFunction) -> Callable[[Column], Column]:
     """A user's function over every element of an array column, one Arrow batch at a time."""
 
@@ -87,56 +84,141 @@ def user_function(function: UserFunction) -> Callable[[Column], Column]:
     return apply
 
 
-def with_field(
+Variant = tuple[Column, FieldRule]  # which rows, and their rule
+
+
+def _chosen(variants: list[Variant], value: Callable[[FieldRule], Column | None], otherwise: Column) -> Column:
+    """Each row's value by its own rule; only that branch is worked out."""
+    for here, rule in variants:
+        column = value(rule)
+        otherwise = otherwise if column is None else F.when(here, column).otherwise(otherwise)
+    return otherwise
+
+
+def _rows_with(variants: list[Variant], test: Callable[[FieldRule], bool]) -> Column | None:
+    return reduce(lambda a, b: a | b, [here for here, rule in variants if test(rule)], F.lit(False)) if any(
+        test(rule) for _, rule in variants
+    ) else None
+
+
+def _steps(rule: FieldRule) -> list[tuple[Transform, ...]]:
+    """Transforms in runs, each ending with one that is a table step (a lookup or a user's function)."""
+    runs: list[list[Transform]] = [[]]
+    for t in rule.transforms:
+        runs[-1].append(t)
+        if t.how in _PLACES or t.how == "executeScript":
+            runs.append([])
+    return [tuple(run) for run in runs]
+
+
+def _apply_run(values: Column, run: tuple[Transform, ...], field: str, as_of: datetime) -> Column:
+    for t in run:
+        if t.how not in ("join", "tokenize", "executeScript"):
+            values = F.transform(values, _element_step(t, field, as_of))
+    return values
+
+
+def _element_step(t: Transform, field: str, as_of: datetime) -> Callable[[Column], Column]:
+    return lambda value: transform_text(value, t, field, as_of)
+
+
+def _table_step(
+    df: DataFrame, variants: list[Variant], n: int, cities: Dictionary | None, functions: dict[str, UserFunction]
+) -> DataFrame:
+    """The lookups and user functions that end run ``n``; each sees only its own rows."""
+
+    def ends(rule: FieldRule) -> Transform | None:
+        runs = _steps(rule)
+        return runs[n][-1] if n < len(runs) - 1 else None
+
+    def masked(df: DataFrame, rows: Column, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        df = step(df.withColumns({"__own": rows, "__part": F.when(rows, F.col("__v"))}))
+        return df.withColumn("__v", F.when(F.col("__own"), F.col("__part")).otherwise(F.col("__v"))).drop("__own", "__part")
+
+    tokenized = _rows_with(variants, lambda r: ends(r) is not None and ends(r).how == "tokenize")
+    formatted = _rows_with(variants, lambda r: ends(r) is not None and ends(r).how in ("location_regex", "regex_matcher"))
+    if tokenized is not None:
+        df = masked(df, tokenized, lambda d: tokenize_places(d, "__part", cities))
+    if formatted is not None:
+        df = masked(df, formatted, lambda d: format_places(d, "__part", cities))
+    names = {ends(r).value for _, r in variants if ends(r) is not None and ends(r).how == "executeScript"}
+    for name in sorted(names):
+        own = _rows_with(variants, lambda r, name=name: ends(r) is not None and ends(r).value == name)
+        df = masked(df, own, lambda d, name=name: d.withColumn("__part", user_function(functions[name])(F.col("__part"))))
+    return df
+
+
+def _separator(rule: FieldRule) -> str:
+    return ([t.value or "," for t in rule.transforms if t.how == "join"] or ["<BR/>"])[-1]
+
+
+def with_field_variants(
     df: DataFrame,
-    rule: FieldRule,
+    field: str,
+    variants: list[Variant],
     out: str,
     cities: Dictionary | None,
     as_of: datetime,
     functions: dict[str, UserFunction] | None = None,
 ) -> DataFrame:
-    """The final value of one field, by one rule, from the raw values of the page."""
-    field = rule.field
-    if rule.how == "url":
-        return df.withColumn(out, F.col("url"))
-    if rule.how == "int":
-        return df.withColumn(out, ids.int_constant(rule.value))
+    """The final value of one field from the raw values of the page, by the rule of each row."""
+    constants = [v for v in variants if v[1].how in ("url", "int")]
+    read = [v for v in variants if v[1].how not in ("url", "int")]
+    if not read:
+        constant = lambda r: F.col("url") if r.how == "url" else ids.int_constant(r.value)
+        return df.withColumn(out, _chosen(constants, constant, F.lit(None)))
 
     df = df.withColumn("__v", F.try_element_at("raw", F.lit(field)))
-    for t in rule.transforms:
-        if t.how == "executeScript":
-            df = df.withColumn("__v", user_function((functions or {})[t.value])(F.col("__v")))
-        elif t.how != "join":
-            df = df.withColumn("__v", F.transform("__v", _each(t, field, as_of)))
-        if t.how in _PLACES:
-            df = (tokenize_places if t.how == "tokenize" else format_places)(df, "__v", cities)
-
-    separators = [t.value or "," for t in rule.transforms if t.how == "join"]
-    value = text_functions.join_values(F.col("__v"), separators[-1] if separators else "<BR/>")
+    for n in range(max(len(_steps(r)) for _, r in read)):
+        run = lambda r, n=n: _apply_run(F.col("__v"), _steps(r)[n], field, as_of) if n < len(_steps(r)) else None
+        df = _table_step(df.withColumn("__v", _chosen(read, run, F.col("__v"))), read, n, cities, functions or {})
+
+    value = F.lit(None).cast("string")
+    for separator in sorted({_separator(r) for _, r in read}):
+        own = _rows_with(read, lambda r, s=separator: _separator(r) == s)
+        value = F.when(own, text_functions.join_values(F.col("__v"), separator)).otherwise(value)
     # An element that could not be read makes the whole field missing.
     value = F.when(~F.exists("__v", lambda v: v.isNull()), value)
     if field in TEXT_FIELDS:
         value = text_functions.strip_nonchar(value)
-    formatted = any(t.how in _FORMATTING for t in rule.transforms)
     if field in DATE_FIELDS:
         value = dates.parse_date(value)
-    if field == LOCATION_FIELD and not formatted and cities is not None:
-        df = tokenize_places(df.withColumn("__v", F.when(value.isNotNull(), F.array(value))), "__v", cities)
-        value = F.col("__v")[0]
-    df = df.withColumn(out, value)
+    plain = _rows_with(read, lambda r: not any(t.how in _FORMATTING for t in r.transforms))
+    if field == LOCATION_FIELD and plain is not None and cities is not None:
+        df = df.withColumns({"__value": value, "__own": plain, "__v": F.when(plain & value.isNotNull(), F.array(value))})
+        df = tokenize_places(df, "__v", cities)
+        df = df.withColumn(out, F.when(F.col("__own"), F.col("__v")[0]).otherwise(F.col("__value"))).drop("__value", "__own")
+    else:
+        df = df.withColumn(out, value)
+    if constants:
+        df = df.withColumn(out, _chosen(constants, lambda r: F.col("url") if r.how == "url" else F.lit(r.value), F.col(out)))
     if field == "job_post_date":
-        found = F.map_contains_key("raw", F.lit(field))
-        guessed = found & F.col(out).isNull()
+        guessed = F.map_contains_key("raw", F.lit(field)) & F.col(out).isNull()
         now = dates.ntz(dates.on_the_hour(as_of))
-        df = df.withColumn("post_date_guessed", guessed).withColumn(out, F.when(guessed, now).otherwise(F.col(out)))
+        df = df.withColumn("post_date_guessed", guessed)
+        df = df.withColumn(out, F.when(F.col("post_date_guessed"), now).otherwise(F.col(out)))
     return df.drop("__v")
 
 
-def _sites_of(spec: SiteSpec, specs: list[SiteSpec]) -> Column:
-    if spec.site == ANY_SITE:
+def with_field(
+    df: DataFrame,
+    rule: FieldRule,
+    out: str,
+    cities: Dictionary | None,
+    as_of: datetime,
+    functions: dict[str, UserFunction] | None = None,
+) -> DataFrame:
+    """One field by one rule for all rows."""
+    return with_field_variants(df, rule.field, [(F.lit(True), rule)], out, cities, as_of, functions)
+
+
+def _rows_of(sites: list[str], specs: list[SiteSpec]) -> Column:
+    """Rows of the given sites; ``*`` stands for every site without a spec of its own."""
+    rows = F.col("site").isin(*[s for s in sites if s != ANY_SITE])
+    if ANY_SITE in sites:
         named = [s.site for s in specs if s.site != ANY_SITE]
-        return ~F.col("site").isin(*named) if named else F.lit(True)
-    return F.col("site") == spec.site
+        rows = rows | ~F.col("site").isin(*named) if named else F.lit(True)
+    return rows
 
 
 def with_fields(
@@ -149,32 +231,26 @@ def with_fields(
 ) -> DataFrame:
     """All fields of a level by the rules of each row's site.
 
-    Sites that share a rule share its expression. Rows lacking a required field are dropped.
+    Sites that share a rule share its expression, and a row is put through the rules of its own
+    site only. Rows lacking a required field are dropped.
     """
     check_rules(specs, functions)
-    users: dict[FieldRule, Column] = {}
+    sites: dict[FieldRule, list[str]] = {}
     for spec in specs:
-        rules = spec.list_rules if level == "list" else spec.detail_rules()
-        for rule in rules:
+        for rule in spec.list_rules if level == "list" else spec.detail_rules():
             if not rule.field.startswith("comment:"):
-                here = _sites_of(spec, specs)
-                users[rule] = users[rule] | here if rule in users else here
+                sites.setdefault(rule, []).append(spec.site)
 
-    by_field: dict[str, list[tuple[str, Column, FieldRule]]] = {}
-    for i, (rule, here) in enumerate(users.items()):
-        by_field.setdefault(rule.field, []).append((f"__{rule.field}_{i}", here, rule))
+    by_field: dict[str, list[Variant]] = {}
+    for rule, of in sites.items():
+        by_field.setdefault(rule.field, []).append((_rows_of(of, specs), rule))
     for field, variants in by_field.items():
-        for name, _, rule in variants:
-            df = with_field(df, rule, name, cities, as_of, functions)
-        had = F.col(field) if field in df.columns else F.lit(None)
-        chosen = had
-        for name, here, _ in variants:
-            chosen = F.when(here, F.coalesce(F.col(name), had)).otherwise(chosen)
-        df = df.withColumn(field, chosen)
-        for name, here, rule in variants:
-            if rule.is_fatal:
-                df = df.where(~here | F.col(name).isNotNull())
-        df = df.drop(*(name for name, _, _ in variants))
+        had = F.col(field) if field in df.columns else None
+        df = with_field_variants(df, field, variants, "__new", cities, as_of, functions)
+        required = _rows_with(variants, lambda r: r.is_fatal)
+        if required is not None:
+            df = df.where(~required | F.col("__new").isNotNull())
+        df = df.withColumn(field, F.col("__new") if had is None else F.coalesce(F.col("__new"), had)).drop("__new")
     return df
 
 
@@ -183,7 +259,7 @@ def with_id(df: DataFrame, specs: list[SiteSpec]) -> DataFrame:
     chosen = ids.posting_id(url, title)
     for spec in specs:
         if spec.id_how:
-            here = _sites_of(spec, specs)
+            here = _rows_of([spec.site], specs)
             chosen = F.when(here, ids.posting_id(url, title, spec.id_how, spec.id_regex)).otherwise(chosen)
     return df.withColumn("id", chosen)
 

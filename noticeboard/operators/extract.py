@@ -17,9 +17,11 @@ from ..model import FieldRule, SiteSpec
 
 ANY_SITE = "*"
 _OUT = (
-    "site string, url string, page_no int, n_items int, item_pos int, pager_nodes int, "
+    "site string, url string, outer_no int, page_no int, n_items int, item_pos int, pager_nodes int, "
     "page_count string, raw map<string,array<string>>"
 )
+_COLUMNS = [part.split()[0] for part in _OUT.split(", ")]
+_ROWS_PER_BATCH = 10_000
 # Taken as Columns afterwards, not from the page.
 _CONSTANT_HOW = ("url", "int")
 
@@ -89,11 +91,19 @@ def _page_rows(spec: SiteSpec, level: str, html: str) -> Iterator[tuple]:
             yield len(items), pos, pager_nodes, page_count, _values(page, rules, items[pos], pos + 1)
 
 
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    out = pd.DataFrame(rows, columns=_COLUMNS)
+    for name in ("outer_no", "page_no", "n_items", "item_pos", "pager_nodes"):
+        out[name] = out[name].astype("Int32")
+    return out
+
+
 def extract(pages: DataFrame, specs: list[SiteSpec], level: str) -> DataFrame:
     """One row per list item (``level='list'``) or per page (``level='detail'``).
 
-    ``pages`` has site, url, page_no and html. A site without a spec of its own uses the spec
-    named ``*``; without that its pages are skipped.
+    ``pages`` has site, url, page_no and html, and outer_no where pages are looped over once
+    per category. A site without a spec of its own uses the spec named ``*``; without that its
+    pages are skipped.
     """
     _check(specs)
     by_site = {s.site: s for s in specs if level == "detail" or s.items}
@@ -101,21 +111,22 @@ def extract(pages: DataFrame, specs: list[SiteSpec], level: str) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for site, url, page_no, html in batch.itertuples(index=False):
+            for site, url, outer_no, page_no, html in batch.itertuples(index=False):
                 spec = by_site.get(site, by_site.get(ANY_SITE))
-                if spec is None:
-                    continue
-                for n, pos, nodes, count, raw in _page_rows(spec, level, html):
-                    rows.append((site, url, page_no, n, pos, nodes, count, raw))
-            columns = ["site", "url", "page_no", "n_items", "item_pos", "pager_nodes", "page_count", "raw"]
-            out = pd.DataFrame(rows, columns=columns)
-            for name in ("page_no", "n_items", "item_pos", "pager_nodes"):
-                out[name] = out[name].astype("Int32")
-            yield out
-
-    known = None if ANY_SITE in by_site else F.col("site").isin(*by_site)
-    pages = pages if known is None else pages.where(known)
-    return pages.select("site", "url", "page_no", "html").mapInPandas(run, _OUT)
+                if spec is not None:
+                    rows += (
+                        (site, url, outer_no, page_no, n, pos, nodes, count, raw)
+                        for n, pos, nodes, count, raw in _page_rows(spec, level, html)
+                    )
+                if len(rows) >= _ROWS_PER_BATCH:
+                    yield _frame(rows)
+                    rows = []
+            yield _frame(rows)
+
+    if ANY_SITE not in by_site:
+        pages = pages.where(F.col("site").isin(*by_site))
+    outer_no = F.col("outer_no") if "outer_no" in pages.columns else F.lit(0)
+    return pages.select("site", "url", outer_no.alias("outer_no"), "page_no", "html").mapInPandas(run, _OUT)
 
 
 def page_bounds(pager_nodes: Column, page_count: Column, stated: Column, loop_begin: Column, loop_end: Column) -> Column:

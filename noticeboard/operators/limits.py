@@ -64,34 +64,41 @@ def page_cap(df: DataFrame, keys: list[str], n: Column | int, begin_from: Column
     return df.join(lasts, [*keys, "page_no"], "left").where(within).drop("last_pos")
 
 
-def with_running_rank(df: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Position of each row within its keys by (page_no, item_pos), counted from 1.
+def with_running_rank(
+    df: DataFrame, keys: list[str], name: str, outer: list[str] | None = None, limit: Column | int | None = None
+) -> DataFrame:
+    """Position of each row within its keys by (outer, page_no, item_pos), counted from 1.
 
     Counts per block of pages, page and block of items are summed level by level, so the only
-    rows ranked in one task are those of one block of items, however large a site is.
+    rows ranked in one task are those of one block of items, however large a site is. With a
+    ``limit`` the blocks wholly behind it are dropped before they are ranked.
     """
-    levels = ["__pages", "page_no", "__items"]
+    levels = [*(outer or []), "__pages", "page_no", "__items"]
     df = df.withColumns(
         {"__pages": F.floor(F.col("page_no") / BLOCK), "__items": F.floor(F.col("item_pos") / BLOCK)}
     )
     cells = df.groupBy(*keys, *levels).agg(F.count("*").alias("__n"))
     offsets = cells.drop("__n")
-    for depth, level in enumerate(levels, 1):
-        parent = [*keys, *levels[: depth - 1]]
+    starts = []
+    for depth, level in enumerate(levels):
+        parent = [*keys, *levels[:depth]]
         before = Window.partitionBy(*parent).orderBy(level).rowsBetween(Window.unboundedPreceding, -1)
         totals = cells.groupBy(*parent, level).agg(F.sum("__n").alias("__n"))
         offset = F.coalesce(F.sum("__n").over(before), F.lit(0)).alias(f"__before_{depth}")
         offsets = offsets.join(totals.select(*parent, level, offset), [*parent, level])
-    starts = [f"__before_{d}" for d in range(1, len(levels) + 1)]
-    offsets = offsets.select(*keys, *levels, reduce(lambda a, b: a + b, map(F.col, starts)).alias("__start"))
+        starts.append(F.col(f"__before_{depth}"))
+    offsets = offsets.select(*keys, *levels, reduce(lambda a, b: a + b, starts).alias("__start"))
+    placed = df.join(offsets, [*keys, *levels])
+    placed = placed if limit is None else placed.where(F.col("__start") < limit)
     here = Window.partitionBy(*keys, *levels).orderBy("item_pos")
-    ranked = df.join(offsets, [*keys, *levels]).withColumn(name, F.col("__start") + F.row_number().over(here))
+    ranked = placed.withColumn(name, F.col("__start") + F.row_number().over(here))
     return ranked.drop("__pages", "__items", "__start")
 
 
-def site_cap(df: DataFrame, keys: list[str], n_jobs: Column | int) -> DataFrame:
+def site_cap(df: DataFrame, keys: list[str], n_jobs: Column | int, outer: list[str] | None = None) -> DataFrame:
     """The first n accepted rows of a site by page and position."""
-    return with_running_rank(df, keys, "__rank").where(F.col("__rank") <= n_jobs).drop("__rank")
+    ranked = with_running_rank(df, keys, "__rank", outer, n_jobs)
+    return ranked.where(F.col("__rank") <= n_jobs).drop("__rank")
 
 
 def new_positions(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -99,3 +106,13 @@ def new_positions(df: DataFrame, keys: list[str]) -> DataFrame:
     that shows it. The rank limit is applied in every task before the shuffle."""
     first = Window.partitionBy(*keys, "item_pos").orderBy("page_no")
     return df.withColumn("__nth", F.row_number().over(first)).where("__nth = 1").drop("__nth")
+
+
+def within_page_bounds(df: DataFrame, keys: list[str], bounds: DataFrame) -> DataFrame:
+    """Rows whose page lies in the bounds its listing states; no rows where they are unusable.
+
+    ``bounds`` has the keys, usable, from_page and to_page (exclusive), one row per listing.
+    """
+    inside = (F.col("page_no") >= F.col("from_page")) & (F.col("page_no") < F.col("to_page"))
+    listed = bounds.where("usable").select(*keys, "from_page", "to_page")
+    return df.join(listed, keys).where(inside).drop("from_page", "to_page")

@@ -8,24 +8,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates
-from ..model import POSTING_FIELDS, Limits, SiteSpec, site_config
-from ..operators import clean, limits
-from ..operators.extract import ANY_SITE, extract, list_with_detail
+from ..model import POSTING_FIELDS, Limits, SiteSpec, loop_rules, site_config
+from ..operators import clean, limits, verify
+from ..operators.extract import ANY_SITE, extract, list_with_detail, page_bounds
 from ..operators.lookup import Dictionary, with_display_name
 from ..session import written
 
-_KEY = ["site", "page_no", "item_pos"]
+_LISTING = ["site", "outer_no"]
+_KEY = [*_LISTING, "page_no", "item_pos"]
 _LIMITS = ["n_days", "n_pages", "n_jobs", "n_jobs_per_page"]
+_LOOPS = ["begin_page", "end_page", "stated", "bounded", "paged", "begin_item", "addon"]
 
 
-def _with_limits(df: DataFrame, specs: list[SiteSpec], defaults: Limits) -> DataFrame:
-    """Every row's limits; a site without a spec of its own has those of ``*``."""
-    table = limits.effective_limits(site_config(df.sparkSession, specs), defaults)
-    own = table.where(F.col("site") != ANY_SITE)
-    any_site = {r.site: r for r in table.where(F.col("site") == ANY_SITE).collect()}.get(ANY_SITE)
-    joined = df.join(own, "site", "left")
-    fallback = any_site.asDict() if any_site else defaults.__dict__
-    return joined.withColumns({c: F.coalesce(F.col(c), F.lit(fallback[c])) for c in _LIMITS})
+def _with_settings(df: DataFrame, specs: list[SiteSpec], defaults: Limits) -> DataFrame:
+    """Every row's limits and loops; a site without a spec of its own has those of ``*``."""
+    spark = df.sparkSession
+    general = next((s for s in specs if s.site == ANY_SITE), SiteSpec(ANY_SITE))
+    every = [*(s for s in specs if s.site != ANY_SITE), general]
+    settings = limits.effective_limits(site_config(spark, every), defaults).join(loop_rules(spark, every), "site")
+    names = [*_LIMITS, *_LOOPS]
+    fallback = settings.where(F.col("site") == ANY_SITE).first().asDict()
+    joined = df.join(settings.where(F.col("site") != ANY_SITE).select("site", *names), "site", "left")
+    return joined.withColumns({c: F.coalesce(F.col(c), F.lit(fallback[c])) for c in names})
 
 
 def _checks_index(specs: list[SiteSpec]) -> Column:
@@ -34,17 +38,35 @@ def _checks_index(specs: list[SiteSpec]) -> Column:
     return own.otherwise(F.lit(named.get(ANY_SITE, False)))
 
 
-def accepted_keys(rows: DataFrame, keys: list[str], outer_loop: bool = False) -> DataFrame:
-    """Which rows stay, by paging stop, page cap and posting caps.
+def _in_bounds(rows: DataFrame) -> DataFrame:
+    """Pages of a listing, as many as its first page states."""
+    first = rows.where("bounded").groupBy(*_LISTING).agg(
+        F.min(F.struct("page_no", "pager_nodes", "page_count", "stated", "begin_page", "end_page")).alias("p")
+    )
+    bounds = page_bounds(*(F.col(f"p.{c}") for c in ("pager_nodes", "page_count", "stated", "begin_page", "end_page")))
+    bounded = limits.within_page_bounds(rows.where("bounded"), _LISTING, first.select(*_LISTING, bounds.alias("b")).select(*_LISTING, "b.*"))
+    return rows.where("not bounded").unionByName(bounded)
 
-    ``rows`` has the row key, its limits, and the flags ``outdated`` and ``known``; only these
-    narrow columns are shuffled. ``outer_loop``: pages of a loop without a page cap.
+
+def _new_rows(rows: DataFrame) -> DataFrame:
+    """Of growing lists only the rows each page adds."""
+    return rows.where("not addon").unionByName(limits.new_positions(rows.where("addon"), _LISTING))
+
+
+def accepted_keys(rows: DataFrame, bounded: bool = True, growing: bool = True) -> DataFrame:
+    """Which rows stay, by page bounds, paging stop, page cap and posting caps.
+
+    ``rows`` has the row key, its limits and loops, and the flags ``outdated`` and ``known``;
+    only these narrow columns are shuffled.
     """
-    shown = limits.paging_stop(rows, keys, F.col("outdated") | F.col("known")).where(~F.col("outdated"))
-    if not outer_loop:
-        shown = limits.pages_cap(shown, F.col("n_pages"))
-    shown = limits.page_cap(shown, ["site"], F.col("n_jobs_per_page"))
-    return limits.site_cap(shown, ["site"], F.col("n_jobs")).select(*_KEY)
+    rows = _in_bounds(rows) if bounded else rows
+    rows = _new_rows(rows) if growing else rows
+    hit = F.col("paged") & (F.col("outdated") | F.col("known"))
+    shown = limits.paging_stop(rows, _LISTING, hit).where(~F.col("outdated"))
+    in_loop = F.when(F.col("paged"), F.col("page_no"))
+    shown = shown.where(in_loop.isNull() | (in_loop - F.col("begin_page") + 1 <= F.col("n_pages")))
+    shown = limits.page_cap(shown, _LISTING, F.col("n_jobs_per_page"), F.col("begin_item"))
+    return limits.site_cap(shown, ["site"], F.col("n_jobs"), outer=["outer_no"]).select(*_KEY)
 
 
 def collect_postings(
@@ -60,6 +82,9 @@ def collect_postings(
 ) -> DataFrame:
     """Postings of all pages, cleaned and limited.
 
+    ``pages`` are the listings (site, url, page_no, html), ``details`` the pages of single
+    postings (site, url, page_no, html; the newest by fetched_at where an address has several).
+
     Extracted rows are written once; limits are worked out on their keys and flags alone, and
     one join on the row key fetches the rows that stay.
     """
@@ -70,28 +95,28 @@ def collect_postings(
         rows = rows.withColumns(
             {"job_post_date": F.lit(None).cast("timestamp_ntz"), "post_date_guessed": F.lit(False)}
         )
-    rows = _with_limits(rows, specs, defaults).withColumn("outdated", old)
+    rows = _with_settings(rows, specs, defaults).withColumn("outdated", old)
     if details is not None:
         rows = written(rows, "listed")
+        details = verify.latest_pages(details) if "fetched_at" in details.columns else details
         joined = list_with_detail(rows.where("not outdated"), extract(details, specs, "detail"))
         complete = clean.with_fields(joined, specs, "detail", cities, as_of, functions).withColumn("outdated", old)
         rows = complete.unionByName(rows.where("outdated"), allowMissingColumns=True)
     for name in ("job_url", "job_title"):
         if name not in rows.columns:
             rows = rows.withColumn(name, F.lit(None).cast("string"))
-    rows = rows.withColumn("job_url", F.coalesce("job_url", "url"))
-    rows = clean.with_id(rows, specs)
+    rows = clean.with_id(rows.withColumn("job_url", F.coalesce("job_url", "url")), specs)
     if index_ids is None:
         rows = rows.withColumn("known", F.lit(False))
     else:
         rows = limits.mark_known(rows, index_ids).withColumn("known", F.col("known") & _checks_index(specs))
-    rows = written(rows.drop("raw", "pager_nodes", "page_count"), "extracted")
-
-    kept = accepted_keys(rows.select(*_KEY, *_LIMITS, "outdated", "known"), ["site"])
-    postings = rows.join(kept, _KEY, "left_semi").where("not outdated")
-    postings = with_display_name(postings, "site", companies, "job_company")
+    rows = written(rows.drop("raw"), "extracted")
+
+    narrow = rows.select(*_KEY, *_LIMITS, *_LOOPS, "pager_nodes", "page_count", "outdated", "known")
+    bounded = any(s.pages and (s.pages.selector or s.pages.total_pages) for s in specs)
+    growing = any(s.items and s.items.item_type == "job_addon" for s in specs)
+    postings = rows.where("not outdated").join(accepted_keys(narrow, bounded, growing), _KEY, "left_semi")
+    guessed = F.coalesce("post_date_guessed", F.lit(False)) | F.col("job_post_date").isNull()
+    postings = with_display_name(postings.withColumn("post_date_guessed", guessed), "site", companies, "job_company")
     postings = clean.with_defaults(postings, as_of)
-    guessed = F.coalesce("post_date_guessed", F.lit(True))
-    return postings.select(*POSTING_FIELDS, *_KEY, guessed.alias("post_date_guessed"))
-
-
+    return postings.select(*POSTING_FIELDS, *_KEY, "post_date_guessed")
