@@ -175,11 +175,6 @@ def parse_date(text: Column, layout: str | None = None) -> Column:
     return F.transform(F.array(F.split(text, r"\|", -1)), build)[0]
 
 
-def post_date_or_now(text: Column, as_of: datetime, layout: str | None = None) -> Column:
-    """A post date is never missing: what cannot be read becomes ``as_of``, to the hour."""
-    return F.coalesce(parse_date(text, layout), ntz(on_the_hour(as_of)))
-
-
 def whole_days(since: Column, as_of: Column) -> Column:
     """Whole days from ``since`` to ``as_of``, cut off towards zero."""
     return F.extract(F.lit("DAY"), as_of - since).cast("int")

@@ -92,7 +92,7 @@ def visible_text(element: ElementTree.Element) -> str:
     def walk(e):
         if e.tag in ("script", "style"):
             return
-        edge = "\n" if e.tag in BLOCK else ""
+        edge = "\n" if e.tag in BLOCK else " " if e.tag in ("td", "th") else ""
         parts.append("\n" if e.tag == "br" else edge)
         parts.append(re.sub(r"\s+", " ", e.text or ""))
         for child in e:

@@ -51,7 +51,7 @@ def affix(text: Column, before: str = "", after: str = "") -> Column:
     return F.concat(F.lit(before), text, F.lit(after))
 
 
-def transform_text(text: Column, t: Transform, field: str, as_of: datetime) -> Column:
+def transform_text(text: Column, t: Transform) -> Column:
     """One transform of one element; place lookups are table steps (see ``with_field``)."""
     if t.how == "insertBefore":
         return affix(text, before=t.value)
@@ -64,8 +64,6 @@ def transform_text(text: Column, t: Transform, field: str, as_of: datetime) -> C
     if t.how == "regex_matcher":
         return text_functions.match_nth(text, t.value, t.which, t.group)
     if t.how == "dateFormat":
-        if field == "job_post_date":
-            return dates.index_text(dates.post_date_or_now(text, as_of, t.value))
         return dates.index_text(dates.parse_date(text, t.value))
     return text
 
@@ -111,15 +109,15 @@ def _steps(rule: FieldRule) -> list[tuple[Transform, ...]]:
     return [tuple(run) for run in runs]
 
 
-def _apply_run(values: Column, run: tuple[Transform, ...], field: str, as_of: datetime) -> Column:
+def _apply_run(values: Column, run: tuple[Transform, ...]) -> Column:
     for t in run:
         if t.how not in ("join", "tokenize", "executeScript"):
-            values = F.transform(values, _element_step(t, field, as_of))
+            values = F.transform(values, _element_step(t))
     return values
 
 
-def _element_step(t: Transform, field: str, as_of: datetime) -> Callable[[Column], Column]:
-    return lambda value: transform_text(value, t, field, as_of)
+def _element_step(t: Transform) -> Callable[[Column], Column]:
+    return lambda value: transform_text(value, t)
 
 
 def _table_step(
@@ -170,7 +168,7 @@ def with_field_variants(
 
     df = df.withColumn("__v", F.try_element_at("raw", F.lit(field)))
     for n in range(max(len(_steps(r)) for _, r in read)):
-        run = lambda r, n=n: _apply_run(F.col("__v"), _steps(r)[n], field, as_of) if n < len(_steps(r)) else None
+        run = lambda r, n=n: _apply_run(F.col("__v"), _steps(r)[n]) if n < len(_steps(r)) else None
         df = _table_step(df.withColumn("__v", _chosen(read, run, F.col("__v"))), read, n, cities, functions or {})
 
     value = F.lit(None).cast("string")
