@@ -187,6 +187,12 @@ def outdated(date: Column, as_of: Column, n_days: Column | int | None) -> Column
     return F.coalesce(whole_days(date, as_of) > n_days, F.lit(False))
 
 
+def not_outdated(date: Column, as_of: Column, n_days: int) -> Column:
+    """The rows ``outdated`` leaves, as a plain comparison that a scan can be given: a date is
+    more than n whole days old when n + 1 days have passed."""
+    return date.isNull() | (date > as_of - F.make_dt_interval(days=F.lit(n_days + 1)))
+
+
 def days_delta(date: Column, as_of: Column) -> Column:
     """Whole days since the date, plus one; 0 when there is no date."""
     return F.coalesce(whole_days(date, as_of) + 1, F.lit(0))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +20,10 @@ _OUT = (
     "site string, url string, outer_no int, page_no int, n_items int, item_pos int, pager_nodes int, "
     "page_count string, raw map<string,array<string>>"
 )
-_COLUMNS = [part.split()[0] for part in _OUT.split(", ")]
+_ARROW = pa.schema(
+    [(part.split()[0], pa.int32() if part.endswith(" int") else pa.string()) for part in _OUT.split(", ")[:-1]]
+    + [("raw", pa.map_(pa.string(), pa.list_(pa.string())))]
+)
 _ROWS_PER_BATCH = 10_000
 # Taken as Columns afterwards, not from the page.
 _CONSTANT_HOW = ("url", "int")
@@ -91,11 +94,11 @@ def _page_rows(spec: SiteSpec, level: str, html: str) -> Iterator[tuple]:
             yield len(items), pos, pager_nodes, page_count, _values(page, rules, items[pos], pos + 1)
 
 
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=_COLUMNS)
-    for name in ("outer_no", "page_no", "n_items", "item_pos", "pager_nodes"):
-        out[name] = out[name].astype("Int32")
-    return out
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [()] * len(_ARROW)
+    raw = [list(fields.items()) for fields in columns[-1]]
+    arrays = [pa.array(values, kind.type) for values, kind in zip([*columns[:-1], raw], _ARROW)]
+    return pa.RecordBatch.from_arrays(arrays, schema=_ARROW)
 
 
 def extract(pages: DataFrame, specs: list[SiteSpec], level: str) -> DataFrame:
@@ -108,10 +111,10 @@ def extract(pages: DataFrame, specs: list[SiteSpec], level: str) -> DataFrame:
     _check(specs)
     by_site = {s.site: s for s in specs if level == "detail" or s.items}
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for site, url, outer_no, page_no, html in batch.itertuples(index=False):
+            for site, url, outer_no, page_no, html in zip(*(column.to_pylist() for column in batch.columns)):
                 spec = by_site.get(site, by_site.get(ANY_SITE))
                 if spec is not None:
                     rows += (
@@ -119,14 +122,14 @@ def extract(pages: DataFrame, specs: list[SiteSpec], level: str) -> DataFrame:
                         for n, pos, nodes, count, raw in _page_rows(spec, level, html)
                     )
                 if len(rows) >= _ROWS_PER_BATCH:
-                    yield _frame(rows)
+                    yield _batch(rows)
                     rows = []
-            yield _frame(rows)
+            yield _batch(rows)
 
     if ANY_SITE not in by_site:
         pages = pages.where(F.col("site").isin(*by_site))
     outer_no = F.col("outer_no") if "outer_no" in pages.columns else F.lit(0)
-    return pages.select("site", "url", outer_no.alias("outer_no"), "page_no", "html").mapInPandas(run, _OUT)
+    return pages.select("site", "url", outer_no.alias("outer_no"), "page_no", "html").mapInArrow(run, _OUT)
 
 
 def page_bounds(pager_nodes: Column, page_count: Column, stated: Column, loop_begin: Column, loop_end: Column) -> Column:

@@ -16,6 +16,7 @@ from ..functions import dates
 from ..model import JOBS_WITH_WINDOW, PAGES_WITH_WINDOW, Limits
 
 BLOCK = 1024
+MAX_DAYS = 1_000_000  # a window this long is none
 
 
 def effective_limits(config: DataFrame, defaults: Limits) -> DataFrame:
@@ -32,6 +33,10 @@ def effective_limits(config: DataFrame, defaults: Limits) -> DataFrame:
 
 
 def fresh(df: DataFrame, date: str, as_of: Column, n_days: Column | int | None) -> DataFrame:
+    if isinstance(n_days, int) and 0 <= n_days < MAX_DAYS:
+        return df.where(dates.not_outdated(F.col(date), as_of, n_days))
+    if isinstance(n_days, int) and n_days >= MAX_DAYS:
+        return df
     return df.where(~dates.outdated(F.col(date), as_of, n_days))
 
 

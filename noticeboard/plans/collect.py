@@ -13,6 +13,7 @@ from ..operators import clean, limits, verify
 from ..operators.extract import ANY_SITE, extract, list_with_detail, page_bounds
 from ..operators.lookup import Dictionary, with_display_name
 from ..session import written
+from ..sources.specs import MAX_SPECS
 
 _LISTING = ["site", "outer_no"]
 _KEY = [*_LISTING, "page_no", "item_pos"]
@@ -23,13 +24,14 @@ _LOOPS = ["begin_page", "end_page", "stated", "bounded", "paged", "begin_item",
 def _with_settings(df: DataFrame, specs: list[SiteSpec], defaults: Limits) -> DataFrame:
     """Every row's limits and loops; a site without a spec of its own has those of ``*``."""
     spark = df.sparkSession
+    named = [s for s in specs if s.site != ANY_SITE]
     general = next((s for s in specs if s.site == ANY_SITE), SiteSpec(ANY_SITE))
-    every = [*(s for s in specs if s.site != ANY_SITE), general]
-    settings = limits.effective_limits(site_config(spark, every), defaults).join(loop_rules(spark, every), "site")
-    names = [*_LIMITS, *_LOOPS]
-    fallback = settings.where(F.col("site") == ANY_SITE).first().asDict()
-    joined = df.join(settings.where(F.col("site") != ANY_SITE).select("site", *names), "site", "left")
-    return joined.withColumns({c: F.coalesce(F.col(c), F.lit(fallback[c])) for c in names})
+    config, loops = site_config(spark, [*named, general]), loop_rules(spark, [*named, general])
+    settings = limits.effective_limits(config, defaults).join(loops, "site").withColumnRenamed("site", "__site")
+    if len(named) <= MAX_SPECS:  # one row per spec, so small enough to send to every task
+        settings = F.broadcast(settings)
+    key = F.when(F.col("site").isin(*(s.site for s in named)), F.col("site")).otherwise(ANY_SITE)
+    return df.join(settings, key == F.col("__site")).drop("__site")
 
 
 def _checks_index(specs: list[SiteSpec]) -> Column:
@@ -66,6 +68,8 @@ def accepted_keys(rows: DataFrame, bounded: bool = True, growing: bool = True) -
     in_loop = F.when(F.col("paged"), F.col("page_no"))
     shown = shown.where(in_loop.isNull() | (in_loop - F.col("begin_page") + 1 <= F.col("n_pages")))
     shown = limits.page_cap(shown, _LISTING, F.col("n_jobs_per_page"), F.col("begin_item"))
+    # The site cap counts and then ranks these keys; writing them spares it the joins above twice.
+    shown = written(shown.select(*_KEY, "n_jobs"), "shown")
     return limits.site_cap(shown, ["site"], F.col("n_jobs"), outer=["outer_no"]).select(*_KEY)
 
 

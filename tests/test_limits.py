@@ -96,3 +96,18 @@ def test_effective_limits(spark):
     config = spark.createDataFrame([("a", 7, 3, 4), ("b", None, 3, None), ("c", None, None, 9)], "site string, n_days int, n_pages int, n_jobs int")
     got = {r.site: tuple(r)[1:] for r in limits.effective_limits(config, Limits(30, 100, 200, 50)).collect()}
     assert got == {"a": (7, 1000, 10000, 50), "b": (30, 3, 200, 50), "c": (30, 100, 9, 50)}
+
+
+def test_fresh_as_a_comparison_equals_whole_days(spark):
+    from datetime import datetime, timedelta
+
+    from noticeboard.functions import dates
+
+    now = datetime(2024, 3, 10, 12)
+    seconds = [d * 86400 + s for d in range(-2, 6) for s in (-1, 0, 1)]
+    rows = [(i, now - timedelta(seconds=s)) for i, s in enumerate(seconds)] + [(99, None)]
+    df = spark.createDataFrame(rows, "i int, d timestamp_ntz")
+    for n in (0, 1, 3, limits.MAX_DAYS):
+        by_comparison = {r.i for r in limits.fresh(df, "d", dates.ntz(now), n).collect()}
+        by_days = {r.i for r in limits.fresh(df, "d", dates.ntz(now), F.lit(n)).collect()}
+        assert by_comparison == by_days and 99 in by_days
