@@ -57,7 +57,7 @@ ZONE_MINUTES = {
 
 _MONTH = (
     "(?i:(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?"
-    "|sep(?:tember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?))"
+    "|sep(?:tember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?|[一二三四五六七八九]月|十[一二]?月))"
 )
 _WEEKDAY = "(?i:(?:sun|mon|tue|wed|thu|fri|sat)(?:s|nes|rs|ur)?(?:day)?)"
 _ZONE = r"((?:[A-Z]{2,3}(?:[+-]\d{1,2}:?\d{2})?)|(?:[+-]\d{1,2}:?\d{2}))"
@@ -81,7 +81,7 @@ _FORMATS = [
     (f"{_HEAD} {_S}{_N}", "NdHmsy"),
     (f"{_WEEKDAY}, {_S}{_N}-{_S}{_MONTH}-{_S}(\\d{{2}}) {_HMS} {_S}{_ZONE}", "dNYHmsz"),
     (f"{_WEEKDAY}, {_S}{_N} {_S}{_MONTH} {_S}{_N} {_HMS} {_S}{_ZONE}", "dNyHmsz"),
-    (r"([+-]?\d{1,15})\z", "e"),
+    (r"([+-]?\d{1,15})'?\z", "e"),
 ]
 _FIELDS = "yYMNdHhmsfze"
 _READ = "\u0001"  # marks a text that a format has fitted
@@ -91,7 +91,7 @@ def _one_pass() -> tuple[str, str]:
     """All formats as one pattern, and the replacement that lists the fields of whichever fits:
     the groups of the others are empty."""
     groups = [field for _, fields in _FORMATS for field in fields]
-    pattern = "^[ \t]*(?:" + "|".join(p for p, _ in _FORMATS) + ")(?s:.*)$"
+    pattern = "^(?:'(?=.*'$))?[ \t]*(?:" + "|".join(p for p, _ in _FORMATS) + ")(?s:.*)$"
     listed = ("".join(f"${n}" for n, g in enumerate(groups, 1) if g == field) for field in _FIELDS)
     return pattern, _READ + "|".join(listed)
 
@@ -141,7 +141,8 @@ def _number(digits: Column) -> Column:
 
 def _moment(field: dict[str, Column]) -> Column:
     year = _number(field["y"]) + F.when(field["Y"] != "", _number(field["Y"]) + 2000).otherwise(0)
-    named = F.instr(F.lit(_MONTH_INDEX), F.concat(F.lit(","), F.rpad(F.lower(field["N"]), 3, " ")))
+    name = F.when(field["N"] < "{", field["N"]).otherwise(english_months(field["N"]))
+    named = F.instr(F.lit(_MONTH_INDEX), F.concat(F.lit(","), F.rpad(F.lower(name), 3, " ")))
     month = _number(field["M"]) + F.floor((named - 1) / 4).cast("int")
     hour = _number(field["H"]) + F.when(field["h"] == "12", 0).otherwise(_number(field["h"]))
     millis = F.substring(F.concat(field["f"], F.lit("000")), 1, 3)
@@ -158,12 +159,12 @@ def _from_millis(text: Column) -> Column:
 
 
 def parse_date(text: Column, layout: str | None = None) -> Column:
-    """Layout, then month names, then the default formats in order, then epoch milliseconds.
+    """Layout, then the default formats in order, then epoch milliseconds. Quotes around the
+    text do not count; month names may be Chinese.
 
     Out-of-range fields make a text unparseable; null when nothing fits.
     """
-    text = english_months(F.trim(apply_layout(text, layout)))
-    text = F.regexp_replace(F.regexp_replace(text, "^'(.*)'$", "$1"), *_one_pass())
+    text = F.regexp_replace(F.trim(apply_layout(text, layout)), *_one_pass())
 
     def build(read: Column) -> Column:
         field = {name: F.get(read, F.lit(i)) for i, name in enumerate(_FIELDS)}

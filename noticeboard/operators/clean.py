@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
-from functools import reduce
+from functools import partial, reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -26,7 +26,12 @@ from .lookup import Dictionary, format_places, tokenize_places
 
 # Transforms that already put a value into its final form.
 _FORMATTING = ("dateFormat", "location_regex", "regex_matcher", "tokenize")
-_PLACES = ("location_regex", "regex_matcher", "tokenize")
+# Place lookups after a transform. No match is no value, not an unknown place.
+_PLACE_STEPS = {
+    "tokenize": tokenize_places,
+    "location_regex": format_places,
+    "regex_matcher": partial(format_places, empty=""),
+}
 _ALL = ("insertBefore", "appendAfter", "regex", "join", "executeScript", *_FORMATTING)
 
 UserFunction = Callable[[pd.Series], pd.Series]
@@ -104,7 +109,7 @@ def _steps(rule: FieldRule) -> list[tuple[Transform, ...]]:
     runs: list[list[Transform]] = [[]]
     for t in rule.transforms:
         runs[-1].append(t)
-        if t.how in _PLACES or t.how == "executeScript":
+        if t.how in _PLACE_STEPS or t.how == "executeScript":
             runs.append([])
     return [tuple(run) for run in runs]
 
@@ -133,12 +138,10 @@ def _table_step(
         df = step(df.withColumns({"__own": rows, "__part": F.when(rows, F.col("__v"))}))
         return df.withColumn("__v", F.when(F.col("__own"), F.col("__part")).otherwise(F.col("__v"))).drop("__own", "__part")
 
-    tokenized = _rows_with(variants, lambda r: ends(r) is not None and ends(r).how == "tokenize")
-    formatted = _rows_with(variants, lambda r: ends(r) is not None and ends(r).how in ("location_regex", "regex_matcher"))
-    if tokenized is not None:
-        df = masked(df, tokenized, lambda d: tokenize_places(d, "__part", cities))
-    if formatted is not None:
-        df = masked(df, formatted, lambda d: format_places(d, "__part", cities))
+    for how, step in _PLACE_STEPS.items():
+        own = _rows_with(variants, lambda r, how=how: ends(r) is not None and ends(r).how == how)
+        if own is not None:
+            df = masked(df, own, lambda d, step=step: step(d, "__part", cities))
     names = {ends(r).value for _, r in variants if ends(r) is not None and ends(r).how == "executeScript"}
     for name in sorted(names):
         own = _rows_with(variants, lambda r, name=name: ends(r) is not None and ends(r).value == name)

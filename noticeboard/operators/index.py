@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..model import UNKNOWN_COMPANY
+from .skew import join_facts
 
 
 def last_per_id(batch: DataFrame, *order: str) -> DataFrame:
@@ -110,9 +111,9 @@ def of_companies(candidates: DataFrame, wanted: DataFrame) -> DataFrame:
 
     ``wanted`` has display_name.
     """
-    valid = wanted.where(F.col("display_name") != UNKNOWN_COMPANY).select("display_name").distinct()
+    valid = wanted.where(F.col("display_name") != UNKNOWN_COMPANY).select(F.col("display_name").alias("job_company")).distinct()
     if valid.isEmpty():
         return candidates
-    return candidates.join(valid, candidates["job_company"] == valid["display_name"], "left_semi")
+    return join_facts(candidates, valid, ["job_company"], "left_semi")
 
 

@@ -1,8 +1,8 @@
 """Freshness and paging limits.
 
 Sites are very uneven, so nothing here gathers a whole site in one task: per-site facts are
-aggregates (reduced before the shuffle) joined back, and positions within a site are counted
-in bounded blocks. Joins carry no broadcast hint; Spark's size check and AQE decide.
+aggregates (reduced before the shuffle) joined back in parts, and positions within a site are
+counted in bounded blocks. Joins carry no broadcast hint; Spark's size check and AQE decide.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..model import JOBS_WITH_WINDOW, PAGES_WITH_WINDOW, Limits
+from .skew import join_facts
 
 BLOCK = 1024
 MAX_DAYS = 1_000_000  # a window this long is none
@@ -54,7 +55,7 @@ def paging_stop(df: DataFrame, keys: list[str], hit: Column) -> DataFrame:
     """
     stops = df.where(hit).groupBy(*keys).agg(F.min("page_no").alias("stop_page"))
     reached = F.col("stop_page").isNull() | (F.col("page_no") <= F.col("stop_page"))
-    return df.join(stops, keys, "left").where(reached).drop("stop_page")
+    return join_facts(df, stops, keys, "left").where(reached).drop("stop_page")
 
 
 def pages_cap(df: DataFrame, n_pages: Column | int, begin_from: Column | int = 0) -> DataFrame:
@@ -66,7 +67,7 @@ def page_cap(df: DataFrame, keys: list[str], n: Column | int, begin_from: Column
     at_cap = F.col("item_pos") - begin_from + 1 >= n
     lasts = df.where(at_cap).groupBy(*keys, "page_no").agg(F.min("item_pos").alias("last_pos"))
     within = F.col("last_pos").isNull() | (F.col("item_pos") <= F.col("last_pos"))
-    return df.join(lasts, [*keys, "page_no"], "left").where(within).drop("last_pos")
+    return join_facts(df, lasts, [*keys, "page_no"], "left").where(within).drop("last_pos")
 
 
 def with_running_rank(
@@ -93,11 +94,15 @@ def with_running_rank(
         offsets = offsets.join(totals.select(*parent, level, offset), [*parent, level])
         starts.append(F.col(f"__before_{depth}"))
     offsets = offsets.select(*keys, *levels, reduce(lambda a, b: a + b, starts).alias("__start"))
-    placed = df.join(offsets, [*keys, *levels])
-    placed = placed if limit is None else placed.where(F.col("__start") < limit)
     here = Window.partitionBy(*keys, *levels).orderBy("item_pos")
-    ranked = placed.withColumn(name, F.col("__start") + F.row_number().over(here))
-    return ranked.drop("__pages", "__items", "__start")
+    if limit is None:
+        # Ranked first: the join then finds the rows partitioned and sorted as it needs them.
+        ranked = df.withColumn("__nth", F.row_number().over(here)).join(offsets, [*keys, *levels])
+    else:
+        placed = df.join(offsets, [*keys, *levels]).where(F.col("__start") < limit)
+        ranked = placed.withColumn("__nth", F.row_number().over(here))
+    position = F.col("__start") + F.col("__nth")
+    return ranked.withColumn(name, position).drop("__pages", "__items", "__start", "__nth")
 
 
 def site_cap(df: DataFrame, keys: list[str], n_jobs: Column | int, outer: list[str] | None = None) -> DataFrame:
@@ -120,4 +125,4 @@ def within_page_bounds(df: DataFrame, keys: list[str], bounds: DataFrame) -> Dat
     """
     inside = (F.col("page_no") >= F.col("from_page")) & (F.col("page_no") < F.col("to_page"))
     listed = bounds.where("usable").select(*keys, "from_page", "to_page")
-    return df.join(listed, keys).where(inside).drop("from_page", "to_page")
+    return join_facts(df, listed, keys).where(inside).drop("from_page", "to_page")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as text_functions
 from ..model import OTHER_PLACE, UNKNOWN_COMPANY
+from .skew import join_facts, join_many_facts
 
 LITERAL_LIMIT = 2000  # entries
 
@@ -50,7 +51,7 @@ def with_display_name(df: DataFrame, company: str, names: Dictionary, out: str)
     if literal is not None:
         return df.withColumn(out, F.coalesce(F.try_element_at(literal, key), default))
     listed = names.frame.select(F.col("key").alias("__key"), F.col("value").alias(out))
-    joined = df.join(listed, key == F.col("__key"), "left").drop("__key")
+    joined = join_facts(df.withColumn("__key", key), listed, ["__key"], "left").drop("__key")
     return joined.withColumn(out, F.coalesce(F.col(out), default))
 
 
@@ -70,20 +71,26 @@ def _normal(token: Column) -> Column:
 
 
 def map_places(
-    df: DataFrame, column: str, cities: Dictionary, tokens: Callable[[Column], Column], distinct: bool
+    df: DataFrame,
+    column: str,
+    cities: Dictionary,
+    tokens: Callable[[Column], Column],
+    distinct: bool = False,
+    empty: str = OTHER_PLACE,
 ) -> DataFrame:
     """Replace each text of an array column by the canonical names of its known places."""
 
-    def finish(names: Column) -> Column:
+    def finish(text: Column, names: Column) -> Column:
         names = F.array_sort(F.array_distinct(names)) if distinct else names
-        return F.when(F.size(names) > 0, F.array_join(names, ",")).otherwise(OTHER_PLACE)
+        known = F.when(F.size(names) > 0, F.array_join(names, ","))
+        return known.when(text == "", empty).when(text.isNotNull(), OTHER_PLACE)
 
     literal = cities.literal()
     if literal is not None:
 
         def place(text: Column) -> Column:
             found = F.transform(tokens(text), lambda t: F.try_element_at(literal, _normal(t)))
-            return F.when(text.isNotNull(), finish(F.array_compact(found)))
+            return finish(text, F.array_compact(found))
 
         return df.withColumn(column, F.transform(column, place))
 
@@ -91,28 +98,29 @@ def map_places(
     arrays = df.select(F.col(column).alias("__texts")).where("__texts is not null").distinct()
     texts = arrays.select("__texts", F.posexplode("__texts").alias("__at", "__text"))
     exploded = texts.select("*", F.posexplode_outer(tokens(F.col("__text"))).alias("__pos", "__token"))
-    known = exploded.withColumn("key", _normal(F.col("__token"))).join(cities.frame, "key", "left")
+    keyed = exploded.withColumn("key", _normal(F.col("__token")))
+    known = join_facts(keyed, cities.frame, ["key"], "left")
     names = F.transform(
         F.array_sort(F.collect_list(F.when(F.col("value").isNotNull(), F.struct("__pos", "value")))),
         lambda hit: hit["value"],
     )
     per_text = known.groupBy("__texts", "__at").agg(names.alias("names"), F.first("__text").alias("__text"))
-    place = F.when(F.col("__text").isNotNull(), finish(F.col("names")))
+    place = finish(F.col("__text"), F.col("names"))
     per_array = per_text.groupBy("__texts").agg(F.array_sort(F.collect_list(F.struct("__at", place.alias("p")))).alias("ps"))
     named = per_array.select("__texts", F.transform("ps", lambda x: x["p"]).alias("__places"))
-    joined = df.join(named, F.col(column) == F.col("__texts"), "left")
+    joined = join_many_facts(df.withColumn("__texts", F.col(column)), named, ["__texts"], "left")
     # An empty array has no rows to map and stays empty.
     return joined.withColumn(column, F.coalesce("__places", column)).drop("__texts", "__places")
 
 
-def format_places(df: DataFrame, column: str, cities: Dictionary) -> DataFrame:
+def format_places(df: DataFrame, column: str, cities: Dictionary, empty: str = OTHER_PLACE) -> DataFrame:
     """Canonical names of comma lists, in order; unknown names are dropped, none known is 其他."""
-    return map_places(df, column, cities, _format_tokens, False)
+    return map_places(df, column, cities, _format_tokens, empty=empty)
 
 
 def tokenize_places(df: DataFrame, column: str, cities: Dictionary) -> DataFrame:
     """Distinct known cities in free text, sorted; none known is 其他."""
-    return map_places(df, column, cities, _split_tokens, True)
+    return map_places(df, column, cities, _split_tokens, distinct=True)
 
 
 def _of_text(df: DataFrame, text: Column, out: str, step: Callable[[DataFrame, str], DataFrame]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..session import cut_lineage
+from .skew import join_facts, join_many_facts
 
 
 def route(candidates: DataFrame, sites: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -16,7 +17,8 @@ def route(candidates: DataFrame, sites: DataFrame) -> tuple[DataFrame, DataFrame
 
     ``sites`` has job_company, site and verify_single, one row per company.
     """
-    return candidates.join(sites, "job_company"), candidates.join(sites, "job_company", "left_anti")
+    known = join_facts(candidates, sites, ["job_company"], by=["id"])
+    return known, join_facts(candidates, sites, ["job_company"], "left_anti", by=["id"])
 
 
 def with_batch(df: DataFrame) -> DataFrame:
@@ -44,7 +46,7 @@ def with_expiry(candidates: DataFrame, alive_urls: DataFrame, as_of: datetime) -
     alive = alive_urls.select(F.col("url").alias("job_url"), F.lit(True).alias("alive")).distinct()
     by_date = expired_by_date(F.col("job_expire_date"), as_of)
     by_page = ~by_date & F.col("alive").isNull()
-    return candidates.join(alive, "job_url", "left").select(
+    return join_many_facts(candidates, alive, ["job_url"], "left").select(
         *candidates.columns,
         by_date.alias("expired_date"),
         by_page.alias("expired_page"),
@@ -67,10 +69,10 @@ def guard(checked: DataFrame) -> DataFrame:
     Where every row of a batch expired, a broken rule or network is more likely than mass
     expiry: rows not expired by date are held for a recheck, unless the batch is a single one.
     """
-    facts = batch_facts(checked).select("batch_key", (F.col("all_expired") & ~F.col("single")).alias("suspicious"))
-    held = F.col("suspicious") & ~F.col("expired_date")
+    facts = batch_facts(checked).where("all_expired and not single").select("batch_key", F.lit(True).alias("suspicious"))
+    held = F.col("suspicious").isNotNull() & ~F.col("expired_date")
     outcome = F.when(~F.col("expired"), "alive").when(held, "held").otherwise("confirmed")
-    return checked.join(facts, "batch_key").withColumn("outcome", outcome).drop("suspicious")
+    return join_facts(checked, facts, ["batch_key"], "left", by=["id"]).withColumn("outcome", outcome).drop("suspicious")
 
 
 def next_offset(checked: DataFrame, start: int, rows: int) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates
+from ..operators.skew import join_facts
 
 
 def last_status(runs: DataFrame) -> DataFrame:
@@ -47,4 +48,4 @@ def rows_to_resume(rows: DataFrame, plan: DataFrame) -> DataFrame:
     behind = (F.col("page_no") > F.col("from_page")) | (
         (F.col("page_no") == F.col("from_page")) & (F.col("item_pos") > F.col("from_pos"))
     )
-    return rows.join(todo, "site").where(behind).drop("from_page", "from_pos")
+    return join_facts(rows, todo, ["site"]).where(behind).drop("from_page", "from_pos")

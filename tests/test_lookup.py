@@ -62,6 +62,7 @@ def test_rules_of_several_sites(spark, cities):
         ("b", "u", {"job_location": ["hong kong", "taipei"], "job_post_date": ["soon"]}),
         ("c", "u", {"job_location": ["Beijing / Tianjin"], "job_title": ["x\x01y"]}),
         ("d", "u", {"job_title": ["no place"]}),
+        ("a", "v", {"job_location": ["nothing here", "somewhere市"], "job_post_date": ["m06a - a19b - c2014"]}),
     ]
     df = spark.createDataFrame(rows, f"site string, url string, raw {raw}")
     place = lambda *t: FieldRule("job_location", "p", transforms=t)
@@ -71,7 +72,9 @@ def test_rules_of_several_sites(spark, cities):
         SiteSpec("b", list_rules=(place(Transform("location_regex", "s/x/y/g"), Transform("appendAfter", "!"), Transform("join", "+")), dated)),
         SiteSpec("*", list_rules=(place(), FieldRule("job_title", "p", is_fatal=False), FieldRule("job_type", how="int", value="3"))),
     ]
-    got = {r.site: r for r in clean.with_fields(df, specs, "list", cities, AS_OF).collect()}
+    rows = clean.with_fields(df, specs, "list", cities, AS_OF).collect()
+    assert [r.job_location for r in rows if r.url == "v"] == ["其他"]  # no match is dropped
+    got = {r.site: r for r in rows if r.url == "u"}
     assert set(got) == {"a", "b", "c"}  # d lacks its required place
     assert [got[s].job_location for s in "abc"] == ["上海", "香港!+台北!", "北京,天津"]
     assert got["a"].job_post_date.year == 2014 and got["b"].job_post_date == AS_OF.replace(minute=0, second=0)
