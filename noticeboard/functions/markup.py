@@ -117,12 +117,13 @@ _TEST = re.compile(
 _AXES = ("child", "descendant", "descendant-or-self", "following-sibling", "preceding-sibling", "parent", "self")
 
 
-def _subject(name: str) -> Callable:
+def _subjects(name: str) -> Callable[[ElementTree.Element], list[str]]:
+    """The texts a test looks at: an attribute, the element's own text nodes, or all its text."""
     if name.startswith("@"):
-        return lambda e: e.get(name[1:])
+        return lambda e: [e.get(name[1:])] if name[1:] in e.attrib else []
     if name == "text()":
-        return lambda e: e.text or ""
-    return lambda e: "".join(e.itertext())
+        return lambda e: [t for t in (e.text, *(child.tail for child in e)) if t]
+    return lambda e: ["".join(e.itertext())]
 
 
 def _condition(text: str) -> Callable:
@@ -139,17 +140,17 @@ def _condition(text: str) -> Callable:
     if found["hasnot"]:
         name = found["hasnot"][1:]
         return lambda e: not e.attrib if name == "*" else name not in e.attrib
-    read = _subject(found["a1"] or found["a2"])
+    read = _subjects(found["a1"] or found["a2"])
     if found["a2"]:
-        return lambda e: read(e) == found["v2"]
+        return lambda e: found["v2"] in read(e)
     check = (lambda v: found["v1"] in v) if found["fn"] == "contains" else (lambda v: v.startswith(found["v1"]))
-    return lambda e: (read(e) is not None and check(read(e))) != bool(found["not"])
+    return lambda e: any(map(check, read(e)[:1])) != bool(found["not"])
 
 
 def _predicate(text: str) -> Callable[[list], list]:
     text = text.strip()
-    if text in ("*", ""):
-        raise ValueError("empty predicate")
+    if text == "*":
+        return lambda found: [e for e in found if len(e)]
     if text.isdigit():
         return lambda found: found[int(text) - 1:int(text)] if int(text) else []
     last = re.match(r"^last\(\)\s*(?:-\s*(\d+))?$", text)
@@ -161,7 +162,7 @@ def _predicate(text: str) -> Callable[[list], list]:
 
 
 def _step(slashes: str, text: str) -> Callable:
-    predicates = [_predicate(p) for p in _PREDICATE.findall(text) if p.strip() != "*"]
+    predicates = [_predicate(p) for p in _PREDICATE.findall(text)]
     name = _PREDICATE.sub("", text).strip()
     axis, _, node = name.rpartition("::")
     axis = axis or {".": "self", "..": "parent"}.get(node, "child")
@@ -205,6 +206,8 @@ class Selector:
         if not text or how not in _BY:
             raise ValueError(f"unsupported selector {how} {text!r}")
         self.match = _BY[how](text)
+        # Several paths, or steps that walk backwards, do not find elements in page order.
+        self.unordered = "|" in text or "preceding" in text or "parent" in text or ".." in text
         self.alternatives = []
         if how == "XPATH":
             for part in re.split(r"""\|(?=(?:[^'"]|'[^']*'|"[^"]*")*$)""", text.replace("%d", "0")):
@@ -223,7 +226,7 @@ class Selector:
             for step in steps:
                 context = step(context, parents)
             found += context
-        if len(self.alternatives) > 1:
+        if self.unordered:
             wanted = set(found)
             found = [e for e in page.iter() if e in wanted]
         return found

@@ -37,6 +37,12 @@ LIST = """<html><body><div class='job list'><table id=jobs>
         ("tr.row.new", "CSS", ["Shanghai\nPudong"]),
         ("div#x", "CSS", ["out <side"]),
         ("//missing", "XPATH", []),
+        ("//p[*]", "XPATH", ["para two"]),
+        ("//tr[3]/td[2]/preceding-sibling::*", "XPATH", ["Second job"]),
+        ("//td[@name]/preceding-sibling::td | //td[last()]", "XPATH", ["Place", "Beijing & more", "Tianjin", "", "Shanghai Pudong"]),
+        ("//td[contains(text(),'more')]", "XPATH", ["Beijing & more"]),
+        ("//td[starts-with(.,'First')]/a/b", "XPATH", ["job"]),
+        ("/html/body//span[not(contains(.,'Bei'))]", "XPATH", ["Tianjin"]),
     ],
 )
 def test_selectors(selector, how, texts):
