@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import ids
+from ..session import spread
 
 
 def with_site(pages: DataFrame) -> DataFrame:
@@ -14,4 +15,5 @@ def with_site(pages: DataFrame) -> DataFrame:
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    return with_site(spark.read.parquet(path))
+    """Pages with their site, ready for extraction."""
+    return with_site(spread(spark.read.parquet(path)))
