@@ -73,7 +73,8 @@ def effective_limits(spark, sf):
         FROM customer LEFT JOIN last ON c_custkey = o_custkey JOIN config ON site = c_name WHERE c_mktsegment <> 'MACHINERY'),
   d AS (SELECT *, (epoch_us({ORDERS_AS_OF_SQL}) - epoch_us(t)) // 86400000000 AS days FROM s)
   SELECT site, CASE WHEN t IS NULL OR days > n_days THEN 'run' ELSE 'carry' END AS action,
-         CAST(CASE WHEN t IS NULL THEN n_days WHEN days > n_days THEN days + 1 END AS INTEGER) AS n_days FROM d""")
+         CAST(CASE WHEN t IS NULL THEN n_days WHEN days > n_days THEN days + 1 END AS INTEGER) AS n_days,
+         coalesce(days > n_days, false) AS adjusted FROM d""")
 def seed_plan(spark, sf):
     runs = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.max("o_orderdate").alias("t"), F.bool_and(F.col("o_orderstatus") != "P").alias("complete")

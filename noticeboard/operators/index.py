@@ -88,9 +88,9 @@ def by_id(index: DataFrame, posting_id: str) -> DataFrame:
 def open_older_than(index: DataFrame, as_of: datetime, n_days: int) -> DataFrame:
     """Open postings whose post date is at least n days before the current hour."""
     until = dates.ntz(dates.on_the_hour(as_of) - timedelta(days=n_days))
-    return index.where(~F.col("job_expired") & (F.col("job_post_date") <= until)).select(
-        "id", "job_url", "job_company", "job_post_date", "job_expire_date"
-    )
+    columns = ["id", "job_url", "job_company", "job_post_date", "job_expire_date"]
+    columns += ["site"] if "site" in index.columns else []
+    return index.where(~F.col("job_expired") & (F.col("job_post_date") <= until)).select(*columns)
 
 
 def window_by_offset(candidates: DataFrame, start: int, rows: int) -> DataFrame:

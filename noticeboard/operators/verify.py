@@ -12,18 +12,19 @@ from ..session import cut_lineage
 from .skew import join_facts, join_many_facts
 
 
-def route(candidates: DataFrame, sites: DataFrame) -> tuple[DataFrame, DataFrame]:
+def route(candidates: DataFrame, sites: DataFrame, key: str = "job_company") -> tuple[DataFrame, DataFrame]:
     """Candidates with their site's spec, and those of companies without one (skipped).
 
-    ``sites`` has job_company, site and verify_single, one row per company.
+    ``sites`` has the key and verify_single, one row per key: the company, or the site where
+    postings name it, since several sites may lack a display name.
     """
-    known = join_facts(candidates, sites, ["job_company"], by=["id"])
-    return known, join_facts(candidates, sites, ["job_company"], "left_anti", by=["id"])
+    known = join_facts(candidates, sites, [key], by=["id"])
+    return known, join_facts(candidates, sites, [key], "left_anti", by=["id"])
 
 
-def with_batch(df: DataFrame) -> DataFrame:
+def with_batch(df: DataFrame, key: str = "job_company") -> DataFrame:
     """One batch per company; postings of a ``verify_single`` site are batches of one."""
-    return df.withColumn("batch_key", F.when(F.col("verify_single"), F.col("id")).otherwise(F.col("job_company")))
+    return df.withColumn("batch_key", F.when(F.col("verify_single"), F.col("id")).otherwise(F.col(key)))
 
 
 def expired_by_date(expire_date: Column, as_of: datetime) -> Column:

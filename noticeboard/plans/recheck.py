@@ -28,15 +28,16 @@ def recheck_postings(
     as_of: datetime,
     n_days: int = 15,
     accept_uncertain: bool = False,
+    key: str = "job_company",
 ) -> DataFrame:
     """``id`` and ``outcome`` (alive, confirmed, alarm or skipped) of every candidate.
 
     The first entry of ``alive_by_round`` is the check itself, the others its recheck rounds.
     """
     candidates = index.open_older_than(postings, as_of, n_days)
-    routed, unknown = verify.route(candidates, sites)
+    routed, unknown = verify.route(candidates, sites, key)
     first, *later = alive_by_round
-    checked = cut_lineage(verify.guard(verify.with_expiry(verify.with_batch(routed), first, as_of)))
+    checked = cut_lineage(verify.guard(verify.with_expiry(verify.with_batch(routed, key), first, as_of)))
     settled = checked.where("outcome != 'held'").select("id", "outcome")
     again = verify.recheck(checked.where("outcome = 'held'"), later, as_of, accept_uncertain)
     skipped = unknown.select("id", F.lit("skipped").alias("outcome"))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates
+from ..model import SiteSpec
 from ..operators.skew import join_facts
 
 
@@ -27,7 +29,22 @@ def regular_plan(seeds: DataFrame, limits: DataFrame, as_of: datetime) -> DataFr
     action = F.when(F.col("last_time").isNull() | late, "run").otherwise("carry")
     window = F.when(late, dates.days_delta(last, now)).otherwise(F.col("n_days"))
     joined = seeds.join(limits.select("site", "n_days"), "site")
-    return joined.select("site", action.alias("action"), F.when(action == "run", window).alias("n_days"))
+    return joined.select(
+        "site", action.alias("action"), F.when(action == "run", window).alias("n_days"), late.alias("adjusted")
+    )
+
+
+def specs_to_run(specs: list[SiteSpec], plan: DataFrame) -> list[SiteSpec]:
+    """The specs a plan runs; one that reaches back to its last run gets that window as its own,
+    and with it wide page and posting limits. At most one row per spec is fetched."""
+    named = {s.site: s for s in specs}
+    rows = plan.where((F.col("action") == "run") & F.col("site").isin(*named)).collect()
+    return [replace(named[r.site], n_days=r.n_days) if r.adjusted else named[r.site] for r in rows]
+
+
+def append_runs(report: DataFrame, path: str) -> None:
+    """Add a run's report to the table of runs, which ``last_status`` reads."""
+    report.write.mode("append").parquet(path)
 
 
 def resume_plan(status: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """The posting table: a snapshot in buckets of ids, and the changes since.
 
 A batch of postings is appended as its own folder, so writing costs what the batch holds.
-``compact`` folds the changes into the next snapshot. A folder counts once Spark has marked it
+``compact`` folds the changes into the next snapshot. Batches are numbered upwards by whoever
+writes the table: one streaming checkpoint, or one daily job. A folder counts once Spark has marked it
 complete; nothing is read and overwritten in one place.
 """
 
@@ -45,11 +46,14 @@ class PostingTable:
         reader = self.spark.read.schema(f"{self.schema}, no int").option("basePath", f"{self.root}/changes")
         return later, reader.parquet(*paths)
 
-    def _columns(self) -> list[str]:
-        return self.spark.createDataFrame([], self.schema).columns
+    def columns(self) -> list[str]:
+        return [part.split()[0] for part in self.schema.split(", ")]
+
+    def batch(self, no: int) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(f"{self.root}/changes/no={no}")
 
     def _merged(self, rows: DataFrame, changes: DataFrame | None) -> DataFrame:
-        rows = rows.select(*self._columns())
+        rows = rows.select(*self.columns())
         return rows if changes is None else index.route_writes(rows, changes, "no", *self.order)
 
     def current(self) -> DataFrame:

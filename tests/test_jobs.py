@@ -6,7 +6,8 @@ import pytest
 
 from noticeboard.model import FieldRule, Limits, Loop, SiteSpec
 from noticeboard.operators.lookup import Dictionary
-from noticeboard.plans import collect, recheck, schedule
+from noticeboard.plans import collect, daily, recheck, schedule
+from noticeboard.session import new_folder
 from noticeboard.sources import seeds
 
 AS_OF = datetime(2024, 1, 31, 10, 20)
@@ -123,6 +124,32 @@ def test_seeds_and_regular_plan(spark):
     limits = spark.createDataFrame([("never", 30), ("late", 30), ("fresh", 30), ("bad", 30)], "site string, n_days int")
     plan = {r.site: (r.action, r.n_days) for r in schedule.regular_plan(parsed, limits, AS_OF).collect()}
     assert plan == {"never": ("run", 30), "late": ("run", 396), "fresh": ("carry", None), "bad": ("carry", None)}
+    specs = [SiteSpec("never"), SiteSpec("late", n_pages=3), SiteSpec("fresh"), SiteSpec("elsewhere")]
+    todo = schedule.specs_to_run(specs, schedule.regular_plan(parsed, limits, AS_OF))
+    assert {s.site: s.n_days for s in todo} == {"never": None, "late": 396}
+
+
+def test_daily_routine(spark, dictionaries):
+    cities, companies = dictionaries
+    table = daily.posting_table(spark, new_folder(spark, "daily"), buckets=4)
+    text = FieldRule("job_description", "text", "ID")
+    specs = [_spec("A", detail_groups=((text,),)), _spec("B", detail_groups=((text,),))]
+    old = "2023-12-20"
+    pages = spark.createDataFrame([
+        ("A", "p0", 0, _listing(("/1", "one", old), ("/2", "two", old), ("/2", "two again", old))),
+        ("B", "q0", 0, _listing(("/3", "three", old))),
+    ], PAGES)
+    details = lambda *urls: spark.createDataFrame([(s, u, 0, "<p id=text>x</p>") for s, u in urls], PAGES)
+    every = details(("A", "/1"), ("A", "/2"), ("B", "/3"))
+    wrote = daily.collect_and_index(table, 0, pages, specs, AS_OF, cities=cities, companies=companies, details=every)
+    assert wrote.count() == 4
+    assert {r.job_url: r.job_title for r in table.current().collect()} == {"/1": "one", "/2": "two again", "/3": "three"}
+    # 1 has gone from its site, 3 is all its site has
+    outcome = daily.recheck_and_index(table, 1, [details(("A", "/2"))] * 2, specs, AS_OF, cities)
+    assert sorted(r.outcome for r in outcome.collect()) == ["alarm", "alive", "confirmed"]
+    rows = {r.job_url: r for r in table.current().collect()}
+    assert {u: r.job_expired for u, r in rows.items()} == {"/1": True, "/2": False, "/3": False}
+    assert rows["/1"].job_title == "one" and rows["/1"].job_description == "x"
 
 
 def test_recheck_writes_back_confirmed_rows_only(spark):
