@@ -14,14 +14,14 @@ def shared_folder(spark: SparkSession) -> str:
     Where it is unset a local session gets a folder of its own; on a cluster that is an error,
     since a folder of one machine cannot be read back by the others.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="noticeboard-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="noticeboard-"))
+    return context.getCheckpointDir()
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
