@@ -95,8 +95,12 @@ def _decode_entities(text: Column) -> Column:
         char = F.decode(F.unhex(F.lpad(F.hex(code.try_cast("bigint")), 8, "0")), "UTF-32")
         return F.replace(acc, F.concat(F.lit("&#"), code, F.lit(";")), char)
 
-    codes = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&#(\d{1,6});"), F.lit(1)))
-    text = F.when(F.contains(text, F.lit("&#")), F.reduce(codes, text, decode)).otherwise(text)
+    def numeric(text: Column) -> Column:
+        codes = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&#(\d{1,6});"), F.lit(1)))
+        return F.when(F.contains(text, F.lit("&#")), F.reduce(codes, text, decode)).otherwise(text)
+
+    # The array of one binds the text, so that it is worked out once and read many times.
+    text = F.transform(F.array(text), numeric)[0]
     for entity, char in ENTITIES.items():
         text = F.replace(text, F.lit(entity), F.lit(char))
     return text

@@ -65,8 +65,8 @@ def accepted_keys(rows: DataFrame, bounded: bool = True, growing: bool = True) -
     rows = _new_rows(rows) if growing else rows
     hit = F.col("paged") & (F.col("outdated") | F.col("known"))
     shown = limits.paging_stop(rows, _LISTING, hit).where(~F.col("outdated"))
-    in_loop = F.when(F.col("paged"), F.col("page_no"))
-    shown = shown.where(in_loop.isNull() | (in_loop - F.col("begin_page") + 1 <= F.col("n_pages")))
+    no_cap = 2**31 - 1
+    shown = limits.pages_cap(shown, F.when(F.col("paged"), F.col("n_pages")).otherwise(no_cap), F.col("begin_page"))
     shown = limits.page_cap(shown, _LISTING, F.col("n_jobs_per_page"), F.col("begin_item"))
     # The site cap counts and then ranks these keys; writing them spares it the joins above twice.
     shown = written(shown.select(*_KEY, "n_jobs"), "shown")
