@@ -147,7 +147,7 @@ def _moment(field: dict[str, Column]) -> Column:
     hour = _number(field["H"]) + F.when(field["h"] == "12", 0).otherwise(_number(field["h"]))
     millis = F.substring(F.concat(field["f"], F.lit("000")), 1, 3)
     second = F.concat(F.lit("0"), field["s"], F.lit("."), millis).cast("decimal(16,6)")
-    local = F.try_make_timestamp_ntz(year, month, _number(field["d"]), hour, _number(field["m"]), second)
+    local = F.try_make_timestamp_ntz(F.when(year <= 9999, year), month, _number(field["d"]), hour, _number(field["m"]), second)
     return F.when(field["z"] == "", local).otherwise(local - F.make_dt_interval(mins=_zone_minutes(field["z"])))
 
 

@@ -90,17 +90,23 @@ def join_values(values: Column, separator: str = "<BR/>") -> Column:
     return F.array_join(F.filter(values, lambda x: x != ""), separator)
 
 
-def _decode_entities(text: Column) -> Column:
+def _decode_numbers(text: Column, pattern: str, lead: str, base: int) -> Column:
+    """Numeric entities to characters; what is no character becomes U+FFFD."""
+
     def decode(acc: Column, code: Column) -> Column:
-        char = F.decode(F.unhex(F.lpad(F.hex(code.try_cast("bigint")), 8, "0")), "UTF-32")
-        return F.replace(acc, F.concat(F.lit("&#"), code, F.lit(";")), char)
+        point = F.conv(code, base, 10).cast("bigint")
+        valid = point.between(1, 0xD7FF) | point.between(0xE000, 0x10FFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, point).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+        return F.replace(acc, F.concat(F.lit(lead), code, F.lit(";")), char)
 
-    def numeric(text: Column) -> Column:
-        codes = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&#(\d{1,6});"), F.lit(1)))
-        return F.when(F.contains(text, F.lit("&#")), F.reduce(codes, text, decode)).otherwise(text)
+    codes = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
+    return F.when(F.contains(text, F.lit(lead)), F.reduce(codes, text, decode)).otherwise(text)
 
-    # The array of one binds the text, so that it is worked out once and read many times.
-    text = F.transform(F.array(text), numeric)[0]
+
+def _decode_entities(text: Column) -> Column:
+    # Arrays of one bind the text, so that it is worked out once and read many times.
+    text = F.transform(F.array(text), lambda t: _decode_numbers(t, r"&#(\d{1,9});", "&#", 10))
+    text = F.transform(text, lambda t: _decode_numbers(t, r"&#x([0-9a-fA-F]{1,8});", "&#x", 16))[0]
     for entity, char in ENTITIES.items():
         text = F.replace(text, F.lit(entity), F.lit(char))
     return text

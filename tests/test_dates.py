@@ -75,3 +75,17 @@ def test_outdated_counts_whole_days(values):
     assert values(inputs, dates.outdated(moment, now, 1)) == [False] * 5
     assert values(inputs, dates.outdated(moment, now, None)) == [False] * 5
     assert values(inputs, dates.days_delta(moment, now)) == [2, 1, 2, -3, 0]
+
+
+def test_odd_dates_never_fail_a_job(values):
+    odd = [
+        "999999999-1-1", "999999-12-31", "0-0-0", "1-1-1T99:99:99Z", "Fri Jun 99 99:99:99 GMT 99999", "9999999999999999999999",
+        "2014-06-20T10:20:999999999Z", "2014-06-20T10:20:30.99999999999999999999Z", "1/1/999999999", "\x01|||||||||||", "+", "-",
+        "Fri, 20 June 2014 13:30:00 +9999", "0001-01-01",
+    ]
+    now = dates.ntz(datetime(2024, 1, 31))
+    got = values(odd, dates.outdated(dates.parse_date(t_()), now, 5))
+    assert got[0] is False and got[-1] is True and None not in got
+    values(odd, dates.iso_text(dates.parse_date(t_())))
+    for layout in dates.DATE_LAYOUTS:
+        values(odd, dates.days_delta(dates.parse_date(t_(), layout), now))
