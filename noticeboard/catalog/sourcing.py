@@ -40,7 +40,7 @@ def _customer_names(spark, sf):
 def company_lookup(spark, sf):
     company = F.concat(F.lit("customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0"))
     rows = table(spark, sf, "orders").select("o_orderkey", company.alias("company"))
-    return with_display_name(rows, "company", _customer_names(spark, sf), "display_name").drop("company")
+    return with_display_name(rows, "company", _customer_names(spark, sf), "display_name", by=["o_orderkey"]).drop("company")
 
 
 def _site_config(spark, sf):

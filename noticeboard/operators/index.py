@@ -114,6 +114,6 @@ def of_companies(candidates: DataFrame, wanted: DataFrame) -> DataFrame:
     valid = wanted.where(F.col("display_name") != UNKNOWN_COMPANY).select(F.col("display_name").alias("job_company")).distinct()
     if valid.isEmpty():
         return candidates
-    return join_facts(candidates, valid, ["job_company"], "left_semi")
+    return join_facts(candidates, valid, ["job_company"], "left_semi", by=["id"])
 
 

@@ -17,6 +17,7 @@ from ..model import JOBS_WITH_WINDOW, PAGES_WITH_WINDOW, Limits
 from .skew import join_facts
 
 BLOCK = 1024
+POSITION = ["page_no", "item_pos"]
 MAX_DAYS = 1_000_000  # a window this long is none
 
 
@@ -55,7 +56,7 @@ def paging_stop(df: DataFrame, keys: list[str], hit: Column) -> DataFrame:
     """
     stops = df.where(hit).groupBy(*keys).agg(F.min("page_no").alias("stop_page"))
     reached = F.col("stop_page").isNull() | (F.col("page_no") <= F.col("stop_page"))
-    return join_facts(df, stops, keys, "left").where(reached).drop("stop_page")
+    return join_facts(df, stops, keys, "left", by=POSITION).where(reached).drop("stop_page")
 
 
 def pages_cap(df: DataFrame, n_pages: Column | int, begin_from: Column | int = 0) -> DataFrame:
@@ -67,7 +68,7 @@ def page_cap(df: DataFrame, keys: list[str], n: Column | int, begin_from: Column
     at_cap = F.col("item_pos") - begin_from + 1 >= n
     lasts = df.where(at_cap).groupBy(*keys, "page_no").agg(F.min("item_pos").alias("last_pos"))
     within = F.col("last_pos").isNull() | (F.col("item_pos") <= F.col("last_pos"))
-    return join_facts(df, lasts, [*keys, "page_no"], "left").where(within).drop("last_pos")
+    return join_facts(df, lasts, [*keys, "page_no"], "left", by=POSITION).where(within).drop("last_pos")
 
 
 def with_running_rank(
@@ -125,4 +126,4 @@ def within_page_bounds(df: DataFrame, keys: list[str], bounds: DataFrame) -> Dat
     """
     inside = (F.col("page_no") >= F.col("from_page")) & (F.col("page_no") < F.col("to_page"))
     listed = bounds.where("usable").select(*keys, "from_page", "to_page")
-    return join_facts(df, listed, keys).where(inside).drop("from_page", "to_page")
+    return join_facts(df, listed, keys, by=POSITION).where(inside).drop("from_page", "to_page")

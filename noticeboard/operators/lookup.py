@@ -44,14 +44,17 @@ class Dictionary:
         return self._literal
 
 
-def with_display_name(df: DataFrame, company: str, names: Dictionary, out: str) -> DataFrame:
-    """Display name by upper-cased company; ``unknown`` when it is not listed."""
+def with_display_name(
+    df: DataFrame, company: str, names: Dictionary, out: str, by: list[str] | None = None
+) -> DataFrame:
+    """Display name by upper-cased company; ``unknown`` when it is not listed. ``by`` names
+    columns that tell the rows of a company apart (see ``join_facts``)."""
     key, default = F.upper(F.col(company)), F.lit(UNKNOWN_COMPANY)
     literal = names.literal()
     if literal is not None:
         return df.withColumn(out, F.coalesce(F.try_element_at(literal, key), default))
     listed = names.frame.select(F.col("key").alias("__key"), F.col("value").alias(out))
-    joined = join_facts(df.withColumn("__key", key), listed, ["__key"], "left").drop("__key")
+    joined = join_facts(df.withColumn("__key", key), listed, ["__key"], "left", by=by).drop("__key")
     return joined.withColumn(out, F.coalesce(F.col(out), default))
 
 
@@ -99,7 +102,7 @@ def map_places(
     texts = arrays.select("__texts", F.posexplode("__texts").alias("__at", "__text"))
     exploded = texts.select("*", F.posexplode_outer(tokens(F.col("__text"))).alias("__pos", "__token"))
     keyed = exploded.withColumn("key", _normal(F.col("__token")))
-    known = join_facts(keyed, cities.frame, ["key"], "left")
+    known = join_facts(keyed, cities.frame, ["key"], "left", by=["__texts", "__at", "__pos"])
     names = F.transform(
         F.array_sort(F.collect_list(F.when(F.col("value").isNotNull(), F.struct("__pos", "value")))),
         lambda hit: hit["value"],

@@ -121,6 +121,6 @@ def collect_postings(
     growing = any(s.items and s.items.item_type == "job_addon" for s in specs)
     postings = rows.where("not outdated").join(accepted_keys(narrow, bounded, growing), _KEY, "left_semi")
     guessed = F.coalesce("post_date_guessed", F.lit(False)) | F.col("job_post_date").isNull()
-    postings = with_display_name(postings.withColumn("post_date_guessed", guessed), "site", companies, "job_company")
+    postings = with_display_name(postings.withColumn("post_date_guessed", guessed), "site", companies, "job_company", by=_KEY)
     postings = clean.with_defaults(postings, as_of)
     return postings.select(*POSTING_FIELDS, *_KEY, "post_date_guessed")

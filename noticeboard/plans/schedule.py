@@ -65,4 +65,4 @@ def rows_to_resume(rows: DataFrame, plan: DataFrame) -> DataFrame:
     behind = (F.col("page_no") > F.col("from_page")) | (
         (F.col("page_no") == F.col("from_page")) & (F.col("item_pos") > F.col("from_pos"))
     )
-    return join_facts(rows, todo, ["site"]).where(behind).drop("from_page", "from_pos")
+    return join_facts(rows, todo, ["site"], by=["page_no", "item_pos"]).where(behind).drop("from_page", "from_pos")

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 
@@ -66,6 +67,22 @@ def test_inner_html_and_depth():
     assert markup.Page("<![bad").root is not None
 
 
+def test_broken_pages_never_fail_a_job():
+    rng = random.Random(7)
+    rules = [FieldRule("a", "//a[contains(text(),'job')]"), FieldRule("job_description", "//table"), FieldRule("b", "cond", "PARTIAL_LINK_TEXT")]
+    bits = ["<", ">", "</", "<!", "<![CDATA[", "<!--", "-->", "<?", "&#x;", "&#99999999999;", "&", "'", '"', "\x00", "<a", "<table", "<script>", "]]>", "<!DOCTYPE [", "<p/>"]
+    for n in range(600):
+        html = LIST[: rng.randrange(len(LIST))]
+        for _ in range(rng.randrange(6)):
+            at = rng.randrange(len(html) + 1)
+            html = html[:at] + rng.choice(bits) + html[at:]
+        page = markup.Page(html)
+        extract._values(page, rules)
+        for element in page.root.iter():
+            markup.inner_html(element)
+            markup.visible_text(element)
+
+
 SPEC = SiteSpec(
     "s",
     items=Loop("//table[@id='jobs']/tbody/tr", begin_from=1, end_to=-1),
