@@ -264,7 +264,7 @@ _TEXT_SQL = _replace_all(
     (r"(?i)<(p|h[1-5]|tr)\b[^>]*>", "chr(10)"),
     (r"(?i)<br\b[^>]*>|</(dd|dt|p|h[1-5])\s*>", "chr(10)"),
     (r"<[^>]*>", "''"),
-    (r"\x01", "'<'"), (r"\x02", "'>'"), (" +", "' '"), ("&quot;", "'\"'"), ("&copy;", "'©'"), ("&middot;", "'·'"), ("&amp;", "'&'"),
+    (r"\x01", "'<'"), (r"\x02", "'>'"), (" +", "' '"), ("&quot;?", "'\"'"), ("&copy;?", "'©'"), ("&middot;?", "'·'"), ("&amp;?", "'&'"),
 )
 
 

@@ -26,7 +26,7 @@ def _raw(name, position=1):
     return F.try_element_at(F.try_element_at("raw", F.lit(name)), F.lit(position))
 
 
-_DECODE = "replace(replace(replace(replace({}, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"
+_DECODE = "regexp_replace(replace(replace(replace({}, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g')"
 
 
 def _decoded(sql):

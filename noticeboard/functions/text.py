@@ -11,21 +11,22 @@ from pyspark.sql import functions as F
 # carriage return stay; of the block U+FDD0..U+FDEF both ends stay).
 NON_CHARACTERS = r"[\x00-\x08\x0B\x0C\x0E-\x1F\uFDD1-\uFDEE\uFFFE\uFFFF]"
 
-# Named entities in plain-text rendering; the ampersand is decoded last.
+# Named entities in plain-text rendering; the ampersand is decoded last. The
+# semicolon may be missing where HTML has always allowed that.
 ENTITIES = {
-    "&nbsp;": " ",
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
+    "&nbsp;?": " ",
+    "&lt;?": "<",
+    "&gt;?": ">",
+    "&quot;?": '"',
     "&apos;": "'",
-    "&middot;": "·",
-    "&copy;": "©",
-    "&reg;": "®",
+    "&middot;?": "·",
+    "&copy;?": "©",
+    "&reg;?": "®",
     "&bull;": "•",
     "&ndash;": "–",
     "&mdash;": "—",
     "&hellip;": "…",
-    "&amp;": "&",
+    "&amp;?": "&",
 }
 
 
@@ -108,7 +109,7 @@ def _decode_entities(text: Column) -> Column:
     text = F.transform(F.array(text), lambda t: _decode_numbers(t, r"&#(\d{1,9});", "&#", 10))
     text = F.transform(text, lambda t: _decode_numbers(t, r"&#x([0-9a-fA-F]{1,8});", "&#x", 16))[0]
     for entity, char in ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
+        text = F.regexp_replace(text, entity, char)
     return text
 
 

@@ -45,8 +45,8 @@ def test_html_to_text(values):
         "\nA & B\n\none\ntwo <3\n\n * x\n * ygo <https://e.org/?a=1&b=2> no <>€A"
     ]
     assert values([None], text.html_to_text(t_())) == [None]
-    odd = ["&#128512;|&#x20AC;|&#xd83d;|&#0;|&#999999999;|&#xFFFFFFFF;|&#;|&amp;lt;"]
-    assert values(odd, text.html_to_text(t_())) == ["😀|€|�|�|�|�|&#;|&lt;"]
+    odd = ["&#128512;|&#x20AC;|&#xd83d;|&#0;|&#999999999;|&#xFFFFFFFF;|&#;|&amp;lt;|R&amp D|&copy 2"]
+    assert values(odd, text.html_to_text(t_())) == ["😀|€|�|�|�|�|&#;|&lt;|R& D|© 2"]
 
 
 def test_ids(values):
