@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from html.parser import HTMLParser
 from xml.etree import ElementTree
 
@@ -162,73 +162,96 @@ def _predicate(text: str) -> Callable[[list], list]:
 
 
 def _step(slashes: str, text: str) -> Callable:
-    predicates = [_predicate(p) for p in _PREDICATE.findall(text)]
+    tests = _PREDICATE.findall(text)
+    predicates = [_predicate(p) for p in tests]
+    by_position = any(p.strip().isdigit() or p.strip().startswith("last()") for p in tests)
     name = _PREDICATE.sub("", text).strip()
     axis, _, node = name.rpartition("::")
     axis = axis or {".": "self", "..": "parent"}.get(node, "child")
-    node = "*" if node in (".", "..", "node()") else node.lower()
-    if axis not in _AXES or not re.match(r"^(\*|[\w-]+)$", node):
+    node = None if node in (".", "..", "node()", "*") else node.lower()
+    if axis not in _AXES or not re.match(r"^[\w-]+$", node or "any"):
         raise ValueError(f"unsupported step {text!r}")
 
-    def candidates(e, parents):
-        if axis in ("following-sibling", "preceding-sibling"):
-            row = list(parents.get(e, ()))
-            at = row.index(e) if e in row else 0
-            return row[at + 1:] if axis[0] == "f" else row[:at][::-1]
-        if axis == "parent":
-            return [parents[e]] if e in parents else []
+    def candidates(e, page):
         if axis == "child":
             return e
-        return [d for d in e.iter() if axis == "descendant-or-self" or d is not e] if axis[0] == "d" else [e]
-
-    def apply(context, parents):
+        if axis.startswith("descendant"):
+            return (d for d in e.iter(node) if axis == "descendant-or-self" or d is not e)
+        if axis == "self":
+            return [e]
+        parent = page.parents.get(e)
+        if axis == "parent":
+            return [] if parent is None else [parent]
+        row = [] if parent is None else list(parent)
+        at = row.index(e) if row else 0
+        return row[at + 1:] if axis == "following-sibling" else row[:at][::-1]
+
+    def groups(context, page):
+        """What predicates number through: the hits of one element, or of one parent for ``//``."""
+        if slashes == "//" and axis == "child":
+            for e in context:
+                hits = [d for d in e.iter(node) if d is not e]
+                yield from _by_parent(hits, page) if by_position else [hits]
+            return
         if slashes == "//":
             context = _ordered(d for e in context for d in e.iter())
-        found = []
         for e in context:
-            hits = [c for c in candidates(e, parents) if node in ("*", c.tag)]
+            yield [c for c in candidates(e, page) if node in (None, c.tag)]
+
+    def apply(context, page):
+        found = []
+        for hits in groups(context, page):
             for predicate in predicates:
                 hits = predicate(hits)
             found += hits
         return _ordered(found)
 
+    apply.scatters = slashes == "//" and by_position
     return apply
 
 
+def _by_parent(elements: list, page) -> list[list]:
+    rows: dict = {}
+    for e in elements:
+        rows.setdefault(page.parents[e], []).append(e)
+    return list(rows.values())
+
+
 def _ordered(elements) -> list:
     return list(dict.fromkeys(elements))
 
 
 class Selector:
-    """One selector; ``find`` gives its elements in document order."""
+    """One selector; ``find`` gives its elements in page order."""
 
     def __init__(self, text: str, how: str = "XPATH"):
         if not text or how not in _BY:
             raise ValueError(f"unsupported selector {how} {text!r}")
         self.match = _BY[how](text)
-        # Several paths, or steps that walk backwards, do not find elements in page order.
-        self.unordered = "|" in text or "preceding" in text or "parent" in text or ".." in text
-        self.alternatives = []
+        self.paths = []
         if how == "XPATH":
             for part in re.split(r"""\|(?=(?:[^'"]|'[^']*'|"[^"]*")*$)""", text.replace("%d", "0")):
                 part = part.strip()
                 steps = _STEP.findall(part)
                 if not steps or "".join(a + b for a, b in steps) != part:
                     raise ValueError(f"unsupported selector {text!r}")
-                self.alternatives.append((part.startswith("/"), [_step(*s) for s in steps]))
+                self.paths.append((part.startswith("/"), [_step(*s) for s in steps]))
+        # Several paths, and steps that walk backwards or go parent by parent, lose page order.
+        backwards = "preceding" in text or "parent" in text or ".." in text
+        self.unordered = len(self.paths) > 1 or backwards or any(s.scatters for _, steps in self.paths for s in steps)
 
-    def find(self, page, scope=None, parents=None) -> list:
+    def find(self, page: Page, scope=None) -> list:
         if self.match:
-            return [e for e in page.iter() if self.match(e)]
+            return [e for e in page.root.iter() if self.match(e)]
         found = []
-        for absolute, steps in self.alternatives:
-            context = [page if absolute or scope is None else scope]
+        for absolute, steps in self.paths:
+            context = [page.root if absolute or scope is None else scope]
             for step in steps:
-                context = step(context, parents)
+                context = step(context, page)
             found += context
-        if self.unordered:
+        if self.unordered and len(found) > 1:
             wanted = set(found)
-            found = [e for e in page.iter() if e in wanted]
+            found = [e for e in page.root.iter() if e in wanted]
         return found
 
 
@@ -264,13 +287,16 @@ def selector(text: str, how: str = "XPATH") -> Selector:
 
 
 class Page:
-    """A parsed page with the lookups that relative selectors need."""
+    """A parsed page with the lookups that selectors need."""
 
     def __init__(self, html: str | None):
         self.root = read_page(html)
-        self.parents = {child: parent for parent in self.root.iter() for child in parent}
+
+    @cached_property
+    def parents(self) -> dict:
+        return {child: parent for parent in self.root.iter() for child in parent}
 
     def find(self, text: str, how: str = "XPATH", scope=None, index: int = 0) -> list:
         if how == "XPATH" and index and text.startswith("//") and "%d" in text:
             text = text.replace("%d", str(index))
-        return selector(text, how).find(self.root, scope, self.parents)
+        return selector(text, how).find(self, scope)
