@@ -113,8 +113,7 @@ def extract_by_rule(spark, sf):
 def list_detail(spark, sf):
     """Documents as listing rows, labels as their detail pages; detail fields win."""
     listed = table(spark, sf, "documents").select(
-        F.col("doc_id").cast("string").alias("job_url"),
-        F.create_map(F.lit("lang"), F.array("lang"), F.lit("source"), F.array("source")).alias("raw"),
+        F.lit("s").alias("site"), F.col("doc_id").cast("string").alias("job_url"), "lang", "source"
     )
     detail = table(spark, sf, "labels").select(
         F.col("doc_id").cast("string").alias("url"),
@@ -123,7 +122,8 @@ def list_detail(spark, sf):
         ).alias("raw"),
     )
     joined = extract.list_with_detail(listed, detail)
-    return joined.select("job_url", *(_raw(c).alias(c) for c in ("lang", "source", "toxic")))
+    spec = SiteSpec("s", detail_groups=((FieldRule("source", "p"), FieldRule("toxic", "p"), FieldRule("lang", "p", is_fatal=False)),))
+    return clean.with_fields(joined, [spec], "detail", None, AS_OF).select("job_url", "lang", "source", "toxic")
 
 
 _LABELS = """regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a>', 1)"""

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import re
 
+from py4j.protocol import Py4JJavaError
+from pyspark import SparkContext
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -53,6 +56,14 @@ def _split_spec(spec: str, lead: str) -> tuple[list[str], str]:
     return parts, flags
 
 
+def _groups(pattern: str, spec: str) -> int:
+    """How many groups a pattern has, as the engine that runs it reads it."""
+    try:
+        return SparkContext._active_spark_context._jvm.java.util.regex.Pattern.compile(pattern).matcher("").groupCount()
+    except (Py4JJavaError, IllegalArgumentException) as error:
+        raise ValueError(f"not a pattern: {spec!r}") from error
+
+
 def substitution(spec: str) -> tuple[str, str]:
     """Pattern and replacement of ``s/pattern/replacement/g``, with any delimiter.
 
@@ -61,7 +72,7 @@ def substitution(spec: str) -> tuple[str, str]:
     parts, flags = _split_spec(spec, "s")
     if len(parts) != 2 or "g" not in flags:
         raise ValueError(f"expected s/pattern/replacement/g: {spec!r}")
-    groups = re.compile(parts[0]).groups
+    groups = _groups(parts[0], spec)
     if any(int(n) > groups for n in re.findall(r"\$(\d)", parts[1])):
         raise ValueError(f"replacement names a group the pattern lacks: {spec!r}")
     return parts[0], parts[1]
@@ -78,7 +89,7 @@ def match_nth(text: Column, spec: str, which: int = 0, group: int = 1) -> Column
     Empty text when there is no such match.
     """
     parts, _ = _split_spec(spec, "m")
-    if len(parts) != 1 or re.compile(parts[0]).groups < group:
+    if len(parts) != 1 or _groups(parts[0], spec) < group:
         raise ValueError(f"expected /pattern/ with group {group}: {spec!r}")
     found = F.regexp_extract_all(text, F.lit(parts[0]), F.lit(group))
     if which == 0:

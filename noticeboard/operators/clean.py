@@ -80,8 +80,8 @@ def user_function(function: UserFunction) -> Callable[[Column], Column]:
     def apply(values: pd.Series) -> pd.Series:
         flat = values.explode()
         flat = flat[flat.notna()]
-        done = function(flat) if len(flat) else flat
-        grouped = done.groupby(level=0).agg(list)
+        done = list(function(flat.reset_index(drop=True))) if len(flat) else []
+        grouped = pd.Series(done, index=flat.index, dtype=object).groupby(level=0).agg(list)
         return pd.Series([grouped.get(i, None if v is None else []) for i, v in values.items()], index=values.index)
 
     return apply
@@ -194,10 +194,13 @@ def with_field_variants(
     if constants:
         df = df.withColumn(out, _chosen(constants, lambda r: F.col("url") if r.how == "url" else F.lit(r.value), F.col(out)))
     if field == "job_post_date":
-        guessed = F.map_contains_key("raw", F.lit(field)) & F.col(out).isNull()
+        ruled = _rows_with(read, lambda r: True)
+        before = F.col("post_date_guessed") if "post_date_guessed" in df.columns else F.lit(False)
+        df = df.withColumn("__now", ruled & F.map_contains_key("raw", F.lit(field)) & F.col(out).isNull())
+        found = F.col("__now") | F.col(out).isNotNull()
+        df = df.withColumn("post_date_guessed", F.when(found, F.col("__now")).otherwise(before))
         now = dates.ntz(dates.on_the_hour(as_of))
-        df = df.withColumn("post_date_guessed", guessed)
-        df = df.withColumn(out, F.when(F.col("post_date_guessed"), now).otherwise(F.col(out)))
+        df = df.withColumn(out, F.when(F.col("__now"), now).otherwise(F.col(out))).drop("__now")
     return df.drop("__v")
 
 

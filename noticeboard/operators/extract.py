@@ -148,14 +148,9 @@ def page_bounds(pager_nodes: Column, page_count: Column, stated: Column, loop_be
 
 
 def list_with_detail(items: DataFrame, details: DataFrame) -> DataFrame:
-    """List rows with the fields of their detail page; a row whose page is missing is dropped.
-
-    Detail fields replace list fields of the same name.
-    """
-    detail = details.select(F.col("url").alias("job_url"), F.col("raw").alias("detail_raw"))
-    joined = items.join(detail, "job_url")
-    fresh = F.map_filter("raw", lambda k, v: ~F.map_contains_key(F.col("detail_raw"), k))
-    return joined.withColumn("raw", F.map_concat(fresh, "detail_raw")).drop("detail_raw")
+    """List rows, their list fields cleaned, with the raw values of their detail page; a row
+    whose page is missing is dropped."""
+    return items.drop("raw").join(details.select(F.col("url").alias("job_url"), "raw"), "job_url")
 
 
 def first_failed_group(results: DataFrame, posting: list[str]) -> DataFrame:

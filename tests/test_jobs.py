@@ -105,13 +105,24 @@ def test_details_join_by_address(spark, dictionaries):
         (FieldRule("job_description", "text", "ID"), FieldRule("job_post_date", "//i", is_fatal=False)),
     )
     base = _spec("A")
-    spec = SiteSpec("A", base.items, base.list_rules[:2], groups)
+    # the place is in the list too, which does not make up for a detail page without it
+    spec = SiteSpec("A", base.items, (*base.list_rules[:2], FieldRule("job_location", "a")), groups)
     rows = {r.job_url: r for r in collect.collect_postings(pages, [spec], AS_OF, *dictionaries, details=details).collect()}
     assert set(rows) == {"/0", "/3"}  # 1 is old, 2 lacks its place, 4 has no page
     assert rows["/0"].job_title == "new zero" and rows["/0"].job_location == "北京"
     assert rows["/3"].job_description == "<p>long three</p>" and rows["/3"].job_description_stripped.strip() == "long three"
 
 
+def test_list_values_stay_where_the_detail_page_has_none(spark, dictionaries):
+    pages = spark.createDataFrame([("A", "p", 0, _listing(("/1", "one", "2024-01-20"), ("/2", "two", "odd")))], PAGES)
+    details = spark.createDataFrame([("A", "/1", 0, "<i>-</i>"), ("A", "/2", 0, "<u>2024-01-25</u>"), ("B", "/9", 0, "")], PAGES)
+    dated = SiteSpec("A", _spec("A").items, _spec("A").list_rules, ((FieldRule("job_post_date", "//u", is_fatal=False),),))
+    other = SiteSpec("B", _spec("B").items, _spec("B").list_rules, ((FieldRule("job_title", "//b"),),))
+    rows = collect.collect_postings(pages, [dated, other], AS_OF, *dictionaries, details=details)
+    got = {r.job_title: (r.job_post_date, r.post_date_guessed) for r in rows.collect()}
+    assert got == {"one": (datetime(2024, 1, 20), False), "two": (datetime(2024, 1, 25), False)}
+
+
 def test_seeds_and_regular_plan(spark):
     lines = ["# off", "", "  ", "never", "late 2023-01-01T00:00:00.000Z true", "late 2022-01-01T00:00:00.000Z true",
              "fresh 2024-01-30T00:00:00.000Z false 3.7 42", "#x 1 2", "bad yesterday true"]

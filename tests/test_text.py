@@ -23,11 +23,15 @@ def test_substitution(values):
 
 
 @pytest.mark.parametrize("spec", ["s/a/b/", "s/a/$1/g", "s/a/b", "s/a/b/gq", "", "s/(/x/g"])
-def test_wrong_substitutions_fail_early(spec):
-    with pytest.raises(Exception):  # noqa: B017
+def test_wrong_substitutions_fail_early(spark, spec):
+    with pytest.raises(ValueError):
         text.substitution(spec)
 
 
+def test_patterns_are_those_of_the_engine(values):
+    assert values(["Größe-7"], text.regex_sub(t_(), r"s/\p{L}++/x/g")) == ["x-7"]
+
+
 def test_match_nth(values):
     inputs = ["上海市-静安区", "德州市-乐陵市", "贵州-贵阳市", "none", None]
     assert values(inputs, text.match_nth(t_(), "/([^-]*)市/", 1, 1)) == ["上海", "德州", "贵阳", "", None]
