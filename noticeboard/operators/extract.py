@@ -148,9 +148,10 @@ def page_bounds(pager_nodes: Column, page_count: Column, stated: Column, loop_be
 
 
 def list_with_detail(items: DataFrame, details: DataFrame) -> DataFrame:
-    """List rows, their list fields cleaned, with the raw values of their detail page; a row
-    whose page is missing is dropped."""
-    return items.drop("raw").join(details.select(F.col("url").alias("job_url"), "raw"), "job_url")
+    """List rows, their list fields cleaned, with the raw values and the address of their detail
+    page; a row whose page is missing is dropped."""
+    detail = details.select(F.col("url").alias("job_url"), "url", "raw")
+    return items.drop("raw", "url").join(detail, "job_url")
 
 
 def first_failed_group(results: DataFrame, posting: list[str]) -> DataFrame:

@@ -101,7 +101,7 @@ def test_details_join_by_address(spark, dictionaries):
         ("A", "/3", 0, 1, detail.format("three", "Beijing or x", "2024-01-30")),
     ], "site string, url string, page_no int, fetched_at int, html string")
     groups = (
-        (FieldRule("job_title", "h1", "TAG_NAME"), FieldRule("job_location", "place", "CLASS_NAME")),
+        (FieldRule("job_category_domain", how="url"), FieldRule("job_title", "h1", "TAG_NAME"), FieldRule("job_location", "place", "CLASS_NAME")),
         (FieldRule("job_description", "text", "ID"), FieldRule("job_post_date", "//i", is_fatal=False)),
     )
     base = _spec("A")
@@ -109,6 +109,7 @@ def test_details_join_by_address(spark, dictionaries):
     spec = SiteSpec("A", base.items, (*base.list_rules[:2], FieldRule("job_location", "a")), groups)
     rows = {r.job_url: r for r in collect.collect_postings(pages, [spec], AS_OF, *dictionaries, details=details).collect()}
     assert set(rows) == {"/0", "/3"}  # 1 is old, 2 lacks its place, 4 has no page
+    assert rows["/0"].job_category_domain == "/0"
     assert rows["/0"].job_title == "new zero" and rows["/0"].job_location == "北京"
     assert rows["/3"].job_description == "<p>long three</p>" and rows["/3"].job_description_stripped.strip() == "long three"
 
