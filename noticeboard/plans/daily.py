@@ -45,8 +45,12 @@ def recheck_and_index(
     accept_uncertain: bool = False,
 ) -> DataFrame:
     """Recheck old postings against page snapshots (the first look, then one per recheck round)
-    and write the expired ones as batch ``no``; gives ``id`` and ``outcome``."""
-    config = site_config(table.spark, [s for s in specs if s.site != ANY_SITE]).select("site", "verify_single")
+    and write the expired ones as batch ``no``; gives ``id`` and ``outcome``.
+
+    Postings of a site without detail rules cannot be looked at on their own and are skipped.
+    """
+    specs = [s for s in specs if s.detail_groups and s.site != ANY_SITE]
+    config = site_config(table.spark, specs).select("site", "verify_single")
     alive = [alive_urls(pages, specs, cities, as_of) for pages in snapshots]
     current = table.current()
     outcome = written(recheck_postings(current, config, alive, as_of, n_days, accept_uncertain, key="site"), "outcome")

@@ -151,6 +151,7 @@ def test_daily_routine(spark, dictionaries):
         ("A", "p0", 0, _listing(("/1", "one", old), ("/2", "two", old), ("/2", "two again", old))),
         ("B", "q0", 0, _listing(("/3", "three", old))),
     ], PAGES)
+    more = spark.createDataFrame([("C", "r0", 0, _listing(("/4", "four", old)))], PAGES)
     details = lambda *urls: spark.createDataFrame([(s, u, 0, "<p id=text>x</p>") for s, u in urls], PAGES)
     every = details(("A", "/1"), ("A", "/2"), ("B", "/3"))
     wrote = daily.collect_and_index(table, 0, pages, specs, AS_OF, cities=cities, companies=companies, details=every)
@@ -159,7 +160,11 @@ def test_daily_routine(spark, dictionaries):
     # 1 has gone from its site, 3 is all its site has
     outcome = daily.recheck_and_index(table, 1, [details(("A", "/2"))] * 2, specs, AS_OF, cities)
     assert sorted(r.outcome for r in outcome.collect()) == ["alarm", "alive", "confirmed"]
-    rows = {r.job_url: r for r in table.current().collect()}
+    # the postings of a site without detail rules are not looked at
+    daily.collect_and_index(table, 2, more, [_spec("C")], AS_OF, cities=cities, companies=companies)
+    again = daily.recheck_and_index(table, 3, [details(("A", "/2"))], [*specs, _spec("C")], AS_OF, cities)
+    assert sorted(r.outcome for r in again.collect()) == ["alarm", "alive", "skipped"]
+    rows = {r.job_url: r for r in table.current().where("site <> 'C'").collect()}
     assert {u: r.job_expired for u, r in rows.items()} == {"/1": True, "/2": False, "/3": False}
     assert rows["/1"].job_title == "one" and rows["/1"].job_description == "x"
 
