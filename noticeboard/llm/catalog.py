@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pii, records, secrets, warc
+from . import decontaminate, langid, mixing, multi_index, pii, records, secrets, simhash, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +24,10 @@ def op1_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.scan_secrets(docs.withColumn("__repository", F.concat_ws("/", "source", "lang")), "__repository", "source")
 
 
+def op2_multi_index(spark: SparkSession, sf: str) -> DataFrame:
+    return multi_index.search(_table(spark, sf, "embeddings"))
+
+
 def op3_token_records(spark: SparkSession, sf: str) -> DataFrame:
     return records.tokenise(_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -49,6 +54,22 @@ FROM d
 """
 
 
+def op5_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return langid.identify(_table(spark, sf, "documents"))
+
+
+def op6_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.find(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
+def op7_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.score_toxicity(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
+def op8_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf, "documents"))
+
+
 def op9_personal_data(spark: SparkSession, sf: str) -> DataFrame:
     return pii.find_personal_data(_table(spark, sf, "documents"))
 
@@ -57,6 +78,18 @@ def op10_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(_table(spark, sf, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_secret_scan, op3_token_records, op4_warc, op9_personal_data, op10_mix)}
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf)
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_secret_scan, op2_multi_index, op3_token_records, op4_warc, op5_language_id, op6_decontaminate,
+        op7_toxicity, op8_simhash, op9_personal_data, op10_mix, pipeline,
+    )
+}
 
 ORACLES: dict[str, str] = {"op4_warc": OP4_SQL}
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

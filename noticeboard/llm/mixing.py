@@ -19,6 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.skew import join_many_facts
+from .common import unused
 
 #: Documents of one block.
 BLOCK = 16
@@ -114,6 +115,7 @@ def mix(docs: DataFrame, source: str = "source", weights: DataFrame | None = Non
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col(source).cast("string").alias("source"),
         F.xxhash64(F.col("doc_id").cast("long"), F.lit(seed)).alias("__order"),
+        *([F.col("__row")] if "__row" in docs.columns else []),
     ).withColumn("__key", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
     counts = rows.groupBy(F.col("__key").alias("key")).agg(F.count("*").alias("n"))
     shares = smoothed(counts, power)
@@ -126,7 +128,7 @@ def mix(docs: DataFrame, source: str = "source", weights: DataFrame | None = Non
     with_turn = join_many_facts(placed, quotas.withColumnRenamed("key", "__key"), ["__key"]).withColumn("turn", F.col("block") % F.col("quota"))
     timed = with_turn.join(slots.select(F.col("key").alias("__key"), "turn", F.col("slot").alias("__at"), "slots"), ["__key", "turn"])
     timed = timed.withColumn("slot", F.floor(F.col("block") / F.col("quota")) * F.col("slots") + F.col("__at"))
-    return _positions(timed.withColumn("__in", F.col("number") % block)).select("doc_id", "source", "block", "slot", "position")
+    return _positions(timed.withColumn("__in", F.col("number") % block)).select("doc_id", "source", *([F.col("__row")] if "__row" in docs.columns else []), "block", "slot", "position")
 
 
 def _positions(timed: DataFrame) -> DataFrame:
@@ -138,3 +140,18 @@ def _positions(timed: DataFrame) -> DataFrame:
     inner = timed.withColumn("__stretch", stretch).withColumn("__place", F.row_number().over(W.partitionBy("__stretch").orderBy("slot", "__in")) - 1)
     return inner.join(before, "__stretch").withColumn("position", F.col("__before") + F.col("__place"))
 
+
+def arrange(docs: DataFrame, source: str = "source", **parameters) -> DataFrame:
+    """All rows of ``docs`` in the order of the mixture: dealt by ranges of their position and sorted, so the
+    files written from it hold the mixture in the order of their names. Its columns are those of ``docs``.
+
+    Positions are worked out without the texts and joined to them by id and text, so rows without an id are
+    told apart by their texts; rows repeated whole follow each other.
+    """
+    row, place, own = unused(docs, "row"), unused(docs, "position"), "__row"
+    tagged = docs.withColumn(row, F.xxhash64("text"))
+    narrow = docs.select(F.col("doc_id"), F.col(source).alias("source"), F.xxhash64("text").alias(own))
+    mixed = mix(narrow, "source", **parameters).groupBy(F.col("doc_id").alias("__id"), own).agg(F.min("position").alias("__position"))
+    placed = tagged.join(mixed, tagged["doc_id"].cast("long").eqNullSafe(mixed["__id"]) & (tagged[row] == mixed[own]))
+    columns = [tagged[f"`{c}`"] for c in docs.columns]
+    return placed.select(*columns, F.col("__position").alias(place)).repartitionByRange(place).sortWithinPartitions(place).drop(place)
