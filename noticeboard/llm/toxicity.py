@@ -1,6 +1,8 @@
 """Toxicity of whole texts by their nearest labelled examples.
 
-Examples and texts are TF-IDF vectors over telling words; nearness is their cosine. The examples
+Examples and texts are TF-IDF vectors; nearness is their cosine. Terms are the telling words and beginnings
+of words, and one more that stands for all the words of a text, so that few telling words among many
+others weigh less than among few. The examples
 lie in an inverted index whose postings are cut into blocks of examples, each with the largest
 weight a term reaches in it. For a text the blocks are taken by their best possible cosine, and the
 search ends when no block left can beat the neighbours found: the result is exactly that of
@@ -13,7 +15,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -32,18 +34,31 @@ ODDS = 3.0
 NEIGHBOURS = 15
 BLOCK = 64
 THRESHOLD = 0.3
+#: Words whose terms a worker remembers, at most.
+_MEMO = 300_000
 _WORD = re.compile(r"[^\W_]+")
 
 
+#: Lengths of the beginnings of words that are terms.
+_BEGINNINGS = range(3, 8)
+#: The term for all words, and its weight in place of an IDF: it is in every text.
+ALL, ALL_WEIGHT = "", 2.0
+
+
 def words(text: str | None) -> Counter:
     return Counter(w[:64] for w in _WORD.findall(text.lower())) if text else Counter()
 
 
+def terms(word: str) -> list[str]:
+    """A word and its beginnings, which end in a hyphen."""
+    return [word, *(word[:n] + "-" for n in _BEGINNINGS if len(word) > n)]
+
+
 def _presence(rows: list[dict]) -> Iterator[tuple]:
     counts: Counter = Counter()
     for row in rows:
-        for w in words(row["text"]):
-            counts[w, row["toxic"]] += 1
+        for t in {t for w in words(row["text"]) for t in terms(w)}:
+            counts[t, row["toxic"]] += 1
     for (w, toxic), n in counts.items():
         yield w, toxic, n
 
@@ -73,6 +88,7 @@ class Index:
     bounds: list[np.ndarray]  # per term: where each block's postings begin
     peaks: np.ndarray
     prior: float
+    worth: np.ndarray  # per example the labelled rows it stands for
     calibration: tuple[float, ...]
 
     @property
@@ -80,15 +96,25 @@ class Index:
         return self.peaks.shape[1]
 
 
-def vector(counts: Counter, idf: dict[str, tuple[int, float]]) -> list[tuple[int, float]]:
-    """(1 + log tf) * idf over the known terms, of length 1."""
-    found = [(idf[w][0], (1 + math.log(n)) * idf[w][1]) for w, n in counts.items() if w in idf]
+def vector(counts: Counter, idf: dict[str, tuple[int, float]], memo: dict[str, tuple[str, ...]] | None = None) -> list[tuple[int, float]]:
+    """(1 + log tf) * idf over the known terms, of length 1. ``memo`` remembers the known terms of words."""
+    memo = {} if memo is None else memo
+    tf: Counter = Counter()
+    for w, n in counts.items():
+        known = memo.get(w)
+        if known is None:
+            known = memo[w] = tuple(t for t in terms(w) if t in idf)
+        for t in known:
+            tf[t] += n
+    if counts:
+        tf[ALL] = sum(counts.values())
+    found = [(idf[t][0], (1 + math.log(n)) * idf[t][1]) for t, n in tf.items() if t in idf]
     norm = math.sqrt(sum(x * x for _, x in found))
     return sorted((t, x / norm) for t, x in found) if norm else []
 
 
-def build(idf: dict[str, tuple[int, float]], examples: list[tuple[int, int, list[tuple[int, float]]]], prior: float) -> Index:
-    """Index (id, label, vector) rows. Examples with the same leading terms lie in the same blocks, which
+def build(idf: dict[str, tuple[int, float]], examples: list[tuple[int, int, list[tuple[int, float]]]], prior: float, worth: dict[int, float]) -> Index:
+    """Index (id, label, vector) rows; ``worth`` says how many labelled rows an example of a label stands for. Examples with the same leading terms lie in the same blocks, which
     keeps the blocks' bounds tight."""
     rows = sorted((e for e in examples if e[2]), key=lambda e: (sorted(e[2], key=lambda x: (-x[1], x[0]))[:3], e[1], e[0]))
     blocks = max(1, -(-len(rows) // BLOCK))
@@ -102,19 +128,20 @@ def build(idf: dict[str, tuple[int, float]], examples: list[tuple[int, int, list
         postings.append((places, weights))
         bounds.append(np.searchsorted(places, np.arange(blocks + 1) * BLOCK))
         np.maximum.at(peaks[t], places // BLOCK, weights)
-    index = Index(idf, np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.float64), postings, bounds, peaks, prior, ())
-    return Index(*[getattr(index, f) for f in ("idf", "ids", "toxic", "postings", "bounds", "peaks", "prior")], _calibrate(index, rows))
+    index = Index(idf, np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.float64), postings, bounds, peaks, prior, np.array([worth[r[1]] for r in rows]), ())
+    return replace(index, calibration=_calibrate(index, rows))
 
 
 def nearest(vec: list[tuple[int, float]], index: Index, k: int = NEIGHBOURS, but: int | None = None) -> list[tuple[float, int]]:
-    """The k examples of largest cosine above zero: (cosine, place), nearest first, ties to the smaller place."""
+    """The k examples of largest cosine above zero: (cosine, place), nearest first. Of examples as near as the
+    last one any may be left out; those kept stand by place."""
     if not vec or not len(index.ids):
         return []
     terms, weights = [t for t, _ in vec], np.array([x for _, x in vec])
     best = weights @ index.peaks[terms]
     found: list[tuple[float, int]] = []
     for block in np.argsort(-best, kind="stable"):
-        if best[block] <= 0 or (len(found) == k and best[block] + 1e-9 < found[-1][0]):
+        if best[block] <= 0 or (len(found) == k and best[block] <= found[-1][0] + 1e-9):
             break
         scores = np.zeros(BLOCK)
         for t, x in vec:
@@ -130,8 +157,10 @@ def nearest(vec: list[tuple[int, float]], index: Index, k: int = NEIGHBOURS, but
 
 def _vote(found: list[tuple[float, int]], index: Index) -> float:
     """Share of toxic neighbours, weighted by cosine, with the prior as one more weak neighbour."""
-    weight = sum(s for s, _ in found)
-    return (sum(s * index.toxic[p] for s, p in found) + 0.05 * index.prior) / (weight + 0.05) if found else index.prior
+    if not found:
+        return index.prior
+    weights = [s * index.worth[p] for s, p in found]
+    return (sum(w * index.toxic[p] for w, (_, p) in zip(weights, found)) + 0.05 * index.prior) / (sum(weights) + 0.05)
 
 
 _BINS = 10
@@ -139,11 +168,11 @@ _BINS = 10
 
 def _calibrate(index: Index, rows: list) -> tuple[float, ...]:
     """Observed toxic share per tenth of the vote, each example judged by the others; made rising."""
-    hits, seen = [0.0] * _BINS, [0] * _BINS
+    hits, seen = [0.0] * _BINS, [0.0] * _BINS
     for place in range(0, len(rows), max(1, len(rows) // 2000)):
         b = min(_BINS - 1, int(_vote(nearest(rows[place][2], index, but=place), index) * _BINS))
-        hits[b] += index.toxic[place]
-        seen[b] += 1
+        hits[b] += index.toxic[place] * index.worth[place]
+        seen[b] += index.worth[place]
     shares = [(h + (i + 0.5) / _BINS) / (n + 1) for i, (h, n) in enumerate(zip(hits, seen))]
     return tuple(max(shares[: i + 1]) for i in range(_BINS))
 
@@ -166,12 +195,16 @@ def learn(docs: DataFrame, labels: DataFrame, rows: Column) -> Index:
     sizes = {r.toxic: r.n for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     chosen = telling(labelled, sizes).collect()
     total = sum(sizes.values())
-    idf = {r.word: (i, math.log((1 + total) / (1 + r.a + r.b)) + 1) for i, r in enumerate(chosen)}
+    idf = {r.word: (i + 1, math.log((1 + total) / (1 + r.a + r.b)) + 1) for i, r in enumerate(chosen)} | {ALL: (0, ALL_WEIGHT)}
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
+    memo: dict[str, tuple[str, ...]] = {}
+
     def vectors(part: list[dict]) -> Iterator[tuple]:
+        if len(memo) > _MEMO:
+            memo.clear()
         for row in part:
-            vec = vector(words(row["text"]), shared.value)
+            vec = vector(words(row["text"]), shared.value, memo)
             yield row["doc_id"], row["toxic"], [t for t, _ in vec], [x for _, x in vec]
 
     # Vectors are narrow, so drawing by the smallest hash moves little; a task keeps EXAMPLES rows per label at most.
@@ -179,20 +212,22 @@ def learn(docs: DataFrame, labels: DataFrame, rows: Column) -> Index:
     rank = F.row_number().over(W.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
     sample = every.withColumn("rank", rank).filter(F.col("rank") <= EXAMPLES)
     examples = [(r.doc_id, r.toxic, list(zip(r.terms, r.weights))) for r in sample.toLocalIterator()]
-    # Texts without a telling word have no neighbour: their score is the share of toxic ones among such examples.
-    share = {t: [e for e in examples if e[1] == t] for t in (0, 1)}
-    bare = {t: sum(not e[2] for e in share[t]) / max(1, len(share[t])) * sizes.get(t, 0) for t in (0, 1)}
-    return build(idf, examples, (bare[1] + 0.5) / (bare[0] + bare[1] + 1))
+    drawn = Counter(e[1] for e in examples)
+    worth = {t: sizes.get(t, 0) / max(1, drawn[t]) for t in (0, 1)}
+    return build(idf, examples, (sizes.get(1, 0) + 0.5) / (total + 5), worth)
 
 
 def assess(docs: DataFrame, index: Index, k: int = NEIGHBOURS) -> DataFrame:
     """``doc_id``, ``score``, ``predicted`` and ``evidence`` (ids of the nearest examples) per row."""
     shared = docs.sparkSession.sparkContext.broadcast(index)
+    memo: dict[str, tuple[str, ...]] = {}
 
     def judge(rows: list[dict]) -> Iterator[tuple]:
+        index = shared.value
+        if len(memo) > _MEMO:
+            memo.clear()
         for row in rows:
-            index = shared.value
-            found = nearest(vector(words(row["text"]), index.idf), index, k)
+            found = nearest(vector(words(row["text"]), index.idf, memo), index, k)
             value = min(1.0, max(0.0, score(found, index)))
             yield row["doc_id"], row["held_out"], value, int(value >= THRESHOLD), [int(index.ids[p]) for _, p in found[:5]]
 
@@ -204,8 +239,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Score every row of ``docs`` (``doc_id``, ``text``), learning from ``labels`` (``doc_id``, ``toxic``)
     of the rows that are not held out.
 
-    A null or empty text and one without any telling word gets the prior of such texts and no evidence,
-    as does every text where nothing can be learned. Labels other than 0 and 1 and labels without a
+    A null or empty text, one without a word, and every text where nothing can be learned get the share of
+    toxic labels (0.1 of nothing) and no evidence; other texts always have neighbours. Labels other than 0 and 1 and labels without a
     document teach nothing; a document labelled twice counts once, as toxic if any label says so.
     Rows without an id or with a repeated one are scored like any other.
     """
