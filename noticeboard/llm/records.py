@@ -104,38 +104,82 @@ def unframe(records: list[bytes]) -> list[bytes]:
     return datas
 
 
+def _latin(text: str) -> bool:
+    """Only characters below U+0100: their lower case and their letters are the same to every library."""
+    return text.isascii() or max(text) < "\u0100"
+
+
 class Encoder:
-    """Ids of whole texts. The vocabulary is applied to words between blanks, each at most once per
-    worker as long as it is remembered: no token of it reaches across a blank."""
+    """Ids of whole texts. Where the vocabulary drops blanks, no token reaches across one: it is then applied
+    to the words between blanks, each at most once per worker as long as it is remembered."""
 
     #: Words remembered at least; memory is bounded by twice as many.
-    KEPT = 200_000
+    KEPT = 500_000
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kind = "<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.kind = "<u2" if max(vocabulary.values()) < 1 << 16 else "<u4"
+        self.by_word = self._ids(["a b"])[0] == b"".join(self._ids(["a", "b"])) and self._ids([" "]) == [b""]
+        self.lowers = self._ids(["A", "\u00c9"]) == self._ids(["a", "\u00e9"])
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.marks = {m: self._ids([m])[0] for m in ".,"}
         self.young: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
 
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        young, old = self.young, self.old
-        missing = []
-        for word in {w for words in split for w in words if w not in young}:
-            if (known := old.get(word)) is not None:
-                young[word] = known
-            else:
-                missing.append(word)
-        for word, found in zip(missing, self.tokenizer.encode_batch(missing, add_special_tokens=False)):
-            young[word] = np.array(found.ids, self.kind).tobytes()
+        if not self.by_word:
+            return self._ids(texts)
+        # Special tokens are told by their case, so texts that may hold one keep theirs.
+        split = [(t.lower() if self.lowers and _latin(t) and "<|" not in t else t).replace("\n", " ").split(" ") for t in texts]
+        young = self.young
+        missing = set().union(*split).difference(young)
+        if self.old:
+            known = missing.intersection(self.old)
+            young.update((w, self.old[w]) for w in known)
+            missing -= known
+        self._learn(missing)
         out = [b"".join(map(young.__getitem__, words)) for words in split]
         if len(young) > self.KEPT:
             self.young, self.old = {"": b""}, young
         return out
 
+    def _learn(self, missing: set[str]) -> None:
+        """Words of Latin letters are one piece each, so they are encoded in one text and cut at the ends of
+        words; a full stop or comma after one is a piece of its own. All others are encoded one by one."""
+        young = self.young
+        letters, marked, rest = set(), [], []
+        for w in missing:
+            if not _latin(w) or not self.ends.any():
+                rest.append(w)
+            elif w.isalpha():
+                letters.add(w)
+            elif w[-1] in self.marks and w[:-1].isalpha():
+                marked.append(w)
+            else:
+                rest.append(w)
+        cores = list(letters.union(w[:-1] for w in marked).difference(young))
+        if cores:
+            (data,) = self._ids([" ".join(cores)])
+            width = np.dtype(self.kind).itemsize
+            cuts = (np.flatnonzero(self.ends[np.frombuffer(data, self.kind)]) + 1) * width
+            if len(cuts) != len(cores):
+                raise ValueError("a word of letters is not one piece in this vocabulary")
+            begin = 0
+            for w, end in zip(cores, cuts.tolist()):
+                young[w] = data[begin:end]
+                begin = end
+        for w in marked:
+            young[w] = young[w[:-1]] + self.marks[w[-1]]
+        young.update(zip(rest, self._ids(rest)))
+
 
 @lru_cache(2)
 def encoder(path: str) -> Encoder:
