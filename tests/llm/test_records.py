@@ -1,0 +1,83 @@
+"""Token records: frames, checksums, ids against the tokenizer itself, round trip."""
+
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from noticeboard.llm import records
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+def _bitwise(data: bytes) -> int:
+    crc = 0xFFFFFFFF
+    for b in data:
+        crc ^= b
+        for _ in range(8):
+            crc = (crc >> 1) ^ (0x82F63B78 if crc & 1 else 0)
+    return crc ^ 0xFFFFFFFF
+
+
+def test_checksum():
+    rng = np.random.default_rng(1)
+    datas = [b"123456789", b"", *(rng.bytes(n) for n in (1, 3, 4, 63, 64, 65, 511, 512, 513, 1024, 5000))]
+    assert records.crc32c(datas) == [_bitwise(d) for d in datas]
+    assert records.crc32c([b"123456789"]) == [0xE3069283]
+
+
+def test_frames_hold_what_was_put_in_and_show_damage():
+    datas = [b"ab", b"", b"x" * 3000]
+    framed = records.frame(datas)
+    assert records.unframe(framed) == datas
+    assert framed[0][:8] == (2).to_bytes(8, "little")
+    for at in (0, 9, 13, len(framed[0]) - 1):
+        broken = bytearray(framed[0])
+        broken[at] ^= 1
+        with pytest.raises(ValueError):
+            records.unframe([bytes(broken)])
+
+
+TEXTS = ["A plain text, isn't it.", None, "", " \n\t ", "Ünïcode İstanbul ΟΔΟΣ é  x", "<|endoftext|> in <|startoftext|>text", "A" * 5000, "word " * 3000, "a.b,c 12 3.4 'll it's", "A plain text, isn't it.", "日本語 テキスト"]
+
+
+def _ids(tokenizer, text):
+    return np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 1], "<u4")
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_records_equal_the_tokenizer(texts, name):
+    path = public_tokenizers.path(name)
+    tokenizer = Tokenizer.from_file(path)
+    got = records.tokenise(texts(*TEXTS), path).orderBy("doc_id").collect()
+    start = 0
+    for row, (i, text) in zip(got, enumerate(TEXTS), strict=True):
+        ids = _ids(tokenizer, text)
+        assert (row.doc_id, row.start, row.n_tokens, row.ids_crc32) == (i, start, len(ids), zlib.crc32(ids.tobytes())), text
+        start += len(ids)
+
+
+def test_the_encoder_forgets_and_still_agrees(monkeypatch):
+    monkeypatch.setattr(records.Encoder, "KEPT", 5)
+    encode, tokenizer = records.Encoder(PATH), Tokenizer.from_file(PATH)
+    for text in ["one two three. four, five", "six seven eight nine", "one two", "three four ten, eleven"] * 2:
+        assert encode.encode([text])[0] == _ids(tokenizer, text)[:-1].astype("<u2").tobytes()
+
+
+def test_any_order_of_reads(spark, texts, tmp_path):
+    docs = texts("b c", "d e f", "g", "h " * 900)
+    folder = f"file://{tmp_path}/records"
+    index = records.write_records(docs.coalesce(1), PATH, folder)
+    there = {r.doc_id: r.ids for r in records.read_records(index, folder).collect()}
+    back = {r.doc_id: r.ids for r in records.read_records(index.orderBy("offset", ascending=False), folder).collect()}
+    assert there == back and len(there) == 4
+
+
+def test_repeated_and_missing_ids_and_no_rows(documents):
+    got = records.tokenise(documents([(None, "x y", "en", "s"), (1, "a", "en", "s"), (1, "a", "en", "s"), (1, "b", "en", "s")]), PATH).collect()
+    assert sorted(str(r.doc_id) for r in got) == ["1", "1", "1", "None"]
+    assert sorted(r.start for r in got) == [0, 3, 5, 7]
+    assert next(r.start for r in got if r.doc_id is None) == 0
+    assert records.tokenise(documents([]), PATH).count() == 0
