@@ -33,6 +33,11 @@ def _decoded(sql):
     return _DECODE.format(sql)
 
 
+def _absolute(sql):
+    """A link of the pages, seen from their address: those here begin with a slash."""
+    return f"regexp_extract(url, '^https?://[^/?#]+') || {_decoded(sql)}"
+
+
 def _shown(sql):
     """Text as shown: entities decoded, blanks collapsed."""
     return f"trim(regexp_replace({_decoded(sql)}, '\\s+', ' ', 'g'))"
@@ -45,7 +50,7 @@ def extract_title(spark, sf):
 
 
 _LINKS_SQL = f"""links AS (
-  SELECT page_id, unnest(regexp_extract_all(html, '<li><a href="([^"]*)">', 1)) AS href,
+  SELECT page_id, url, unnest(regexp_extract_all(html, '<li><a href="([^"]*)">', 1)) AS href,
          unnest(regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a>', 1)) AS label,
          unnest(range(len(regexp_extract_all(html, '<li><a ')))) AS pos, len(regexp_extract_all(html, '<li><a ')) AS n FROM pages)"""
 
@@ -63,7 +68,7 @@ def _links(spark, sf, begin_from=0, end_to=0):
 
 
 @query(f"""WITH {_LINKS_SQL}
-  SELECT CAST(page_id AS INTEGER) AS page_no, CAST(pos AS INTEGER) AS item_pos, {_decoded('href')} AS href, {_shown('label')} AS label FROM links""")
+  SELECT CAST(page_id AS INTEGER) AS page_no, CAST(pos AS INTEGER) AS item_pos, {_absolute('href')} AS href, {_shown('label')} AS label FROM links""")
 def extract_links(spark, sf):
     return _links(spark, sf).select("page_no", "item_pos", _raw("job_url").alias("href"), _raw("job_title").alias("label"))
 
@@ -81,7 +86,7 @@ def list_items(spark, sf):
   SELECT CAST(page_id AS INTEGER) AS page_no, regexp_extract(html, '<html lang="([^"]*)"', 1) AS lang,
          {_shown("regexp_extract(html, '<h1>(.*?)</h1>', 1)")} AS heading,
          {_shown("regexp_extract(html, '(?s)<div class=.ad.>(.*?)</div>', 1)")} AS notice,
-         {_shown('labels[1]')} AS first_label, {_decoded('hrefs[-1]')} AS last_href, {_decoded('hrefs[2]')} AS second_href,
+         {_shown('labels[1]')} AS first_label, {_absolute('hrefs[-1]')} AS last_href, {_absolute('hrefs[2]')} AS second_href,
          CAST(len(hrefs) AS INTEGER) AS n_links, {_shown("regexp_extract(html, '<footer>([^<]*)</footer>', 1)")} AS footer,
          {_decoded("regexp_extract(html, '(?s)<div class=.ad.>(.*?)</div>', 1)")} AS inner_notice
   FROM p""")
@@ -145,7 +150,7 @@ def required_fields(spark, sf):
 _HREFS = """regexp_extract_all(html, '<li><a href="([^"]*)">', 1)"""
 
 
-@query(f"SELECT CAST(page_id AS INTEGER) AS page_no, url AS page_url, CASE WHEN len({_HREFS}) > 5 THEN {_decoded(_HREFS + '[6]')} ELSE url END AS job_url FROM pages")
+@query(f"SELECT CAST(page_id AS INTEGER) AS page_no, url AS page_url, CASE WHEN len({_HREFS}) > 5 THEN {_absolute(_HREFS + '[6]')} ELSE url END AS job_url FROM pages")
 def url_default(spark, sf):
     rows, specs = _detail(
         spark, sf,

@@ -150,7 +150,12 @@ def company_filter(spark, sf):
 
 @query(f"WITH {ORDERS_INDEX_SQL} SELECT * FROM idx WHERE id = '42'")
 def get_by_id(spark, sf):
-    return index.by_id(orders_index(spark, sf), "42")
+    """Orders as a posting table; one bucket of it is read."""
+    orders = orders_index(spark, sf)
+    schema = ", ".join(f"{name} {kind}" for name, kind in orders.dtypes)
+    postings = PostingTable(spark, new_folder(spark, "orders"), schema, ["job_post_date"], buckets=16)
+    postings.load(orders)
+    return postings.by_id("42")
 
 
 _SCHEMA = (

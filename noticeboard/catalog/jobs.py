@@ -52,6 +52,31 @@ def collect_job(spark, sf):
     )
 
 
+@query(f"""WITH p AS (SELECT *, regexp_extract(url, '^https?://([^/?#]+)', 1) AS site FROM pages WHERE html LIKE '%<h1>%' AND len({_HREFS}) > 4),
+  s AS (SELECT site, min(page_id) AS stop FROM p WHERE page_id % 7 = 3 GROUP BY site),
+  k AS (SELECT p.* FROM p LEFT JOIN s USING (site) WHERE stop IS NULL OR page_id <= stop),
+  c AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY site ORDER BY page_id) <= 3)
+  SELECT CAST(page_id AS INTEGER) AS page_no, md5(url) AS id, url AS job_url, {_shown("regexp_extract(html, '<h1>(.*?)</h1>', 1)")} AS job_title,
+    {_shown("regexp_extract_all(html, '<li><a href=\"[^\"]*\">([^<]*)</a>', 1)[5]")} AS job_category_domain FROM c""")
+def collect_detail_job(spark, sf):
+    """Pages as listings of one posting and as its detail page, with some ids in the index and a cap per site."""
+    spec = SiteSpec(
+        ANY_SITE,
+        items=Loop("//article"),
+        list_rules=(FieldRule("job_url", how="url"), FieldRule("job_title", "h1")),
+        detail_groups=((FieldRule("job_category_domain", "//nav/ul/li[5]/a"),),),
+        check_index=True,
+        n_jobs=3,
+    )
+    pages = _pages(spark, sf)
+    known = table(spark, sf, "pages").where("page_id % 7 = 3").select(F.md5("url").alias("id"))
+    rows = collect_postings(
+        pages, [spec], AS_OF, Dictionary(table(spark, sf, "nation"), "n_name", "n_name"), _companies(spark, sf),
+        details=pages, index_ids=known, defaults=Limits(n_pages=1_000_000_000),
+    )
+    return rows.select("page_no", "id", "job_url", "job_title", "job_category_domain")
+
+
 _RULES = (FieldRule("job_title", "h1", "TAG_NAME"), FieldRule("job_category_domain", "//nav/ul/li[5]/a"))
 _LATER_RULES = (FieldRule("job_title", "h1", "TAG_NAME"), FieldRule("job_sub_company", "//nav/ul/li[6]/a"))
 

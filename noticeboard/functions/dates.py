@@ -40,7 +40,8 @@ DATE_LAYOUTS = {
     "yyyyMMdd": (r"\D*(\d{4})(\d{2})(\d{2})", "$1-$2-$3"),
 }
 
-# Zone abbreviations a date text may carry, in minutes from UTC.
+# Zone abbreviations that several zones share, and the most usual ones, in minutes
+# from UTC. All others are looked up in the zone data of the engine.
 ZONE_MINUTES = {
     "GMT": 0,
     "UTC": 0,
@@ -53,6 +54,8 @@ ZONE_MINUTES = {
     "MDT": -360,
     "PST": -480,
     "PDT": -420,
+    "BST": 60,
+    "IST": 330,
 }
 
 _MONTH = (
@@ -60,7 +63,7 @@ _MONTH = (
     "|sep(?:tember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?|[一二三四五六七八九]月|十[一二]?月))"
 )
 _WEEKDAY = "(?i:(?:sun|mon|tue|wed|thu|fri|sat)(?:s|nes|rs|ur)?(?:day)?)"
-_ZONE = r"((?:[A-Z]{2,3}(?:[+-]\d{1,2}:?\d{2})?)|(?:[+-]\d{1,2}:?\d{2}))"
+_ZONE = r"((?:[A-Z]{2,5}(?:[+-]\d{1,2}:?\d{2})?)|(?:[+-]\d{1,2}:?\d{2}))"
 _N, _S = r"(\d{1,9})", r"[ \t]*"
 _YMD = f"{_N}-{_S}{_N}-{_S}{_N}"
 _HMS = f"{_S}{_N}:{_S}{_N}:{_S}{_N}"
@@ -124,13 +127,18 @@ def apply_layout(text: Column, layout: str | None) -> Column:
     return F.regexp_replace(text, pattern, replacement)
 
 
-def _zone_minutes(zone: Column) -> Column:
+def _zone_minutes(zone: Column, local: Column) -> Column:
+    """Minutes from UTC of a zone name, an offset or both; null for a name nobody knows."""
     name = F.regexp_extract(zone, r"^([A-Z]*)", 1)
     number = _number(F.regexp_replace(zone, r"[^0-9]", ""))
     sign = F.when(F.contains(zone, F.lit("-")), -1).otherwise(1)
     named = F.when(name == "", 0)
     for abbreviation, offset in ZONE_MINUTES.items():
         named = named.when(name == abbreviation, offset)
+    day = F.substring(local.cast("string"), 1, 19)
+    there = F.try_to_timestamp(F.concat(day, F.lit(" "), name), F.lit("yyyy-MM-dd HH:mm:ss z"))
+    here = F.try_to_timestamp(F.concat(day, F.lit(" UTC")), F.lit("yyyy-MM-dd HH:mm:ss z"))
+    named = named.otherwise(((F.unix_seconds(here) - F.unix_seconds(there)) / 60).cast("int"))
     return named + sign * (F.floor(number / 100).cast("int") * 60 + number % 100)
 
 
@@ -148,7 +156,7 @@ def _moment(field: dict[str, Column]) -> Column:
     millis = F.substring(F.concat(field["f"], F.lit("000")), 1, 3)
     second = F.concat(F.lit("0"), field["s"], F.lit("."), millis).cast("decimal(16,6)")
     local = F.try_make_timestamp_ntz(F.when(year <= 9999, year), month, _number(field["d"]), hour, _number(field["m"]), second)
-    return F.when(field["z"] == "", local).otherwise(local - F.make_dt_interval(mins=_zone_minutes(field["z"])))
+    return F.when(field["z"] == "", local).otherwise(local - F.make_dt_interval(mins=_zone_minutes(field["z"], local)))
 
 
 def _from_millis(text: Column) -> Column:
@@ -190,8 +198,9 @@ def outdated(date: Column, as_of: Column, n_days: Column | int | None) -> Column
 
 def not_outdated(date: Column, as_of: Column, n_days: int) -> Column:
     """The rows ``outdated`` leaves, as a plain comparison that a scan can be given: a date is
-    more than n whole days old when n + 1 days have passed."""
-    return date.isNull() | (date > as_of - F.make_dt_interval(days=F.lit(n_days + 1)))
+    more than n whole days old when n + 1 days have passed. No date lies 100 million days back."""
+    until = F.try_subtract(as_of, F.make_dt_interval(days=F.lit(min(n_days + 1, 100_000_000))))
+    return date.isNull() | until.isNull() | (date > until)
 
 
 def days_delta(date: Column, as_of: Column) -> Column:

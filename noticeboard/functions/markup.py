@@ -7,9 +7,11 @@ selectors are those posting sites need. What is not supported fails when rules a
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections import Counter
+from collections.abc import Callable, Iterator
 from functools import cached_property, lru_cache
 from html.parser import HTMLParser
+from urllib.parse import urljoin
 from xml.etree import ElementTree
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -26,37 +28,44 @@ CLOSED_BY = {
 }
 
 
-MAX_DEPTH = 512  # as browsers do, deeper elements become siblings
-
-
 class _Reader(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = ElementTree.Element("document")
         self.open = [self.root]
+        self.count: Counter[str] = Counter()  # open elements by tag
 
     def updatepos(self, i, j):
         return j  # line numbers are not needed
 
+    def parse_marked_section(self, i, report=1):
+        return self.parse_bogus_comment(i)  # as browsers read it: a comment up to the next ">"
+
+    def _close(self, depth: int) -> None:
+        self.count.subtract(e.tag for e in self.open[depth:])
+        del self.open[depth:]
+
     def handle_starttag(self, tag, attrs):
         while tag in CLOSED_BY.get(self.open[-1].tag, ()):
-            self.open.pop()
-        if tag == "p" and any(e.tag == "p" for e in self.open):
+            self._close(len(self.open) - 1)
+        if tag == "p":
             self.handle_endtag("p")
         if tag == "tr" and self.open[-1].tag == "table":
             self.handle_starttag("tbody", [])
         element = ElementTree.SubElement(self.open[-1], tag, {k: v or "" for k, v in attrs})
-        if tag not in VOID and len(self.open) < MAX_DEPTH:
+        if tag not in VOID:
             self.open.append(element)
+            self.count[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth].tag == tag:
-                del self.open[depth:]
-                return
+        if self.count[tag] > 0:
+            depth = len(self.open) - 1
+            while self.open[depth].tag != tag:
+                depth -= 1
+            self._close(depth)
 
     def handle_data(self, data):
         parent = self.open[-1]
@@ -68,39 +77,53 @@ class _Reader(HTMLParser):
 
 def read_page(html: str | None) -> ElementTree.Element:
     reader = _Reader()
-    try:
-        reader.feed(html or "")
-        reader.close()
-    except (AssertionError, ValueError):
-        pass  # malformed markup: what was read so far stands
+    reader.feed(html or "")
+    reader.close()
     return reader.root
 
 
+def _walk(element: ElementTree.Element) -> Iterator[tuple[ElementTree.Element, bool]]:
+    """Every element twice, when it begins (True) and when it ends, without recursion."""
+    stack = [(element, True)]
+    while stack:
+        e, begins = stack.pop()
+        yield e, begins
+        if begins:
+            stack.append((e, False))
+            stack += [(child, True) for child in reversed(e)]
+
+
 def inner_html(element: ElementTree.Element) -> str:
-    parts = [_escape(element.text)]
-    parts += [ElementTree.tostring(child, encoding="unicode", method="html") for child in element]
+    parts: list[str] = []
+    for e, begins in _walk(element):
+        raw = e.tag in ("script", "style")
+        if begins:
+            if e is not element:
+                parts.append(f"<{e.tag}" + "".join(f' {k}="{_escape(v, quote=True)}"' for k, v in e.items()) + ">")
+            parts.append((e.text or "") if raw else _escape(e.text))
+        elif e is not element:
+            parts.append(("" if e.tag in VOID else f"</{e.tag}>") + _escape(e.tail))
     return "".join(parts)
 
 
-def _escape(text: str | None) -> str:
-    return (text or "").replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
+def _escape(text: str | None, quote: bool = False) -> str:
+    text = (text or "").replace("&", "&amp;").replace(">", "&gt;")
+    return text.replace('"', "&quot;") if quote else text.replace("<", "&lt;")
 
 
 def visible_text(element: ElementTree.Element) -> str:
     parts: list[str] = []
-
-    def walk(e):
+    hidden = 0
+    for e, begins in _walk(element):
+        edge = "\n" if e.tag in BLOCK or e.tag == "br" else " " if e.tag in ("td", "th") else ""
         if e.tag in ("script", "style"):
-            return
-        edge = "\n" if e.tag in BLOCK else " " if e.tag in ("td", "th") else ""
-        parts.append("\n" if e.tag == "br" else edge)
-        parts.append(re.sub(r"\s+", " ", e.text or ""))
-        for child in e:
-            walk(child)
-            parts.append(re.sub(r"\s+", " ", child.tail or ""))
-        parts.append(edge)
-
-    walk(element)
+            hidden += 1 if begins else -1
+        elif not hidden and (begins or e.tag != "br"):
+            parts.append(edge)
+        if not hidden and begins:
+            parts.append(re.sub(r"\s+", " ", e.text or ""))
+        elif not hidden and e is not element:
+            parts.append(re.sub(r"\s+", " ", e.tail or ""))
     text = re.sub(r" *\n[ \n]*", "\n", "".join(parts))
     return re.sub(r" +", " ", text).strip()
 
@@ -292,6 +315,17 @@ class Page:
     def __init__(self, html: str | None):
         self.root = read_page(html)
 
+    def address(self, link: str, url: str | None) -> str:
+        """A link as a browser gives it: absolute, seen from the page's address or its base element."""
+        try:
+            return urljoin(urljoin(url or "", self.base), link.strip())
+        except ValueError:  # no address at all
+            return link
+
+    @cached_property
+    def base(self) -> str:
+        return next((e.get("href", "").strip() for e in self.root.iter("base")), "")
+
     @cached_property
     def parents(self) -> dict:
         return {child: parent for parent in self.root.iter() for child in parent}

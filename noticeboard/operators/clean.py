@@ -6,7 +6,10 @@ from collections.abc import Callable
 from datetime import datetime
 from functools import partial, reduce
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,15 +77,20 @@ def transform_text(text: Column, t: Transform) -> Column:
 
 
 def user_function(function: UserFunction) -> Callable[[Column], Column]:
-    """A user's function over every element of an array column, one Arrow batch at a time."""
-
-    @F.pandas_udf("array<string>")
-    def apply(values: pd.Series) -> pd.Series:
-        flat = values.explode()
-        flat = flat[flat.notna()]
-        done = list(function(flat.reset_index(drop=True))) if len(flat) else []
-        grouped = pd.Series(done, index=flat.index, dtype=object).groupby(level=0).agg(list)
-        return pd.Series([grouped.get(i, None if v is None else []) for i, v in values.items()], index=values.index)
+    """A user's function over every element of an array column, one Arrow batch at a time: the
+    arrays are laid end to end, and their ends put back afterwards."""
+
+    @F.arrow_udf("array<string>")
+    def apply(values: pa.Array) -> pa.Array:
+        flat = values.flatten().to_pandas()
+        present = flat[flat.notna()].reset_index(drop=True)
+        done = flat.astype(object)
+        if len(present):
+            done[flat.notna()] = list(function(present))
+        lengths = pc.fill_null(pc.list_value_length(values), 0).to_numpy(zero_copy_only=False)
+        ends = pa.array(np.concatenate(([0], lengths.cumsum())).astype("int32"))
+        lists = pa.ListArray.from_arrays(ends, pa.array(done, pa.string(), from_pandas=True))
+        return pc.if_else(values.is_valid(), lists, pa.nulls(len(values), lists.type))
 
     return apply
 
@@ -232,11 +240,12 @@ def with_fields(
     cities: Dictionary | None,
     as_of: datetime,
     functions: dict[str, UserFunction] | None = None,
+    keep_failed: bool = False,
 ) -> DataFrame:
     """All fields of a level by the rules of each row's site.
 
     Sites that share a rule share its expression, and a row is put through the rules of its own
-    site only. Rows lacking a required field are dropped.
+    site only. Rows lacking a required field are dropped, or marked ``failed`` if they are kept.
     """
     check_rules(specs, functions)
     sites: dict[FieldRule, list[str]] = {}
@@ -248,11 +257,15 @@ def with_fields(
     by_field: dict[str, list[Variant]] = {}
     for rule, of in sites.items():
         by_field.setdefault(rule.field, []).append((_rows_of(of, specs), rule))
+    if keep_failed:
+        df = df.withColumn("failed", F.lit(False))
     for field, variants in by_field.items():
         had = F.col(field) if field in df.columns else None
         df = with_field_variants(df, field, variants, "__new", cities, as_of, functions)
         required = _rows_with(variants, lambda r: r.is_fatal)
-        if required is not None:
+        if required is not None and keep_failed:
+            df = df.withColumn("failed", F.col("failed") | (required & F.col("__new").isNull()))
+        elif required is not None:
             df = df.where(~required | F.col("__new").isNotNull())
         df = df.withColumn(field, F.col("__new") if had is None else F.coalesce(F.col("__new"), had)).drop("__new")
     return df

@@ -52,11 +52,23 @@ def map_fields(df: DataFrame, rename: dict[str, str], copy: dict[str, str]) -> D
 def route_writes(index: DataFrame, batch: DataFrame, *order: str) -> DataFrame:
     """One write of a mixed batch: open rows are upserted, expired rows only set the flag.
 
-    Whichever came last for an id decides whether it ends up expired.
+    Whichever came last for an id decides whether it ends up expired. The batch is read once and
+    reduced to a row per id before it meets the index, in one join.
     """
+    columns = index.columns
     expired = F.coalesce(F.col("job_expired"), F.lit(False))
-    last_event = batch.groupBy("id").agg(F.max(F.struct(*order, expired.alias("flag"))).alias("last"))
-    return mark_expired(upsert(index, batch.where(~expired), *order), last_event.where("last.flag"))
+    place = F.struct(*order)
+    row = F.struct(*(F.col(c).alias(c) for c in columns))
+    events = batch.groupBy("id").agg(
+        F.max_by(row, F.when(~expired, place)).alias("__open"),
+        F.max(F.struct(*order, expired.alias("flag"))).alias("__last"),
+    )
+    # Expired rows have no place among the open ones, so an id with none of those has no open row.
+    events = events.select(F.col("id").alias("__id"), "__open", F.col("__last.flag").alias("__flag"))
+    joined = index.join(events, F.col("id") == F.col("__id"), "full_outer").where(F.col("id").isNotNull() | F.col("__open").isNotNull())
+    chosen = {c: F.when(F.col("__open").isNotNull(), F.col(f"__open.{c}")).otherwise(F.col(c)) for c in columns}
+    chosen["job_expired"] = F.when(F.col("__flag"), F.lit(True)).otherwise(chosen["job_expired"])
+    return joined.select(*(chosen[c].alias(c) for c in columns))
 
 
 def append_batches(batches: list[DataFrame]) -> DataFrame:

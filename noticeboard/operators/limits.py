@@ -18,7 +18,6 @@ from .skew import join_facts
 
 BLOCK = 1024
 POSITION = ["page_no", "item_pos"]
-MAX_DAYS = 1_000_000  # a window this long is none
 
 
 def effective_limits(config: DataFrame, defaults: Limits) -> DataFrame:
@@ -35,16 +34,16 @@ def effective_limits(config: DataFrame, defaults: Limits) -> DataFrame:
 
 
 def fresh(df: DataFrame, date: str, as_of: Column, n_days: Column | int | None) -> DataFrame:
-    if isinstance(n_days, int) and 0 <= n_days < MAX_DAYS:
+    """Rows not more than n whole days old; no limit for ``None`` alone. A fixed window of n days
+    becomes a comparison that the scan can be given."""
+    if isinstance(n_days, int) and n_days >= 0:
         return df.where(dates.not_outdated(F.col(date), as_of, n_days))
-    if isinstance(n_days, int) and n_days >= MAX_DAYS:
-        return df
     return df.where(~dates.outdated(F.col(date), as_of, n_days))
 
 
 def mark_known(df: DataFrame, index_ids: DataFrame) -> DataFrame:
-    """``known``: the id is in the index already. ``index_ids`` holds each id once."""
-    return df.join(index_ids.select("id", F.lit(True).alias("known")), "id", "left").withColumn(
+    """``known``: the id is in the index already."""
+    return df.join(index_ids.select("id").distinct().withColumn("known", F.lit(True)), "id", "left").withColumn(
         "known", F.coalesce("known", F.lit(False))
     )
 
@@ -63,52 +62,69 @@ def pages_cap(df: DataFrame, n_pages: Column | int, begin_from: Column | int = 0
     return df.where(F.col("page_no") - begin_from + 1 <= n_pages)
 
 
-def page_cap(df: DataFrame, keys: list[str], n: Column | int, begin_from: Column | int = 0) -> DataFrame:
-    """Rows of a page up to and including the first accepted one at the page's n-th position."""
+def page_cap(
+    df: DataFrame, keys: list[str], n: Column | int, begin_from: Column | int = 0, accepted: Column | None = None
+) -> DataFrame:
+    """Rows of a page up to and including the first accepted one (all are, by default) at the
+    page's n-th position: what lies behind is never looked at."""
     at_cap = F.col("item_pos") - begin_from + 1 >= n
+    at_cap = at_cap if accepted is None else at_cap & accepted
     lasts = df.where(at_cap).groupBy(*keys, "page_no").agg(F.min("item_pos").alias("last_pos"))
     within = F.col("last_pos").isNull() | (F.col("item_pos") <= F.col("last_pos"))
     return join_facts(df, lasts, [*keys, "page_no"], "left", by=POSITION).where(within).drop("last_pos")
 
 
 def with_running_rank(
-    df: DataFrame, keys: list[str], name: str, outer: list[str] | None = None, limit: Column | int | None = None
+    df: DataFrame, keys: list[str], name: str, outer: list[str] | None = None, limit: Column | int | None = None, tie: list[str] | None = None
 ) -> DataFrame:
-    """Position of each row within its keys by (outer, page_no, item_pos), counted from 1.
+    """Position of each row within its keys by (outer, page_no, item_pos, tie), counted from 1.
 
-    Counts per block of pages, page and block of items are summed level by level, so the only
-    rows ranked in one task are those of one block of items, however large a site is. With a
-    ``limit`` the blocks wholly behind it are dropped before they are ranked.
+    The rows of a page's block of items are a cell. Cells are counted once, and each cell's start
+    comes from sums over the cells before it: within its page block, and of whole page blocks. So the only rows
+    ranked in one task are those of one cell, or the cells of one page block, however large a
+    site is. With a ``limit`` the cells wholly behind it are dropped before they are ranked.
+    A missing key, page or position counts as a value of its own, which comes first.
     """
-    levels = [*(outer or []), "__pages", "page_no", "__items"]
+    outer = outer or []
+    cell = ["__key", *outer, "__pages", "page_no", "__items"]
     df = df.withColumns(
-        {"__pages": F.floor(F.col("page_no") / BLOCK), "__items": F.floor(F.col("item_pos") / BLOCK)}
+        {
+            "__key": F.struct(*keys),
+            "__pages": F.coalesce(F.floor(F.col("page_no") / BLOCK), F.lit(-1)),
+            "__items": F.coalesce(F.floor(F.col("item_pos") / BLOCK), F.lit(-1)),
+        }
     )
-    cells = df.groupBy(*keys, *levels).agg(F.count("*").alias("__n"))
-    offsets = cells.drop("__n")
-    starts = []
-    for depth, level in enumerate(levels):
-        parent = [*keys, *levels[:depth]]
-        before = Window.partitionBy(*parent).orderBy(level).rowsBetween(Window.unboundedPreceding, -1)
-        totals = cells.groupBy(*parent, level).agg(F.sum("__n").alias("__n"))
-        offset = F.coalesce(F.sum("__n").over(before), F.lit(0)).alias(f"__before_{depth}")
-        offsets = offsets.join(totals.select(*parent, level, offset), [*parent, level])
-        starts.append(F.col(f"__before_{depth}"))
-    offsets = offsets.select(*keys, *levels, reduce(lambda a, b: a + b, starts).alias("__start"))
-    here = Window.partitionBy(*keys, *levels).orderBy("item_pos")
+    cells = df.groupBy(*cell).agg(F.count("*").alias("__n"))
+    inside = Window.partitionBy("__key", *outer, "__pages").orderBy("page_no", "__items").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("__inside", F.coalesce(F.sum("__n").over(inside), F.lit(0)))
+    blocks = cells.groupBy("__key", *outer, "__pages").agg(F.sum("__n").alias("__total"))
+    ahead = Window.partitionBy("__key").orderBy(*outer, "__pages").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("__ahead", F.coalesce(F.sum("__total").over(ahead), F.lit(0))).drop("__total")
+    starts = _null_safe_join(cells, blocks, ["__key", *outer, "__pages"])
+    starts = starts.select(*cell, (F.col("__inside") + F.col("__ahead")).alias("__start"))
+    here = Window.partitionBy(*cell).orderBy("item_pos", *(tie or []))
     if limit is None:
         # Ranked first: the join then finds the rows partitioned and sorted as it needs them.
-        ranked = df.withColumn("__nth", F.row_number().over(here)).join(offsets, [*keys, *levels])
+        ranked = _null_safe_join(df.withColumn("__nth", F.row_number().over(here)), starts, cell)
     else:
-        placed = df.join(offsets, [*keys, *levels]).where(F.col("__start") < limit)
+        placed = _null_safe_join(df, starts, cell).where(F.col("__start") < limit)
         ranked = placed.withColumn("__nth", F.row_number().over(here))
     position = F.col("__start") + F.col("__nth")
-    return ranked.withColumn(name, position).drop("__pages", "__items", "__start", "__nth")
+    return ranked.withColumn(name, position).drop("__key", "__pages", "__items", "__start", "__nth")
+
 
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Join on keys of which null is a value like any other."""
+    renamed = right.select(*(F.col(c).alias(f"__right_{c}") if c in keys else F.col(c) for c in right.columns))
+    same = reduce(lambda a, b: a & b, (left[c].eqNullSafe(renamed[f"__right_{c}"]) for c in keys))
+    return left.join(renamed, same).drop(*(f"__right_{c}" for c in keys))
 
-def site_cap(df: DataFrame, keys: list[str], n_jobs: Column | int, outer: list[str] | None = None) -> DataFrame:
-    """The first n accepted rows of a site by page and position."""
-    ranked = with_running_rank(df, keys, "__rank", outer, n_jobs)
+
+def site_cap(
+    df: DataFrame, keys: list[str], n_jobs: Column | int, outer: list[str] | None = None, tie: list[str] | None = None
+) -> DataFrame:
+    """The first n accepted rows of a site by page, position and ``tie``."""
+    ranked = with_running_rank(df, keys, "__rank", outer, n_jobs, tie)
     return ranked.where(F.col("__rank") <= n_jobs).drop("__rank")
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates
@@ -31,13 +32,6 @@ def expired_by_date(expire_date: Column, as_of: datetime) -> Column:
     return dates.outdated(expire_date, dates.ntz(as_of), 0)
 
 
-def latest_pages(pages: DataFrame) -> DataFrame:
-    """The newest snapshot of every address; limited to one row per address and task before
-    the shuffle."""
-    newest = Window.partitionBy("url").orderBy(F.col("fetched_at").desc())
-    return pages.withColumn("__nth", F.row_number().over(newest)).where("__nth = 1").drop("__nth")
-
-
 def with_expiry(candidates: DataFrame, alive_urls: DataFrame, as_of: datetime) -> DataFrame:
     """``expired_date`` by the expiry date, ``expired_page`` when the address has no page that
     still gives the required fields, ``expired`` by either.
@@ -84,17 +78,22 @@ def next_offset(checked: DataFrame, start: int, rows: int) -> DataFrame:
     return facts.agg(left.alias("corrected"), (F.lit(start + rows) - left).alias("next_start"))
 
 
-def recheck(held: DataFrame, alive_by_round: list[DataFrame], as_of: datetime, accept_uncertain: bool) -> DataFrame:
-    """Recheck held rows against newer pages, one round per entry of ``alive_by_round``.
+AliveUrls = Callable[[DataFrame], DataFrame]
+
+
+def recheck(held: DataFrame, alive_by_round: list[DataFrame | AliveUrls], as_of: datetime, accept_uncertain: bool) -> DataFrame:
+    """Recheck held rows against newer pages, one round per entry of ``alive_by_round``: the
+    addresses still alive, or a function that finds them among those of the rows it is given.
 
     Flags are reset before each round. What is still held after the last round is accepted as
     expired or reported as an alarm. Each round cuts its lineage, so a round reads the rows
-    still held and not all the rounds before it.
+    still held and not all the rounds before it, and looks at their pages only.
     """
     columns = [c for c in held.columns if c not in ("expired_date", "expired_page", "expired", "outcome")]
     done = []
     for alive in alive_by_round:
-        checked = cut_lineage(guard(with_expiry(held.select(*columns), alive, as_of)))
+        held = held.select(*columns)
+        checked = cut_lineage(guard(with_expiry(held, alive(held) if callable(alive) else alive, as_of)))
         done.append(checked.where("outcome != 'held'").select("id", "outcome"))
         held = checked.where("outcome = 'held'")
     last = held.select("id", F.lit("confirmed" if accept_uncertain else "alarm").alias("outcome"))

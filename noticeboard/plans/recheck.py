@@ -11,20 +11,30 @@ from ..model import SiteSpec
 from ..operators import clean, index, verify
 from ..operators.extract import extract
 from ..operators.lookup import Dictionary
+from ..operators.sieve import sieve
 from ..session import cut_lineage
 
 
-def alive_urls(pages: DataFrame, specs: list[SiteSpec], cities: Dictionary | None, as_of: datetime) -> DataFrame:
-    """Addresses whose newest page still gives every required detail field. An old post date
-    does not matter here."""
-    newest = verify.latest_pages(pages) if "fetched_at" in pages.columns else pages
-    return clean.with_fields(extract(newest, specs, "detail"), specs, "detail", cities, as_of).select("url")
+def alive_urls(pages: DataFrame, specs: list[SiteSpec], cities: Dictionary | None, as_of: datetime) -> verify.AliveUrls:
+    """Finds, among the addresses of given rows (``job_url``), those whose newest page still gives
+    every required detail field. An old post date does not matter here.
+
+    Pages of other addresses are sieved out where they are read, before any is parsed, and no
+    page is moved. The few that pass the sieve by chance are the addresses of no candidate.
+    """
+
+    def among(candidates: DataFrame) -> DataFrame:
+        wanted = sieve(candidates, "job_url")
+        asked = pages.where(wanted(F.col("url")))
+        return clean.with_fields(extract(asked, specs, "detail"), specs, "detail", cities, as_of).select("url")
+
+    return among
 
 
 def recheck_postings(
     postings: DataFrame,
     sites: DataFrame,
-    alive_by_round: list[DataFrame],
+    alive_by_round: list[DataFrame | verify.AliveUrls],
     as_of: datetime,
     n_days: int = 15,
     accept_uncertain: bool = False,
@@ -37,7 +47,12 @@ def recheck_postings(
     candidates = index.open_older_than(postings, as_of, n_days)
     routed, unknown = verify.route(candidates, sites, key)
     first, *later = alive_by_round
-    checked = cut_lineage(verify.guard(verify.with_expiry(verify.with_batch(routed, key), first, as_of)))
+    batches = verify.with_batch(routed, key)
+    if callable(first):
+        batches = cut_lineage(batches)  # read twice: for the addresses, and for the check
+        # An expiry date decides without a look at the page.
+        first = first(batches.where(~verify.expired_by_date(F.col("job_expire_date"), as_of)))
+    checked = cut_lineage(verify.guard(verify.with_expiry(batches, first, as_of)))
     settled = checked.where("outcome != 'held'").select("id", "outcome")
     again = verify.recheck(checked.where("outcome = 'held'"), later, as_of, accept_uncertain)
     skipped = unknown.select("id", F.lit("skipped").alias("outcome"))

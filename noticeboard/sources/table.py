@@ -1,81 +1,136 @@
 """The posting table: a snapshot in buckets of ids, and the changes since.
 
 A batch of postings is appended as its own folder, so writing costs what the batch holds.
-``compact`` folds the changes into the next snapshot. Batches are numbered upwards by whoever
-writes the table: one streaming checkpoint, or one daily job. A folder counts once Spark has marked it
-complete; nothing is read and overwritten in one place.
+``compact`` folds the changes into the next snapshot and rewrites only the buckets they touch: a
+snapshot names, for each bucket, the folder that holds it. Batches are numbered upwards. A log,
+itself a small table, says which folders are whole; nothing is read and overwritten in one place.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import index
 
+_LOG = "kind string, no int, bucket int"
+
 
 class PostingTable:
     def __init__(self, spark: SparkSession, root: str, schema: str, order: list[str], buckets: int = 256):
         self.spark, self.root, self.schema, self.order, self.buckets = spark, root.rstrip("/"), schema, order, buckets
 
-    def _complete(self, kind: str) -> list[int]:
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{kind}/no=*/_SUCCESS")
-        files = hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(hadoop)
-        return sorted(int(f.getPath().getParent().getName().removeprefix("no=")) for f in files or [])
+    def _logged(self) -> DataFrame:
+        try:
+            return self.spark.read.schema(_LOG).parquet(f"{self.root}/log")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], _LOG)
+
+    def _log(self, rows: list[tuple]) -> None:
+        """Add rows to the log: few, one per batch, or per bucket that a snapshot holds itself."""
+        self.spark.createDataFrame(rows, _LOG).coalesce(1).write.mode("append").parquet(f"{self.root}/log")
+
+    def _state(self) -> tuple[list[int], int, dict[int, int]]:
+        """Numbers of the batches, of the newest snapshot (-1 for none), and of the snapshot that
+        holds each bucket: at most a row per batch and per bucket is fetched."""
+        newest = self._logged().groupBy("kind", "bucket", F.when(F.col("kind") == "changes", F.col("no")).alias("batch")).agg(F.max("no").alias("no"))
+        rows = newest.collect()
+        done = max((r.no for r in rows if r.kind == "snapshot"), default=-1)
+        held = {r.bucket: r.no for r in rows if r.kind == "bucket" and r.no <= done}
+        return sorted(r.no for r in rows if r.kind == "changes"), done, held
 
     def _bucket(self, posting_id: Column) -> Column:
         return F.pmod(F.xxhash64(posting_id), F.lit(self.buckets)).cast("int")
 
-    def append(self, batch: DataFrame, no: int) -> None:
-        """Add a batch under its number; the same batch again changes nothing."""
-        batch.write.mode("overwrite").parquet(f"{self.root}/changes/no={no}")
-
-    def snapshot(self) -> tuple[int, DataFrame]:
-        """The newest snapshot and the number of the last batch in it (-1 for none)."""
-        done = self._complete("snapshot")
-        if not done:
-            return -1, self.spark.createDataFrame([], self.schema)
-        rows = self.spark.read.schema(f"{self.schema}, bucket int").parquet(f"{self.root}/snapshot/no={done[-1]}")
-        return done[-1], rows
-
-    def _changes_after(self, no: int) -> tuple[list[int], DataFrame | None]:
-        later = [n for n in self._complete("changes") if n > no]
-        if not later:
-            return [], None
-        paths = [f"{self.root}/changes/no={n}" for n in later]
-        reader = self.spark.read.schema(f"{self.schema}, no int").option("basePath", f"{self.root}/changes")
-        return later, reader.parquet(*paths)
-
     def columns(self) -> list[str]:
         return [part.split()[0] for part in self.schema.split(", ")]
 
+    def last_number(self) -> int:
+        """The largest number used so far, -1 for none."""
+        batches, done, _ = self._state()
+        return max([done, *batches])
+
+    def append(self, batch: DataFrame, no: int) -> None:
+        """Add a batch under its number; a batch that was added before changes nothing.
+
+        A new batch whose number is not above those already folded into the snapshot fails: its
+        rows would come before what is in the snapshot, and be in no result.
+        """
+        batches, done, _ = self._state()
+        if no in batches:
+            return
+        if no <= done:
+            raise ValueError(f"batch {no} comes too late: the snapshot holds all batches up to {done}")
+        batch.write.mode("overwrite").parquet(f"{self.root}/changes/no={no}")
+        self._log([("changes", no, None)])
+
     def batch(self, no: int) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(f"{self.root}/changes/no={no}")
 
+    def _snapshot(self, held: dict[int, int]) -> DataFrame:
+        if not held:
+            return self.spark.createDataFrame([], f"{self.schema}, no int, bucket int")
+        paths = [f"{self.root}/snapshot/no={no}/bucket={bucket}" for bucket, no in sorted(held.items())]
+        reader = self.spark.read.schema(f"{self.schema}, no int, bucket int").option("basePath", f"{self.root}/snapshot")
+        return reader.parquet(*paths)
+
+    def _changes(self, batches: list[int]) -> DataFrame | None:
+        if not batches:
+            return None
+        reader = self.spark.read.schema(f"{self.schema}, no int").option("basePath", f"{self.root}/changes")
+        return reader.parquet(*(f"{self.root}/changes/no={n}" for n in batches))
+
     def _merged(self, rows: DataFrame, changes: DataFrame | None) -> DataFrame:
         rows = rows.select(*self.columns())
         return rows if changes is None else index.route_writes(rows, changes, "no", *self.order)
 
     def current(self) -> DataFrame:
-        no, rows = self.snapshot()
-        return self._merged(rows, self._changes_after(no)[1])
+        batches, done, held = self._state()
+        return self._merged(self._snapshot(held), self._changes([n for n in batches if n > done]))
 
     def compact(self) -> int:
-        no, rows = self.snapshot()
-        later, changes = self._changes_after(no)
+        """Fold all changes into a new snapshot, rewriting the buckets they touch; its number is given."""
+        batches, done, held = self._state()
+        later = [n for n in batches if n > done]
         if not later:
-            return no
-        merged = self._merged(rows, changes).withColumn("bucket", self._bucket(F.col("id")))
-        merged.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(
-            f"{self.root}/snapshot/no={later[-1]}"
-        )
-        return later[-1]
+            return done
+        changes, no = self._changes(later), later[-1]
+        touched = {r.b for r in changes.select(self._bucket(F.col("id")).alias("b")).distinct().collect()}
+        rows = self._snapshot({b: n for b, n in held.items() if b in touched})
+        return self._write(self._merged(rows, changes), no)
+
+    def load(self, rows: DataFrame, no: int = 0) -> int:
+        """Begin an empty table with rows as they are, each id once."""
+        if self.last_number() >= 0:
+            raise ValueError("the table is not empty")
+        return self._write(rows.select(*self.columns()), no)
+
+    def _write(self, rows: DataFrame, no: int) -> int:
+        """Write buckets as those of snapshot ``no``."""
+        merged = rows.withColumn("bucket", self._bucket(F.col("id")))
+        folder = f"{self.root}/snapshot/no={no}"
+        dealt = merged.hint("rebalance", "bucket").sortWithinPartitions("bucket", "id")
+        dealt.write.mode("overwrite").partitionBy("bucket").parquet(folder)
+        written = [r.bucket for r in self.spark.read.schema(f"{self.schema}, bucket int").parquet(folder).select("bucket").distinct().collect()]
+        # The snapshot counts once this one write of the log is done.
+        self._log([("bucket", no, b) for b in written] + [("snapshot", no, None)])
+        return no
+
+    def unused(self) -> list[str]:
+        """Folders that no later read needs: folded changes, and buckets that a newer snapshot holds.
+        They may be deleted once nobody reads an older state."""
+        batches, done, held = self._state()
+        old = [f"{self.root}/changes/no={n}" for n in batches if n <= done]
+        copies = self._logged().where("kind = 'bucket'").select("no", "bucket").distinct().collect()
+        return old + [f"{self.root}/snapshot/no={r.no}/bucket={r.bucket}" for r in copies if held.get(r.bucket) != r.no]
 
     def by_id(self, posting_id: str) -> DataFrame:
         """Reads the id's bucket of the snapshot and what changed since."""
-        no, rows = self.snapshot()
-        if "bucket" in rows.columns:
-            rows = rows.where(F.col("bucket") == self._bucket(F.lit(posting_id)))
-        _, changes = self._changes_after(no)
+        batches, done, held = self._state()
+        rows = self._snapshot(held).where(F.col("bucket") == self._bucket(F.lit(posting_id)))
+        changes = self._changes([n for n in batches if n > done])
         wanted = F.col("id") == posting_id
         return self._merged(rows.where(wanted), changes if changes is None else changes.where(wanted))

@@ -2,18 +2,34 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.table import PostingTable
 
 
+def _first_number(spark: SparkSession, table: PostingTable, checkpoint: str) -> int:
+    """The table's number for the first batch of a checkpoint: above all used when it was begun."""
+    place = f"{checkpoint.rstrip('/')}-first"
+    try:
+        return spark.read.schema("no int").parquet(place).first().no
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    first = table.last_number() + 1
+    spark.createDataFrame([(first,)], "no int").coalesce(1).write.parquet(place)
+    return first
+
+
 def index_stream(
     spark: SparkSession, source: str, table: PostingTable, checkpoint: str, file_glob: str = "*", files_per_batch: int = 1000
 ) -> DataFrame:
     """Take all files waiting in ``source``, then fold them into the table's snapshot.
 
-    A failed batch is retried under the same number, so the table gets each file's rows once.
+    A failed batch is retried under the same number, so the table gets each file's rows once. A
+    new checkpoint counts its batches from 0; the table's numbers go on above those it has.
     """
+    first = _first_number(spark, table, checkpoint)
     stream = (
         spark.readStream.schema(table.schema)
         .option("pathGlobFilter", file_glob)
@@ -22,7 +38,7 @@ def index_stream(
     )
 
     query = (
-        stream.writeStream.foreachBatch(lambda batch, no: table.append(batch, no))
+        stream.writeStream.foreachBatch(lambda batch, no: table.append(batch, first + no))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

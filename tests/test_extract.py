@@ -65,6 +65,28 @@ def test_inner_html_and_depth():
     assert "x" in markup.visible_text(page.root)
     assert markup.Page(None).find("//a") == []
     assert markup.Page("<![bad").root is not None
+    deep = markup.Page("<div>" * 20_000 + "<b>x</b>")
+    assert markup.visible_text(deep.root) == "x" and markup.inner_html(deep.root).endswith("</div>")
+    assert len(deep.find("//div/b")) == 1
+
+
+def test_odd_declarations_are_comments_and_the_page_goes_on():
+    page = markup.Page("<p>a</p><![foo bar]><p>b</p><![CDATA[x]]><!ELEMENT y><p>c</p>")
+    assert [markup.visible_text(p) for p in page.find("//p")] == ["a", "b", "c"]
+
+
+@pytest.mark.parametrize(
+    ("link", "absolute"),
+    [("/j/1", "https://h.org/j/1"), ("x?y=1", "https://h.org/a/x?y=1"), (" ../z ", "https://h.org/z"), ("//o.org/p", "https://o.org/p"), ("http://o.org", "http://o.org"), ("mailto:a@b", "mailto:a@b"), ("?q", "https://h.org/a/b?q"), ("#f", "https://h.org/a/b#f")],
+)
+def test_links_are_absolute(spark, link, absolute):
+    from pyspark.sql import functions as F
+
+    from noticeboard.functions import ids
+
+    assert markup.Page("<a>").address(link, "https://h.org/a/b") == absolute
+    assert spark.range(1).select(ids.resolve(F.lit(link), F.lit("https://h.org/a/b")).alias("r")).first().r == absolute
+    assert markup.Page("<base href='/deep/er/'>").address("x", "https://h.org/a") == "https://h.org/deep/er/x"
 
 
 def test_broken_pages_never_fail_a_job():
@@ -77,7 +99,7 @@ def test_broken_pages_never_fail_a_job():
             at = rng.randrange(len(html) + 1)
             html = html[:at] + rng.choice(bits) + html[at:]
         page = markup.Page(html)
-        extract._values(page, rules)
+        extract._values(page, "https://h.org/", rules)
         for element in page.root.iter():
             markup.inner_html(element)
             markup.visible_text(element)

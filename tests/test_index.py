@@ -117,3 +117,39 @@ def test_shared_folder(spark):
     assert cut_lineage(df).count() == 5
     with pytest.raises(Exception):  # noqa: B017
         written(df.select("nope"), "stage")
+
+
+def test_late_batches_fail_and_known_ones_change_nothing(spark):
+    table = PostingTable(spark, new_folder(spark, "table"), SCHEMA, ["seq"], buckets=4)
+    row = lambda i, title: spark.createDataFrame([(i, title, False, 1)], SCHEMA)
+    table.append(row("a", "x"), 5)
+    table.compact()
+    with pytest.raises(ValueError):
+        table.append(row("b", "late"), 3)
+    table.append(row("a", "other"), 5)
+    table.append(row("b", "y"), 6)
+    assert _dict(table.current()) == {"a": ("x", False), "b": ("y", False)}
+
+
+def test_only_touched_buckets_are_rewritten(spark):
+    table = PostingTable(spark, new_folder(spark, "table"), SCHEMA, ["seq"], buckets=4)
+    table.load(spark.createDataFrame([(str(i), "x", i % 2 == 0, 1) for i in range(40)], SCHEMA))
+    assert table.compact() == 0 and table.unused() == []
+    table.append(spark.createDataFrame([("7", "new", False, 2)], SCHEMA), 1)
+    assert table.compact() == 1 and table.last_number() == 1
+    paths = {f.split("/snapshot/")[1].rsplit("/", 1)[0] for f in table.current().inputFiles()}
+    assert sum(p.startswith("no=1") for p in paths) == 1 and len(paths) == 4
+    assert len(table.unused()) == 2  # the folded change, and the old copy of one bucket
+    got = _dict(table.current())
+    assert got["7"] == ("new", False) and got["8"] == ("x", True) and len(got) == 40
+
+
+def test_a_new_checkpoint_goes_on_above_what_the_table_has(spark):
+    folder = new_folder(spark, "stream")
+    table = PostingTable(spark, f"{folder}/table", SCHEMA, ["seq"], buckets=4)
+    table.append(spark.createDataFrame([("a", "old", False, 1)], SCHEMA), 9)
+    table.compact()
+    spark.createDataFrame([("a", "new", False, 1), ("b", "b", False, 1)], SCHEMA).write.parquet(f"{folder}/source")
+    for checkpoint in ("one", "two"):
+        got = index_stream(spark, f"{folder}/source", table, f"{folder}/{checkpoint}", "*.parquet")
+        assert _dict(got) == {"a": ("new", False), "b": ("b", False)}

@@ -3,6 +3,7 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from noticeboard.model import FieldRule, Limits, Loop, SiteSpec
 from noticeboard.operators.lookup import Dictionary
@@ -94,12 +95,12 @@ def test_details_join_by_address(spark, dictionaries):
     pages = spark.createDataFrame([("A", "p0", 0, _listing(*((f"/{n}", f"t{n}", "2024-01-30") for n in range(5))))], PAGES)
     detail = "<h1>{0}</h1><p class=place>{1}</p><div id=text><p>long {0}</p></div><i>{2}</i>"
     details = spark.createDataFrame([
-        ("A", "/0", 0, 2, detail.format("new zero", "Beijing", "2024-01-30")),
-        ("A", "/0", 0, 1, detail.format("old zero", "nowhere", "2024-01-30")),
-        ("A", "/1", 0, 1, detail.format("one", "x", "2020-01-01")),
-        ("A", "/2", 0, 1, "<h1>no place</h1>"),
-        ("A", "/3", 0, 1, detail.format("three", "Beijing or x", "2024-01-30")),
-    ], "site string, url string, page_no int, fetched_at int, html string")
+        ("A", "/0", 0, datetime(2024, 1, 2), detail.format("new zero", "Beijing", "2024-01-30")),
+        ("A", "/0", 0, datetime(2024, 1, 1), detail.format("old zero", "nowhere", "2024-01-30")),
+        ("A", "/1", 0, datetime(2024, 1, 1), detail.format("one", "x", "2020-01-01")),
+        ("A", "/2", 0, datetime(2024, 1, 1), "<h1>no place</h1>"),
+        ("A", "/3", 0, datetime(2024, 1, 1), detail.format("three", "Beijing or x", "2024-01-30")),
+    ], "site string, url string, page_no int, fetched_at timestamp_ntz, html string")
     groups = (
         (FieldRule("job_category_domain", how="url"), FieldRule("job_title", "h1", "TAG_NAME"), FieldRule("job_location", "place", "CLASS_NAME")),
         (FieldRule("job_description", "text", "ID"), FieldRule("job_post_date", "//i", is_fatal=False)),
@@ -184,3 +185,56 @@ def test_recheck_writes_back_confirmed_rows_only(spark):
     assert {r.id: r.outcome for r in outcome.collect()} == {"1": "alive", "2": "confirmed", "3": "alarm", "4": "skipped"}
     flags = {r.id: r.job_expired for r in recheck.apply_outcome(postings, outcome).collect()}
     assert flags == {"1": False, "2": True, "3": False, "4": False, "5": False, "6": True}
+
+
+def test_relative_links_lead_to_details_and_ids_of_their_own(spark, dictionaries):
+    rows = [(site, f"https://{site.lower()}.org/jobs/list?p=1", 0, _listing(("/j/1", f"{site} one", "2024-01-30"), ("../k#x", f"{site} two", "2024-01-30"))) for site in "AB"]
+    pages = spark.createDataFrame(rows, PAGES)
+    found = collect.collect_postings(pages, [_spec("A"), _spec("B")], AS_OF, *dictionaries).collect()
+    assert {r.job_url for r in found} == {f"https://{h}.org/{p}" for h in "ab" for p in ("j/1", "k#x")}
+    assert len({r.id for r in found}) == 4
+    details = spark.createDataFrame([("A", f"https://{h}.org/{p}", 0, "<h1>shown</h1>") for h in "ab" for p in ("j/1", "k#x")], PAGES)
+    groups = ((FieldRule("job_category_domain", "h1", "TAG_NAME"),),)
+    specs = [SiteSpec(s, _spec(s).items, _spec(s).list_rules, groups) for s in "AB"]
+    details = details.withColumn("site", F.when(F.contains("url", F.lit("/a.")), "A").otherwise("B"))
+    joined = collect.collect_postings(pages, specs, AS_OF, *dictionaries, details=details).collect()
+    assert len(joined) == 4 and {r.id for r in joined} == {r.id for r in found} and {r.job_category_domain for r in joined} == {"shown"}
+
+
+def test_page_numbers_may_be_missing_or_shared(spark, dictionaries):
+    lost = spark.createDataFrame([("A", "p", None, _listing(("/1", "one", "2024-01-30"))), (None, "https://a.org/q", 0, _listing(("/2", "two", "2024-01-30")))], PAGES)
+    assert _titles(collect.collect_postings(lost, [_spec("A"), _spec("a.org")], AS_OF, *dictionaries)) == ["one", "two"]
+    shared = spark.createDataFrame([("A", u, 0, _listing((f"/{u}", u, "2024-01-30"))) for u in "pqr"] * 2, PAGES)
+    assert collect.collect_postings(shared, [_spec("A", n_jobs=1)], AS_OF, *dictionaries).count() == 1
+    assert collect.collect_postings(shared, [_spec("A", n_jobs=2)], AS_OF, *dictionaries).count() == 2
+
+
+def test_the_newest_snapshot_of_a_listing_counts(spark, dictionaries):
+    pages = spark.createDataFrame([
+        ("A", "p", 0, datetime(2024, 1, 1), _listing(("/1", "one", "2024-01-30"), ("/2", "two", "2024-01-30"))),
+        ("A", "p", 0, datetime(2024, 1, 2), _listing(("/2", "two", "2024-01-30"))),
+        ("A", "q", 1, datetime(2024, 1, 1), _listing(("/3", "three", "2024-01-30"))),
+        ("A", "q", 1, datetime(2024, 1, 3), "<p>closed</p>"),
+        (None, None, 2, None, None),
+    ], "site string, url string, page_no int, fetched_at timestamp_ntz, html string")
+    assert _titles(collect.collect_postings(pages, [_spec("A")], AS_OF, *dictionaries)) == ["two"]
+
+
+def test_an_old_detail_page_that_fails_still_ends_paging(spark, dictionaries):
+    pages = spark.createDataFrame([("A", f"p{n}", n, _listing((f"/{n}", f"t{n}", "-"))) for n in range(3)], PAGES)
+    shown = {0: "<h1>x</h1><i>2024-01-30</i>", 1: "<i>2020-01-01</i>", 2: "<h1>x</h1><i>2024-01-30</i>"}
+    details = spark.createDataFrame([("A", f"/{n}", 0, html) for n, html in shown.items()], PAGES)
+    groups = ((FieldRule("job_category_domain", "h1", "TAG_NAME"), FieldRule("job_post_date", "//i", is_fatal=False)),)
+    spec = SiteSpec("A", _spec("A").items, _spec("A").list_rules[:2], groups)
+    assert _titles(collect.collect_postings(pages, [spec], AS_OF, *dictionaries, details=details)) == ["t0"]
+
+
+def test_html_is_never_moved(spark, dictionaries):
+    pages = spark.createDataFrame([("A", "p", 0, datetime(2024, 1, 1), _listing(("/1", "one", "2024-01-30")))], "site string, url string, page_no int, fetched_at timestamp_ntz, html string")
+    from noticeboard.operators.extract import extract
+
+    for level, spec in (("list", _spec("A")), ("detail", SiteSpec("A", detail_groups=((FieldRule("job_title", "a"),),)))):
+        plan = extract(pages, [spec], level)._jdf.queryExecution().executedPlan().toString()
+        moved = [line for line in plan.split("\n") if "Exchange" in line or "Sort" in line]
+        below = plan[plan.index("MapInArrow"):].split("MapInArrow", 1)[1]
+        assert moved and "Exchange" not in below.split("LogicalRDD")[0].split("Scan")[0] and not any("html" in line for line in moved)

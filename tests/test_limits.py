@@ -107,7 +107,27 @@ def test_fresh_as_a_comparison_equals_whole_days(spark):
     seconds = [d * 86400 + s for d in range(-2, 6) for s in (-1, 0, 1)]
     rows = [(i, now - timedelta(seconds=s)) for i, s in enumerate(seconds)] + [(99, None)]
     df = spark.createDataFrame(rows, "i int, d timestamp_ntz")
-    for n in (0, 1, 3, limits.MAX_DAYS):
+    for n in (0, 1, 3, 1_000_000, 2**31 - 1):
         by_comparison = {r.i for r in limits.fresh(df, "d", dates.ntz(now), n).collect()}
         by_days = {r.i for r in limits.fresh(df, "d", dates.ntz(now), F.lit(n)).collect()}
         assert by_comparison == by_days and 99 in by_days
+
+
+def test_missing_numbers_are_values_and_ties_stay_within_the_cap(spark):
+    rows = [("a", None, 0, "u"), ("a", None, 1, "u"), ("a", 0, 0, "u"), ("a", 0, 0, "v"), ("a", 0, None, "v"), (None, 1, 0, "u"), (None, 1, 1, "u")]
+    df = spark.createDataFrame(rows, "site string, page_no int, item_pos int, url string")
+    ranked = limits.with_running_rank(df, ["site"], "n", tie=["url"]).collect()
+    assert len(ranked) == len(rows)
+    assert sorted((r.site or "", r.n) for r in ranked) == [("", 1), ("", 2), ("a", 1), ("a", 2), ("a", 3), ("a", 4), ("a", 5)]
+    assert limits.site_cap(df, ["site"], 1, tie=["url"]).count() == 2
+
+
+def test_a_repeated_id_of_the_index_doubles_nothing(spark):
+    rows = spark.createDataFrame([("1",), ("2",)], "id string")
+    assert limits.mark_known(rows, spark.createDataFrame([("1",), ("1",)], "id string")).count() == 2
+
+
+def test_rows_behind_the_page_cap_are_never_looked_at(spark):
+    df = spark.createDataFrame([("s", 0, i, i == 4) for i in range(6)], "site string, page_no int, item_pos int, old boolean")
+    assert [r.item_pos for r in limits.page_cap(df, ["site"], 3, accepted=~F.col("old")).orderBy("item_pos").collect()] == [0, 1, 2]
+    assert limits.page_cap(df, ["site"], 5, accepted=~F.col("old")).count() == 6  # the one at the cap is old

@@ -2,22 +2,25 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from noticeboard import catalog
 
 SF = "/root/testdata/sf0.001"
 READS_PAGES = {
     "extract_title", "extract_links", "list_items", "extract_by_rule", "required_fields", "url_default", "int_const", "page_bounds",
-    "collect_job", "recheck_job",
+    "collect_job", "collect_detail_job", "recheck_job",
 }
 
 
+catalog.load()
+
+
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_plan(spark, name):
-    plan = _plan(entry.queries()[name](spark, SF))
+    plan = _plan(catalog.QUERIES[name](spark, SF))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan
     if name != "user_function":
@@ -32,7 +35,7 @@ def scans(spark):
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
 
     def read(name):
-        plan = _plan(entry.queries()[name](spark, SF))
+        plan = _plan(catalog.QUERIES[name](spark, SF))
         return [line for line in plan.split("\n") if "FileScan" in line]
 
     yield read

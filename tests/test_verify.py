@@ -2,6 +2,8 @@ from datetime import datetime
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from noticeboard.operators import verify
 
 AS_OF = datetime(2024, 1, 31, 12)
@@ -66,6 +68,12 @@ def test_route_reports_unknown_companies(spark):
     assert [r.site for r in known.collect()] == ["site-a"] and [r.id for r in unknown.collect()] == ["2"]
 
 
-def test_latest_pages(spark):
-    pages = spark.createDataFrame([("u", 1, "old"), ("u", 3, "new"), ("v", 1, "only")], "url string, fetched_at int, html string")
-    assert {r.html for r in verify.latest_pages(pages).collect()} == {"new", "only"}
+def test_a_sieve_lets_all_wanted_values_pass_and_few_others(spark):
+    from noticeboard.operators.sieve import sieve
+
+    keys = spark.range(500).select(F.concat(F.lit("http://a/"), "id").alias("k")).unionAll(spark.createDataFrame([(None,)], "k string"))
+    passes = sieve(keys, "k")
+    other = spark.range(20_000).select(F.concat(F.lit("http://a/"), "id").alias("k")).where(passes(F.col("k")))
+    assert other.where(F.regexp_extract("k", r"(\d+)$", 1).cast("int") < 500).count() == 500
+    assert other.count() < 600
+    assert spark.range(9).select(F.col("id").cast("string").alias("k")).where(sieve(keys.limit(0), "k")(F.col("k"))).count() == 0
