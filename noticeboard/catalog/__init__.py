@@ -13,8 +13,6 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import spread
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -42,11 +40,6 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def heavy(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
-    """Columns of a table for text work that is heavy per row."""
-    return spread(table(spark, sf, name).select(*columns))
-
-
 def listing(spark: SparkSession, sf: str) -> DataFrame:
     """Events as rows of paged listings: 100 events are a page, a user is a site."""
     key = F.col("event_id")

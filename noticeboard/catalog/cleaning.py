@@ -8,7 +8,7 @@ from ..functions import dates, ids, text
 from ..model import FieldRule, Transform
 from ..operators import clean, lookup
 from ..sources import dictionaries
-from . import AS_OF, ORDERS_AS_OF, ORDERS_AS_OF_SQL, heavy, query, table
+from . import AS_OF, ORDERS_AS_OF, ORDERS_AS_OF_SQL, query, table
 
 _HOUR_SQL = "TIMESTAMP '2024-01-31 10:00:00'"
 _SHORT = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
@@ -50,7 +50,7 @@ def _render(date, form):
 def _lines(spark, sf, field):
     """Documents as pages: the lines of a text are the elements found for ``field``."""
     raw = F.create_map(F.lit(field), F.split("text", "\n"))
-    return heavy(spark, sf, "documents", "doc_id", "text").select("doc_id", F.lit("").alias("url"), raw.alias("raw"))
+    return table(spark, sf, "documents").select("doc_id", "text").select("doc_id", F.lit("").alias("url"), raw.alias("raw"))
 
 
 @query("""WITH e AS (SELECT doc_id, list_transform(string_split(text, chr(10)),
@@ -75,7 +75,7 @@ def affix(spark, sf):
   regexp_replace(text, '(?i)th', 't', 'g') AS folded FROM documents""")
 def regex_sub(spark, sf):
     doc = F.col("text")
-    return heavy(spark, sf, "documents", "doc_id", "text").select(
+    return table(spark, sf, "documents").select("doc_id", "text").select(
         "doc_id",
         text.regex_sub(doc, r"s/([A-Za-z]+), ([a-z]+)/$2\/$1/g").alias("swapped"),
         text.regex_sub(doc, "s#th#t#gi").alias("folded"),
@@ -86,7 +86,7 @@ def regex_sub(spark, sf):
   SELECT doc_id, array_to_string(m, ',') AS every, coalesce(m[2], '') AS second, coalesce(m[-1], '') AS last FROM d""")
 def match_nth(spark, sf):
     doc, spec = F.col("text"), "/([A-Za-z]+)([,.])/"
-    return heavy(spark, sf, "documents", "doc_id", "text").select(
+    return table(spark, sf, "documents").select("doc_id", "text").select(
         "doc_id",
         text.match_nth(doc, spec, 0).alias("every"),
         text.match_nth(doc, spec, 2).alias("second"),
@@ -111,8 +111,10 @@ _LAYOUT_FORMS = {
 @query("SELECT o_orderkey, " + ", ".join(f"o_orderdate AS {n}" for n, _ in _LAYOUT_FORMS.values()) + " FROM orders")
 def date_layouts(spark, sf):
     date = F.col("o_orderdate")
-    parsed = (dates.parse_date(_render(date, form), layout).alias(name) for layout, (name, form) in _LAYOUT_FORMS.items())
-    return heavy(spark, sf, "orders", "o_orderkey", "o_orderdate").select("o_orderkey", *parsed)
+    texts = {name: _render(date, form) for name, form in _LAYOUT_FORMS.values()}
+    layouts = {name: layout for layout, (name, _) in _LAYOUT_FORMS.items()}
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    return dates.with_dates(rows, texts, layouts).drop("o_orderdate")
 
 
 # Default formats: name, text form, and the part of the time that is kept.
@@ -140,8 +142,8 @@ _SHIFTS = {
 @query("SELECT event_id, " + ", ".join(
     f"CAST(date_trunc('{part}', ts) AS TIMESTAMP) {_SHIFTS.get(name, '')} AS {name}" for name, _, part in _DEFAULT_FORMS) + " FROM events")
 def date_parse(spark, sf):
-    parsed = (dates.parse_date(_render(F.col("ts"), form)).alias(name) for name, form, _ in _DEFAULT_FORMS)
-    return heavy(spark, sf, "events", "event_id", "ts").select("event_id", *parsed)
+    texts = {name: _render(F.col("ts"), form) for name, form, _ in _DEFAULT_FORMS}
+    return dates.with_dates(table(spark, sf, "events").select("event_id", "ts"), texts).drop("ts")
 
 
 @query("SELECT o_orderkey, o_orderdate + to_milliseconds(125) AS posted FROM orders")
@@ -159,7 +161,7 @@ def date_fallback(spark, sf):
     posted = F.when(F.col("o_orderstatus") == "O", "soon").otherwise(_render(date, "{d} {MMM} {y}"))
     expires = F.when(F.col("o_orderstatus") == "P", "31/31/2000").otherwise(_render(date, "{M}/{d}/{y}"))
     raw = F.create_map(F.lit("job_post_date"), F.array(posted), F.lit("job_expire_date"), F.array(expires))
-    rows = heavy(spark, sf, "orders", "o_orderkey", "o_orderstatus", "o_orderdate").select("o_orderkey", raw.alias("raw"))
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate").select("o_orderkey", raw.alias("raw"))
     rows = clean.with_field(rows, FieldRule("job_post_date", "p"), "job_post_date", None, AS_OF)
     rows = clean.with_field(rows, FieldRule("job_expire_date", "p"), "job_expire_date", None, AS_OF)
     return rows.where("job_expire_date is not null").select("o_orderkey", "job_post_date", "post_date_guessed")
@@ -240,13 +242,13 @@ def default_clean(spark, sf):
 def strip_nonchar(spark, sf):
     """Documents with control and non-character code points put in come back as they were."""
     dirty = F.concat(F.lit("\x01￾"), F.replace("text", F.lit(" "), F.lit("\x0b ﷑\x1f")), F.lit("￿"))
-    return heavy(spark, sf, "documents", "doc_id", "text").select("doc_id", text.strip_nonchar(dirty).alias("text"))
+    return table(spark, sf, "documents").select("doc_id", "text").select("doc_id", text.strip_nonchar(dirty).alias("text"))
 
 
 @query("SELECT doc_id, replace(text, 'e', '') AS text FROM documents")
 def clean_field(spark, sf):
     dirty = F.replace("text", F.lit("e"), F.lit("�"))
-    return heavy(spark, sf, "documents", "doc_id", "text").select("doc_id", text.drop_replacement(dirty).alias("text"))
+    return table(spark, sf, "documents").select("doc_id", "text").select("doc_id", text.drop_replacement(dirty).alias("text"))
 
 
 def _replace_all(sql, *steps):
@@ -271,7 +273,7 @@ _TEXT_SQL = _replace_all(
 @query(f"SELECT page_id, {_TEXT_SQL} AS plain FROM pages")
 def html_to_text(spark, sf):
     """The pages have relative links only; links with an address are covered by the tests."""
-    return heavy(spark, sf, "pages", "page_id", "html").select("page_id", text.html_to_text(F.col("html")).alias("plain"))
+    return table(spark, sf, "pages").select("page_id", "html").select("page_id", text.html_to_text(F.col("html")).alias("plain"))
 
 
 @query("""SELECT page_id, md5(url) AS by_url, md5(url || coalesce(CASE WHEN url LIKE 'https%' THEN regexp_extract(html, '<title>(.*?)</title>', 1) END, '')) AS by_url_and_title,

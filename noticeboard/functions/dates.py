@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Chinese month names and the English short names they stand for.
@@ -166,22 +166,35 @@ def _from_millis(text: Column) -> Column:
     return F.when(F.abs(millis) <= _LAST_MILLI, start + F.make_dt_interval(secs=seconds))
 
 
+def _fields(text: Column, layout: str | None) -> Column:
+    """The fields of whichever format fits, as an array of texts."""
+    return F.split(F.regexp_replace(F.trim(apply_layout(text, layout)), *_one_pass()), r"\|", -1)
+
+
+def _date(read: Column) -> Column:
+    """A date from its fields; null where no format has fitted."""
+    field = {name: F.get(read, F.lit(i)) for i, name in enumerate(_FIELDS)}
+    field["y"] = F.substring(field["y"], 2, 9)
+    moment = F.when(field["e"] == "", _moment(field)).otherwise(_from_millis(field["e"]))
+    return F.when(F.startswith(F.get(read, F.lit(0)), F.lit(_READ)), moment)
+
+
 def parse_date(text: Column, layout: str | None = None) -> Column:
     """Layout, then the default formats in order, then epoch milliseconds. Quotes around the
     text do not count; month names may be Chinese.
 
-    Out-of-range fields make a text unparseable; null when nothing fits.
+    Out-of-range fields make a text unparseable; null when nothing fits. For elements of arrays;
+    a column of texts is read by ``with_dates``.
     """
-    text = F.regexp_replace(F.trim(apply_layout(text, layout)), *_one_pass())
+    # The array of one binds the field list, so that it is worked out once and read many times.
+    return F.transform(F.array(_fields(text, layout)), _date)[0]
 
-    def build(read: Column) -> Column:
-        field = {name: F.get(read, F.lit(i)) for i, name in enumerate(_FIELDS)}
-        field["y"] = F.substring(field["y"], 2, 9)
-        moment = F.when(field["e"] == "", _moment(field)).otherwise(_from_millis(field["e"]))
-        return F.when(F.startswith(read[0], F.lit(_READ)), moment)
 
-    # The array of one binds the field list, so that it is worked out once and read many times.
-    return F.transform(F.array(F.split(text, r"\|", -1)), build)[0]
+def with_dates(df: DataFrame, texts: dict[str, Column], layouts: dict[str, str] | None = None) -> DataFrame:
+    """Add a date column for each text, read as ``parse_date`` does. The fields become columns of a
+    step of their own, so that everything after the pattern is generated code."""
+    read = {f"__read_{out}": _fields(text, (layouts or {}).get(out)) for out, text in texts.items()}
+    return df.withColumns(read).withColumns({out: _date(F.col(f"__read_{out}")) for out in texts}).drop(*read)
 
 
 def whole_days(since: Column, as_of: Column) -> Column:

@@ -191,7 +191,8 @@ def with_field_variants(
     if field in TEXT_FIELDS:
         value = text_functions.strip_nonchar(value)
     if field in DATE_FIELDS:
-        value = dates.parse_date(value)
+        df = dates.with_dates(df, {"__date": value})
+        value = F.col("__date")
     plain = _rows_with(read, lambda r: not any(t.how in _FORMATTING for t in r.transforms))
     if field == LOCATION_FIELD and plain is not None and cities is not None:
         df = df.withColumns({"__value": value, "__own": plain, "__v": F.when(plain & value.isNotNull(), F.array(value))})
@@ -209,7 +210,7 @@ def with_field_variants(
         df = df.withColumn("post_date_guessed", F.when(found, F.col("__now")).otherwise(before))
         now = dates.ntz(dates.on_the_hour(as_of))
         df = df.withColumn(out, F.when(F.col("__now"), now).otherwise(F.col(out))).drop("__now")
-    return df.drop("__v")
+    return df.drop("__v", "__date")
 
 
 def with_field(

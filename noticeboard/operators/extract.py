@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ids, markup
 from ..model import FieldRule, SiteSpec
-from .skew import join_many_facts
+from .skew import join_facts
 
 ANY_SITE = "*"
 _OUT = (
@@ -169,7 +169,7 @@ def newest(rows: DataFrame, level: str) -> DataFrame:
     keys = ["__url"] if level == "detail" else ["site", "outer_no", "page_no", "__url"]
     last = rows.groupBy(*keys).agg(F.max("version").alias("version"))
     shown = rows.where(F.col("n_items").isNull() | F.col("item_pos").isNotNull())
-    return join_many_facts(shown, last, [*keys, "version"]).drop("version", "__url")
+    return join_facts(shown, last, [*keys, "version"]).drop("version", "__url")
 
 
 def page_bounds(pager_nodes: Column, page_count: Column, stated: Column, loop_begin: Column, loop_end: Column) -> Column:
@@ -192,7 +192,7 @@ def list_with_detail(items: DataFrame, details: DataFrame) -> DataFrame:
     page; a row whose page is missing is dropped. ``details`` has one row per address, or several
     copies of one: any of them serves."""
     detail = details.groupBy(F.col("url").alias("job_url")).agg(F.first("raw").alias("raw"))
-    return join_many_facts(items.drop("raw", "url"), detail, ["job_url"]).withColumn("url", F.col("job_url"))
+    return join_facts(items.drop("raw", "url"), detail, ["job_url"]).withColumn("url", F.col("job_url"))
 
 
 def first_failed_group(results: DataFrame, posting: list[str]) -> DataFrame:

@@ -1,13 +1,11 @@
 """Dictionary lookups: company display names, canonical place names.
 
-A dictionary that fits a proven bound becomes a constant of the plan and costs no shuffle.
-Beyond the bound the same lookup runs as a join over the distinct values, with the size check
-left to Spark's own broadcast threshold and AQE.
+Lookups are joins over the distinct values, with the size check left to Spark's own broadcast
+threshold and AQE.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -15,47 +13,26 @@ from pyspark.sql import functions as F
 
 from ..functions import text as text_functions
 from ..model import OTHER_PLACE, UNKNOWN_COMPANY
-from .skew import join_facts, join_many_facts
-
-LITERAL_LIMIT = 2000  # entries
+from .skew import join_facts
 
 
 class Dictionary:
-    """Unique keys to values. ``literal`` is null when there are more than ``limit`` entries."""
+    """Unique keys to values."""
 
-    def __init__(self, frame: DataFrame, key: str, value: str, limit: int = LITERAL_LIMIT):
+    def __init__(self, frame: DataFrame, key: str, value: str):
         self.frame = (
             frame.select(F.col(key).alias("key"), F.col(value).alias("value"))
             .where("key is not null")
             .groupBy("key")
             .agg(F.min("value").alias("value"))
         )
-        self.limit = limit
-        self._literal: Column | None = None
-        self._checked = False
-
-    def literal(self) -> Column | None:
-        if not self._checked:
-            head = self.frame.limit(self.limit + 1).collect()
-            if len(head) <= self.limit:
-                entries = json.dumps(dict(map(tuple, head)), ensure_ascii=False)
-                self._literal = F.from_json(F.lit(entries), "map<string,string>")
-            self._checked = True
-        return self._literal
-
-
-def with_display_name(
-    df: DataFrame, company: str, names: Dictionary, out: str, by: list[str] | None = None
-) -> DataFrame:
-    """Display name by upper-cased company; ``unknown`` when it is not listed. ``by`` names
-    columns that tell the rows of a company apart (see ``join_facts``)."""
-    key, default = F.upper(F.col(company)), F.lit(UNKNOWN_COMPANY)
-    literal = names.literal()
-    if literal is not None:
-        return df.withColumn(out, F.coalesce(F.try_element_at(literal, key), default))
+
+
+def with_display_name(df: DataFrame, company: str, names: Dictionary, out: str) -> DataFrame:
+    """Display name by upper-cased company; ``unknown`` when it is not listed."""
     listed = names.frame.select(F.col("key").alias("__key"), F.col("value").alias(out))
-    joined = join_facts(df.withColumn("__key", key), listed, ["__key"], "left", by=by).drop("__key")
-    return joined.withColumn(out, F.coalesce(F.col(out), default))
+    joined = join_facts(df.withColumn("__key", F.upper(F.col(company))), listed, ["__key"], "left").drop("__key")
+    return joined.withColumn(out, F.coalesce(F.col(out), F.lit(UNKNOWN_COMPANY)))
 
 
 def _format_tokens(place: Column) -> Column:
@@ -88,21 +65,12 @@ def map_places(
         known = F.when(F.size(names) > 0, F.array_join(names, ","))
         return known.when(text == "", empty).when(text.isNotNull(), OTHER_PLACE)
 
-    literal = cities.literal()
-    if literal is not None:
-
-        def place(text: Column) -> Column:
-            found = F.transform(tokens(text), lambda t: F.try_element_at(literal, _normal(t)))
-            return finish(text, F.array_compact(found))
-
-        return df.withColumn(column, F.transform(column, place))
-
     # Each distinct array is mapped once, however often it occurs.
     arrays = df.select(F.col(column).alias("__texts")).where("__texts is not null").distinct()
     texts = arrays.select("__texts", F.posexplode("__texts").alias("__at", "__text"))
     exploded = texts.select("*", F.posexplode_outer(tokens(F.col("__text"))).alias("__pos", "__token"))
     keyed = exploded.withColumn("key", _normal(F.col("__token")))
-    known = join_facts(keyed, cities.frame, ["key"], "left", by=["__texts", "__at", "__pos"])
+    known = join_facts(keyed, cities.frame, ["key"], "left")
     names = F.transform(
         F.array_sort(F.collect_list(F.when(F.col("value").isNotNull(), F.struct("__pos", "value")))),
         lambda hit: hit["value"],
@@ -111,7 +79,7 @@ def map_places(
     place = finish(F.col("__text"), F.col("names"))
     per_array = per_text.groupBy("__texts").agg(F.array_sort(F.collect_list(F.struct("__at", place.alias("p")))).alias("ps"))
     named = per_array.select("__texts", F.transform("ps", lambda x: x["p"]).alias("__places"))
-    joined = join_many_facts(df.withColumn("__texts", F.col(column)), named, ["__texts"], "left")
+    joined = join_facts(df.withColumn("__texts", F.col(column)), named, ["__texts"], "left")
     # An empty array has no rows to map and stays empty.
     return joined.withColumn(column, F.coalesce("__places", column)).drop("__texts", "__places")
 

@@ -1,8 +1,8 @@
 """Joins with facts about a key, where one key may hold a third of all rows.
 
 AQE splits the partition of a hot key only where both sides of the join are shuffled for that
-join. Facts that come from an aggregate by the key are not: they are partitioned already. Both
-functions here join on one more column, so that the facts get a shuffle of their own. Facts
+join. Facts that come from an aggregate by the key are not: they are partitioned already. So the
+join is on one more column, a hash of the keys, and the facts get a shuffle of their own. Facts
 small enough are broadcast by Spark's own size check instead.
 """
 
@@ -10,28 +10,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-PARTS = 16
 
+def _deal(columns: list[str]) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(16)).cast("int")
 
-def _part(columns: list[str]) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(PARTS)).cast("int")
 
+def join_facts(rows: DataFrame, facts: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join facts about the keys of rows; hot keys are left to AQE."""
+    own = facts.withColumn("__deal", _deal(keys))
+    return rows.withColumn("__deal", _deal(keys)).join(own, [*keys, "__deal"], how).drop("__deal")
 
-def join_facts(rows: DataFrame, facts: DataFrame, keys: list[str], how: str = "inner", by: list[str] | None = None) -> DataFrame:
-    """Join few facts: the rows of a key are dealt over ``PARTS`` parts, each with its copy of
-    the facts, and AQE may split further.
 
-    The part is a hash of the row, the columns ``by`` or all that can be hashed, so a task that
-    runs again deals the same way.
-    """
-    hashable = by or [f.name for f in rows.schema.fields if not isinstance(f.dataType, (T.MapType, T.StructType))]
-    copies = facts.withColumn("__deal", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
-    return rows.withColumn("__deal", _part(hashable)).join(copies, [*keys, "__deal"], how).drop("__deal")
-
-
-def join_many_facts(rows: DataFrame, facts: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Join facts about as many keys as there may be rows: no copies, hot keys are left to AQE."""
-    own = facts.withColumn("__deal", _part(keys))
-    return rows.withColumn("__deal", _part(keys)).join(own, [*keys, "__deal"], how).drop("__deal")
+join_many_facts = join_facts

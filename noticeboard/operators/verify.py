@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..session import cut_lineage
-from .skew import join_facts, join_many_facts
+from .skew import join_facts
 
 
 def route(candidates: DataFrame, sites: DataFrame, key: str = "job_company") -> tuple[DataFrame, DataFrame]:
@@ -19,8 +19,8 @@ def route(candidates: DataFrame, sites: DataFrame, key: str = "job_company") ->
     ``sites`` has the key and verify_single, one row per key: the company, or the site where
     postings name it, since several sites may lack a display name.
     """
-    known = join_facts(candidates, sites, [key], by=["id"])
-    return known, join_facts(candidates, sites, [key], "left_anti", by=["id"])
+    known = join_facts(candidates, sites, [key])
+    return known, join_facts(candidates, sites, [key], "left_anti")
 
 
 def with_batch(df: DataFrame, key: str = "job_company") -> DataFrame:
@@ -41,7 +41,7 @@ def with_expiry(candidates: DataFrame, alive_urls: DataFrame, as_of: datetime) -
     alive = alive_urls.select(F.col("url").alias("job_url"), F.lit(True).alias("alive")).distinct()
     by_date = expired_by_date(F.col("job_expire_date"), as_of)
     by_page = ~by_date & F.col("alive").isNull()
-    return join_many_facts(candidates, alive, ["job_url"], "left").select(
+    return join_facts(candidates, alive, ["job_url"], "left").select(
         *candidates.columns,
         by_date.alias("expired_date"),
         by_page.alias("expired_page"),
@@ -67,7 +67,7 @@ def guard(checked: DataFrame) -> DataFrame:
     facts = batch_facts(checked).where("all_expired and not single").select("batch_key", F.lit(True).alias("suspicious"))
     held = F.col("suspicious").isNotNull() & ~F.col("expired_date")
     outcome = F.when(~F.col("expired"), "alive").when(held, "held").otherwise("confirmed")
-    return join_facts(checked, facts, ["batch_key"], "left", by=["id"]).withColumn("outcome", outcome).drop("suspicious")
+    return join_facts(checked, facts, ["batch_key"], "left").withColumn("outcome", outcome).drop("suspicious")
 
 
 def next_offset(checked: DataFrame, start: int, rows: int) -> DataFrame:

@@ -38,13 +38,6 @@ def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """A scan, dealt over all cores where it has fewer splits than that, for steps that are heavy
-    per row. A large input has more splits than cores and is left as it is."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
-
-
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint into the shared folder, so a lost executor costs a re-read."""
     context = df.sparkSession.sparkContext

@@ -13,13 +13,10 @@ CITY_LINES = [
 ]
 
 
-@pytest.fixture(params=["literal", "join"])
-def cities(spark, request):
+@pytest.fixture
+def cities(spark):
     lines = spark.createDataFrame([(x,) for x in CITY_LINES], "line string")
-    limit = 2000 if request.param == "literal" else 3
-    found = lookup.Dictionary(dictionaries.city_aliases(lines), "alias", "canonical", limit)
-    assert (found.literal() is None) == (request.param == "join")
-    return found
+    return lookup.Dictionary(dictionaries.city_aliases(lines), "alias", "canonical")
 
 
 def _run(spark, inputs, step):
@@ -28,7 +25,7 @@ def _run(spark, inputs, step):
 
 
 def test_city_format(spark, cities):
-    spec = r"s/\s*([^,]*)[^;]*;?/$1,/g"
+    spec = r"s/([^,;]+)(?:,[^;]*)?(?:;|$)/$1,/g"
     inputs = ["hong kong", "Taipei, Taiwan", "Beijing, Beijing, China; Shanghai, Shanghai, China", "nowhere", "", None, "上海市,北京"]
     got = _run(spark, inputs, lambda d: lookup.with_city_format(d, "t", cities, "place", spec))
     assert got == ["香港", "台北", "北京,上海", "其他", "其他", None, "上海"]
@@ -49,10 +46,16 @@ def test_city_tokens(spark, cities):
 
 def test_display_names(spark):
     lines = spark.createDataFrame([("Audi=一汽 AUDI",), ("GE:通用 GE",), (r"Two\ Words = X Y",)], "line string")
-    for limit in (2000, 1):
-        names = lookup.Dictionary(dictionaries.company_names(lines), "key_upper", "display_name", limit)
-        got = _run(spark, ["audi", "Ge", "two words", "x", None], lambda d: lookup.with_display_name(d, "t", names, "place"))
-        assert got == ["一汽 AUDI", "通用 GE", "X Y", "unknown", "unknown"]
+    names = lookup.Dictionary(dictionaries.company_names(lines), "key_upper", "display_name")
+    got = _run(spark, ["audi", "Ge", "two words", "x", None], lambda d: lookup.with_display_name(d, "t", names, "place"))
+    assert got == ["一汽 AUDI", "通用 GE", "X Y", "unknown", "unknown"]
+
+
+def test_lookups_run_no_job_while_the_plan_is_built(spark, cities):
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    lookup.with_city_format(spark.createDataFrame([("x",)], "t string"), "t", cities, "place")
+    assert len(tracker.getJobIdsForGroup(None)) == before
 
 
 def test_rules_of_several_sites(spark, cities):
