@@ -1,5 +1,7 @@
 """Whole jobs over the pages."""
 
+import json
+
 from pyspark.sql import functions as F
 
 from ..model import FieldRule, Limits, Loop, SiteSpec, Transform
@@ -7,7 +9,9 @@ from ..operators.extract import ANY_SITE
 from ..operators.lookup import Dictionary
 from ..plans.collect import collect_postings
 from ..plans.recheck import alive_urls, recheck_postings
+from ..session import new_folder
 from ..sources import pages as page_source
+from ..sources import specs as spec_source
 from . import AS_OF, query, table
 from .extraction import _HREFS, _shown
 
@@ -77,6 +81,37 @@ def collect_detail_job(spark, sf):
     return rows.select("page_no", "id", "job_url", "job_title", "job_category_domain")
 
 
+# Categories around pages around postings.
+_NESTED = {
+    "name": ANY_SITE, "check_index": True, "fetch.n.pages": 2000,
+    "procedure": {
+        "loop": {"loop_type": "begin", "xpath_prefix": "//nav", "loop_item_type": "other"},
+        "procedure": {
+            "loop": {"loop_type": "end", "loop_item_type": "page"},
+            "procedure": {
+                "loop": {"loop_type": "begin", "xpath_prefix": "//article"},
+                "extracts": {"job_url": {"how": "url"}, "job_title": {"element": "h1"}},
+            },
+        },
+    },
+}
+
+
+@query("""WITH p AS (SELECT *, regexp_extract(url, '^https?://([^/?#]+)', 1) AS site, page_id % 3 AS outer_no FROM pages WHERE html LIKE '%<h1>%'),
+  s AS (SELECT site, outer_no, min(page_id) AS stop FROM p WHERE page_id % 7 = 3 GROUP BY ALL)
+  SELECT CAST(page_id AS INTEGER) AS page_no, CAST(p.outer_no AS INTEGER) AS outer_no, url AS job_url FROM p LEFT JOIN s USING (site, outer_no)
+  WHERE (stop IS NULL OR page_id <= stop) AND page_id < 2000""")
+def nested_loops_job(spark, sf):
+    """Specs from files; each category of a site is paged on its own, up to the first known posting and the page cap."""
+    folder = new_folder(spark, "specs")
+    spark.createDataFrame([(json.dumps(_NESTED),)], "value string").coalesce(1).write.text(folder)
+    read = spec_source.read_specs(spark, folder, "part-*")
+    pages = _pages(spark, sf).withColumn("outer_no", F.col("page_no") % 3)
+    known = table(spark, sf, "pages").where("page_id % 7 = 3").select(F.md5("url").alias("id"))
+    rows = collect_postings(pages, read, AS_OF, Dictionary(table(spark, sf, "nation"), "n_name", "n_name"), _companies(spark, sf), index_ids=known)
+    return rows.select("page_no", "outer_no", "job_url")
+
+
 _RULES = (FieldRule("job_title", "h1", "TAG_NAME"), FieldRule("job_category_domain", "//nav/ul/li[5]/a"))
 _LATER_RULES = (FieldRule("job_title", "h1", "TAG_NAME"), FieldRule("job_sub_company", "//nav/ul/li[6]/a"))
 

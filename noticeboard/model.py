@@ -86,6 +86,7 @@ class SiteSpec:
     list_rules: tuple[FieldRule, ...] = ()
     detail_groups: tuple[tuple[FieldRule, ...], ...] = ()
     pages: Loop | None = None
+    outer: Loop | None = None
     id_how: str | None = None
     id_regex: str | None = None
     n_pages: int | None = None
@@ -126,13 +127,16 @@ def site_config(spark: SparkSession, specs: list[SiteSpec]) -> DataFrame:
 
 def loop_rules(spark: SparkSession, specs: list[SiteSpec]) -> DataFrame:
     """Per site how its pages and items are looped over. ``bounded``: the pages say how many
-    there are; ``paged``: the loop is one of pages, so an old row ends it."""
+    there are; ``paged``: the loop is one of pages, so an old row ends it. An outer loop of other things
+    (categories, say) goes on with its next one; where there is no page loop within it, nothing
+    ends early."""
     rows = []
     for s in specs:
         pages, items = s.pages or Loop(), s.items or Loop()
         stated = pages.total_pages is not None and not pages.selector
         bounded = stated or bool(pages.selector)
-        paged, addon = pages.item_type != "other", items.item_type == "job_addon"
+        paged = pages.item_type != "other" and (s.outer is None or s.pages is not None)
+        addon = items.item_type == "job_addon"
         rows.append((s.site, pages.begin_from, pages.end_to, stated, bounded, paged, items.begin_from, addon))
     return spark.createDataFrame(rows, LOOP_SCHEMA)
 

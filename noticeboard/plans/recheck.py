@@ -39,12 +39,15 @@ def recheck_postings(
     n_days: int = 15,
     accept_uncertain: bool = False,
     key: str = "job_company",
+    wanted: DataFrame | None = None,
 ) -> DataFrame:
     """``id`` and ``outcome`` (alive, confirmed, alarm or skipped) of every candidate.
 
     The first entry of ``alive_by_round`` is the check itself, the others its recheck rounds.
     """
     candidates = index.open_older_than(postings, as_of, n_days)
+    if wanted is not None:
+        candidates = index.of_companies(candidates, wanted)
     routed, unknown = verify.route(candidates, sites, key)
     first, *later = alive_by_round
     batches = verify.with_batch(routed, key)

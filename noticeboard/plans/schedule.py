@@ -5,7 +5,8 @@ from __future__ import annotations
 from dataclasses import replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates
@@ -42,6 +43,32 @@ def specs_to_run(specs: list[SiteSpec], plan: DataFrame) -> list[SiteSpec]:
     return [replace(named[r.site], n_days=r.n_days) if r.adjusted else named[r.site] for r in rows]
 
 
+RUNS = "site string, finished_at timestamp_ntz, complete boolean, position string, total bigint, n bigint"
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The table of runs; none yet is an empty one."""
+    try:
+        return spark.read.schema(RUNS).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], RUNS)
+
+
+def with_last_run(seeds: DataFrame, runs: DataFrame) -> DataFrame:
+    """Seeds with how their last run ended, by the table of runs before the seed list."""
+    last = last_status(runs).select("site", "finished_at", "complete", F.col("position").alias("run_position"), F.col("total").alias("run_total"))
+    ran = F.col("finished_at").isNotNull()
+    return seeds.join(last, "site", "left").select(
+        "site",
+        F.when(ran, dates.iso_text(F.col("finished_at"))).otherwise(F.col("last_time")).alias("last_time"),
+        F.when(ran, F.col("complete")).otherwise(F.col("last_complete")).alias("complete"),
+        F.when(ran, F.col("run_position")).otherwise(F.col("position")).alias("position"),
+        F.when(ran, F.col("run_total")).otherwise(F.col("total")).cast("bigint").alias("total"),
+    )
+
+
 def append_runs(report: DataFrame, path: str) -> None:
     """Add a run's report to the table of runs, which ``last_status`` reads."""
     report.write.mode("append").parquet(path)

@@ -8,9 +8,6 @@ from pyspark.sql import SparkSession
 
 from ..model import FieldRule, Loop, SiteSpec, Transform
 
-MAX_SPECS = 10_000
-
-
 def _rule(field: str, body: dict) -> FieldRule:
     transforms = tuple(
         Transform(t["how"], t.get("value"), int(t.get("which", 0)), int(t.get("group", 1)))
@@ -33,7 +30,7 @@ def _children(node: dict) -> list[dict]:
 
 
 def spec_of(document: dict) -> SiteSpec:
-    found: dict = {"items": None, "pages": None, "list": (), "detail": []}
+    found: dict = {"items": None, "pages": None, "outer": None, "list": (), "detail": []}
 
     def visit(node: dict) -> None:
         loop = node.get("loop") or {}
@@ -46,7 +43,8 @@ def spec_of(document: dict) -> SiteSpec:
         if loop.get("loop_type") == "begin" and kind in ("job", "job_addon"):
             found["items"], found["list"] = parsed, _rules(node)
         elif loop.get("loop_type"):
-            found["pages"] = found["pages"] or parsed
+            place = "outer" if kind == "other" else "pages"
+            found[place] = found[place] or parsed
         elif _rules(node):
             found["detail"].append(_rules(node))
         for child in _children(node):
@@ -55,16 +53,14 @@ def spec_of(document: dict) -> SiteSpec:
     visit(document)
     id_rule = document.get("job_unique_id_calc") or {}
     return SiteSpec(
-        document["name"], found["items"], found["list"], tuple(found["detail"]), found["pages"],
+        document["name"], found["items"], found["list"], tuple(found["detail"]), found["pages"], found["outer"],
         id_rule.get("how"), id_rule.get("value"),
         document.get("fetch.n.pages"), document.get("fetch.n.days"), document.get("fetch.n.jobs"),
         bool(document.get("check_solr") or document.get("check_index")), bool(document.get("verify_single")),
     )
 
 
-def read_specs(spark: SparkSession, folder: str) -> list[SiteSpec]:
-    """Specs are hand-written settings; more than ``MAX_SPECS`` of them is an error."""
-    files = spark.read.text(f"{folder}/*.json", wholetext=True).limit(MAX_SPECS + 1).collect()
-    if len(files) > MAX_SPECS:
-        raise ValueError(f"more than {MAX_SPECS} site specs in {folder}")
-    return sorted((spec_of(json.loads(f.value)) for f in files), key=lambda s: s.site)
+def read_specs(spark: SparkSession, folder: str, files: str = "*.json") -> list[SiteSpec]:
+    """Specs are hand-written settings, one file per site."""
+    texts = spark.read.text(f"{folder}/{files}", wholetext=True).toLocalIterator()
+    return sorted((spec_of(json.loads(t.value)) for t in texts), key=lambda s: s.site)

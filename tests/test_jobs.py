@@ -238,3 +238,39 @@ def test_html_is_never_moved(spark, dictionaries):
         moved = [line for line in plan.split("\n") if "Exchange" in line or "Sort" in line]
         below = plan[plan.index("MapInArrow"):].split("MapInArrow", 1)[1]
         assert moved and "Exchange" not in below.split("LogicalRDD")[0].split("Scan")[0] and not any("html" in line for line in moved)
+
+
+def test_a_day_plans_resumes_reports_and_exports(spark, dictionaries):
+    cities, companies = dictionaries
+    folder = new_folder(spark, "day")
+    table = daily.posting_table(spark, f"{folder}/table", buckets=4)
+    item = lambda site, n: (f"https://{site}.org/{n}", f"{site}{n}", "2024-01-30")
+    pages = spark.createDataFrame([(s, f"https://{s}.org/p{n}", n, _listing(item(s, 2 * n), item(s, 2 * n + 1))) for s in "ABC" for n in range(2)], PAGES)
+    lines = ["A", "B 2024-01-30T00:00:00.000Z true", "C 2024-01-30T00:00:00.000Z false 0.0 7", "D"]
+    listed = seeds.seeds(spark.createDataFrame([(x,) for x in lines], "line string"))
+    specs = [_spec(s) for s in "ABC"]
+    ended = spark.createDataFrame([("A", False)], "site string, complete boolean")
+    export = (f"{folder}/out", {"job_title": "title"}, {"job_url": "link"})
+    report = {r.site: r for r in daily.run_day(table, 0, pages, specs, listed, f"{folder}/runs", AS_OF, cities, companies, ended, export).collect()}
+    # A is new, B ran yesterday, C goes on behind its first row, D has no spec
+    assert {s: (r.complete, r.n, r.total) for s, r in report.items()} == {"A": (False, 4, 4), "C": (True, 3, 10)}
+    assert _titles(table.current()) == ["A0", "A1", "A2", "A3", "C1", "C2", "C3"]
+    out = spark.read.parquet(f"{folder}/out/no=0")
+    assert {"title", "link"} <= set(out.columns) and out.count() == 7
+    # A broke off at its last row, so nothing is left of it; C is done, and nothing is due
+    later = daily.run_day(table, 1, pages, specs, listed, f"{folder}/runs", AS_OF, cities, companies).collect()
+    assert {r.site: (r.complete, r.n, r.total) for r in later} == {"A": (True, 0, 4)}
+    wanted = spark.createDataFrame([("Company A",)], "display_name string")
+    outcome = recheck.recheck_postings(table.current(), spark.createDataFrame([("A", False), ("C", False)], "site string, verify_single boolean"), [spark.createDataFrame([], "url string")], AS_OF, 1, key="site", wanted=wanted)
+    assert outcome.count() == 4
+
+
+def test_an_outer_loop_keeps_the_page_loop_within_it(spark):
+    from noticeboard.catalog.jobs import _NESTED
+    from noticeboard.model import loop_rules
+    from noticeboard.sources.specs import spec_of
+
+    nested = spec_of(_NESTED)
+    assert nested.outer.item_type == "other" and nested.pages.item_type == "page" and nested.items.selector == "//article"
+    alone = spec_of({"name": "s", "procedure": {"loop": {"loop_type": "begin", "loop_item_type": "other"}, "procedure": _NESTED["procedure"]["procedure"]["procedure"]}})
+    assert [r.paged for r in loop_rules(spark, [nested, alone]).collect()] == [True, False]

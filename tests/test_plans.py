@@ -7,7 +7,7 @@ from noticeboard import catalog
 SF = "/root/testdata/sf0.001"
 READS_PAGES = {
     "extract_title", "extract_links", "list_items", "extract_by_rule", "required_fields", "url_default", "int_const", "page_bounds",
-    "collect_job", "collect_detail_job", "recheck_job",
+    "collect_job", "collect_detail_job", "nested_loops_job", "recheck_job",
 }
 
 
