@@ -156,7 +156,7 @@ def _moment(field: dict[str, Column]) -> Column:
     millis = F.substring(F.concat(field["f"], F.lit("000")), 1, 3)
     second = F.concat(F.lit("0"), field["s"], F.lit("."), millis).cast("decimal(16,6)")
     local = F.try_make_timestamp_ntz(F.when(year <= 9999, year), month, _number(field["d"]), hour, _number(field["m"]), second)
-    return F.when(field["z"] == "", local).otherwise(local - F.make_dt_interval(mins=_zone_minutes(field["z"], local)))
+    return local - F.make_dt_interval(mins=F.when(field["z"] == "", 0).otherwise(_zone_minutes(field["z"], local)))
 
 
 def _from_millis(text: Column) -> Column:
@@ -230,7 +230,11 @@ def iso_text(date: Column) -> Column:
 
 def index_text(date: Column) -> Column:
     """ISO text in UTC with exactly three fraction digits."""
-    text = date.cast("string")
-    fraction = F.rpad(F.substring(F.regexp_extract(text, r"\.(\d+)$", 1), 1, 3), 3, "0")
-    whole = F.replace(F.substring(text, 1, 19), F.lit(" "), F.lit("T"))
-    return F.concat(whole, F.lit("."), fraction, F.lit("Z"))
+
+    def render(text: Column) -> Column:
+        fraction = F.rpad(F.substring(F.regexp_extract(text, r"\.(\d+)$", 1), 1, 3), 3, "0")
+        whole = F.replace(F.substring(text, 1, 19), F.lit(" "), F.lit("T"))
+        return F.concat(whole, F.lit("."), fraction, F.lit("Z"))
+
+    # The array of one binds the text, so that the date is worked out once.
+    return F.transform(F.array(date.cast("string")), render)[0]

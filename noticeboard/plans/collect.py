@@ -20,6 +20,8 @@ _KEY = [*_LISTING, "page_no", "url", "item_pos"]
 _LIMITS = ["n_days", "n_pages", "n_jobs", "n_jobs_per_page"]
 _LOOPS = ["begin_page", "end_page", "stated", "bounded", "paged", "begin_item", "addon"]
 _ROW = "__row"
+# Settings are sent to every task up to this size; beyond it Spark joins them by shuffle.
+_SENT_BYTES = 8 << 20
 
 
 def _with_settings(df: DataFrame, specs: list[SiteSpec], defaults: Limits) -> DataFrame:
@@ -28,8 +30,9 @@ def _with_settings(df: DataFrame, specs: list[SiteSpec], defaults: Limits) -> Da
     named = [s for s in specs if s.site != ANY_SITE]
     general = next((s for s in specs if s.site == ANY_SITE), SiteSpec(ANY_SITE))
     config, loops = site_config(spark, [*named, general]), loop_rules(spark, [*named, general])
-    # One row per spec: small, and left to Spark's own size check.
     settings = limits.effective_limits(config, defaults).join(loops, "site").withColumnRenamed("site", "__site")
+    if 200 * len(named) <= _SENT_BYTES:  # a row per spec, of less than 200 bytes without its name
+        settings = F.broadcast(settings)
     key = F.when(F.col("site").isin(*(s.site for s in named)), F.col("site")).otherwise(ANY_SITE)
     return df.join(settings, key == F.col("__site")).drop("__site")
 
