@@ -25,14 +25,16 @@ from pyspark.sql import functions as F
 from ..session import written
 from .common import held_out, per_rows
 
-#: Labelled rows that become examples, at most this many per label: those with the smallest hash of their id.
+#: Labelled rows learned from, about: those whose id's hash lies below a bound that follows from their number.
+SAMPLE = 20_000
+#: Rows of the sample that become examples, at most this many per label: those with the smallest hash of their id.
 EXAMPLES = 4_000
 #: Telling words, at most: those whose odds differ most between the labels.
 TERMS = 20_000
 #: A word is telling if, with 99 % confidence, its odds differ between the labels by this factor.
 ODDS = 3.0
 NEIGHBOURS = 15
-BLOCK = 64
+BLOCK = 512
 THRESHOLD = 0.3
 #: Words whose terms a worker remembers, at most.
 _MEMO = 300_000
@@ -46,7 +48,7 @@ ALL, ALL_WEIGHT = "", 2.0
 
 
 def words(text: str | None) -> Counter:
-    return Counter(w[:64] for w in _WORD.findall(text.lower())) if text else Counter()
+    return Counter(_WORD.findall(text.lower())) if text else Counter()
 
 
 def terms(word: str) -> list[str]:
@@ -55,17 +57,17 @@ def terms(word: str) -> list[str]:
 
 
 def _presence(rows: list[dict]) -> Iterator[tuple]:
-    counts: Counter = Counter()
+    counts: tuple[Counter, Counter] = (Counter(), Counter())
     for row in rows:
-        for t in {t for w in words(row["text"]) for t in terms(w)}:
-            counts[t, row["toxic"]] += 1
-    for (w, toxic), n in counts.items():
-        yield w, toxic, n
+        counts[row["toxic"]].update({t for w in words(row["text"]) for t in terms(w)})
+    for toxic in (0, 1):
+        for t, n in counts[toxic].items():
+            yield t[:64], toxic, n
 
 
 def telling(labelled: DataFrame, sizes: dict[int, int]) -> DataFrame:
-    """``word``, ``df``, ``weight`` of the words whose log odds ratio is surely beyond ``ODDS``, from all
-    labelled rows. Counted per task first, then by word: no word's documents meet in one place."""
+    """``word`` and in how many toxic (``a``) and clean (``b``) rows it is, for the terms whose log odds ratio is
+    surely beyond ``ODDS``. Counted per slice of rows first, then by term."""
     counts = per_rows(labelled, _presence, "word string, toxic int, n long").groupBy("word").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b")
     )
@@ -137,22 +139,29 @@ def nearest(vec: list[tuple[int, float]], index: Index, k: int = NEIGHBOURS, but
     last one any may be left out; those kept stand by place."""
     if not vec or not len(index.ids):
         return []
-    terms, weights = [t for t, _ in vec], np.array([x for _, x in vec])
-    best = weights @ index.peaks[terms]
+    weights = np.array([x for _, x in vec])
+    best = weights @ index.peaks[[t for t, _ in vec]]
     found: list[tuple[float, int]] = []
-    for block in np.argsort(-best, kind="stable"):
-        if best[block] <= 0 or (len(found) == k and best[block] <= found[-1][0] + 1e-9):
+    floor = 0.0  # the cosine to beat
+    for block in np.argsort(-best, kind="stable").tolist():
+        if best[block] <= floor + 1e-9 * (floor > 0):
             break
-        scores = np.zeros(BLOCK)
+        scores, at = np.zeros(BLOCK), block * BLOCK
         for t, x in vec:
             a, b = index.bounds[t][block], index.bounds[t][block + 1]
             if a < b:
                 places, values = index.postings[t]
-                scores[places[a:b] - block * BLOCK] += x * values[a:b]
-        at = block * BLOCK
-        found += [(float(scores[i]), int(at + i)) for i in np.flatnonzero(scores > 0) if at + i != but]
-        found = sorted(found, key=lambda s: (-round(s[0], 12), s[1]))[:k]
-    return found
+                scores[places[a:b] - at] += x * values[a:b]
+        if but is not None and 0 <= but - at < BLOCK:
+            scores[but - at] = 0
+        hits = np.flatnonzero(scores > floor)
+        if len(hits) > k:
+            hits = hits[np.argpartition(-scores[hits], k - 1)[:k]]
+        found += zip(scores[hits].tolist(), (hits + at).tolist())
+        if len(found) >= k:
+            found = sorted(found, key=lambda s: (-s[0], s[1]))[:k]
+            floor = found[-1][0]
+    return sorted(found, key=lambda s: (-s[0], s[1]))
 
 
 def _vote(found: list[tuple[float, int]], index: Index) -> float:
@@ -186,12 +195,15 @@ def score(found: list[tuple[float, int]], index: Index) -> float:
 
 
 def learn(docs: DataFrame, labels: DataFrame, rows: Column) -> Index:
-    """Build the index from the labelled rows that ``rows`` marks. Term statistics come from all of them;
-    the examples are bounded by ``EXAMPLES`` per label, the terms by ``TERMS``."""
+    """Build the index from about ``SAMPLE`` of the labelled rows that ``rows`` marks; the examples are bounded by
+    ``EXAMPLES`` per label, the terms by ``TERMS``. The sample's ids are few at any size, so they go to the texts
+    and no text is moved."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
-    once = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    texts = docs.filter(rows).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    labelled = written(texts.join(once, "doc_id"), "labelled")
+    once = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).filter(rows)
+    n = once.count()
+    chosen_ids = once.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, SAMPLE / max(1, n))))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    labelled = written(texts.join(F.broadcast(chosen_ids), "doc_id"), "labelled")
     sizes = {r.toxic: r.n for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     chosen = telling(labelled, sizes).collect()
     total = sum(sizes.values())
@@ -221,13 +233,16 @@ def assess(docs: DataFrame, index: Index, k: int = NEIGHBOURS) -> DataFrame:
     """``doc_id``, ``score``, ``predicted`` and ``evidence`` (ids of the nearest examples) per row."""
     shared = docs.sparkSession.sparkContext.broadcast(index)
     memo: dict[str, tuple[str, ...]] = {}
+    # Texts without a telling term all have one vector, and so one answer.
+    plain = nearest([(0, 1.0)], index, k)
 
     def judge(rows: list[dict]) -> Iterator[tuple]:
         index = shared.value
         if len(memo) > _MEMO:
             memo.clear()
         for row in rows:
-            found = nearest(vector(words(row["text"]), index.idf, memo), index, k)
+            vec = vector(words(row["text"]), index.idf, memo)
+            found = plain if len(vec) == 1 and vec[0][0] == 0 else nearest(vec, index, k)
             value = min(1.0, max(0.0, score(found, index)))
             yield row["doc_id"], row["held_out"], value, int(value >= THRESHOLD), [int(index.ids[p]) for _, p in found[:5]]
 
