@@ -23,7 +23,7 @@ KINDS = ("email", "ip", "card", "phone")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 # A digit run is entered at its start only: a match cannot begin inside one, as each match takes its last run whole.
-_IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
+_IP = re.compile(r"[0-9](?<![0-9][0-9])[0-9]*(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _NO_DIGIT = re.compile(r"[^0-9]")
@@ -91,7 +91,7 @@ def _single(code: int) -> str:
 
 
 _FOLDED = {code: _single(code) for code in range(0x80, 0x20000) if _single(code) != chr(code)}
-_HAS_FOLDED = re.compile("[" + "".join(re.escape(chr(c)) for c in _FOLDED) + "]")
+_FOLDED_CHARACTERS = frozenset(map(chr, _FOLDED))
 
 _DIGIT = "(?:" + "|".join(_SPELLED) + ")"
 _SPELLED_RUN = re.compile(rf"\b(?:plus[\x20,-]+)?{_DIGIT}(?:(?:[\x20,-]+|[\x20]+(?:dot|point)[\x20]+){_DIGIT})+\b", re.I | re.A)
@@ -103,7 +103,16 @@ _BARE = re.compile(
     re.I,
 )
 _BARE_DOT = re.compile(r"\x20dot\x20", re.I)
-_WORTH_A_LOOK = re.compile(r"[\[({<]\s{0,3}(?:at|@)\s{0,3}[\])}>]|[\[({<]\s{0,3}(?:dot|\.)\s{0,3}[\])}>]|\x20dot\x20|\b" + _DIGIT + r"[\x20,-]+" + _DIGIT + r"\b", re.I | re.A)
+_BRACKETED = re.compile(r"[\[({<]\s{0,3}(?:at|@|dot|\.)\s{0,3}[\])}>]")
+_TWO_DIGITS = re.compile(_DIGIT + r"[\x20,-]+" + _DIGIT + r"(?![a-z0-9_])")
+
+
+def _worth_a_look(text: str) -> bool:
+    """A cheap test that every disguise passes."""
+    lower = text.lower()
+    if " dot " in lower or _BRACKETED.search(lower) or _TWO_DIGITS.search(lower):
+        return True
+    return not text.isascii() and not _FOLDED_CHARACTERS.isdisjoint(set(text))
 
 
 class Normalised:
@@ -136,7 +145,7 @@ def normalise(text: str) -> Normalised:
     """Homoglyphs, then spelled digits, then "at" and "dot", each as one pass."""
     out = Normalised(text)
     if not text.isascii():
-        out.rewrite([(m.start(), m.end(), _FOLDED[ord(m[0])]) for m in _HAS_FOLDED.finditer(text)])
+        out.rewrite([(i, i + 1, _FOLDED[ord(c)]) for i, c in enumerate(text) if c in _FOLDED_CHARACTERS])
     out.rewrite([(m.start(), m.end(), _digits(m)) for m in _SPELLED_RUN.finditer(out.text)])
     bracketed = [(m.start(), m.end(), "@") for m in _AT.finditer(out.text)]
     if bracketed or "@" in out.text:
@@ -157,7 +166,7 @@ def normalise(text: str) -> Normalised:
 
 def disguised(text: str, plain: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """Spans that only the normalised text shows; none touches a plain span."""
-    if not _WORTH_A_LOOK.search(text) and (text.isascii() or not _HAS_FOLDED.search(text)):
+    if not _worth_a_look(text):
         return []
     normal = normalise(text)
     if normal.text == text:
