@@ -53,30 +53,46 @@ _PLACEHOLDERS = {k: _DIGEST(f"<{k}>") for k in ("number", "unit", "name")}
 _FACTORS = [pow(0x9E3779B97F4A7C15, j + 1, 1 << 64) for j in range(WINDOW)]
 
 
+class _Codes(dict):
+    """Numbers of words; an unknown word gets one."""
+
+    def __init__(self, new) -> None:
+        super().__init__()
+        self.new = new
+
+    def __missing__(self, word: str) -> int:
+        return self.new(word)
+
+
 class Words:
     """What a word can stand for, worked out once per word as long as it is remembered."""
 
-    KEPT = 400_000
+    KEPT = 150_000
 
     def __init__(self) -> None:
-        self.codes: dict[str, int] = {}
+        self.codes = _Codes(self.code)
         self.cores: list[str] = []
         self.hashes, self.flags = array("Q"), array("B")
 
     def code(self, word: str) -> int:
-        core = _EDGE.sub("", word)
-        flags = _END if _ENDS.search(word) else 0
-        if not core:
-            flags |= _EMPTY
-        elif _NUMBER.fullmatch(core) or core.lower() in _SPELLED:
+        core, flags = word, 0
+        if not word.isalpha():
+            core = _EDGE.sub("", word)
+            flags = _END if _ENDS.search(word) else 0
+            if not core:
+                flags |= _EMPTY
+            elif not core[0].isalpha() and _NUMBER.fullmatch(core):
+                flags |= _NUM
+        lower = core.lower()
+        if lower in _SPELLED:
             flags |= _NUM
-        if core.lower() in _UNITS:
+        if lower in _UNITS:
             flags |= _UNIT
-        if core[:1].isalpha() and core[0].isupper():
+        if core != lower and core[0].isupper():
             flags |= _CAPITAL
         at = self.codes[word] = len(self.cores)
-        self.cores.append(core.lower())
-        self.hashes.append(_DIGEST(core.lower()))
+        self.cores.append(lower)
+        self.hashes.append(_DIGEST(lower))
         self.flags.append(flags)
         return at
 
@@ -85,8 +101,8 @@ class Words:
             self.__init__()
         if _HAS_GLUED.search(text):
             text = _GLUED.sub(" ", text)
-        get, new = self.codes.get, self.code
-        codes = np.array([c if (c := get(w)) is not None else new(w) for w in text.split()], np.int64)
+        words = text.split()
+        codes = np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
         if len(codes):
             flags, plain = np.frombuffer(self.flags, np.uint8)[codes], np.frombuffer(self.hashes, np.uint64)[codes]
         else:
@@ -181,10 +197,12 @@ def _filter(windows: DataFrame) -> np.ndarray:
 
 
 def _passes(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    ok = np.ones(len(h), bool)
+    """Places of the hashes that the filter lets pass."""
+    at = np.arange(len(h))
     for p in _positions(h):
-        ok &= (bits[p >> np.uint64(6)] >> (p & np.uint64(63)) & np.uint64(1)) > 0
-    return np.flatnonzero(ok)
+        p = p[at]
+        at = at[(bits[p >> np.uint64(6)] >> (p & np.uint64(63)) & np.uint64(1)) > 0]
+    return at
 
 
 def find(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:

@@ -25,8 +25,8 @@ UNKNOWN = "und"
 #: Labelled documents learned from, about.
 SAMPLE = 20_000
 #: Words and n-grams (per length) remembered per language, at most; the most frequent stay.
-WORDS = 30_000
-GRAMS = 10_000
+WORDS = 20_000
+GRAMS = 6_000
 LONGEST = 5
 #: Languages told apart, at most: the most frequent labels.
 LANGUAGES = 200
@@ -143,7 +143,7 @@ def predict(text: str | None, model: Model, memo: dict | None = None) -> tuple[s
 
 
 #: Unseen words whose scores a worker remembers, at most.
-_MEMO = 200_000
+_MEMO = 100_000
 
 
 def tag(docs: DataFrame, model: Model, into: str) -> DataFrame:

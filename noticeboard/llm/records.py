@@ -114,7 +114,7 @@ class Encoder:
     to the words between blanks, each at most once per worker as long as it is remembered."""
 
     #: Words remembered at least; memory is bounded by twice as many.
-    KEPT = 500_000
+    KEPT = 250_000
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"

@@ -286,7 +286,7 @@ def copies(docs: DataFrame, shingle: int = SHINGLE, least: float = SIMILARITY) -
     texts = written(ids.join(ends, "doc_id", "left_semi"), "candidate-texts")
     once = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
     both = pairs.join(once.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(once.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    edges = per_rows(both, _verify(shingle, least), "u long, v long")
+    edges = written(per_rows(both, _verify(shingle, least), "u long, v long"), "verified")
     groups = components(edges).withColumnRenamed("node", "id")
     kept = join_many_facts(equal, groups, ["id"], "left").withColumn("kept", F.coalesce("component", "id"))
     return kept.filter("doc_id != kept").select("doc_id", "kept").distinct()
