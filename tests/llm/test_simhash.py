@@ -173,3 +173,19 @@ def test_deduplicate_odd_ids(documents):
     got = sorted(str(r.doc_id) for r in simhash.deduplicate(documents(rows)).collect())
     assert got == ["2", "9", "None", "None"]
     assert simhash.deduplicate(documents([])).count() == 0
+
+
+def test_thousands_of_template_texts(texts):
+    rng = random.Random(6)
+    # Lines that all texts share, each one ending in a word at which passages were once cut.
+    ends = [w for w in (f"e{i}" for i in range(999)) if xxhash.xxh3_64_intdigest(w.encode()) % 8 == 0]
+    lines = [" ".join(f"t{rng.randrange(500)}" for _ in range(9)) + f" {ends[i]}" for i in range(24)]
+    found = []
+    for i in range(1200):
+        head = " ".join(rng.sample(lines, 14))
+        found.append(f"{head} case {i}")
+        if i % 5 == 0:
+            found.append(f"{head} case {i} and {' '.join(f'm{rng.randrange(99)}' for _ in range(rng.randrange(1, 9)))}")
+    rng.shuffle(found)
+    kept = {r.doc_id for r in simhash.deduplicate(texts(*found)).collect()}
+    assert kept == _brute_kept(found) and len(kept) == 1200
