@@ -175,6 +175,34 @@ def test_deduplicate_odd_ids(documents):
     assert simhash.deduplicate(documents([])).count() == 0
 
 
+def test_keys_lose_no_similar_pair():
+    rng, none = random.Random(3), np.zeros(0, np.uint64)
+    common = np.sort(np.array([rng.getrandbits(64) for _ in range(400)], np.uint64))
+    counts = np.arange(400)
+    for n in [1, 2, 3, 4, 5, 6, 9, 10, 11, 24, 25, 50, 131, 400]:
+        for _ in range(60):
+            a = [*rng.sample(common.tolist(), n // 2), *(rng.getrandbits(64) for _ in range(n - n // 2))]
+            rng.shuffle(a)
+            gone = rng.randrange(0, n // 5 + 1)
+            b = [*a[gone:], *(rng.getrandbits(64) for _ in range(rng.randrange(0, n // 5 + 1)))]
+            if len(set(a) & set(b)) / len(set(a) | set(b)) < 0.8:
+                continue
+            x, y = np.unique(np.array(a, np.uint64)), np.unique(np.array(b, np.uint64))
+            for c, k in ((common, counts), (none, none)):
+                assert set(simhash.rarest(x, 0.8, c, k).tolist()) & set(simhash.rarest(y, 0.8, c, k).tolist())
+            assert set(simhash.signatures(x, 0.8).tolist()) & set(simhash.signatures(y, 0.8).tolist())
+
+
+def test_copies_that_count_repeats_or_end_in_one_more_word(texts):
+    rng = random.Random(5)
+    line = " ".join(f"r{i}" for i in range(8))
+    base = " ".join(f"w{rng.randrange(900)}" for _ in range(300))
+    short = [" ".join(f"s{rng.randrange(900)}" for _ in range(14)) for _ in range(40)]
+    found = [f"{base} {line}", f"{base} " + f"{line} " * 400, *short, *(f"{s} more" for s in short)]
+    kept = {r.doc_id for r in simhash.deduplicate(texts(*found)).collect()}
+    assert kept == _brute_kept(found) == {0, *range(2, 42)}
+
+
 def test_thousands_of_template_texts(texts):
     rng = random.Random(6)
     # Lines that all texts share, each one ending in a word at which passages were once cut.
