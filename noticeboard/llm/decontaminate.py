@@ -3,7 +3,9 @@
 Texts become templates: numbers, names and units give way to typed placeholders. Windows of eight
 template tokens are hashed and joined with those of the benchmark. What stood in the slots is then
 compared: along one alignment every benchmark value must stand for one value of the document and the
-other way round. A document is contaminated by an item if enough of the item's windows match so.
+other way round. Windows with a value that breaks this don't count; windows that are equal word for word,
+upper and lower case aside, always do. A document is contaminated by an item if enough of the item's windows
+match so, or a long enough run of them.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ PLAIN = 3
 #: Items of fewer tokens are only compared with whole documents.
 SHORTEST = 4
 COVERAGE = 0.5
+#: Running tokens of an item that make a leak, whatever their share of the item.
+RUN = 16
 #: Bits of the filter that spares windows the join. Its size does not depend on the benchmark's; a
 #: benchmark beyond some millions of windows lets more windows pass, and the join still decides.
 FILTER_BITS = 1 << 24
@@ -120,6 +124,13 @@ class Words:
         return Template(codes, plain, number, unit, name, self)
 
 
+def _finished(h: np.ndarray, length: int) -> np.ndarray:
+    h = h + np.uint64(length)
+    h ^= h >> np.uint64(31)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(29))
+
+
 class Template:
     """The tokens of a text: their plain hashes and what is a number, a unit or a name."""
 
@@ -132,21 +143,25 @@ class Template:
     def __len__(self) -> int:
         return len(self.codes)
 
-    def windows(self, length: int) -> np.ndarray:
-        """Hash of every window of ``length`` tokens."""
+    def both(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes of every window of ``length`` tokens, word by word and with placeholders, and where the
+        latter say more: windows with a placeholder and enough plain words."""
         n = len(self) - length + 1
         if n <= 0:
-            return np.zeros(0, np.uint64)
+            return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, bool)
         typed, plain = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
         for j in range(length):
             typed += self.typed[j : j + n] * np.uint64(_FACTORS[j])
             plain += self.plain[j : j + n] * np.uint64(_FACTORS[j])
         literal = np.concatenate(([0], np.cumsum(~self.slots)))
-        few = literal[length:] - literal[:-length] < min(PLAIN, length)
-        h = np.where(few, plain ^ np.uint64(0x5851F42D4C957F2D), typed) + np.uint64(length)
-        h ^= h >> np.uint64(31)
-        h *= np.uint64(0xBF58476D1CE4E5B9)
-        return h ^ (h >> np.uint64(29))
+        literal = literal[length:] - literal[:-length]
+        plain = _finished(plain ^ np.uint64(0x5851F42D4C957F2D), length)
+        more = (literal < length) & (literal >= min(PLAIN, length))
+        return plain, np.where(literal < min(PLAIN, length), plain, _finished(typed, length)), more
+
+    def windows(self, length: int) -> np.ndarray:
+        """Hash of every window of ``length`` tokens."""
+        return self.both(length)[1]
 
     def values(self, at: int, length: int) -> list[str]:
         """What stands in the slots of a window."""
@@ -170,10 +185,13 @@ def _item_rows(rows: list[dict]) -> Iterator[tuple]:
         if not len(t):
             continue
         length = _item_length(len(t))
-        h = _signed(t.windows(length))
+        plain, typed, more = t.both(length)
         whole = len(t) < SHORTEST
-        for at, x in enumerate(h):
-            yield row["item_id"], x, at, length, whole, len(h), t.values(at, length)
+        for at, x in enumerate(_signed(plain)):
+            yield row["item_id"], x, at, length, whole, len(plain), True, t.values(at, length)
+        typed = _signed(typed)
+        for at in np.flatnonzero(more).tolist():
+            yield row["item_id"], typed[at], at, length, whole, len(plain), False, t.values(at, length)
 
 
 def _positions(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -205,7 +223,7 @@ def _passes(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return at
 
 
-def find(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
+def find(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, run: int = RUN) -> DataFrame:
     """Contaminated documents: ``doc_id``, ``item_id``, ``matched`` and ``windows`` (of the item),
     ``coverage``, ``verbatim`` (every slot holds the benchmark's own value).
 
@@ -213,11 +231,12 @@ def find(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> D
     nothing; items of fewer than ``SHORTEST`` tokens only match documents that hold nothing else; items
     shorter than a window are one window. Rows without an id are left out of the result, as nothing could
     name them; repeated rows and items give one row per pair of ids. Equal values in the slots of an item
-    must have equal values in the document, different ones different values.
+    must have equal values in the document, different ones different values; windows where they have not don't
+    count. A share of ``coverage`` of an item's windows makes a leak, as do ``run`` running tokens of a longer item.
     """
     spark = docs.sparkSession
     items = benchmark.filter(F.col("item_id").isNotNull()).select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
-    known = written(per_rows(items, _item_rows, "item_id long, hash long, item_pos int, length int, whole boolean, windows int, item_values array<string>"), "item-windows")
+    known = written(per_rows(items, _item_rows, "item_id long, hash long, item_pos int, length int, whole boolean, windows int, plain boolean, item_values array<string>"), "item-windows")
     bits = spark.sparkContext.broadcast(_filter(known))
     short = sorted(r.length for r in known.filter(F.col("length") < WINDOW).select("length").distinct().collect())
     words = None
@@ -230,23 +249,38 @@ def find(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> D
             for length in [*short, WINDOW]:
                 if len(t) < length or (length < SHORTEST and len(t) != length):
                     continue
-                h = t.windows(length)
-                for at in _passes(h, bits.value).tolist():
-                    yield row["doc_id"], int(h[at : at + 1].view(np.int64)[0]), at, length, t.values(at, length)
+                plain, typed, more = t.both(length)
+                for at in _passes(plain, bits.value).tolist():
+                    yield row["doc_id"], int(plain[at : at + 1].view(np.int64)[0]), at, length, None
+                places = np.flatnonzero(more)
+                for at in places[_passes(typed[places], bits.value)].tolist():
+                    yield row["doc_id"], int(typed[at : at + 1].view(np.int64)[0]), at, length, t.values(at, length)
 
     texts = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     seen = per_rows(texts, doc_rows, "doc_id long, hash long, doc_pos int, length int, doc_values array<string>")
-    joined = seen.join(known, ["hash", "length"]).filter(F.size("item_values") == F.size("doc_values"))
+    # A window that is equal word for word has the item's own values.
+    joined = seen.join(known, ["hash", "length"]).withColumn("doc_values", F.when(F.col("plain"), F.col("item_values")).otherwise(F.col("doc_values")))
+    joined = joined.filter(F.size("item_values") == F.size("doc_values")).withColumn("pairs", F.arrays_zip("item_values", "doc_values"))
     aligned = joined.groupBy("doc_id", "item_id", "windows", (F.col("doc_pos") - F.col("item_pos")).alias("shift")).agg(
-        F.collect_set("item_pos").alias("places"),
-        F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("item_values", "doc_values")))).alias("pairs"),
+        F.collect_set(F.struct("item_pos", "pairs")).alias("matches"),
+        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
     )
-    here, there = (F.size(F.array_distinct(F.col(f"pairs.{side}"))) for side in ("item_values", "doc_values"))
-    consistent = aligned.filter((F.size("pairs") == here) & (F.size("pairs") == there))
+
+    def breaks(x):
+        """Not the item's own value, and not the only pair of its two values."""
+        return (x["item_values"] != x["doc_values"]) & (F.size(F.filter("pairs", lambda y: (x["item_values"] == y["item_values"]) | (x["doc_values"] == y["doc_values"]))) > 1)
+
+    torn = aligned.withColumn("torn", F.filter("pairs", breaks))
+    consistent = torn.withColumn("matches", F.filter("matches", lambda m: ~F.arrays_overlap(m["pairs"], "torn"))).filter(F.size("matches") > 0)
+    consistent = consistent.withColumn("places", F.array_sort(F.array_distinct(F.col("matches.item_pos"))))
+    # So many windows in a row are a run of RUN tokens.
+    row = max(1, run - WINDOW + 1)
+    in_a_row = F.exists(F.sequence(F.lit(1), F.size("places") - (row - 1)), lambda i: F.element_at("places", i + (row - 1)) - F.element_at("places", i) == row - 1)
+    consistent = consistent.withColumn("run", F.when(F.size("places") >= row, in_a_row).otherwise(False) & (F.col("windows") >= row))
     matched = F.size(F.array_distinct(F.flatten(F.collect_list("places"))))
-    verbatim = F.bool_and(F.forall("pairs", lambda x: x["item_values"] == x["doc_values"]))
-    found = consistent.groupBy("doc_id", "item_id", "windows").agg(matched.alias("matched"), verbatim.alias("verbatim"))
-    best = found.withColumn("coverage", F.col("matched") / F.col("windows")).filter(F.col("coverage") >= coverage)
+    verbatim = F.bool_and(F.forall(F.flatten("matches.pairs"), lambda x: x["item_values"] == x["doc_values"]))
+    found = consistent.groupBy("doc_id", "item_id", "windows").agg(matched.alias("matched"), verbatim.alias("verbatim"), F.bool_or("run").alias("run"))
+    best = found.withColumn("coverage", F.col("matched") / F.col("windows")).filter((F.col("coverage") >= coverage) | F.col("run"))
     return best.groupBy("doc_id", "item_id").agg(F.max_by(F.struct("matched", "windows", "coverage", "verbatim"), F.struct("coverage", "windows")).alias("b")).select("doc_id", "item_id", "b.matched", "b.windows", "b.coverage", "b.verbatim")
 
 

@@ -90,3 +90,13 @@ def test_the_filter_lets_known_windows_pass(spark, n):
     assert len(d._passes(h.view(np.uint64), bits)) == n
     other = np.random.default_rng(7).integers(0, 1 << 63, 10_000).astype(np.uint64)
     assert len(d._passes(other, bits)) < 10
+
+
+LONG = " ".join(f"{a} {b}" for a, b in zip("river stone window market garden letter bridge winter candle forest mirror ladder pepper silver kettle basket harbor meadow ribbon saddle".split(), "runs falls opens sells grows comes stands ends burns spreads shows leans tastes shines boils holds waits blooms hangs slips".split()))
+
+
+def test_a_long_run_is_a_leak_whatever_its_share(spark, documents):
+    words = LONG.split()
+    texts = ["before " + " ".join(words[9 : 9 + n]) + " after" for n in (15, 16, 18)]
+    found = _find(spark, documents, texts, [LONG])
+    assert set(found) == {(1, 0), (2, 0)} and found[1, 0].coverage < 0.5
