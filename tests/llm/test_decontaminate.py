@@ -100,3 +100,16 @@ def test_a_long_run_is_a_leak_whatever_its_share(spark, documents):
     texts = ["before " + " ".join(words[9 : 9 + n]) + " after" for n in (15, 16, 18)]
     found = _find(spark, documents, texts, [LONG])
     assert set(found) == {(1, 0), (2, 0)} and found[1, 0].coverage < 0.5
+
+
+def test_one_broken_value_does_not_hide_the_rest(spark, documents):
+    item = "There are 5 red apples in the first basket on the old table and there are 3 green pears in the second basket under the tall tree near 2 white doors and 2 black gates"
+    clash, apart = item.replace(" 5 ", " 4 ").replace(" 3 ", " 4 "), item.replace("2 black", "7 black")
+    found = _find(spark, documents, [clash, apart], [item])
+    assert set(found) == {(0, 0), (1, 0)}
+
+
+def test_case_does_not_matter(spark, documents):
+    item = "the old captain told Maria Lopez about a storm near Lisbon and how Pedro Alvarez saved the boat from Porto"
+    found = _find(spark, documents, [item.upper(), item.title(), item.lower()], [item, QUESTION])
+    assert {(0, 0), (1, 0), (2, 0)} == set(found) and all(r.coverage == 1 for r in found.values())
