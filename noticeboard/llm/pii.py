@@ -104,15 +104,21 @@ _BARE = re.compile(
 )
 _BARE_DOT = re.compile(r"\x20dot\x20", re.I)
 _BRACKETED = re.compile(r"[\[({<]\s{0,3}(?:at|@|dot|\.)\s{0,3}[\])}>]")
-_TWO_DIGITS = re.compile(_DIGIT + r"[\x20,-]+" + _DIGIT + r"(?![a-z0-9_])")
+_TWO_DIGITS = re.compile(_DIGIT + r"(?:[\x20,-]+|\x20+(?:dot|point)\x20+)" + _DIGIT + r"(?![a-z0-9_])")
+_BARE_AT = re.compile(r"\x20at\x20[a-z0-9-]{1,63}(?:\x20dot\x20|\.)")
+# Lower-casing changes these in another way than the patterns, which take them for an i.
+_ODD_CASE = frozenset("\u0130\u0131")
 
 
 def _worth_a_look(text: str) -> bool:
     """A cheap test that every disguise passes."""
     lower = text.lower()
-    if " dot " in lower or _BRACKETED.search(lower) or _TWO_DIGITS.search(lower):
+    if " dot " in lower or _BRACKETED.search(lower) or _TWO_DIGITS.search(lower) or (" at " in lower and _BARE_AT.search(lower)):
         return True
-    return not text.isascii() and not _FOLDED_CHARACTERS.isdisjoint(set(text))
+    if text.isascii():
+        return False
+    letters = set(text)
+    return not _FOLDED_CHARACTERS.isdisjoint(letters) or not _ODD_CASE.isdisjoint(letters)
 
 
 class Normalised:
@@ -148,9 +154,8 @@ def normalise(text: str) -> Normalised:
         out.rewrite([(i, i + 1, _FOLDED[ord(c)]) for i, c in enumerate(text) if c in _FOLDED_CHARACTERS])
     out.rewrite([(m.start(), m.end(), _digits(m)) for m in _SPELLED_RUN.finditer(out.text)])
     bracketed = [(m.start(), m.end(), "@") for m in _AT.finditer(out.text)]
-    if bracketed or "@" in out.text:
-        taken = {a for a, _, _ in bracketed}
-        bracketed += [(m.start(), m.end(), ".") for m in _DOT.finditer(out.text) if m.start() not in taken]
+    taken = {a for a, _, _ in bracketed}
+    bracketed += [(m.start(), m.end(), ".") for m in _DOT.finditer(out.text) if m.start() not in taken]
     edits: list[tuple[int, int, str]] = []
     for edit in sorted(bracketed):
         if not edits or edit[0] >= edits[-1][1]:

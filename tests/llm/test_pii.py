@@ -92,3 +92,19 @@ def test_table(texts, documents):
     assert got[2].spans == "email:0:6,email:11:38" == got[3].spans
     assert pii.find_personal_data(documents([(None, "1.2.3.4", None, None)])).first().n_ip == 1
     assert pii.find_personal_data(documents([])).count() == 0
+
+
+def test_disguises_are_found_whatever_else_the_text_holds():
+    assert _found("jane.doe at example.com") == [("email", "jane.doe at example.com")]
+    assert _found("eight point eight point eight point eight") == [("ip", "eight point eight point eight point eight")]
+    assert _found("host 192[.]168[.]0[.]1 is down") == [("ip", "192[.]168[.]0[.]1")]
+    assert _found("jane at example [dot] com") == [("email", "jane at example [dot] com")]
+
+
+PIECES = ["jane", "a1", " at ", " AT ", "[at]", " ( at ) ", "@", "example", "exİmple", "ın", ".", ". ", " dot ", "[.]", "{dot}", " point ", "  point  ", "one", "Eight", "oh", "plus", " ", ", ", "-", "com", "ORG", "io", "é", "1", "192", "ſ"]
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=14).map("".join))
+def test_no_text_with_a_disguise_is_passed_over(text):
+    assert pii._worth_a_look(text) or pii.normalise(text).text == text
