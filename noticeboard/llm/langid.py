@@ -2,7 +2,8 @@
 
 A word that the model knows counts with its smoothed log frequency in each language. A word it does
 not know is scored by its character n-grams: the longest length at which any n-gram is known is
-used, so it falls back from 5 characters to 1.
+used, so it falls back from 5 characters to 1. Long runs of letters, as of scripts without blanks, are
+read piece by piece.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ SAMPLE = 20_000
 WORDS = 20_000
 GRAMS = 6_000
 LONGEST = 5
+#: Longest piece of a run of letters that counts as a word; pieces overlap so that no n-gram is cut.
+PIECE = 64
 #: Languages told apart, at most: the most frequent labels.
 LANGUAGES = 200
 _WORD = re.compile(r"[^\W\d_]+")
@@ -40,6 +43,13 @@ class Model:
     grams: dict[str, tuple[float, ...]]
 
 
+def pieces(word: str) -> list[str]:
+    """A word as it is, or the overlapping pieces of a long run of letters."""
+    if len(word) <= PIECE:
+        return [word]
+    return [word[i : i + PIECE] for i in range(0, len(word) - LONGEST + 1, PIECE - LONGEST + 1)]
+
+
 def _sample(docs: DataFrame, learn: Column) -> DataFrame:
     """About ``SAMPLE`` labelled rows, all if there are fewer: those whose hash lies below a bound that
     follows from their number. Only ids and labels are read to count them."""
@@ -53,7 +63,8 @@ def _words(rows: list[dict]) -> Iterator[tuple]:
     counts: Counter = Counter()
     for row in rows:
         for word, n in Counter(_WORD.findall(row["text"].lower())).items():
-            counts[row["lang"], word[:64]] += n
+            for piece in pieces(word):
+                counts[row["lang"], piece] += n
     for (lang, word), n in counts.items():
         yield lang, word, n
 
@@ -123,18 +134,18 @@ def predict(text: str | None, model: Model, memo: dict | None = None) -> tuple[s
     memo = {} if memo is None else memo
     words = model.words
     total, n = [0.0] * len(model.languages), 0
-    for word, times in counts.items():
-        scores = words.get(word)
-        if scores is None:
-            word = word[:64]
-            if word in memo:
-                scores = memo[word]
-            else:
-                scores = memo[word] = backoff(word, model)
-        if scores is not None:
-            n += times
-            for i, s in enumerate(scores):
-                total[i] += times * s
+    for run, times in counts.items():
+        for word in pieces(run) if len(run) > PIECE else (run,):
+            scores = words.get(word)
+            if scores is None:
+                if word in memo:
+                    scores = memo[word]
+                else:
+                    scores = memo[word] = backoff(word, model)
+            if scores is not None:
+                n += times
+                for i, s in enumerate(scores):
+                    total[i] += times * s
     if not n:
         return UNKNOWN, 0.0
     best = max(range(len(total)), key=lambda i: (total[i], -i))

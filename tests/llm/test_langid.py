@@ -58,3 +58,18 @@ def test_accept_keeps_columns_and_clean_rows(documents):
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.collect()} >= {*range(40), None} and kept.filter(F.col("doc_id").isin(900, 901)).count() == 0
     assert langid.accept(documents([(1, "x", None, None), (2, "1", None, None)])).count() == 1
+
+
+def test_all_of_a_long_run_counts():
+    word = "".join(chr(97 + i * 7 % 26) for i in range(1000))
+    for n in (3, 64, 65, 66, 68, 69, 124, 125, 1000):
+        found = langid.pieces(word[:n])
+        assert max(map(len, found)) <= 64 and {g for p in found for g in (p[i : i + 5] for i in range(len(p) - 4))} == {word[i : i + 5] for i in range(n - 4)}
+    head, model = "e" * 64, _model()
+    assert langid.predict(head + "th" * 200, model)[0] == "en" and langid.predict(head + "sch" * 200, model)[0] == "de"
+
+
+def test_runs_without_blanks_teach_and_letters_never_und(documents):
+    rows = [(i, ("x" * 80 + piece) * 3, lang, "s") for i, (piece, lang) in enumerate([("the cat is here".replace(" ", ""), "en"), ("der hund ist da".replace(" ", ""), "de"), ("the dog", "en")] * 20)]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(documents([*rows, (900, "x" * 500 + "hundistda" * 4, None, "s"), (901, "Ωμέγα", None, "s"), (902, "7", None, "s")])).collect()}
+    assert got[900][0] == "de" and got[901][0] in ("de", "en") and got[902] == ("und", 0.0)
