@@ -27,7 +27,7 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 # The two below match whole runs, so a least length in the pattern drops the same runs as a later test.
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_GENERIC = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,200}(?![A-Za-z0-9+/_-])")
+_GENERIC = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}(?![A-Za-z0-9+/_-])")
 _PLACEHOLDER = re.compile(r"example|sample|changeme|dummy|placeholder|your|xxxx|test|1234", re.I | re.A)
 
 

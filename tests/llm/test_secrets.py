@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -53,3 +54,16 @@ def test_spans_are_the_base_and_more(spark):
         assert r.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
         assert set(filter(None, base.split(","))) <= set(r.spans.split(","))
         assert r.n_assign + r.n_access + r.n_hex == len(brute(texts[r.doc_id]))
+
+
+def test_long_tokens_are_candidates(documents):
+    own, copied = ("".join(f"{KEY}{c}" for c in x) for x in ("aBcDeF2iJ", "QrStUv9xY"))
+    got = {r.doc_id: r for r in secrets.scan_secrets(documents([(0, f"see {own} end", "en", "s0"), (1, f"see {copied} end", "en", "s0"), (2, f"see {copied} end", "en", "s1")])).collect()}
+    assert len(own) > 200 and got[0].spans == f"generic:4:{4 + len(own)}" and got[0].n_live == 1
+    assert (got[1].spans, got[2].spans) == ("", "")
+
+
+def test_very_long_runs_take_linear_time():
+    begin = time.time()
+    assert [s[:3] for s in secrets.generic(f"x {KEY * 20_000} y", [])] == [("generic", 2, 2 + len(KEY) * 20_000)]
+    assert time.time() - begin < 5
