@@ -1,0 +1,161 @@
+"""Conversation repair: all edit scripts tried one by one, and long conversations in pieces."""
+
+import hashlib
+import random
+import re
+import zlib
+from itertools import product
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from noticeboard.llm import conversations as c
+
+SCHEMA = "conv_id long, turn long, role string, text string, audit string, piece long, copies_ int"
+
+
+def _scripts(turns):
+    """Every edit script of at most two inserts per gap, with its cost and result, of ``(role, text, must_go, cut_off)``."""
+    gaps = ("", "I", "II")
+    for ops in product("DKR", repeat=len(turns)):
+        cost = sum({"D": 3, "K": 0, "R": 2}[o] + (o != "D" and t[3]) for o, t in zip(ops, turns))
+        if any(t[2] and o != "D" for o, t in zip(ops, turns)):
+            continue
+        for inserts in product(gaps, repeat=len(turns) + 1):
+            edits = "".join(i + o for i, o in zip(inserts, (*ops, "")))
+            out, at = [], 0
+            for e in edits:
+                if e == "I":
+                    out.append((None, ""))
+                else:
+                    if e != "D":
+                        out.append((turns[at][0] if e == "K" else None, turns[at][1]))
+                    at += 1
+            system = bool(out) and (out[0][0] or "").startswith("s")
+            roles = [r if r is not None else ("assistant" if (n - system) % 2 else "user") for n, (r, _) in enumerate(out)]
+            if re.fullmatch("(s?(ua)+)?", "".join(r[:1] or "-" for r in roles)):
+                yield cost + 2 * edits.count("I"), edits, "\n".join(f"{r}:{t}" for r, (_, t) in zip(roles, out))
+
+
+def _expected(rows):
+    """The report of one conversation's rows (turn, role, text) after damage, in order."""
+    blank = duplicate = truncated = 0
+    turns, seen = [], set()
+    for _, role, text in rows:
+        visible = text.rstrip(" \t\n\v\f\r")
+        fault = "blank" if not visible else "duplicate" if (role, text) in seen else "truncated" if visible[-1] not in ".!?" else ""
+        seen.add((role, text))
+        blank, duplicate, truncated = blank + (fault == "blank"), duplicate + (fault == "duplicate"), truncated + (fault == "truncated")
+        turns.append((role, text, fault in ("blank", "duplicate"), fault == "truncated"))
+    cost, audit, out = min(_scripts(turns))
+    numbers = [t for t, _, _ in rows if t is not None]
+    gaps = max(numbers) - min(numbers) + 1 - len(set(numbers)) if numbers else 0
+    illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
+    return gaps, blank, duplicate, truncated, illegal, cost, audit, hashlib.sha256(out.encode()).hexdigest()
+
+
+def _damaged(rows):
+    """Rows (conv, turn, role, text) per conversation after damage, in order."""
+    out = {}
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        kind = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        own = out.setdefault(conv, [])
+        if kind == 0:
+            continue
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        own += [(turn, "user" if kind == 4 else role, text)] * (2 if kind == 3 else 1)
+    digest = lambda r: hashlib.md5(f"{len(r[1])}:{r[1]}{r[2]}".encode()).hexdigest()
+    return {k: sorted(v, key=lambda r: (r[0] is not None, r[0] or 0, r[1], digest(r))) for k, v in out.items()}
+
+
+def _random(seed, convs, most):
+    rng = random.Random(seed)
+    rows = []
+    for conv in range(convs):
+        for turn in range(rng.randrange(1, most)):
+            role = rng.choice(["user", "assistant", "user", "assistant", "system", "tool", "", None])
+            rows.append((conv if conv else None, rng.choice([turn, turn, turn + 1, None]), role, rng.choice(["Hi.", "Yes!", "no", "  ", None, "what?\n", "“Done.”"])))
+    return rows
+
+
+def _run(spark, rows, piece):
+    df = spark.createDataFrame([(*r, "x", 1, 2) for r in rows], SCHEMA)
+    return {r.conv_id: tuple(r)[1:] for r in c.report(c.damage(df), piece).collect()}
+
+
+@pytest.mark.parametrize("piece", [1024, 1, 2])
+def test_equals_all_scripts_tried_one_by_one(spark, piece):
+    rows = _random(7, 60, 6)
+    assert _run(spark, rows, piece) == {k: _expected(v) for k, v in _damaged(rows).items()}
+
+
+def _plain(turns):
+    """The best script by whole strings: per state the cheapest, ASCII-least edits so far."""
+    now = {"E": (0, "")}
+    for initial, must_go, cut_off in turns:
+        after = {}
+        for p, q, cost, edits in c.turn_steps(initial, must_go, cut_off):
+            if p in now:
+                after[q] = min(after.get(q, (10**9, "")), (now[p][0] + cost, now[p][1] + edits))
+        now = after
+    ends = {"E": (0, ""), "A": (0, ""), "U": (2, "I"), "S": (4, "II")}
+    return min((cost + ends[q][0], edits + ends[q][1]) for q, (cost, edits) in now.items())
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("suat"), st.booleans(), st.booleans()), max_size=40), st.integers(1, 12))
+def test_coalescing_search_and_pieces_give_the_best_script(turns, piece):
+    search, final = c.Survivors("E"), []
+    for t in turns:
+        final += search.step(c.turn_steps(*t))
+    cost, rest = search.end()
+    assert (cost, "".join(final + rest)) == _plain(turns)
+    chain, final = c.Survivors("E"), []
+    for at in range(0, len(turns), piece):
+        ways = []
+        for p in c.STATES:
+            one, done = c.Survivors(p), []
+            for t in turns[at : at + piece]:
+                done += one.step(c.turn_steps(*t))
+            ways += [(p, q, cost, "".join(done + more)) for q, (cost, more) in one.ways().items()]
+        final += chain.step(ways)
+    cost, rest = chain.end()
+    assert (cost, "".join(final + rest)) == _plain(turns)
+
+
+def test_final_edits_leave_memory():
+    search, open_turns = c.Survivors("E"), 0
+    for n in range(20_000):
+        open_turns += 1 - len(search.step(c.turn_steps("ua"[n % 2], n % 97 == 0, n % 89 == 0)))
+        assert open_turns < 60
+
+
+def test_one_conversation_holds_nearly_all_rows(spark):
+    rows = [(1, n, "user" if n % 2 == 0 else "assistant", f"Text {n % 50}." if n % 3 else "Text") for n in range(300)]
+    rows += [(2, None, "user", "Same.")] * 40 + [(3, 0, "user", "Hi.")]
+    whole, cut = _run(spark, rows, 1024), _run(spark, rows, 16)
+    assert whole == cut and set(cut) == {1, 2, 3}
+
+
+def test_repaired_turns_digest_to_the_report(spark):
+    rows = _random(11, 30, 9)
+    df = c.damage(spark.createDataFrame([(*r, "x", 1, 2) for r in rows], SCHEMA))
+    for piece in (1024, 2):
+        said = {}
+        for r in sorted(c.repair(df, piece).collect(), key=lambda r: r.position):
+            said.setdefault(r.conv_id, []).append((r.role, r.text))
+        for r in c.report(df, piece).collect():
+            turns = said.get(r.conv_id, [])
+            assert hashlib.sha256("\n".join(f"{a}:{b}" for a, b in turns).encode()).hexdigest() == r.repaired_sha256
+            assert re.fullmatch("(s?(ua)+)?", "".join(a[0] for a, _ in turns))
+
+
+def test_no_rows_long_texts_and_dropped_conversations(spark):
+    assert _run(spark, [], 4) == {}
+    gone = next(n for n in range(1000) if zlib.crc32(f"{n}:0".encode()) % 20 == 0)
+    rows = [(gone, 0, "user", "Hi."), (5, 1, "user", "word " * 100_000 + "."), (5, 2, "assistant", "x" * 300_000)]
+    got = _run(spark, rows, 4)
+    assert got[gone] == (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+    assert got[5] == _expected(_damaged(rows)[5])
