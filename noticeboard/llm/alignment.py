@@ -33,7 +33,10 @@ from .common import arrow_schema, per_rows, record_batch
 #: Id pairs whose counts are sent to all tasks: 16 bytes each.
 SENT_PAIRS = 1 << 18
 #: Units remembered by a worker at least (twice as many at most), and the characters of one.
-KEPT, KEPT_CHARS = 200_000, 48
+KEPT, KEPT_CHARS = 120_000, 48
+
+#: Numbers of tokens of A and B and of groups, the groups as text, the linked id pairs (64-bit numbers).
+Unit = tuple[int, int, int, str, bytes]
 
 # A blank after anything but a blank and before anything but white space: both tokenizers begin a token there.
 _CUT = re.compile(r"(?<=[^ ]) (?=\S)")
@@ -71,7 +74,10 @@ def runs(ends_a: list[int], ends_b: list[int]) -> Iterator[tuple[int, int, int,
 
 
 class Pair:
-    """Both tokenizers, with the bytes of their ids, and the units they have encoded lately."""
+    """Both tokenizers, with the bytes of their ids, and the units they have aligned lately.
+
+    No token of either reaches over a single blank between words, so groups don't either: texts are aligned in units
+    between such blanks, and a unit that was seen lately is not aligned again."""
 
     def __init__(self, path_a: str, path_b: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -90,38 +96,68 @@ class Pair:
         self.lengths_b = np.array([len(x) for x in self.bytes_b], np.int64)
         # Without pieces that reach over a blank, units between blanks can be encoded one by one.
         self.by_unit = not any("▁" in p.lstrip("▁") or (p.startswith("▁▁") and p.strip("▁")) for p in pieces) and _cuts_at_blanks(path_a)
-        self.young: dict[str, tuple[bytes, bytes] | None] = {}
-        self.old: dict[str, tuple[bytes, bytes] | None] = {}
-
-    def _learn(self, units: list[str], into: dict) -> None:
-        """Both id lists of each unit; None where the bytes of one differ from a blank and the unit."""
-        all_a = self.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False)
-        all_b = self.b.encode(units, num_threads=1)
-        bytes_a, bytes_b = self.bytes_a, self.bytes_b
-        for u, a, b in zip(units, all_a, all_b):
-            ids, whole = a.ids, (" " + u).encode()
-            same = b"".join([bytes_a[x] for x in ids]) == whole and b"".join([bytes_b[x] for x in b]) == whole
-            into[u] = (np.array(ids, "<i4").tobytes(), np.array(b, "<i4").tobytes()) if same else None
-
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
-        """Ids of A and B per text; None for an empty text and where bytes differ."""
+        self.young: dict[str, Unit | None] = {}
+        self.old: dict[str, Unit | None] = {}
+
+    def _learn(self, units: list[str], into: dict[str, Unit | None]) -> None:
+        """Align new units: those that a blank before and after sets apart as one text, cut again where they end."""
+        apart = [u for u in units if not u[0].isspace() and u[-1] != " "]
+        for u in set(units).difference(apart):
+            into.update(self._together([u]))
+        waiting = [apart] if apart else []
+        while waiting:
+            part = waiting.pop()
+            found = self._together(part)
+            if found is not None:
+                into.update(found)
+            else:  # some unit's tokens don't give back its bytes
+                waiting += [part[: len(part) // 2], part[len(part) // 2 :]]
+
+    def _together(self, units: list[str]) -> dict[str, Unit | None] | None:
+        """The parts of an alignment of all ``units`` in one text; None where it is not possible for all. A single unit always has a result."""
+        text = " ".join(units)
+        (encoding,), b = self.a.encode_batch_fast([" " + text], add_special_tokens=False), self.b.encode(text)
+        a, whole = encoding.ids, (" " + text).encode()
+        if b"".join([self.bytes_a[x] for x in a]) != whole or b"".join([self.bytes_b[x] for x in b]) != whole:
+            return {units[0]: None} if len(units) == 1 else None
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        groups, ends, links_a, links_b, ends_a, ends_b = align(a, b, self)
+        keys = a[links_a] * len(self.bytes_b) + b[links_b]
+        stops = np.cumsum([len(u.encode()) + 1 for u in units])
+        at, at_a, at_b = (np.searchsorted(x, stops) for x in (ends, ends_a, ends_b))
+        if (at == len(ends)).any() or (np.asarray(ends)[at] != stops).any():
+            return None
+        link = np.searchsorted(np.asarray(ends_a)[links_a], stops, side="right")
+        out, g, x, y, k = {}, 0, 0, 0, 0
+        for u, g1, x1, y1, k1 in zip(units, (at + 1).tolist(), (at_a + 1).tolist(), (at_b + 1).tolist(), link.tolist()):
+            out[u] = (x1 - x, y1 - y, g1 - g, ";".join(groups[g:g1]), keys[k:k1].tobytes())
+            g, x, y, k = g1, x1, y1, k1
+        return out
+
+    def align(self, texts: list[str]) -> list[Unit | None]:
+        """The alignment of each text; None for an empty text and where bytes differ."""
         split = [_CUT.split(" " + t) if self.by_unit else [" " + t] for t in texts]
         for units in split:
             units[0] = units[0][1:]
         missing = set(chain.from_iterable(split)).difference(self.young)
+        missing.discard("")
         known = missing.intersection(self.old)
         self.young.update((u, self.old[u]) for u in known)
-        missing = list(missing - known)
-        long: dict[str, tuple[bytes, bytes] | None] = {}
-        self._learn([u for u in missing if len(u) <= KEPT_CHARS], self.young)
-        self._learn([u for u in missing if len(u) > KEPT_CHARS], long)
+        missing -= known
+        long = [u for u in missing if len(u) > KEPT_CHARS]
+        self._learn(list(missing.difference(long)), self.young)
+        for u in long:
+            self.young.update(self._together([u]))
         young, out = self.young, []
         for text, units in zip(texts, split):
-            found = [young[u] if u in young else long[u] for u in units] if text else [None]
+            found = list(map(young.__getitem__, units)) if text else [None]
             if None in found:
                 out.append(None)
             else:
-                out.append((np.frombuffer(b"".join([f[0] for f in found]), "<i4"), np.frombuffer(b"".join([f[1] for f in found]), "<i4")))
+                n_a, n_b, n, said, keys = zip(*found)
+                out.append((sum(n_a), sum(n_b), sum(n), ";".join(said), b"".join(keys)))
+        for u in long:
+            del young[u]
         if len(young) > KEPT:
             self.young, self.old = {}, young
         return out
@@ -158,20 +194,23 @@ def _pair(path_a: str, path_b: str) -> Pair:
     return Pair(path_a, path_b)
 
 
-def align(a: np.ndarray, b: np.ndarray, pair: Pair) -> tuple[int, str, np.ndarray, np.ndarray]:
-    """Groups of one document: their number, their text ``a1,a2|b1;a3|b2,b3``, and the places of linked tokens in A and B."""
+def align(a: np.ndarray, b: np.ndarray, pair: Pair) -> tuple[list[str], list[int], list[int], list[int], list[int], list[int]]:
+    """Groups of one text, each as ``a1,a2|b1``, and their ends; the places of linked tokens in A and B; the ends of tokens."""
     ends_a, ends_b = np.cumsum(pair.lengths_a[a]).tolist(), np.cumsum(pair.lengths_b[b]).tolist()
     said_a, said_b = [pair.names_a[x] for x in a.tolist()], [pair.names_b[x] for x in b.tolist()]
-    parts: list[str] = []
+    groups: list[str] = []
+    ends: list[int] = []
     links_a: list[int] = []
     links_b: list[int] = []
     for i, k, j, l in runs(ends_a, ends_b):
-        if k - i == l - j and ends_a[i] == ends_b[j]:  # one to one
-            parts.extend(map("|".join, zip(said_a[i:k], said_b[j:l])))
+        if ends_a[i] == ends_b[j]:  # one to one
+            groups.extend(map("|".join, zip(said_a[i:k], said_b[j:l])))
+            ends.extend(ends_a[i:k])
             links_a.extend(range(i, k))
             links_b.extend(range(j, l))
             continue
-        parts.append(",".join(said_a[i:k]) + "|" + ",".join(said_b[j:l]))
+        groups.append(",".join(said_a[i:k]) + "|" + ",".join(said_b[j:l]))
+        ends.append(ends_a[k - 1])
         while True:
             links_a.append(i)
             links_b.append(j)
@@ -181,35 +220,33 @@ def align(a: np.ndarray, b: np.ndarray, pair: Pair) -> tuple[int, str, np.ndarra
                 j += 1
             else:
                 break
-    return len(parts), ";".join(parts), np.array(links_a, np.int64), np.array(links_b, np.int64)
+    return groups, ends, links_a, links_b, ends_a, ends_b
 
 
 def _aligned(path_a: str, path_b: str):
     def run(rows: list[dict]) -> Iterator[tuple]:
         pair = _pair(path_a, path_b)
-        width = len(pair.bytes_b)
-        for row, ids in zip(rows, pair.encode([r["text"] or "" for r in rows])):
-            if ids is None:
-                yield row["doc_id"], [], [], 0, "", [], []
+        for row, found in zip(rows, pair.align([r["text"] or "" for r in rows])):
+            if found is None:
+                yield row["doc_id"], 0, 0, 0, "", [], []
                 continue
-            a, b = ids
-            n, groups, links_a, links_b = align(a, b, pair)
-            pairs, times = np.unique(a[links_a].astype(np.int64) * width + b[links_b], return_counts=True)
-            yield row["doc_id"], a, b, n, groups, pairs, times
+            *counts, groups, keys = found
+            pairs, times = np.unique(np.frombuffer(keys, np.int64), return_counts=True)
+            yield row["doc_id"], *counts, groups, pairs, times
 
     return run
 
 
 def align_tokens(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """Per row of ``docs`` (``doc_id``, ``text``): ``ids_a``, ``ids_b``, ``n_groups``, ``groups`` (their text), and the
-    distinct linked id pairs with how often each is linked (``pairs``: A's id times B's vocabulary plus B's id; ``times``).
+    """Per row of ``docs`` (``doc_id``, ``text``): ``n_a``, ``n_b``, ``n_groups``, ``groups`` (all ids, as ``a1,a2|b1;a3|b2,b3``), and
+    the distinct linked id pairs with how often each is linked (``pairs``: A's id times B's vocabulary plus B's id; ``times``).
 
     A encodes a blank and the text, B the text, to which it adds the blank itself; special tokens' strings are
     plain text. A null or empty text, and one whose tokens don't give back the bytes, has no tokens, groups or links.
     Other columns are left out; rows without an id or with a repeated one are rows like others; no rows, no result.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return per_rows(rows, _aligned(path_a, path_b), "doc_id long, ids_a array<int>, ids_b array<int>, n_groups long, groups string, pairs array<long>, times array<int>")
+    return per_rows(rows, _aligned(path_a, path_b), "doc_id long, n_a long, n_b long, n_groups long, groups string, pairs array<long>, times array<int>")
 
 
 def count_pairs(aligned: DataFrame, vocabulary_b: int) -> DataFrame:
@@ -273,8 +310,8 @@ def describe(docs: DataFrame, path_a: str | None = None, path_b: str | None = No
     whole = align_tokens(docs, path_a, path_b).select(
         F.monotonically_increasing_id().alias("row"),
         "doc_id",
-        F.size("ids_a").cast("long").alias("n_a"),
-        F.size("ids_b").cast("long").alias("n_b"),
+        "n_a",
+        "n_b",
         "n_groups",
         F.aggregate("times", F.lit(0).cast("long"), lambda x, y: x + y).alias("n_links"),
         F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256"),

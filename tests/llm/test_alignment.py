@@ -98,23 +98,19 @@ def test_counts_beyond_those_sent_come_by_a_join(texts):
     _same(texts(*ODD), ODD, sent=0)
 
 
-def test_units_encode_as_whole_texts(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").limit(80).collect()
-    pair = alignment.Pair(A, B)
-    whole = alignment.Pair(A, B)
+def test_units_align_as_whole_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").limit(120).collect()
+    pair = _shared()
     assert pair.by_unit
-    whole.by_unit = False
-    for r in docs + [type("R", (), {"text": t}) for t in ODD if t]:
-        one, other = pair.encode([r.text or ""])[0], _whole(whole, r.text or "")
-        assert (one is None) == (other is None) and (one is None or (one[0].tolist(), one[1].tolist()) == other)
+    texts = [r.text or "" for r in docs] + [t for t in ODD if t]
+    assert pair.align(texts) == [pair._together([t])[t] if t else None for t in texts]
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.text(st.sampled_from(" \n\tab'st.1é日 　▁\r-"), max_size=30))
-def test_units_encode_as_whole_texts_of_any_kind(text):
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from(" \n\tab'st.1é日 　▁\r-"), max_size=30), max_size=5))
+def test_units_align_as_whole_texts_of_any_kind(texts):
     pair = _shared()
-    one, other = pair.encode([text])[0], _whole(pair, text)
-    assert (one is None) == (other is None) and (one is None or (one[0].tolist(), one[1].tolist()) == other)
+    assert pair.align(texts) == [pair._together([t])[t] if t else None for t in texts]
 
 
 def _shared(made=[]):  # noqa: B006
@@ -123,15 +119,6 @@ def _shared(made=[]):  # noqa: B006
     return made[0]
 
 
-def _whole(pair, text):
-    if not text:
-        return None
-    found = {}
-    pair._learn([text], found)
-    value = found[text]
-    return value and tuple([int.from_bytes(v[i : i + 4], "little") for i in range(0, len(v), 4)] for v in value)
-
-
 def test_no_rows_and_repeated_and_missing_ids(documents):
     assert alignment.describe(documents([])).count() == 0
     rows = [(None, "a b", "en", "s"), (1, "a b", "en", "s"), (1, "a b", "en", "s")]
