@@ -5,7 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from ..functions import dates, ids, text
-from ..model import FieldRule, Transform
+from ..model import FieldRule, SiteSpec, Transform
 from ..operators import clean, lookup
 from ..sources import dictionaries
 from . import AS_OF, ORDERS_AS_OF, ORDERS_AS_OF_SQL, query, table
@@ -325,6 +325,39 @@ def days_delta(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", days.alias("days"))
 
 
+# As many sites as a large set of site files has, each with rules of its own.
+_SITES = 61
+_SITE_LAYOUTS = ["MM-dd-yyyy", "MMM dd yyyy", "yyyy/MM/dd"]
+
+
+def _site_spec(n):
+    return SiteSpec(f"site{n}", list_rules=(
+        FieldRule("job_title", "h1", transforms=(Transform("regex", f"s/^([0-9])-/{n}:$1 /g"), Transform("appendAfter", f" #{n}"))),
+        FieldRule("job_post_date", "i", transforms=(Transform("dateFormat", _SITE_LAYOUTS[n % 3]),)),
+        FieldRule("job_sub_company", "b", transforms=(Transform("insertBefore", f"[{n}]"), Transform("join", f" {n} "))),
+        FieldRule("job_category_domain", "p", is_fatal=n % 2 == 0, transforms=(Transform("regex_matcher", f"/([A-Z]{{{n % 4 + 2}}})$/"),)),
+    ))
+
+
+@query(f"""WITH o AS (SELECT *, o_orderkey % {_SITES} AS n, o_orderpriority AS p FROM orders)
+  SELECT o_orderkey, CASE WHEN regexp_matches(p, '^[0-9]-') THEN n || ':' || substr(p, 1, 1) || ' ' || substr(p, 3) ELSE p END || ' #' || n AS job_title,
+         o_orderdate AS job_post_date, '[' || n || ']' || p || ' ' || n || ' [' || n || ']' || o_orderstatus AS job_sub_company,
+         CASE WHEN p = '5-LOW' AND n % 4 = 2 THEN '' WHEN regexp_matches(right(p, CAST(n % 4 + 2 AS INTEGER)), '^[A-Z]*$') THEN '其他' ELSE '' END AS job_category_domain
+  FROM o""")
+def many_sites(spark, sf):
+    """Orders as rows of 61 sites; no two sites share a rule."""
+    date, n = F.col("o_orderdate"), F.col("o_orderkey") % _SITES
+    written = F.element_at(F.array(*(_render(date, _LAYOUT_FORMS[layout][1]) for layout in _SITE_LAYOUTS)), (n % 3).cast("int") + 1)
+    raw = F.map_from_arrays(
+        F.array(*map(F.lit, ("job_title", "job_post_date", "job_sub_company", "job_category_domain"))),
+        F.array(F.array("o_orderpriority"), F.array(written), F.array("o_orderpriority", "o_orderstatus"), F.array("o_orderpriority")),
+    )
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
+    rows = rows.select("o_orderkey", F.concat(F.lit("site"), n).alias("site"), F.lit("").alias("url"), raw.alias("raw"))
+    cleaned = clean.with_fields(rows, [_site_spec(k) for k in range(_SITES)], "list", _cities(spark, sf), AS_OF)
+    return cleaned.select("o_orderkey", "job_title", "job_post_date", "job_sub_company", "job_category_domain")
+
+
 @query("""WITH e AS (SELECT doc_id, list_transform(string_split(text, chr(10)), lambda x: replace(trim(x), 'e', 'E') || '!') AS v FROM documents)
   SELECT doc_id, array_to_string(list_filter(v, lambda x: x <> ''), '<BR/>') AS value FROM e""")
 def user_function(spark, sf):

@@ -6,6 +6,7 @@ the session time zone. ``as_of`` is always a parameter: nothing reads the clock.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -69,34 +70,64 @@ _YMD = f"{_N}-{_S}{_N}-{_S}{_N}"
 _HMS = f"{_S}{_N}:{_S}{_N}:{_S}{_N}"
 _HEAD = f"{_WEEKDAY} {_S}{_MONTH} {_S}{_N} {_HMS}"
 
-# The default formats in the order they are tried, the first that fits decides. Each is a
-# prefix pattern (text after it is ignored) and the meaning of its groups: y or Y year of four
-# or two digits, M or N month by number or name, d day, H or h hour of a 24- or 12-hour clock,
-# m minute, s second, f fraction, z zone. A number alone is epoch milliseconds (e).
-_FORMATS = [
-    (f"{_YMD}T{_HMS}\\.(\\d+)Z", "yMdHmsf"),
-    (f"{_YMD}T{_HMS}", "yMdHms"),
-    (_YMD, "yMd"),
-    (f"{_HEAD} {_S}{_ZONE} {_S}{_N}", "Ndhmszy"),
-    (f"{_N}-{_S}{_MONTH}-{_S}{_N}", "dNy"),
-    (f"{_N} {_S}{_MONTH} {_S}{_N}", "dNy"),
-    (f"{_N}/{_S}{_N}/{_S}{_N}", "Mdy"),
-    (f"{_HEAD} {_S}{_N}", "NdHmsy"),
-    (f"{_WEEKDAY}, {_S}{_N}-{_S}{_MONTH}-{_S}(\\d{{2}}) {_HMS} {_S}{_ZONE}", "dNYHmsz"),
-    (f"{_WEEKDAY}, {_S}{_N} {_S}{_MONTH} {_S}{_N} {_HMS} {_S}{_ZONE}", "dNyHmsz"),
-    (r"([+-]?\d{1,15})'?\z", "e"),
-]
-_FIELDS = "yYMNdHhmsfze"
+# The default formats by the shape of a text, so that only the one that can fit is tried. Each is a prefix
+# pattern (text after it is ignored) and how its groups give year, month (number or name), day, hour, minute,
+# second, fraction, zone and a mark: h for a clock of 12 hours, e for epoch milliseconds in place of the year.
 _READ = "\u0001"  # marks a text that a format has fitted
-
-
-def _one_pass() -> tuple[str, str]:
-    """All formats as one pattern, and the replacement that lists the fields of whichever fits:
-    the groups of the others are empty."""
-    groups = [field for _, fields in _FORMATS for field in fields]
-    pattern = "^(?:'(?=.*'$))?[ \t]*(?:" + "|".join(p for p, _ in _FORMATS) + ")(?s:.*)$"
-    listed = ("".join(f"${n}" for n, g in enumerate(groups, 1) if g == field) for field in _FIELDS)
-    return pattern, _READ + "|".join(listed)
+_YMD_FORMAT = (f"{_YMD}(?:T{_HMS}(?:\\.(\\d+)Z)?)?", "$1|$2|$3|$4|$5|$6|$7||")
+_DMY_DASH = (f"{_N}-{_S}{_MONTH}-{_S}{_N}", "$3|$2|$1||||||")
+_DMY_BLANK = (f"{_N} {_S}{_MONTH} {_S}{_N}", "$3|$2|$1||||||")
+_MDY = (f"{_N}/{_S}{_N}/{_S}{_N}", "$3|$1|$2||||||")
+_EPOCH = (r"([+-]?\d{1,15})'?\z", "$1||||||||e")
+_ZONED = (f"{_HEAD} {_S}{_ZONE} {_S}{_N}", "$7|$1|$2|$3|$4|$5||$6|h")
+_UNZONED = (f"{_HEAD} {_S}{_N}", "$6|$1|$2|$3|$4|$5|||")
+_MAIL_DASH = (f"{_WEEKDAY}, {_S}{_N}-{_S}{_MONTH}-{_S}(\\d{{2}}) {_HMS} {_S}{_ZONE}", "20$3|$2|$1|$4|$5|$6||$7|")
+_MAIL_BLANK = (f"{_WEEKDAY}, {_S}{_N} {_S}{_MONTH} {_S}{_N} {_HMS} {_S}{_ZONE}", "$3|$2|$1|$4|$5|$6||$7|")
+_FIELDS = "yMdHmsfzk"
+_DIGITS, _LETTERS, _BLANKS = "0123456789", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", " \t"
+
+
+def _bind(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is worked out once, however often it is read."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _bare(trimmed: Column) -> Column:
+    """Without quotes around it and blanks before it."""
+    unquoted = F.when(F.startswith(trimmed, F.lit("'")), F.regexp_replace(trimmed, "^'(?=.*'$)", "")).otherwise(trimmed)
+    return F.ltrim(unquoted, F.lit(_BLANKS))
+
+
+def _first(text: Column) -> Column:
+    return F.substring(text, 1, 1)
+
+
+def _fit(text: Column, form: tuple[str, str]) -> Column:
+    return F.regexp_replace(text, f"^{form[0]}(?s:.*)$", _READ + form[1])
+
+
+def _read_shape(text: Column) -> Column:
+    """A bare text by the format of its shape: what follows the number or word it begins with decides."""
+    first = _first(text)
+    after_number, after_word = F.ltrim(text, F.lit(_DIGITS)), F.ltrim(text, F.lit(_LETTERS))
+    mark = _first(after_number)
+    beyond = _first(F.ltrim(F.substring(after_number, 2, 64), F.lit(_BLANKS)))
+    day_end = _first(F.ltrim(F.ltrim(F.substring(after_word, 2, 64), F.lit(_BLANKS)), F.lit(_DIGITS)))
+    number = (
+        F.when((mark == "-") & beyond.between("0", "9"), _fit(text, _YMD_FORMAT))
+        .when(mark == "-", _fit(text, _DMY_DASH))
+        .when(mark == "/", _fit(text, _MDY))
+        .when(mark == " ", _fit(text, _DMY_BLANK))
+        .otherwise(_fit(text, _EPOCH))
+    )
+    zoned = _fit(text, _ZONED)
+    word = (
+        F.when((_first(after_word) == ",") & (day_end == "-"), _fit(text, _MAIL_DASH))
+        .when(_first(after_word) == ",", _fit(text, _MAIL_BLANK))
+        .when(F.rlike(text, F.lit(f"^{_ZONED[0]}")), zoned)
+        .otherwise(_fit(text, _UNZONED))
+    )
+    return F.when(first.between("0", "9"), number).when(first.isin("+", "-"), _fit(text, _EPOCH)).when(F.lower(first).between("a", "z"), word)
 
 
 _MONTH_INDEX = ",   ,jan,feb,mar,apr,may,jun,jul,aug,sep,oct,nov,dec"
@@ -147,16 +178,23 @@ def _number(digits: Column) -> Column:
     return F.concat(F.lit("0"), digits).cast("int")
 
 
-def _moment(field: dict[str, Column]) -> Column:
-    year = _number(field["y"]) + F.when(field["Y"] != "", _number(field["Y"]) + 2000).otherwise(0)
-    name = F.when(field["N"] < "{", field["N"]).otherwise(english_months(field["N"]))
-    named = F.instr(F.lit(_MONTH_INDEX), F.concat(F.lit(","), F.rpad(F.lower(name), 3, " ")))
-    month = _number(field["M"]) + F.floor((named - 1) / 4).cast("int")
-    hour = _number(field["H"]) + F.when(field["h"] == "12", 0).otherwise(_number(field["h"]))
+def _month(name: Column) -> Column:
+    english = F.when(name < "{", name).otherwise(english_months(name))
+    named = F.instr(F.lit(_MONTH_INDEX), F.concat(F.lit(","), F.rpad(F.lower(english), 3, " ")))
+    return F.when(_first(name).between("0", "9"), _number(name)).otherwise(F.floor((named - 1) / 4).cast("int"))
+
+
+def _local(field: dict[str, Column]) -> Column:
+    """Wall-clock time in the text's own zone; null where no format has fitted or a part is out of range."""
+    year = _number(F.substring(field["y"], 2, 9))
+    hour = F.when((field["k"] == "h") & (field["H"] == "12"), 0).otherwise(_number(field["H"]))
     millis = F.substring(F.concat(field["f"], F.lit("000")), 1, 3)
     second = F.concat(F.lit("0"), field["s"], F.lit("."), millis).cast("decimal(16,6)")
-    local = F.try_make_timestamp_ntz(F.when(year <= 9999, year), month, _number(field["d"]), hour, _number(field["m"]), second)
-    return local - F.make_dt_interval(mins=F.when(field["z"] == "", 0).otherwise(_zone_minutes(field["z"], local)))
+    day = F.try_make_timestamp_ntz(year, _month(field["M"]), _number(field["d"]), F.lit(0), F.lit(0), F.lit(0).cast("decimal(16,6)"))
+    moment = F.try_make_timestamp_ntz(year, _month(field["M"]), _number(field["d"]), hour, _number(field["m"]), second)
+    moment = F.when(F.length(field["y"]) > 5, F.when(year <= 9999, moment)).when(field["H"] == "", day).otherwise(moment)
+    fitted = F.when(field["k"] == "e", _from_millis(F.substring(field["y"], 2, 16))).otherwise(moment)
+    return F.when(F.startswith(field["y"], F.lit(_READ)), fitted)
 
 
 def _from_millis(text: Column) -> Column:
@@ -166,17 +204,21 @@ def _from_millis(text: Column) -> Column:
     return F.when(F.abs(millis) <= _LAST_MILLI, start + F.make_dt_interval(secs=seconds))
 
 
-def _fields(text: Column, layout: str | None) -> Column:
-    """The fields of whichever format fits, as an array of texts."""
-    return F.split(F.regexp_replace(F.trim(apply_layout(text, layout)), *_one_pass()), r"\|", -1)
+def _parts(read: Column) -> Column:
+    return F.split(read, r"\|", len(_FIELDS))
+
+
+def _named(parts: Column) -> dict[str, Column]:
+    return {name: F.get(parts, F.lit(i)) for i, name in enumerate(_FIELDS)}
+
 
+def _of_bare(text: Column) -> Column:
+    def of_parts(parts: Column) -> Column:
+        field = _named(parts)
+        zoned = _bind(_local(field), lambda local: local - F.make_dt_interval(mins=_zone_minutes(field["z"], local)))
+        return F.when(F.length(field["z"]) > 0, zoned).otherwise(_local(field))
 
-def _date(read: Column) -> Column:
-    """A date from its fields; null where no format has fitted."""
-    field = {name: F.get(read, F.lit(i)) for i, name in enumerate(_FIELDS)}
-    field["y"] = F.substring(field["y"], 2, 9)
-    moment = F.when(field["e"] == "", _moment(field)).otherwise(_from_millis(field["e"]))
-    return F.when(F.startswith(F.get(read, F.lit(0)), F.lit(_READ)), moment)
+    return _bind(_parts(_read_shape(text)), of_parts)
 
 
 def parse_date(text: Column, layout: str | None = None) -> Column:
@@ -186,15 +228,13 @@ def parse_date(text: Column, layout: str | None = None) -> Column:
     Out-of-range fields make a text unparseable; null when nothing fits. For elements of arrays;
     a column of texts is read by ``with_dates``.
     """
-    # The array of one binds the field list, so that it is worked out once and read many times.
-    return F.transform(F.array(_fields(text, layout)), _date)[0]
+    return _bind(F.trim(apply_layout(text, layout)), lambda trimmed: _bind(_bare(trimmed), _of_bare))
 
 
 def with_dates(df: DataFrame, texts: dict[str, Column], layouts: dict[str, str] | None = None) -> DataFrame:
-    """Add a date column for each text, read as ``parse_date`` does. The fields become columns of a
-    step of their own, so that everything after the pattern is generated code."""
-    read = {f"__read_{out}": _fields(text, (layouts or {}).get(out)) for out, text in texts.items()}
-    return df.withColumns(read).withColumns({out: _date(F.col(f"__read_{out}")) for out in texts}).drop(*read)
+    """Add a date column for each text, read by ``parse_date``. Each is one expression in which nothing stands twice, so
+    a filter on a date that is pushed below it doesn't multiply it."""
+    return df.withColumns({out: parse_date(text, (layouts or {}).get(out)) for out, text in texts.items()})
 
 
 def whole_days(since: Column, as_of: Column) -> Column:

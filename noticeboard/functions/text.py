@@ -83,20 +83,32 @@ def regex_sub(text: Column, spec: str) -> Column:
     return F.regexp_replace(text, pattern, replacement)
 
 
+def matching(spec: str, group: int = 1) -> str:
+    """The pattern of ``/pattern/``, which has at least so many groups."""
+    parts, _ = _split_spec(spec, "m")
+    if len(parts) != 1 or _groups(parts[0], spec) < group:
+        raise ValueError(f"expected /pattern/ with group {group}: {spec!r}")
+    return parts[0]
+
+
 def match_nth(text: Column, spec: str, which: int = 0, group: int = 1) -> Column:
     """One group of the which-th match of ``/pattern/``: 0 all (joined by comma), -1 last.
 
     Empty text when there is no such match.
     """
-    parts, _ = _split_spec(spec, "m")
-    if len(parts) != 1 or _groups(parts[0], spec) < group:
-        raise ValueError(f"expected /pattern/ with group {group}: {spec!r}")
-    found = F.regexp_extract_all(text, F.lit(parts[0]), F.lit(group))
+    found = F.regexp_extract_all(text, F.lit(matching(spec, group)), F.lit(group))
     if which == 0:
         return F.array_join(F.filter(found, lambda x: x != ""), ",")
     return F.when(text.isNotNull(), F.coalesce(F.try_element_at(found, F.lit(which)), F.lit("")))
 
 
+def match_by(text: Column, pattern: Column, which: Column, group: Column) -> Column:
+    """``match_nth`` with everything from the row."""
+    found = F.regexp_extract_all(text, pattern, group)
+    one = F.coalesce(F.try_element_at(found, F.nullif(which, F.lit(0))), F.lit(""))
+    return F.when(which == 0, F.array_join(F.filter(found, lambda x: x != ""), ",")).when(text.isNotNull(), one)
+
+
 def join_values(values: Column, separator: str = "<BR/>") -> Column:
     """Several elements to one value; empty ones are dropped, null stays null."""
     return F.array_join(F.filter(values, lambda x: x != ""), separator)

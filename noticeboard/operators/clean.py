@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
-from functools import partial, reduce
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -22,20 +22,12 @@ from ..model import (
     TEXT_FIELDS,
     FieldRule,
     SiteSpec,
-    Transform,
 )
+from . import programme
 from .extract import ANY_SITE
-from .lookup import Dictionary, format_places, tokenize_places
+from .lookup import Dictionary, tokenize_places
 
-# Transforms that already put a value into its final form.
-_FORMATTING = ("dateFormat", "location_regex", "regex_matcher", "tokenize")
-# Place lookups after a transform. No match is no value, not an unknown place.
-_PLACE_STEPS = {
-    "tokenize": tokenize_places,
-    "location_regex": format_places,
-    "regex_matcher": partial(format_places, empty=""),
-}
-_ALL = ("insertBefore", "appendAfter", "regex", "join", "executeScript", *_FORMATTING)
+_ALL = ("insertBefore", "appendAfter", "regex", "join", "executeScript", *programme.FORMATTING)
 
 UserFunction = Callable[[pd.Series], pd.Series]
 
@@ -59,23 +51,6 @@ def affix(text: Column, before: str = "", after: str = "") -> Column:
     return F.concat(F.lit(before), text, F.lit(after))
 
 
-def transform_text(text: Column, t: Transform) -> Column:
-    """One transform of one element; place lookups are table steps (see ``with_field``)."""
-    if t.how == "insertBefore":
-        return affix(text, before=t.value)
-    if t.how == "appendAfter":
-        return affix(text, after=t.value)
-    if t.how == "regex":
-        return text_functions.regex_sub(text, t.value)
-    if t.how == "location_regex":
-        return text_functions.regex_sub(F.trim(text), t.value)
-    if t.how == "regex_matcher":
-        return text_functions.match_nth(text, t.value, t.which, t.group)
-    if t.how == "dateFormat":
-        return dates.index_text(dates.parse_date(text, t.value))
-    return text
-
-
 def user_function(function: UserFunction) -> Callable[[Column], Column]:
     """A user's function over every element of an array column, one Arrow batch at a time: the
     arrays are laid end to end, and their ends put back afterwards."""
@@ -95,122 +70,38 @@ def user_function(function: UserFunction) -> Callable[[Column], Column]:
     return apply
 
 
-Variant = tuple[Column, FieldRule]  # which rows, and their rule
-
-
-def _chosen(variants: list[Variant], value: Callable[[FieldRule], Column | None], otherwise: Column) -> Column:
-    """Each row's value by its own rule; only that branch is worked out."""
-    for here, rule in variants:
-        column = value(rule)
-        otherwise = otherwise if column is None else F.when(here, column).otherwise(otherwise)
-    return otherwise
-
-
-def _rows_with(variants: list[Variant], test: Callable[[FieldRule], bool]) -> Column | None:
-    return reduce(lambda a, b: a | b, [here for here, rule in variants if test(rule)], F.lit(False)) if any(
-        test(rule) for _, rule in variants
-    ) else None
-
-
-def _steps(rule: FieldRule) -> list[tuple[Transform, ...]]:
-    """Transforms in runs, each ending with one that is a table step (a lookup or a user's function)."""
-    runs: list[list[Transform]] = [[]]
-    for t in rule.transforms:
-        runs[-1].append(t)
-        if t.how in _PLACE_STEPS or t.how == "executeScript":
-            runs.append([])
-    return [tuple(run) for run in runs]
-
-
-def _apply_run(values: Column, run: tuple[Transform, ...]) -> Column:
-    for t in run:
-        if t.how not in ("join", "tokenize", "executeScript"):
-            values = F.transform(values, _element_step(t))
-    return values
-
-
-def _element_step(t: Transform) -> Callable[[Column], Column]:
-    return lambda value: transform_text(value, t)
-
-
-def _table_step(
-    df: DataFrame, variants: list[Variant], n: int, cities: Dictionary | None, functions: dict[str, UserFunction]
-) -> DataFrame:
-    """The lookups and user functions that end run ``n``; each sees only its own rows."""
-
-    def ends(rule: FieldRule) -> Transform | None:
-        runs = _steps(rule)
-        return runs[n][-1] if n < len(runs) - 1 else None
-
-    def masked(df: DataFrame, rows: Column, step: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        df = step(df.withColumns({"__own": rows, "__part": F.when(rows, F.col("__v"))}))
-        return df.withColumn("__v", F.when(F.col("__own"), F.col("__part")).otherwise(F.col("__v"))).drop("__own", "__part")
-
-    for how, step in _PLACE_STEPS.items():
-        own = _rows_with(variants, lambda r, how=how: ends(r) is not None and ends(r).how == how)
-        if own is not None:
-            df = masked(df, own, lambda d, step=step: step(d, "__part", cities))
-    names = {ends(r).value for _, r in variants if ends(r) is not None and ends(r).how == "executeScript"}
-    for name in sorted(names):
-        own = _rows_with(variants, lambda r, name=name: ends(r) is not None and ends(r).value == name)
-        df = masked(df, own, lambda d, name=name: d.withColumn("__part", user_function(functions[name])(F.col("__part"))))
-    return df
-
-
-def _separator(rule: FieldRule) -> str:
-    return ([t.value or "," for t in rule.transforms if t.how == "join"] or ["<BR/>"])[-1]
-
-
-def with_field_variants(
-    df: DataFrame,
-    field: str,
-    variants: list[Variant],
-    out: str,
-    cities: Dictionary | None,
-    as_of: datetime,
-    functions: dict[str, UserFunction] | None = None,
-) -> DataFrame:
-    """The final value of one field from the raw values of the page, by the rule of each row."""
-    constants = [v for v in variants if v[1].how in ("url", "int")]
-    read = [v for v in variants if v[1].how not in ("url", "int")]
-    if not read:
-        constant = lambda r: F.col("url") if r.how == "url" else ids.int_constant(r.value)
-        return df.withColumn(out, _chosen(constants, constant, F.lit(None)))
-
-    df = df.withColumn("__v", F.try_element_at("raw", F.lit(field)))
-    for n in range(max(len(_steps(r)) for _, r in read)):
-        run = lambda r, n=n: _apply_run(F.col("__v"), _steps(r)[n]) if n < len(_steps(r)) else None
-        df = _table_step(df.withColumn("__v", _chosen(read, run, F.col("__v"))), read, n, cities, functions or {})
-
-    value = F.lit(None).cast("string")
-    for separator in sorted({_separator(r) for _, r in read}):
-        own = _rows_with(read, lambda r, s=separator: _separator(r) == s)
-        value = F.when(own, text_functions.join_values(F.col("__v"), separator)).otherwise(value)
-    # An element that could not be read makes the whole field missing.
-    value = F.when(~F.exists("__v", lambda v: v.isNull()), value)
-    if field in TEXT_FIELDS:
-        value = text_functions.strip_nonchar(value)
-    if field in DATE_FIELDS:
-        df = dates.with_dates(df, {"__date": value})
-        value = F.col("__date")
-    plain = _rows_with(read, lambda r: not any(t.how in _FORMATTING for t in r.transforms))
-    if field == LOCATION_FIELD and plain is not None and cities is not None:
-        df = df.withColumns({"__value": value, "__own": plain, "__v": F.when(plain & value.isNotNull(), F.array(value))})
-        df = tokenize_places(df, "__v", cities)
-        df = df.withColumn(out, F.when(F.col("__own"), F.col("__v")[0]).otherwise(F.col("__value"))).drop("__value", "__own")
-    else:
-        df = df.withColumn(out, value)
-    if constants:
-        df = df.withColumn(out, _chosen(constants, lambda r: F.col("url") if r.how == "url" else F.lit(r.value), F.col(out)))
-    if field == "job_post_date":
-        ruled = _rows_with(read, lambda r: True)
-        before = F.col("post_date_guessed") if "post_date_guessed" in df.columns else F.lit(False)
-        df = df.withColumn("__now", ruled & F.map_contains_key("raw", F.lit(field)) & F.col(out).isNull())
-        found = F.col("__now") | F.col(out).isNotNull()
-        df = df.withColumn("post_date_guessed", F.when(found, F.col("__now")).otherwise(before))
-        now = dates.ntz(dates.on_the_hour(as_of))
-        df = df.withColumn(out, F.when(F.col("__now"), now).otherwise(F.col(out))).drop("__now")
-    return df.drop("__v", "__date")
+def _fields_of(df: DataFrame, everything: list[dict], cities: Dictionary | None, as_of: datetime, functions: dict[str, UserFunction] | None) -> DataFrame:
+    """Add ``__new_<field>`` for every field that the rows' programmes may name."""
+    df = programme.run(df, everything, cities, functions or {}, user_function)
+    names = list(dict.fromkeys(e["field"] for e in everything))
+    read = {e["field"] for e in everything if e["constant"] is None}
+    for field in names:
+        new, own = f"__new_{field}", programme.rule_of(field)
+        constant = F.when(own["constant"] == "", F.col("url")).otherwise(own["constant"])
+        if field not in read:
+            whole = all(e["constant"] != "" for e in everything if e["field"] == field)
+            df = df.withColumn(new, own["constant"].cast("int") if whole else constant)
+            continue
+        value = F.try_element_at("__said", F.lit(field))
+        if field in TEXT_FIELDS:
+            value = text_functions.strip_nonchar(value)
+        if field in DATE_FIELDS:
+            df = dates.with_dates(df, {new: value})
+        else:
+            df = df.withColumn(new, value)
+        if field == LOCATION_FIELD and cities is not None and any(e["plain"] for e in everything if e["field"] == field):
+            plain = own["plain"] & F.col(new).isNotNull()
+            df = tokenize_places(df.withColumn("__v", F.when(plain, F.array(new))), "__v", cities)
+            df = df.withColumn(new, F.when(F.col("__v").isNotNull(), F.col("__v")[0]).otherwise(F.col(new))).drop("__v")
+        if any(e["constant"] is not None for e in everything if e["field"] == field):
+            df = df.withColumn(new, F.when(own["constant"].isNotNull(), constant).otherwise(F.col(new)))
+        if field == "job_post_date":
+            ruled = own.isNotNull() & own["constant"].isNull() & F.map_contains_key("raw", F.lit(field))
+            before = F.col("post_date_guessed") if "post_date_guessed" in df.columns else F.lit(False)
+            df = df.withColumn("__now", F.coalesce(ruled, F.lit(False)) & F.col(new).isNull())
+            df = df.withColumn("post_date_guessed", F.when(F.col("__now") | F.col(new).isNotNull(), F.col("__now")).otherwise(before))
+            df = df.withColumn(new, F.when(F.col("__now"), dates.ntz(dates.on_the_hour(as_of))).otherwise(F.col(new))).drop("__now")
+    return df.drop("__said")
 
 
 def with_field(
@@ -222,7 +113,9 @@ def with_field(
     functions: dict[str, UserFunction] | None = None,
 ) -> DataFrame:
     """One field by one rule for all rows."""
-    return with_field_variants(df, rule.field, [(F.lit(True), rule)], out, cities, as_of, functions)
+    df, everything = programme.with_programme(df, [SiteSpec(ANY_SITE, list_rules=(rule,))], "list")
+    df = _fields_of(df, everything, cities, as_of, functions)
+    return df.withColumn(out, F.col(f"__new_{rule.field}")).drop("__rules", f"__new_{rule.field}")
 
 
 def _rows_of(sites: list[str], specs: list[SiteSpec]) -> Column:
@@ -245,31 +138,27 @@ def with_fields(
 ) -> DataFrame:
     """All fields of a level by the rules of each row's site.
 
-    Sites that share a rule share its expression, and a row is put through the rules of its own
-    site only. Rows lacking a required field are dropped, or marked ``failed`` if they are kept.
+    The rules are data (see ``programme``): the plan doesn't grow with their number. Rows lacking a required
+    field are dropped, or marked ``failed`` if they are kept.
     """
     check_rules(specs, functions)
-    sites: dict[FieldRule, list[str]] = {}
-    for spec in specs:
-        for rule in spec.list_rules if level == "list" else spec.detail_rules():
-            if not rule.field.startswith("comment:"):
-                sites.setdefault(rule, []).append(spec.site)
-
-    by_field: dict[str, list[Variant]] = {}
-    for rule, of in sites.items():
-        by_field.setdefault(rule.field, []).append((_rows_of(of, specs), rule))
+    df, everything = programme.with_programme(df, specs, level)
+    df = _fields_of(df, everything, cities, as_of, functions)
+    names = list(dict.fromkeys(e["field"] for e in everything))
+    lacking = [
+        F.coalesce(programme.rule_of(field)["required"], F.lit(False)) & F.col(f"__new_{field}").isNull()
+        for field in names
+        if any(e["required"] for e in everything if e["field"] == field)
+    ]
+    failed = reduce(lambda a, b: a | b, lacking, F.lit(False))
     if keep_failed:
-        df = df.withColumn("failed", F.lit(False))
-    for field, variants in by_field.items():
-        had = F.col(field) if field in df.columns else None
-        df = with_field_variants(df, field, variants, "__new", cities, as_of, functions)
-        required = _rows_with(variants, lambda r: r.is_fatal)
-        if required is not None and keep_failed:
-            df = df.withColumn("failed", F.col("failed") | (required & F.col("__new").isNull()))
-        elif required is not None:
-            df = df.where(~required | F.col("__new").isNotNull())
-        df = df.withColumn(field, F.col("__new") if had is None else F.coalesce(F.col("__new"), had)).drop("__new")
-    return df
+        df = df.withColumn("failed", failed)
+    elif lacking:
+        df = df.where(~failed)
+    for field in names:
+        new = F.col(f"__new_{field}")
+        df = df.withColumn(field, F.coalesce(new, F.col(field)) if field in df.columns else new)
+    return df.drop("__rules", *(f"__new_{field}" for field in names))
 
 
 def with_id(df: DataFrame, specs: list[SiteSpec]) -> DataFrame:

@@ -52,6 +52,12 @@ def test_default_formats(values):
         "Fri Jun 20 13:30:00 XYZ 2014": None,
         "999999999999999": None,
         "a|b|c": None,
+        "x||||||||e": None,
+        "12345678901-1-1": None,
+        "2014-06-20T10:20": datetime(2014, 6, 20),
+        "5 - 6 - 2014": None,
+        "Fri Jun 20 12:30:00 2014 GMT": datetime(2014, 6, 20, 12, 30),
+        "1403272800123 ": datetime(2014, 6, 20, 14, 0, 0, 123000),
         None: None,
     }
     got = values(list(cases), dates.parse_date(t_()))

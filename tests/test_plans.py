@@ -62,3 +62,19 @@ def test_filters_reach_the_scan(scans, name, pushed):
 )
 def test_scans_read_the_columns_they_need(scans, name, schema):
     assert any(f"ReadSchema: {schema}" in scan for scan in scans(name))
+
+
+def test_plan_of_rules_does_not_grow_with_sites(spark):
+    from datetime import datetime
+
+    from noticeboard.catalog.cleaning import _site_spec
+    from noticeboard.operators import clean
+
+    rows = spark.createDataFrame([("site1", "", {"job_title": ["2-x"]})], "site string, url string, raw map<string,array<string>>")
+    sizes = []
+    for n in (6, 61):
+        specs = [_site_spec(k) for k in range(n)]
+        specs = [type(s)(s.site, list_rules=s.list_rules[:3]) for s in specs]  # no place lookups
+        df = clean.with_fields(rows, specs, "list", None, datetime(2024, 1, 31))
+        sizes.append(len(df._jdf.queryExecution().optimizedPlan().treeString()))
+    assert abs(sizes[0] - sizes[1]) < 0.01 * sizes[0]
