@@ -24,7 +24,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies stays: shingles of five words, similarity of 0.8 or more."""
+    """One document of each group of linked fingerprints stays: shingles of three words, two bits at most."""
     return simhash.deduplicate(docs)
 
 
