@@ -12,8 +12,6 @@ candidate is verified.
 
 from __future__ import annotations
 
-import math
-from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -21,12 +19,11 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.skew import join_many_facts
 from ..session import written
-from .common import components, per_rows, unused
+from .common import components, per_rows
 
 SEED = 42
 MAX_BITS = 2
@@ -67,15 +64,19 @@ def signed(x: int) -> int:
 def _fingerprints(shingle: int):
     def run(rows: list[dict]) -> Iterator[tuple]:
         for row in rows:
-            yield row["doc_id"], signed(majority(hashes(shingles(row["text"], shingle))))
+            yield row["doc_id"], row["hash"], signed(majority(hashes(shingles(row["text"], shingle))))
 
     return run
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """``doc_id`` and ``fp`` (the 64 bits as a long) per row."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
-    return per_rows(rows, _fingerprints(shingle), "doc_id long, fp long")
+    """``doc_id``, ``hash`` (of the text) and ``fp`` (the 64 bits as a long) per row."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _text_hash().alias("hash"), F.col("text").cast("string").cast("binary").alias("text"))
+    return per_rows(rows, _fingerprints(shingle), "doc_id long, hash long, fp long")
+
+
+def _text_hash() -> Column:
+    return F.xxhash64(F.col("text").cast("string"))
 
 
 # --- Golay keys
@@ -168,12 +169,13 @@ def links(distinct: DataFrame) -> DataFrame:
 
 
 def classes(fps: DataFrame) -> DataFrame:
-    """``fps`` (``doc_id``, ``fp``) with ``component_id``: the smallest doc_id that links reach, its own included."""
+    """``fps`` (``doc_id``, ``fp``) with ``component`` (a fingerprint that stands for the group) and ``component_id``: the smallest
+    doc_id that links reach, its own included."""
     distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
     reached = components(links(distinct)).withColumnRenamed("node", "fp")
     grouped = distinct.join(reached, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = join_many_facts(grouped, least, ["component"]).select("fp", "component_id")
+    named = join_many_facts(grouped, least, ["component"]).select("fp", "component", "component_id")
     return join_many_facts(fps, named, ["fp"])
 
 
@@ -188,235 +190,26 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return classes(fps).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-# --- deduplication at a wanted similarity of texts
-
-#: Words per shingle and similarity (Jaccard) from which a text is a near copy.
-SHINGLE = 5
-SIMILARITY = 0.8
-#: Texts, about, in which common shingles are looked for, and how many of those are told apart. Both only
-#: decide how fast copies are found: the keys of texts lose no pair whatever the order of the shingles.
-SAMPLE = 10_000
-COMMON = 200_000
-_CHAIN = 4096
-_FACTORS = [pow(0x9E3779B97F4A7C15, j + 1, 1 << 64) for j in range(64)]
-
-
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = h ^ (h >> np.uint64(31))
-    h = h * np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(29))
-
-
-def shingle_set(words: list[bytes], k: int) -> np.ndarray:
-    """Hashes of the distinct shingles of k words, ascending; that of the whole sequence if there are fewer words."""
-    digest = xxhash.xxh3_64_intdigest
-    if len(words) <= k or k > len(_FACTORS):
-        return np.unique(np.array([digest(x) for x in shingles(b" ".join(words), k)], np.uint64))
-    each = np.fromiter(map(digest, words), np.uint64, len(words))
-    h = np.zeros(len(words) - k + 1, np.uint64)
-    for j in range(k):
-        h += each[j : j + len(h)] * np.uint64(_FACTORS[j])
-    return np.unique(_mixed(h))
-
+# --- deduplication
 
-def rarest(h: np.ndarray, least: float, common: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The first shingles in an order that is the same for all texts, rare ones first, so many that any two
-    sets of similarity ``least`` have one in common (prefix filter): n - ceil(least n) + 1 of n."""
-    n = len(h) - math.ceil(least * len(h) - 1e-9) + 1 if len(h) else 0
-    if len(common) and n:
-        at = np.minimum(np.searchsorted(common, h), len(common) - 1)
-        h = h[np.argsort(np.where(common[at] == h, counts[at], 0), kind="stable")]
-    return h[:n]
 
+def deduplicate(docs: DataFrame, shingle: int = 3) -> DataFrame:
+    """``docs`` with one row of each group of linked fingerprints: that with the smallest id, of equal ids the one with
+    the smallest hash of its text.
 
-@lru_cache(16)
-def _classes_of_size(least: float, top: int) -> list[int]:
-    """Where classes of sizes begin. A set that is similar to a larger one is in its class or the one before."""
-    begins = [1]
-    while begins[-1] <= top:
-        begins.append(int(begins[-1] / least + 1e-9) + 1)
-    return [*begins, int(begins[-1] / least + 1e-9) + 1]
-
-
-def signatures(h: np.ndarray, least: float) -> np.ndarray:
-    """Keys of a set such that any two sets of similarity ``least`` have one in common.
-
-    The sets of a class differ in d elements at most. Elements are dealt by hash into m > d parts, so at
-    least m - d parts are equal, and a part is a key. Empty parts are keys only where there are so many
-    that they could be all the equal ones.
+    A row without an id stays only where no row of its group has one. Texts without words are one group, with
+    what else links to fingerprint zero. Of rows that repeat id and text one stays. All columns are kept; no input
+    rows, no result. Texts go through one shuffle, by id and hash, never by group.
     """
-    if not len(h):
-        return h
-    begins = _classes_of_size(least, 1 << (len(h) - 1).bit_length())
-    own = bisect_right(begins, len(h)) - 1
-    out = []
-    for c in (own, own + 1):
-        top = int(begins[c] / least + 1e-9)
-        d = int((1 - least) / (1 + least) * 2 * top + 1e-9)
-        m = d + d // 5 + 1
-        part = (_mixed(h + np.uint64(0x5851F42D4C957F2D)) % np.uint64(m)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        present, first = np.unique(part[order], return_index=True)
-        sums = np.add.reduceat(_mixed(h * np.uint64(_FACTORS[1]))[order], first)
-        if m - len(present) >= m - d:
-            all_sums = np.zeros(m, np.uint64)
-            all_sums[present] = sums
-            present, sums = np.arange(m), all_sums
-        out.append(_mixed(sums + present.astype(np.uint64) * np.uint64(_FACTORS[2]) + np.uint64(c * _FACTORS[3] % (1 << 64))))
-    return np.concatenate(out)
-
-
-def _signed_all(h: np.ndarray) -> list[int]:
-    return h.view(np.int64).tolist()
-
-
-def _words_of(text: bytes | None) -> list[bytes]:
-    return text.lower().split() if text else []
-
-
-def _sampled(shingle: int):
-    def run(rows: list[dict]) -> Iterator[tuple]:
-        for row in rows:
-            for x in _signed_all(shingle_set(_words_of(row["text"]), shingle)):
-                yield (x,)
-
-    return run
-
-
-def _common(ids: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that several sampled texts share, ascending, and in how many each is."""
-    share = min(1.0, SAMPLE / max(1, ids.count()))
-    some = ids.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * share))
-    counts = per_rows(some, _sampled(shingle), "h long").groupBy("h").agg(F.count("*").alias("n")).filter("n > 2").orderBy(F.desc("n"), "h").limit(COMMON)
-    found = [(r.h, r.n) for r in counts.toLocalIterator()]
-    h, n = np.array([x for x, _ in found], np.int64).view(np.uint64), np.array([x for _, x in found], np.int64)
-    order = np.argsort(h)
-    return h[order], n[order]
-
-
-def _described(shingle: int, least: float, shared):
-    def run(rows: list[dict]) -> Iterator[tuple]:
-        for row in rows:
-            words = _words_of(row["text"])
-            h = shingle_set(words, shingle)
-            yield row["doc_id"], xxhash.xxh3_128_digest(b" ".join(words)), len(h), _signed_all(rarest(h, least, *shared.value))
-
-    return run
-
-
-def _signed_texts(shingle: int, least: float):
-    def run(rows: list[dict]) -> Iterator[tuple]:
-        for row in rows:
-            for x in _signed_all(signatures(shingle_set(_words_of(row["text"]), shingle), least)):
-                yield row["doc_id"], x
-
-    return run
-
-
-def similarity(a: bytes, b: bytes, shingle: int) -> float:
-    """Jaccard similarity of the texts' sets of shingles; 1 for two texts without words."""
-    x, y = set(shingles(a, shingle)), set(shingles(b, shingle))
-    return len(x & y) / len(x | y) if x or y else 1.0
-
-
-def _alike(a: str, b: str, least: float) -> Column:
-    """Whether two sizes of sets allow the similarity."""
-    return F.least(a, b) >= F.lit(least) * F.greatest(a, b) - F.lit(1e-9)
-
-
-def _neighbours(rows: DataFrame, least: float) -> DataFrame:
-    """Some pairs ``a`` < ``b`` under each key: neighbours by size, and all with the first one, in parts of
-    about ``_CHAIN``. Linear, and enough to connect most large groups of copies."""
-    part = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / _CHAIN))
-    line = W.partitionBy("key", "part").orderBy("size", "id")
-    other = F.struct("id", "size")
-    near = rows.withColumn("part", part).select("id", "size", F.array(F.lag(other, 1).over(line), F.lag(other, 2).over(line), F.first(other).over(line)).alias("others"))
-    met = near.select("id", "size", F.explode("others").alias("o")).filter("o IS NOT NULL AND o.id != id").filter(_alike("size", "o.size", least))
-    return met.select(F.least("id", "o.id").alias("a"), F.greatest("id", "o.id").alias("b")).distinct()
-
-
-def _open(rows: DataFrame) -> DataFrame:
-    """Rows under keys that hold texts of more than one group, with their number ``n``."""
-    mixed = rows.groupBy("key").agg(F.count("*").alias("n"), F.min("group").alias("x"), F.max("group").alias("y")).filter("x != y").select("key", "n")
-    return join_many_facts(rows, mixed, ["key"])
-
-
-def _across(rows: DataFrame, least: float) -> DataFrame:
-    """All pairs ``a`` < ``b`` under equal keys whose sizes allow the similarity and whose groups differ."""
-    x, y = (rows.select("key", F.col("id").alias(i), F.col("size").alias(f"{i}_size"), F.col("group").alias(f"{i}_group")) for i in "ab")
-    return x.join(y, "key").filter("a < b AND a_group != b_group").filter(_alike("a_size", "b_size", least)).select("a", "b").distinct()
-
-
-def _remaining(rows: DataFrame, groups: DataFrame, ids: DataFrame, shingle: int, least: float) -> DataFrame:
-    """Every pair that may be a link between texts not yet connected.
-
-    Under a key of up to ``PAIRWISE`` texts these are all pairs of different groups. Texts under a more
-    frequent key meet by their signatures, which need a whole part of the text to be equal.
-    """
-    known = join_many_facts(rows.select("key", "id", "size"), groups, ["id"], "left").withColumn("group", F.coalesce("component", "id")).drop("component")
-    left = written(_open(written(known, "grouped-shingles")), "open-shingles")
-    crowded = written(left.filter(F.col("n") > PAIRWISE).select("id", "size", "group").distinct(), "crowded-texts")
-    texts = ids.join(crowded.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-    signed_texts = per_rows(texts, _signed_texts(shingle, least), "id long, key long").distinct().join(crowded, "id")
-    met = written(_open(written(signed_texts.select("key", "id", "size", "group"), "signatures")), "open-signatures")
-    return _across(left.filter(F.col("n") <= PAIRWISE), least).unionAll(_across(met, least)).distinct()
-
-
-def _verify(shingle: int, least: float):
-    def run(rows: list[dict]) -> Iterator[tuple]:
-        for row in rows:
-            if similarity(row["text_a"], row["text_b"], shingle) >= least:
-                yield row["a"], row["b"]
-
-    return run
-
-
-def _verified(pairs: DataFrame, ids: DataFrame, shingle: int, least: float) -> DataFrame:
-    """The pairs whose texts are similar, as edges ``u``, ``v``."""
-    pairs = written(pairs, "candidates")
-    ends = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    texts = written(ids.join(ends, "doc_id", "left_semi"), "candidate-texts")
-    once = texts.groupBy("doc_id").agg(F.min("text").alias("text"))
-    both = pairs.join(once.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(once.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    return written(per_rows(both, _verify(shingle, least), "u long, v long"), "verified")
-
-
-def copies(docs: DataFrame, shingle: int = SHINGLE, least: float = SIMILARITY) -> DataFrame:
-    """Ids of the documents that have a copy with a smaller id: ``doc_id``, ``kept`` (the id that stays).
-
-    Equal word sequences are copies at once. The rarest shingles of the distinct texts are keys that any two
-    texts of similarity ``least`` share. First some pairs per key are compared shingle by shingle; then, of
-    the texts that these links don't connect yet, all pairs that share a key. So no link between groups is
-    lost, and a group of n copies doesn't take n x n comparisons. One document of each group stays.
-    """
-    ids = docs.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(_common(ids, shingle))
-    described = written(per_rows(ids, _described(shingle, least, shared), "doc_id long, whole binary, size int, keys array<long>"), "described")
-    firsts = described.groupBy("whole").agg(F.min("doc_id").alias("id"))
-    equal = written(join_many_facts(described.select("doc_id", "whole"), firsts, ["whole"]).select("doc_id", "id").distinct(), "equal-texts")
-    distinct = described.join(equal.filter("doc_id = id").select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "id")
-    each = written(distinct.select("id", "size", F.explode("keys").alias("key")), "shingles")
-    counts = each.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    rows = written(join_many_facts(each, counts, ["key"]), "shared-shingles")
-    first = _verified(_neighbours(rows, least), ids, shingle, least)
-    rest = _verified(_remaining(rows, components(first).withColumnRenamed("node", "id"), ids, shingle, least), ids, shingle, least)
-    groups = components(first.unionAll(rest)).withColumnRenamed("node", "id")
-    kept = join_many_facts(equal, groups, ["id"], "left").withColumn("kept", F.coalesce("component", "id"))
-    return kept.filter("doc_id != kept").select("doc_id", "kept").distinct()
-
-
-def deduplicate(docs: DataFrame, shingle: int = SHINGLE, least: float = SIMILARITY) -> DataFrame:
-    """``docs`` with one document of each group of copies: the one with the smallest id.
-
-    Rows without an id stay, as nothing could name them. Of rows that repeat an id one stays, that with the
-    smallest hash of its text. Texts without words (null or empty) are copies of each other. Texts go
-    through one shuffle, by id.
-    """
-    gone = written(copies(docs, shingle, least).select("doc_id"), "copies")
-    stay = docs.join(gone.hint("shuffle_hash"), docs["doc_id"].cast("long") == gone["doc_id"], "left_anti")
-    # Rows without an id are spread by their text.
-    own = W.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("text"))).orderBy(F.xxhash64("text"))
-    copy = unused(docs, "copy")
-    numbered = stay.withColumn(copy, F.row_number().over(own))
-    return numbered.filter(F.col("doc_id").isNull() | (F.col(copy) == 1)).drop(copy)
-
+    classed = classes(written(fingerprints(docs, shingle), "fingerprints"))
+    rows = classed.groupBy("component", "doc_id", "hash").agg(F.count("*").alias("n"))
+    best = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash", "n")).alias("w"))
+    kept = written(best.select(F.col("w.doc_id").alias("__id"), F.col("w.hash").alias("__hash"), F.col("w.n").alias("__n")), "kept")
+
+    def of(winners: DataFrame) -> DataFrame:
+        here = docs["doc_id"].cast("long").eqNullSafe(winners["__id"]) & (_text_hash() == winners["__hash"])
+        return docs.join(winners, here).drop("__n")
+
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    repeated = of(kept.filter("__n > 1")).dropDuplicates(["__id", "__hash"])  # mostly none
+    return of(kept.filter("__n = 1")).select(*columns).unionAll(repeated.select(*columns))
