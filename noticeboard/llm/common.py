@@ -61,6 +61,17 @@ def filesystem(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
+def covered(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The stretches that spans cover, in order and apart from each other."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
 def unused(df: DataFrame, name: str) -> str:
     """A column name that ``df`` doesn't have."""
     taken = {c.lower() for c in df.columns}

@@ -23,17 +23,20 @@ from ..session import written
 from .common import held_out, per_rows, unused
 
 UNKNOWN = "und"
-#: Labelled documents learned from, about.
-SAMPLE = 20_000
+#: Labelled documents learned from, about: as many of every language as it has, up to an equal share (``LEAST`` at least).
+SAMPLE, LEAST = 20_000, 500
 #: Words and n-grams (per length) remembered per language, at most; the most frequent stay.
 WORDS = 20_000
 GRAMS = 6_000
 LONGEST = 5
 #: Longest piece of a run of letters that counts as a word; pieces overlap so that no n-gram is cut.
 PIECE = 64
-#: Languages told apart, at most: the most frequent labels.
-LANGUAGES = 200
-_WORD = re.compile(r"[^\W\d_]+")
+_RUN = re.compile(r"[^\W\d_]+")
+
+
+def words_of(text: str) -> list[str]:
+    """Runs of letters, lower-cased. Number signs count as word characters, so a run must hold a letter."""
+    return [w for w in _RUN.findall(text.lower()) if w.isalpha() or any(map(str.isalpha, w))]
 
 
 @dataclass(frozen=True)
@@ -51,18 +54,22 @@ def pieces(word: str) -> list[str]:
 
 
 def _sample(docs: DataFrame, learn: Column) -> DataFrame:
-    """About ``SAMPLE`` labelled rows, all if there are fewer: those whose hash lies below a bound that
-    follows from their number. Only ids and labels are read to count them."""
-    labelled = docs.filter(learn & F.col("lang").isNotNull())
-    n = labelled.count()
-    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "lang"), F.lit(1 << 30))
-    return labelled.filter(F.col("text").isNotNull() & (place < int((1 << 30) * min(1.0, SAMPLE / max(1, n))))).select("lang", F.col("text").cast("string").alias("text"))
+    """About ``SAMPLE`` labelled rows, an equal share of every language (all rows of a rarer one): those whose hash lies
+    below a bound that follows from their language's number. Only ids and labels are read to count them."""
+    labelled = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    found = labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()  # a row per language
+    if not found:
+        return labelled.select("lang", F.col("text").cast("string").alias("text"))
+    share = max(LEAST, SAMPLE // len(found))
+    bounds = F.create_map(*(F.lit(x) for r in found for x in (r.lang, int((1 << 30) * min(1.0, share / r.n)))))
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.xxhash64("text")), F.lit(1 << 30))
+    return labelled.filter(place < bounds[F.col("lang")]).select("lang", F.col("text").cast("string").alias("text"))
 
 
 def _words(rows: list[dict]) -> Iterator[tuple]:
     counts: Counter = Counter()
     for row in rows:
-        for word, n in Counter(_WORD.findall(row["text"].lower())).items():
+        for word, n in Counter(words_of(row["text"])).items():
             for piece in pieces(word):
                 counts[row["lang"], piece] += n
     for (lang, word), n in counts.items():
@@ -91,7 +98,7 @@ def _logs(pieces: dict[str, dict[str, int]], languages: tuple[str, ...], totals:
 
 def learn(docs: DataFrame, rows: Column) -> Model:
     """Learn from the labelled rows of ``docs`` that ``rows`` marks. Counting runs in Spark; what comes
-    back is bounded by ``LANGUAGES``, ``WORDS`` and ``GRAMS``, whatever the size of the table."""
+    back is bounded by ``WORDS`` and ``GRAMS`` per language, whatever the size of the table."""
     words = written(per_rows(_sample(docs, rows), _words, "lang string, piece string, n long").groupBy("lang", "piece").agg(F.sum("n").alias("n")), "words")
     spelled = per_rows(words, _grams, "lang string, length int, piece string, n long").groupBy("lang", "length", "piece").agg(F.sum("n").alias("n"))
     counts = words.select("lang", F.lit(0).alias("length"), "piece", "n").unionAll(spelled)
@@ -103,7 +110,7 @@ def learn(docs: DataFrame, rows: Column) -> Model:
         seen.setdefault(r.length, {}).setdefault(r.piece, {})[r.lang] = r.n
         total.setdefault(r.length, Counter())[r.lang] += r.n
     by_words = total.get(0, Counter())
-    languages = tuple(sorted(x for x, _ in sorted(by_words.items(), key=lambda kv: (-kv[1], kv[0]))[:LANGUAGES]))
+    languages = tuple(sorted(by_words))
     known_words = _logs(seen.get(0, {}), languages, by_words, len(seen.get(0, {})))
     known = {}
     for length in range(1, LONGEST + 1):
@@ -128,7 +135,7 @@ def predict(text: str | None, model: Model, memo: dict | None = None) -> tuple[s
     Scores are summed over all words and tempered to the power 1 / sqrt(words), so the
     probability doesn't run to 1 with the mere length of a text.
     """
-    counts = Counter(_WORD.findall(text.lower())) if text else None
+    counts = Counter(words_of(text)) if text else None
     if not counts or not model.languages:
         return UNKNOWN, 0.0
     memo = {} if memo is None else memo

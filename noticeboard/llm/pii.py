@@ -11,12 +11,13 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_rows
+from .common import covered, per_rows
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -163,6 +164,9 @@ def normalise(text: str) -> Normalised:
     out.rewrite(edits)
     edits = []
     for m in _BARE.finditer(out.text):
+        dots = [i for i in range(*m.span("rest")) if out.text[i] == "."]
+        if out.text[m.start() : m.start("at")].isalpha() and not _BARE_DOT.search(m["rest"]) and all(out.ends[i] - out.starts[i] == 1 for i in dots):
+            continue  # "met at example.com", with a plain word and plain dots, is prose
         edits.append((*m.span("at"), "@"))
         edits += [(m.start("rest") + d.start(), m.start("rest") + d.end(), ".") for d in _BARE_DOT.finditer(m["rest"])]
     out.rewrite(edits)
@@ -176,11 +180,13 @@ def disguised(text: str, plain: list[tuple[str, int, int]]) -> list[tuple[str, i
     normal = normalise(text)
     if normal.text == text:
         return []
-    taken = sorted((a, b) for _, a, b in plain)
+    taken = covered([(a, b) for _, a, b in plain])
+    ends = [y for _, y in taken]
     found = []
     for kind, a, b in find(normal.text):
         start, end = normal.starts[a], normal.ends[b - 1]
-        if text[start:end] != normal.text[a:b] and not any(start < y and x < end for x, y in taken):
+        at = bisect_right(ends, start)  # the first span that ends behind the start
+        if text[start:end] != normal.text[a:b] and not (at < len(taken) and taken[at][0] < end):
             found.append((kind, start, end))
     return found
 

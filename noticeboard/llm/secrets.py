@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..operators.skew import join_many_facts
 from ..session import written
-from .common import per_rows
+from .common import covered, per_rows
 
 KINDS = ("assign", "access", "hex", "generic")
 
@@ -53,10 +54,13 @@ def looks_live(secret: str) -> bool:
 def generic(text: str, taken: list[tuple[str, int, int, str]]) -> list[tuple[str, int, int, str]]:
     """Token-like strings outside the base spans: lower and upper case and digits, 4 bits a character."""
     found = []
+    spans = covered([(a, b) for _, a, b, _ in taken])
+    ends = [b for _, b in spans]
     for m in _GENERIC.finditer(text):
         s = m[0]
         if re.search("[0-9]", s) and re.search("[A-Z]", s) and re.search("[a-z]", s) and entropy(s) >= 4 and looks_live(s):
-            if not any(m.start() < b and a < m.end() for _, a, b, _ in taken):
+            at = bisect_right(ends, m.start())  # the first span that ends behind the start
+            if at == len(spans) or spans[at][0] >= m.end():
                 found.append(("generic", *m.span(), s))
     return found
 

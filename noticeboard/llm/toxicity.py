@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
@@ -62,7 +63,7 @@ def _presence(rows: list[dict]) -> Iterator[tuple]:
         counts[row["toxic"]].update({t for w in words(row["text"]) for t in terms(w)})
     for toxic in (0, 1):
         for t, n in counts[toxic].items():
-            yield t[:64], toxic, n
+            yield t, toxic, n
 
 
 def telling(labelled: DataFrame, sizes: dict[int, int]) -> DataFrame:
@@ -115,10 +116,15 @@ def vector(counts: Counter, idf: dict[str, tuple[int, float]], memo: dict[str, t
     return sorted((t, x / norm) for t, x in found) if norm else []
 
 
+def _hashed(doc_id: int) -> int:
+    return zlib.crc32(str(doc_id).encode())
+
+
 def build(idf: dict[str, tuple[int, float]], examples: list[tuple[int, int, list[tuple[int, float]]]], prior: float, worth: dict[int, float]) -> Index:
     """Index (id, label, vector) rows; ``worth`` says how many labelled rows an example of a label stands for. Examples with the same leading terms lie in the same blocks, which
-    keeps the blocks' bounds tight."""
-    rows = sorted((e for e in examples if e[2]), key=lambda e: (sorted(e[2], key=lambda x: (-x[1], x[0]))[:3], e[1], e[0]))
+    keeps the blocks' bounds tight; among those a hash of the id decides, never the label, so of equally near examples a
+    blind choice votes."""
+    rows = sorted((e for e in examples if e[2]), key=lambda e: (sorted(e[2], key=lambda x: (-x[1], x[0]))[:3], _hashed(e[0])))
     blocks = max(1, -(-len(rows) // BLOCK))
     lists: list[list[tuple[int, float]]] = [[] for _ in idf]
     for place, (_, _, vec) in enumerate(rows):

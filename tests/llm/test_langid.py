@@ -1,6 +1,8 @@
 """Language: backing off by hand, held-out accuracy, edge texts."""
 
+import math
 import zlib
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -73,3 +75,52 @@ def test_runs_without_blanks_teach_and_letters_never_und(documents):
     rows = [(i, ("x" * 80 + piece) * 3, lang, "s") for i, (piece, lang) in enumerate([("the cat is here".replace(" ", ""), "en"), ("der hund ist da".replace(" ", ""), "de"), ("the dog", "en")] * 20)]
     got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(documents([*rows, (900, "x" * 500 + "hundistda" * 4, None, "s"), (901, "Ωμέγα", None, "s"), (902, "7", None, "s")])).collect()}
     assert got[900][0] == "de" and got[901][0] in ("de", "en") and got[902] == ("und", 0.0)
+
+
+def test_number_signs_are_no_letters(documents):
+    rows = [(i, "the cat and the dog", "en", "s") for i in range(1, 40)] + [(100, "²", "en", "s"), (101, "½ Ⅳ", "en", "s"), (102, "①②", "en", "s"), (103, "x² cat", "en", "s")]
+    got = {r.doc_id: r for r in langid.identify(documents(rows)).collect()}
+    assert all(got[i].lang_pred == "und" and got[i].score == 0 for i in (100, 101, 102)) and got[103].lang_pred == "en"
+
+
+def test_a_rare_language_is_learned_whole(documents, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE", 20)
+    monkeypatch.setattr(langid, "LEAST", 5)
+    rows = [(i, "the cat and the dog", "en", "s") for i in range(3000)] + [(i, "der hund und die katze", "de", "s") for i in range(3000, 3004)]
+    got = {r.doc_id: r.lang_pred for r in langid.identify(documents(rows), F.lit(True)).collect()}
+    assert got[3001] == "de" and got[7] == "en"
+
+
+def test_equals_a_plain_replay(documents):
+    """Counts, scores and back-off by hand, over all documents."""
+    texts = {"en": ["the cat sat here", "a dog and the cat"], "de": ["der hund sass hier", "die katze und der hund"]}
+    rows = [(i, texts[lang][i % 2], lang, "s") for i, lang in enumerate(["en", "de"] * 10)] + [(90, "the hundert katzen", None, "s")]
+    words, ngrams = {}, {}
+    for _, text, lang, _ in rows:
+        if lang:
+            for w in text.split():
+                words.setdefault(lang, Counter())[w] += 1
+                marked = f"\x02{w}\x03"
+                for n in range(1, 6):
+                    ngrams.setdefault(n, {}).setdefault(lang, Counter()).update(marked[i : i + n] for i in range(len(marked) - n + 1))
+    names = ["de", "en"]
+
+    def log(by, piece):
+        kinds = len(set().union(*by.values()))
+        return [math.log((by[x][piece] + 0.5) / (sum(by[x].values()) + 0.5 * kinds + 1)) for x in names]
+
+    def scores(word):
+        if any(word in words[x] for x in names):
+            return log(words, word)
+        marked = f"\x02{word}\x03"
+        for n in range(5, 0, -1):
+            found = [log(ngrams[n], g) for g in (marked[i : i + n] for i in range(len(marked) - n + 1)) if any(g in ngrams[n][x] for x in names)]
+            if found:
+                return [sum(c) / len(found) for c in zip(*found)]
+
+    got = {r.doc_id: r for r in langid.identify(documents(rows), F.lit(True)).collect()}
+    for doc_id, text, _, _ in rows:
+        total = [sum(c) for c in zip(*(scores(w) for w in text.split()))]
+        best = max(range(2), key=lambda i: total[i])
+        share = 1 / sum(math.exp((t - total[best]) / math.sqrt(len(text.split()))) for t in total)
+        assert got[doc_id].lang_pred == names[best] and abs(got[doc_id].score - share) < 1e-9

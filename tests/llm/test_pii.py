@@ -4,6 +4,7 @@ import hashlib
 import re
 import time
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -108,3 +109,25 @@ PIECES = ["jane", "a1", " at ", " AT ", "[at]", " ( at ) ", "@", "example", "ex
 @given(st.lists(st.sampled_from(PIECES), max_size=14).map("".join))
 def test_no_text_with_a_disguise_is_passed_over(text):
     assert pii._worth_a_look(text) or pii.normalise(text).text == text
+
+
+@pytest.mark.parametrize("text", ["We met at example.com.", "find us at example.com", "Arrive at www.example.org today"])
+def test_prose_holds_no_address(text):
+    assert pii.disguised(text, pii.find(text)) == []
+
+
+@pytest.mark.parametrize("text", ["jane.doe at example.com", "jane at example dot com", "jane at example [dot] com", "jane7 at example.com", "jane (at) example.com"])
+def test_disguised_addresses_are_found(text):
+    assert [k for k, _, _ in pii.disguised(text, pii.find(text))] == ["email"]
+
+
+def test_many_spans_of_both_kinds_take_linear_time():
+    def seconds(n):
+        text = "a1@b.example and j.doe at c.example.com, " * n
+        plain = pii.find(text)
+        start = time.process_time()
+        assert len(pii.disguised(text, plain)) == n
+        return time.process_time() - start
+
+    seconds(200)
+    assert seconds(8000) < 16 * max(seconds(1000), 0.01)

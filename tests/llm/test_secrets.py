@@ -67,3 +67,15 @@ def test_very_long_runs_take_linear_time():
     begin = time.time()
     assert [s[:3] for s in secrets.generic(f"x {KEY * 20_000} y", [])] == [("generic", 2, 2 + len(KEY) * 20_000)]
     assert time.time() - begin < 5
+
+
+def test_many_candidates_beside_many_base_spans_take_linear_time():
+    def seconds(n):
+        text = ("token=abcdef12345 " + "aB3dE5fG7hJ9kL1mN3pQ5rS7 ") * n
+        base = secrets.find(text)
+        start = time.process_time()
+        secrets.generic(text, base)
+        return time.process_time() - start
+
+    seconds(200)
+    assert seconds(8000) < 16 * max(seconds(1000), 0.01)

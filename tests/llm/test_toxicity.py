@@ -77,3 +77,12 @@ def test_nothing_to_learn_from(spark, documents):
     got = toxicity.score_toxicity(documents([(1, "a", "en", "s"), (2, None, "en", "s")]), none).collect()
     assert [r.predicted for r in got] == [0, 0]
     assert toxicity.score_toxicity(documents([]), none).count() == 0
+
+
+def test_of_equally_near_examples_a_blind_choice_votes():
+    idf = {"*": (0, 1.0)}
+    for clean, toxic in ((20, 180), (40, 40)):
+        rows = [(i, int(i % (clean + toxic) >= clean), [(0, 1.0)]) for i in range(clean + toxic)]
+        index = toxicity.build(idf, rows, toxic / (clean + toxic), {0: 1.0, 1: 1.0})
+        share = toxicity.score(toxicity.nearest([(0, 1.0)], index), index)
+        assert abs(share - toxic / (clean + toxic)) < 0.25
