@@ -14,13 +14,13 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import written
-from .common import held_out, per_rows, unused
+from .common import SLICE, held_out, per_rows, unused
 
 UNKNOWN = "und"
 #: Labelled documents learned from, about: as many of every language as it has, up to an equal share (``LEAST`` at least).
@@ -161,7 +161,7 @@ def predict(text: str | None, model: Model, memo: dict | None = None) -> tuple[s
 
 
 #: Unseen words whose scores a worker remembers, at most.
-_MEMO = 100_000
+_MEMO = 50_000
 
 
 def tag(docs: DataFrame, model: Model, into: str) -> DataFrame:
@@ -169,11 +169,14 @@ def tag(docs: DataFrame, model: Model, into: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
     memo: dict = {}
 
-    @F.pandas_udf("lang_pred string, score double")
-    def found(texts: pd.Series) -> pd.DataFrame:
-        if len(memo) > _MEMO:
-            memo.clear()
-        return pd.DataFrame([predict(t, shared.value, memo) for t in texts], columns=["lang_pred", "score"])
+    @F.arrow_udf("struct<lang_pred: string, score: double>")
+    def found(texts: pa.Array) -> pa.Array:
+        judged = []
+        for at in range(0, len(texts), SLICE):  # a slice of texts at a time as Python values
+            if len(memo) > _MEMO:
+                memo.clear()
+            judged += [predict(t, shared.value, memo) for t in texts.slice(at, SLICE).to_pylist()]
+        return pa.StructArray.from_arrays([pa.array([x for x, _ in judged], pa.string()), pa.array([y for _, y in judged], pa.float64())], ["lang_pred", "score"])
 
     return docs.withColumn(into, found(F.col("text").cast("string")))
 
