@@ -77,10 +77,10 @@ def _fields_of(df: DataFrame, everything: list[dict], cities: Dictionary | None,
     read = {e["field"] for e in everything if e["constant"] is None}
     for field in names:
         new, own = f"__new_{field}", programme.rule_of(field)
-        constant = F.when(own["constant"] == "", F.col("url")).otherwise(own["constant"])
+        constant = F.when(own["constant"] == programme.PAGE_URL, F.col("url")).otherwise(own["constant"])
         if field not in read:
-            whole = all(e["constant"] != "" for e in everything if e["field"] == field)
-            df = df.withColumn(new, own["constant"].cast("int") if whole else constant)
+            whole = all(e["constant"] != programme.PAGE_URL for e in everything if e["field"] == field)
+            df = df.withColumn(new, own["constant"].try_cast("int") if whole else constant)
             continue
         value = F.try_element_at("__said", F.lit(field))
         if field in TEXT_FIELDS:

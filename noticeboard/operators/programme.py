@@ -25,6 +25,8 @@ STEP = "struct<kind:string,a:string,b:string,which:int,group:int>"
 ENTRY = f"struct<field:string,constant:string,steps:array<{STEP}>,separator:string,required:boolean,plain:boolean>"
 # Transforms that already put a value into its final form.
 FORMATTING = ("dateFormat", "location_regex", "regex_matcher", "tokenize")
+# Stands for the page's address among the constants.
+PAGE_URL = "\x01"
 #: Programmes are sent to every task up to this size; beyond it Spark joins them by shuffle.
 _SENT_BYTES = 8 << 20
 
@@ -58,7 +60,7 @@ def entry(rule: FieldRule) -> dict:
     separators = [t.value or "," for t in rule.transforms if t.how == "join"]
     return {
         "field": rule.field,
-        "constant": (rule.value if rule.how == "int" else "") if constant else None,
+        "constant": (PAGE_URL if rule.how == "url" else rule.value or "") if constant else None,
         "steps": [] if constant else [s for t in rule.transforms for s in _steps(t)],
         "separator": (separators or ["<BR/>"])[-1],
         "required": rule.is_fatal,
