@@ -2,91 +2,103 @@
 
 A source's documents form blocks. With weight w (the weights sum to 1), its block j may not run
 before slot floor(j / w) and must run before slot ceil((j + 1) / w); of the blocks that may run, the
-one with the earliest deadline takes the next slot. Every source is then always less than one block
-away from its share. Weights are whole numbers of slots per period, so the schedule repeats: at the
-end of a period every source stands exactly at its share. One period is worked out from the list
-of sources; a block's slot follows from its number alone, so documents are placed in parallel.
+one with the earliest deadline takes the next slot. Every source that still has blocks is then always
+less than one block away from its share, however long the mixture: the windows follow from the weights
+themselves, in whole numbers of any length, so nothing is rounded to a period.
+
+Slots are worked out from the list of sources in one pass over blocks, not documents. A block holds
+``BLOCK`` documents, and more where the corpus would have more than ``MOST`` blocks, so that pass has
+a bound that does not grow with the data. It also counts the documents before every block, so a
+document's position follows from its block and is worked out in parallel.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..operators.skew import join_many_facts
 from .common import unused
 
-#: Documents of one block.
+#: Documents of one block at least.
 BLOCK = 16
-#: Slots per period: the next power of two above this many per source.
-SLOTS_PER_SOURCE = 64
+#: Blocks of a mixture, besides the last one of every source: larger corpora get larger blocks.
+MOST = 1 << 21
+#: A weight counts as at least 2 to the minus this of the largest.
+FINEST = 30
+_CHUNK = 1 << 16
 
 
-def apportion(weights: list[float], slots: int) -> list[int]:
-    """Whole slots per period by largest remainder, at least one each."""
-    n, total = len(weights), sum(weights)
-    shares = [w / total * (slots - n) for w in weights]
-    quotas = [1 + int(s) for s in shares]
-    by_rest = sorted(range(n), key=lambda i: (int(shares[i]) - shares[i], i))
-    for i in by_rest[: slots - sum(quotas)]:
-        quotas[i] += 1
-    return quotas
+def schedule(weights: list[float], blocks: list[int]) -> Iterator[tuple[int, int, int]]:
+    """Source, block and slot of every block, in the order of slots: earliest deadline first among released ones.
 
-
-def period(quotas: list[int]) -> list[int]:
-    """The source of every slot of one period, earliest deadline first among released blocks."""
-    slots = sum(quotas)
-    waiting = [(0, i, 0) for i in range(len(quotas))]  # release, source, block
+    A source that has run out leaves its slots to the blocks released by then, or empty. Ties of deadlines go to
+    the source named first.
+    """
+    largest = max(weights, default=1.0)
+    scale = 60 + FINEST - math.frexp(largest)[1]  # lifts the last bit of every weight above the point
+    parts = [int(math.ldexp(max(w, math.ldexp(largest, -FINEST)), scale)) for w in weights]
+    whole = sum(parts)
+    waiting = [(0, i, 0) for i, n in enumerate(blocks) if n]  # release, source, block
     heapq.heapify(waiting)
     ready: list[tuple[int, int, int]] = []  # deadline, source, block
-    out = []
-    for t in range(slots):
-        while waiting and waiting[0][0] <= t:
+    slot = 0
+    while waiting or ready:
+        if not ready:
+            slot = max(slot, waiting[0][0])
+        while waiting and waiting[0][0] <= slot:
             _, i, j = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(j + 1) * slots // quotas[i]), i, j))
+            heapq.heappush(ready, (-(-(j + 1) * whole // parts[i]), i, j))
         deadline, i, j = heapq.heappop(ready)
-        if deadline <= t:
+        if deadline <= slot:
             raise AssertionError("a deadline is missed")
-        out.append(i)
-        if j + 1 < quotas[i]:
-            heapq.heappush(waiting, ((j + 1) * slots // quotas[i], i, j + 1))
-    return out
+        yield i, j, slot
+        if j + 1 < blocks[i]:
+            heapq.heappush(waiting, (max((j + 1) * whole // parts[i], slot + 1), i, j + 1))
+        slot += 1
 
 
 def _timetable(sources: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One period from all sources: a row per slot."""
     parts = [p for p in sources if len(p)]
     if not parts:
         return
     rows = pd.concat(parts).sort_values("key", kind="stable")
-    slots = 1 << (SLOTS_PER_SOURCE * len(rows) - 1).bit_length()
-    quotas = apportion(rows["weight"].tolist(), slots)
-    turn = [0] * len(rows)
-    placed = []
-    for slot, i in enumerate(period(quotas)):
-        placed.append((i, turn[i], slot))
-        turn[i] += 1
-    out = pd.DataFrame(placed, columns=["i", "turn", "slot"])
-    yield pd.DataFrame({"key": rows["key"].to_numpy()[out["i"]], "turn": out["turn"], "slot": out["slot"], "quota": pd.Series(quotas).to_numpy()[out["i"]], "slots": slots})
+    keys, counts, size = rows["key"].to_numpy(), rows["n"].tolist(), int(rows["size"].iloc[0])
+    out: list[tuple[int, int, int, int]] = []
+    before = 0
+
+    def chunk() -> pd.DataFrame:
+        made = pd.DataFrame(out, columns=["i", "block", "slot", "before"])
+        return made.assign(key=keys[made["i"]])[["key", "block", "slot", "before"]]
 
+    for i, j, slot in schedule(rows["weight"].tolist(), [-(-n // size) for n in counts]):
+        out.append((i, j, slot, before))
+        before += min(size, counts[i] - j * size)
+        if len(out) == _CHUNK:
+            yield chunk()
+            out.clear()
+    if out:
+        yield chunk()
 
-def timetable(weights: DataFrame) -> DataFrame:
-    """Slots of one period for rows ``key``, ``weight``: ``key``, ``turn`` (of the source in the period),
-    ``slot``, ``quota``, ``slots``. Its input is one row per source, its output 64 to 128 rows per source."""
-    return weights.repartition(1).mapInPandas(_timetable, "key string, turn long, slot long, quota long, slots long")
+
+def timetable(sources: DataFrame) -> DataFrame:
+    """A row per block for rows ``key``, ``weight``, ``n`` (documents), ``size`` (documents of a block, the
+    same in all rows): ``key``, ``block``, ``slot``, ``before`` (documents of all blocks before it).
+    Its input is one row per source, its output one per block."""
+    return sources.repartition(1).mapInPandas(_timetable, "key string, block long, slot long, before long")
 
 
 def smoothed(counts: DataFrame, power: float = 0.5) -> DataFrame:
     """Target weights from document counts (``key``, ``n``): n to the power, which lifts small sources."""
-    return counts.select("key", F.pow(F.col("n").cast("double"), F.lit(power)).alias("weight"))
+    return counts.select("key", "n", F.pow(F.col("n").cast("double"), F.lit(power)).alias("weight"))
 
 
-def numbered(rows: DataFrame, key: str, order: str) -> DataFrame:
+def numbered(rows: DataFrame, key: str, order: str, *ties: str) -> DataFrame:
     """Add ``number``: each row's place within its key (from 0) by the long ``order``, which is spread evenly.
 
     Rows are counted per key and slice of the order; a place is the rows of all slices before plus the
@@ -95,50 +107,50 @@ def numbered(rows: DataFrame, key: str, order: str) -> DataFrame:
     sliced = rows.withColumn("__slice", F.shiftright(order, 52))
     cells = sliced.groupBy(key, "__slice").agg(F.count("*").alias("__n"))
     before = cells.select(key, "__slice", (F.sum("__n").over(W.partitionBy(key).orderBy("__slice")) - F.col("__n")).alias("__before"))
-    ties = [c for c in ("doc_id", "__row") if c in rows.columns]
     inner = sliced.withColumn("__in", F.row_number().over(W.partitionBy(key, "__slice").orderBy(order, *ties)) - 1)
     return inner.join(before, [key, "__slice"]).withColumn("number", F.col("__before") + F.col("__in")).drop("__slice", "__before", "__in")
 
 
-def mix(docs: DataFrame, source: str = "source", weights: DataFrame | None = None, power: float = 0.5, block: int = BLOCK, seed: int = 42) -> DataFrame:
+def _key(source: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit(""))
+
+
+def mix(
+    docs: DataFrame, source: str = "source", weights: DataFrame | None = None, power: float = 0.5, block: int = BLOCK, seed: int = 42,
+    tag: str | None = None,
+) -> DataFrame:
     """Place every row of ``docs`` (``doc_id`` and the source column): ``doc_id``, ``source``, ``block``,
-    ``slot``, ``position``.
-
-    ``weights`` gives ``key`` and ``weight`` (above zero) per source; sources it does not name get the
-    smoothed weight of their count, as all do without it. ``block`` numbers a source's blocks, ``slot`` is
-    the block's turn, ``position`` counts the documents of the whole mixture from 0. A source that has
-    run out leaves its slots empty, so the others go on in their proportions; no row is dropped or
-    repeated. Within a source the order is by a hash of the id. A null source is a source of its own; rows
-    without an id, and rows that repeat one, follow each other; no input rows, no result.
+    ``slot``, ``position``, and the column ``tag`` if one is named.
+
+    ``weights`` gives ``key`` and ``weight`` per source, each once; sources it does not name, or not with a
+    finite weight above zero, get the smoothed weight of their count, as all do without it. ``block`` numbers
+    a source's blocks, ``slot`` is the block's turn, ``position`` counts the documents of the whole mixture
+    from 0. A source that has run out leaves its slots empty or to others that are due, so those go on in their
+    proportions; no row is dropped or repeated. Within a source the order is by a hash of the id and of the
+    long column ``tag``, which tells rows apart that repeat an id or have none, so that many of those
+    do not meet in one task. A null source is a source of its own; rows equal in id and tag follow each
+    other; no input rows, no result. Other columns, whatever their names, are not looked at.
     """
+    # Hashes pass over nulls, so rows without an id are dealt by their tag alone.
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col(source).cast("string").alias("source"),
-        F.xxhash64(F.col("doc_id").cast("long"), F.lit(seed)).alias("__order"),
-        *([F.col("__row")] if "__row" in docs.columns else []),
-    ).withColumn("__key", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
+        *([F.col(tag).cast("long").alias("__tag")] if tag else []),
+    )
+    ties = ["doc_id", *(["__tag"] if tag else [])]
+    rows = rows.select("*", _key(F.col("source")).alias("__key"), F.xxhash64(*ties, F.lit(seed)).alias("__order"))
     counts = rows.groupBy(F.col("__key").alias("key")).agg(F.count("*").alias("n"))
     shares = smoothed(counts, power)
     if weights is not None:
-        named = weights.select(F.coalesce(F.concat(F.lit("="), F.col("key").cast("string")), F.lit("")).alias("key"), F.col("weight").cast("double").alias("__given"))
-        shares = shares.join(named, "key", "left").select("key", F.coalesce("__given", "weight").alias("weight"))
-    slots = timetable(shares)
-    placed = numbered(rows, "__key", "__order").withColumn("block", F.floor(F.col("number") / block))
-    quotas = slots.groupBy("key").agg(F.first("quota").alias("quota"))
-    with_turn = join_many_facts(placed, quotas.withColumnRenamed("key", "__key"), ["__key"]).withColumn("turn", F.col("block") % F.col("quota"))
-    timed = with_turn.join(slots.select(F.col("key").alias("__key"), "turn", F.col("slot").alias("__at"), "slots"), ["__key", "turn"])
-    timed = timed.withColumn("slot", F.floor(F.col("block") / F.col("quota")) * F.col("slots") + F.col("__at"))
-    return _positions(timed.withColumn("__in", F.col("number") % block)).select("doc_id", "source", *([F.col("__row")] if "__row" in docs.columns else []), "block", "slot", "position")
-
-
-def _positions(timed: DataFrame) -> DataFrame:
-    """Count documents over all slots: per stretch of slots first, then within a stretch."""
-    stretch = F.floor(F.col("slot") / 256)
-    cells = timed.groupBy(stretch.alias("__stretch")).agg(F.count("*").alias("__n"))
-    # One row per 256 blocks.
-    before = cells.select("__stretch", (F.sum("__n").over(W.orderBy("__stretch")) - F.col("__n")).alias("__before"))
-    inner = timed.withColumn("__stretch", stretch).withColumn("__place", F.row_number().over(W.partitionBy("__stretch").orderBy("slot", "__in")) - 1)
-    return inner.join(before, "__stretch").withColumn("position", F.col("__before") + F.col("__place"))
+        given = F.col("weight").cast("double")
+        named = weights.select(_key(F.col("key")).alias("key"), given.alias("__given")).where((given > 0) & (given < float("inf")))
+        shares = shares.join(named, "key", "left").select("key", "n", F.coalesce("__given", "weight").alias("weight"))
+    size = F.greatest(F.lit(block).cast("long"), F.ceil(counts.agg(F.sum("n")).scalar() / MOST))
+    slots = timetable(shares.select("key", "weight", "n", size.alias("size")))
+    placed = numbered(rows, "__key", "__order", *ties).withColumn("__size", size).withColumn("block", F.floor(F.col("number") / F.col("__size")))
+    timed = placed.join(slots.withColumnRenamed("key", "__key"), ["__key", "block"])
+    position = F.col("before") + F.col("number") % F.col("__size")
+    return timed.select("doc_id", "source", *([F.col("__tag").alias(tag)] if tag else []), "block", "slot", position.alias("position"))
 
 
 def arrange(docs: DataFrame, source: str = "source", **parameters) -> DataFrame:
@@ -148,10 +160,10 @@ def arrange(docs: DataFrame, source: str = "source", **parameters) -> DataFrame:
     Positions are worked out without the texts and joined to them by id and text, so rows without an id are
     told apart by their texts; rows repeated whole follow each other.
     """
-    row, place, own = unused(docs, "row"), unused(docs, "position"), "__row"
+    row, place, own = unused(docs, "row"), unused(docs, "position"), "tag"
     tagged = docs.withColumn(row, F.xxhash64("text"))
     narrow = docs.select(F.col("doc_id"), F.col(source).alias("source"), F.xxhash64("text").alias(own))
-    mixed = mix(narrow, "source", **parameters).groupBy(F.col("doc_id").alias("__id"), own).agg(F.min("position").alias("__position"))
+    mixed = mix(narrow, "source", tag=own, **parameters).groupBy(F.col("doc_id").alias("__id"), own).agg(F.min("position").alias("__position"))
     placed = tagged.join(mixed, tagged["doc_id"].cast("long").eqNullSafe(mixed["__id"]) & (tagged[row] == mixed[own]))
     columns = [tagged[f"`{c}`"] for c in docs.columns]
     return placed.select(*columns, F.col("__position").alias(place)).repartitionByRange(place).sortWithinPartitions(place).drop(place)

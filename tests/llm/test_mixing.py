@@ -1,7 +1,9 @@
 """Mixing: the schedule against its windows, places against a plain simulation."""
 
 import math
+import zlib
 from collections import Counter
+from fractions import Fraction
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -10,25 +12,28 @@ from noticeboard.llm import mixing
 
 
 @settings(max_examples=100, deadline=None)
-@given(st.lists(st.integers(1, 60), min_size=1, max_size=12))
-def test_every_block_keeps_its_window_and_no_source_is_a_block_away(quotas):
-    slots = sum(quotas)
-    order = mixing.period(quotas)
-    taken = [0] * len(quotas)
-    for t, i in enumerate(order):
-        assert taken[i] * slots // quotas[i] <= t < math.ceil((taken[i] + 1) * slots / quotas[i])
+@given(st.lists(st.tuples(st.floats(1e-4, 1000), st.integers(0, 60)), min_size=1, max_size=12))
+def test_every_block_keeps_the_window_of_its_weight(sources):
+    weights, blocks = [w for w, _ in sources], [n for _, n in sources]
+    share = [Fraction(w) / sum(map(Fraction, weights)) for w in weights]
+    done, last = [0] * len(sources), -1
+    for i, j, slot in mixing.schedule(weights, blocks):
+        assert j == done[i] and slot > last
+        assert math.floor(j / share[i]) <= slot < math.ceil((j + 1) / share[i])
+        done[i], last = j + 1, slot
+    assert done == blocks
+
+
+def test_no_source_is_a_block_from_its_target_over_many_slots():
+    parts = [1, 500, 3333, 2000, 7, 4159]  # of 10,000
+    slots = 100_000
+    taken = [0] * len(parts)
+    for i, _, slot in mixing.schedule([float(p) for p in parts], [20 * p for p in parts]):
+        if slot == slots:
+            break
         taken[i] += 1
-        assert all(abs(taken[j] - (t + 1) * quotas[j] / slots) < 1 for j in range(len(quotas)))
-    assert taken == quotas
-
-
-@given(st.lists(st.floats(0.001, 1000), min_size=1, max_size=40))
-def test_quotas(weights):
-    slots = 1 << (64 * len(weights)).bit_length()
-    quotas = mixing.apportion(weights, slots)
-    assert sum(quotas) == slots and min(quotas) >= 1
-    for w, q in zip(weights, quotas):
-        assert abs(q - (1 + w / sum(weights) * (slots - len(weights)))) < 1
+        assert all(abs(n * 10_000 - (slot + 1) * p) < 10_000 for n, p in zip(taken, parts))
+    assert taken == [10 * p for p in parts]
 
 
 def _check(rows, got, block):
@@ -54,23 +59,58 @@ def test_mix_keeps_all_rows_and_the_shares(spark, documents):
     for slot in range(ends):
         taken[by_slot[slot]] += 1
         for key, w in share.items():
-            assert abs(taken[key] - (slot + 1) * w) < 1 + 0.02 * slot / 8  # quotas are whole slots per period
-
-
-def test_a_plain_simulation_gives_the_same_slots(documents):
-    rows = [(i, "t", "en", "ab"[i % 7 == 0]) for i in range(200)]
-    got = mixing.mix(documents(rows), block=4).collect()
-    n = Counter(r[3] for r in rows)
-    names = sorted(n)
-    quotas = mixing.apportion([math.sqrt(n[x]) for x in names], 128)
-    left, slots = {x: math.ceil(n[x] / 4) for x in names}, {x: [] for x in names}
-    done = Counter()
-    for t in range(10_000):
-        name = names[mixing.period(quotas)[t % 128]] if t < 400 else None
-        if name and done[name] < left[name]:
-            slots[name].append(t)
-            done[name] += 1
-    assert {x: sorted({r.slot for r in got if r.source == x}) for x in names} == slots
+            assert abs(taken[key] - (slot + 1) * w) < 1
+
+
+def _replay(weights, sizes, block):
+    """Slots by a plain simulation: at every slot look at all sources."""
+    whole = sum(map(Fraction, weights.values()))
+    share = {x: Fraction(w) / whole for x, w in weights.items()}
+    left, done, out = {x: math.ceil(n / block) for x, n in sizes.items()}, Counter(), {}
+    slot = 0
+    while any(done[x] < left[x] for x in sizes):
+        due = [(math.ceil((done[x] + 1) / share[x]), x) for x in sorted(sizes) if done[x] < left[x] and math.floor(done[x] / share[x]) <= slot]
+        if due:
+            x = min(due)[1]
+            out[x, done[x]] = slot
+            done[x] += 1
+        slot += 1
+    return out
+
+
+def test_a_plain_simulation_gives_the_same_slots(spark, documents):
+    rows = [(i, "t", "en", "abcd"[zlib.crc32(b"%d" % i) % 7 % 4]) for i in range(400)]
+    weights = {"a": 5.0, "b": 2.0, "c": 0.75, "d": 0.25}
+    given = spark.createDataFrame(list(weights.items()), "key string, weight double")
+    got = mixing.mix(documents(rows), weights=given, block=4).collect()
+    assert {(r.source, r.block): r.slot for r in got} == _replay(weights, Counter(r[3] for r in rows), 4)
+    places = {}
+    for r in sorted(got, key=lambda r: (r.slot, r.position)):
+        places.setdefault((r.source, r.block), []).append(r.position)
+    assert [p for ps in places.values() for p in ps] == list(range(400))
+
+
+def test_blocks_grow_so_that_they_stay_as_many(documents, monkeypatch):
+    rows = [(i, "t", "en", "hot" if i % 3 else "s") for i in range(900)]
+    monkeypatch.setattr(mixing, "MOST", 10)
+    got = mixing.mix(documents(rows), block=2).collect()
+    _check(rows, got, 90)
+
+
+def test_weights_that_are_none(spark, documents):
+    rows = [(i, "t", "en", "abcd"[i % 4]) for i in range(80)]
+    given = [("a", None), ("b", 0.0), ("c", float("nan")), ("d", float("inf")), ("e", 3.0)]
+    got = mixing.mix(documents(rows), weights=spark.createDataFrame(given, "key string, weight double"), block=2).collect()
+    assert {(r.doc_id, r.position) for r in got} == {(r.doc_id, r.position) for r in mixing.mix(documents(rows), block=2).collect()}
+
+
+def test_rows_without_ids_are_spread_by_their_tag(spark, documents):
+    docs = documents([(None, f"t{i}", "en", "s") for i in range(200)]).selectExpr("doc_id", "source", "xxhash64(text) AS tag", "1 AS __row", "2 AS `__key`")
+    got = mixing.mix(docs, block=8, tag="tag")
+    assert got.columns == ["doc_id", "source", "tag", "block", "slot", "position"]
+    assert sorted(r.position for r in got.collect()) == list(range(200))
+    dealt = docs.selectExpr("shiftright(xxhash64(CAST(doc_id AS LONG), tag, 42), 52) AS slice").distinct().count()
+    assert dealt > 150
 
 
 def test_missing_sources_and_ids_and_no_rows(documents):
@@ -88,6 +128,7 @@ def test_arranged_files_hold_the_mixture_in_order(spark, documents, tmp_path):
     back = spark.read.parquet(f"{tmp_path}/mixed").select("doc_id", "text", "source", "_metadata.file_name", "_metadata.row_index").collect()
     back.sort(key=lambda r: (r.file_name, r.row_index))
     assert sorted((str(r.doc_id), r.text) for r in back) == sorted((str(r[0]), r[1]) for r in rows)
-    place = {r.doc_id: r.position for r in mixing.mix(docs).collect() if r.doc_id is not None}
+    tagged = docs.selectExpr("doc_id", "source", "xxhash64(text) AS tag")
+    place = {r.doc_id: r.position for r in mixing.mix(tagged, tag="tag").collect() if r.doc_id is not None}
     found = [place[r.doc_id] for r in back if r.doc_id is not None]
     assert found == sorted(found)

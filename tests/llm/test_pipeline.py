@@ -59,7 +59,7 @@ def test_benchmark_leaks(spark, stages):
 def test_mixture(stages):
     before, after = stages[3]
     assert sorted(_ids(after)) == sorted(_ids(before))
-    place = {r.doc_id: r.position for r in mixing.mix(before).collect()}
+    place = {r.doc_id: r.position for r in mixing.mix(before.selectExpr("doc_id", "source", "xxhash64(text) AS tag"), tag="tag").collect()}
     rows = after.select("doc_id", "_metadata.file_name", "_metadata.row_index").collect()
     rows.sort(key=lambda r: (r.file_name, r.row_index))
     assert [place[r.doc_id] for r in rows] == list(range(len(rows)))
