@@ -10,6 +10,7 @@ repeated attempt leaves behind is never read.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
@@ -104,9 +105,12 @@ def unframe(records: list[bytes]) -> list[bytes]:
     return datas
 
 
+_WIDE = re.compile("[^\u0000-\u00ff]")
+
+
 def _latin(text: str) -> bool:
     """Only characters below U+0100: their lower case and their letters are the same to every library."""
-    return text.isascii() or max(text) < "\u0100"
+    return text.isascii() or _WIDE.search(text) is None
 
 
 class Encoder:
@@ -127,6 +131,7 @@ class Encoder:
         self.lowers = self._ids(["A", "\u00c9"]) == self._ids(["a", "\u00e9"])
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.has_ends = bool(self.ends.any())
         self.marks = {m: self._ids([m])[0] for m in ".,"}
         self.young: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
@@ -141,23 +146,29 @@ class Encoder:
         split = [(t.lower() if self.lowers and _latin(t) and "<|" not in t else t).replace("\n", " ").split(" ") for t in texts]
         young = self.young
         missing = set().union(*split).difference(young)
-        if self.old:
-            known = missing.intersection(self.old)
-            young.update((w, self.old[w]) for w in known)
-            missing -= known
-        self._learn(missing)
+        self._learn(self._remember(missing))
         out = [b"".join(map(young.__getitem__, words)) for words in split]
         if len(young) > self.KEPT:
             self.young, self.old = {"": b""}, young
         return out
 
+    def _remember(self, missing: set[str]) -> set[str]:
+        """Take words back that were known of old; the others are given."""
+        if not self.old:
+            return missing
+        young, old = self.young, self.old
+        known = [w for w in missing if w in old]
+        young.update(zip(known, map(old.__getitem__, known)))
+        return missing.difference(known)
+
     def _learn(self, missing: set[str]) -> None:
         """Words of Latin letters are one piece each, so they are encoded in one text and cut at the ends of
         words; a full stop or comma after one is a piece of its own. All others are encoded one by one."""
         young = self.young
         letters, marked, rest = set(), [], []
+        wide = _WIDE.search
         for w in missing:
-            if not _latin(w) or not self.ends.any():
+            if not self.has_ends or not (w.isascii() or wide(w) is None):
                 rest.append(w)
             elif w.isalpha():
                 letters.add(w)
@@ -165,17 +176,15 @@ class Encoder:
                 marked.append(w)
             else:
                 rest.append(w)
-        cores = list(letters.union(w[:-1] for w in marked).difference(young))
+        cores = list(letters.union(self._remember({w[:-1] for w in marked}.difference(young))))
         if cores:
             (data,) = self._ids([" ".join(cores)])
             width = np.dtype(self.kind).itemsize
             cuts = (np.flatnonzero(self.ends[np.frombuffer(data, self.kind)]) + 1) * width
             if len(cuts) != len(cores):
                 raise ValueError("a word of letters is not one piece in this vocabulary")
-            begin = 0
-            for w, end in zip(cores, cuts.tolist()):
-                young[w] = data[begin:end]
-                begin = end
+            ends = cuts.tolist()
+            young.update(zip(cores, [data[a:b] for a, b in zip([0, *ends], ends)]))
         for w in marked:
             young[w] = young[w[:-1]] + self.marks[w[-1]]
         young.update(zip(rest, self._ids(rest)))
