@@ -158,6 +158,22 @@ def get_by_id(spark, sf):
     return postings.by_id("42")
 
 
+@query(f"""WITH {ORDERS_INDEX_SQL} SELECT * FROM idx
+  WHERE (id NOT IN {_RETURNED_SQL} OR (job_title = '1-URGENT' AND NOT job_expired)) AND job_title <> '5-LOW'""")
+def delete_from_table(spark, sf):
+    """Orders as a posting table: the returned ones are deleted, urgent ones come back, all is compacted,
+    and those of low priority are deleted from the snapshot at reading."""
+    orders = orders_index(spark, sf)
+    schema = ", ".join(f"{name} {kind}" for name, kind in orders.dtypes)
+    postings = PostingTable(spark, new_folder(spark, "orders"), schema, ["job_post_date"], buckets=8)
+    postings.load(orders)
+    postings.delete(_returned(spark, sf), 1)
+    postings.append(orders.where("job_title = '1-URGENT' AND NOT job_expired"), 2)
+    postings.compact()
+    postings.delete(orders.where("job_title = '5-LOW'"), 3)
+    return postings.current()
+
+
 _SCHEMA = (
     "id string, job_company string, job_title string, job_post_date timestamp_ntz, job_expire_date timestamp_ntz, "
     "job_expired boolean, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_extendedprice double"

@@ -1,22 +1,38 @@
 """The posting table: a snapshot in buckets of ids, and the changes since.
 
-A batch of postings is appended as its own folder, so writing costs what the batch holds.
-``compact`` folds the changes into the next snapshot and rewrites only the buckets they touch: a
+A batch of postings is appended as its own folder, so writing costs what the batch holds. Deleting
+is a batch too, of ids alone: it takes away what came before its number, and readers leave those
+rows out until ``compact`` drops them for good. ``compact`` folds the changes into the next snapshot and rewrites only the buckets they touch: a
 snapshot names, for each bucket, the folder that holds it. Batches are numbered upwards. A log,
 itself a small table, says which folders are whole; nothing is read and overwritten in one place.
 """
 
 from __future__ import annotations
 
+from collections.abc import Collection
+from functools import reduce
+from typing import NamedTuple
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import index
+from ..operators.skew import join_facts
 
 _LOG = "kind string, no int, bucket int"
 
 
+class _State(NamedTuple):
+    """Numbers of the batches and of the deletions, of the newest snapshot (-1 for none), and of the
+    snapshot that holds each bucket."""
+
+    batches: list[int]
+    deletions: list[int]
+    done: int
+    held: dict[int, int]
+
+
 class PostingTable:
     def __init__(self, spark: SparkSession, root: str, schema: str, order: list[str], buckets: int = 256):
         self.spark, self.root, self.schema, self.order, self.buckets = spark, root.rstrip("/"), schema, order, buckets
@@ -33,14 +49,15 @@ class PostingTable:
         """Add rows to the log: few, one per batch, or per bucket that a snapshot holds itself."""
         self.spark.createDataFrame(rows, _LOG).coalesce(1).write.mode("append").parquet(f"{self.root}/log")
 
-    def _state(self) -> tuple[list[int], int, dict[int, int]]:
-        """Numbers of the batches, of the newest snapshot (-1 for none), and of the snapshot that
-        holds each bucket: at most a row per batch and per bucket is fetched."""
-        newest = self._logged().groupBy("kind", "bucket", F.when(F.col("kind") == "changes", F.col("no")).alias("batch")).agg(F.max("no").alias("no"))
-        rows = newest.collect()
+    def _state(self) -> _State:
+        """What the log holds: at most a row per batch and two per bucket are fetched."""
+        batch = F.when(F.col("kind").isin("changes", "deletes"), F.col("no"))
+        rows = self._logged().groupBy("kind", "bucket", batch.alias("batch")).agg(F.max("no").alias("no")).collect()
         done = max((r.no for r in rows if r.kind == "snapshot"), default=-1)
-        held = {r.bucket: r.no for r in rows if r.kind == "bucket" and r.no <= done}
-        return sorted(r.no for r in rows if r.kind == "changes"), done, held
+        emptied = {r.bucket: r.no for r in rows if r.kind == "empty"}
+        held = {r.bucket: r.no for r in rows if r.kind == "bucket" and r.no > emptied.get(r.bucket, -1)}
+        numbers = {kind: sorted(r.no for r in rows if r.kind == kind) for kind in ("changes", "deletes")}
+        return _State(numbers["changes"], numbers["deletes"], done, held)
 
     def _bucket(self, posting_id: Column) -> Column:
         return F.pmod(F.xxhash64(posting_id), F.lit(self.buckets)).cast("int")
@@ -50,8 +67,17 @@ class PostingTable:
 
     def last_number(self) -> int:
         """The largest number used so far, -1 for none."""
-        batches, done, _ = self._state()
-        return max([done, *batches])
+        state = self._state()
+        return max([state.done, *state.batches, *state.deletions])
+
+    def _is_new(self, no: int, same: list[int], other: list[int], done: int) -> bool:
+        if no in same:
+            return False
+        if no in other:
+            raise ValueError(f"number {no} was used for another kind of batch")
+        if no <= done:
+            raise ValueError(f"batch {no} comes too late: the snapshot holds all batches up to {done}")
+        return True
 
     def append(self, batch: DataFrame, no: int) -> None:
         """Add a batch under its number; a batch that was added before changes nothing.
@@ -59,14 +85,25 @@ class PostingTable:
         A new batch whose number is not above those already folded into the snapshot fails: its
         rows would come before what is in the snapshot, and be in no result.
         """
-        batches, done, _ = self._state()
-        if no in batches:
+        state = self._state()
+        if not self._is_new(no, state.batches, state.deletions, state.done):
             return
-        if no <= done:
-            raise ValueError(f"batch {no} comes too late: the snapshot holds all batches up to {done}")
         batch.write.mode("overwrite").parquet(f"{self.root}/changes/no={no}")
         self._log([("changes", no, None)])
 
+    def delete(self, ids: DataFrame, no: int) -> None:
+        """Delete the ids (column ``id``) under a number: every row of theirs with a lower one goes.
+
+        Only the ids are written. A row that a later batch brings counts again; ids the table does not
+        hold, and null ids, change nothing; numbers are those of ``append``, with the same rules.
+        """
+        state = self._state()
+        if not self._is_new(no, state.deletions, state.batches, state.done):
+            return
+        gone = ids.select(F.col("id").cast("string").alias("id")).where("id IS NOT NULL").distinct()
+        gone.write.mode("overwrite").parquet(f"{self.root}/deletes/no={no}")
+        self._log([("deletes", no, None)])
+
     def batch(self, no: int) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(f"{self.root}/changes/no={no}")
 
@@ -83,24 +120,43 @@ class PostingTable:
         reader = self.spark.read.schema(f"{self.schema}, no int").option("basePath", f"{self.root}/changes")
         return reader.parquet(*(f"{self.root}/changes/no={n}" for n in batches))
 
-    def _merged(self, rows: DataFrame, changes: DataFrame | None) -> DataFrame:
+    def _deletions(self, numbers: list[int]) -> DataFrame | None:
+        """Per deleted id the last number under which it was deleted."""
+        if not numbers:
+            return None
+        reader = self.spark.read.schema("id string, no int").option("basePath", f"{self.root}/deletes")
+        return reader.parquet(*(f"{self.root}/deletes/no={n}" for n in numbers)).groupBy("id").agg(F.max("no").alias("__gone"))
+
+    def _merged(self, rows: DataFrame, changes: DataFrame | None, gone: DataFrame | None) -> DataFrame:
         rows = rows.select(*self.columns())
-        return rows if changes is None else index.route_writes(rows, changes, "no", *self.order)
+        if gone is not None:
+            rows = rows.join(gone, "id", "left_anti")
+        if changes is None:
+            return rows
+        if gone is not None:
+            kept = F.col("__gone").isNull() | (F.col("no") > F.col("__gone"))
+            changes = join_facts(changes, gone, ["id"], "left").where(kept).drop("__gone")
+        return index.route_writes(rows, changes, "no", *self.order)
+
+    def _later(self, state: _State) -> tuple[DataFrame | None, DataFrame | None]:
+        """Changes and deletions that are not in the snapshot."""
+        return self._changes([n for n in state.batches if n > state.done]), self._deletions([n for n in state.deletions if n > state.done])
 
     def current(self) -> DataFrame:
-        batches, done, held = self._state()
-        return self._merged(self._snapshot(held), self._changes([n for n in batches if n > done]))
+        state = self._state()
+        return self._merged(self._snapshot(state.held), *self._later(state))
 
     def compact(self) -> int:
         """Fold all changes into a new snapshot, rewriting the buckets they touch; its number is given."""
-        batches, done, held = self._state()
-        later = [n for n in batches if n > done]
-        if not later:
-            return done
-        changes, no = self._changes(later), later[-1]
-        touched = {r.b for r in changes.select(self._bucket(F.col("id")).alias("b")).distinct().collect()}
-        rows = self._snapshot({b: n for b, n in held.items() if b in touched})
-        return self._write(self._merged(rows, changes), no)
+        state = self._state()
+        no = max([state.done, *state.batches, *state.deletions])
+        if no == state.done:
+            return no
+        changes, gone = self._later(state)
+        ids = [part.select(self._bucket(F.col("id")).alias("b")) for part in (changes, gone) if part is not None]
+        touched = {r.b for r in reduce(DataFrame.unionAll, ids).distinct().collect()}
+        rows = self._snapshot({b: n for b, n in state.held.items() if b in touched})
+        return self._write(self._merged(rows, changes, gone), no, touched & state.held.keys())
 
     def load(self, rows: DataFrame, no: int = 0) -> int:
         """Begin an empty table with rows as they are, each id once."""
@@ -108,29 +164,30 @@ class PostingTable:
             raise ValueError("the table is not empty")
         return self._write(rows.select(*self.columns()), no)
 
-    def _write(self, rows: DataFrame, no: int) -> int:
-        """Write buckets as those of snapshot ``no``."""
+    def _write(self, rows: DataFrame, no: int, replaced: Collection[int] = ()) -> int:
+        """Write buckets as those of snapshot ``no``; of those ``replaced``, the ones without a row are empty now."""
         merged = rows.withColumn("bucket", self._bucket(F.col("id")))
         folder = f"{self.root}/snapshot/no={no}"
         dealt = merged.hint("rebalance", "bucket").sortWithinPartitions("bucket", "id")
         dealt.write.mode("overwrite").partitionBy("bucket").parquet(folder)
         written = [r.bucket for r in self.spark.read.schema(f"{self.schema}, bucket int").parquet(folder).select("bucket").distinct().collect()]
         # The snapshot counts once this one write of the log is done.
-        self._log([("bucket", no, b) for b in written] + [("snapshot", no, None)])
+        emptied = sorted(set(replaced).difference(written))
+        self._log([("bucket", no, b) for b in written] + [("empty", no, b) for b in emptied] + [("snapshot", no, None)])
         return no
 
     def unused(self) -> list[str]:
         """Folders that no later read needs: folded changes, and buckets that a newer snapshot holds.
         They may be deleted once nobody reads an older state."""
-        batches, done, held = self._state()
-        old = [f"{self.root}/changes/no={n}" for n in batches if n <= done]
+        batches, deletions, done, held = self._state()
+        old = [f"{self.root}/changes/no={n}" for n in batches if n <= done] + [f"{self.root}/deletes/no={n}" for n in deletions if n <= done]
         copies = self._logged().where("kind = 'bucket'").select("no", "bucket").distinct().collect()
         return old + [f"{self.root}/snapshot/no={r.no}/bucket={r.bucket}" for r in copies if held.get(r.bucket) != r.no]
 
     def by_id(self, posting_id: str) -> DataFrame:
         """Reads the id's bucket of the snapshot and what changed since."""
-        batches, done, held = self._state()
-        rows = self._snapshot(held).where(F.col("bucket") == self._bucket(F.lit(posting_id)))
-        changes = self._changes([n for n in batches if n > done])
+        state = self._state()
+        rows = self._snapshot(state.held).where(F.col("bucket") == self._bucket(F.lit(posting_id)))
         wanted = F.col("id") == posting_id
-        return self._merged(rows.where(wanted), changes if changes is None else changes.where(wanted))
+        later = (part if part is None else part.where(wanted) for part in self._later(state))
+        return self._merged(rows.where(wanted), *later)

@@ -153,3 +153,59 @@ def test_a_new_checkpoint_goes_on_above_what_the_table_has(spark):
     for checkpoint in ("one", "two"):
         got = index_stream(spark, f"{folder}/source", table, f"{folder}/{checkpoint}", "*.parquet")
         assert _dict(got) == {"a": ("new", False), "b": ("b", False)}
+
+
+def _ids(spark, *ids):
+    return spark.createDataFrame([(i,) for i in ids], "id string")
+
+
+def test_deleting_takes_what_came_before(spark):
+    table = PostingTable(spark, new_folder(spark, "table"), SCHEMA, ["seq"], buckets=4)
+    table.delete(_ids(spark, "a"), 0)  # of an empty table
+    assert table.current().count() == 0
+    table.append(_df(spark, ("a", "x", False, 1), ("b", "x", False, 1), ("c", "x", False, 1)), 1)
+    table.delete(_ids(spark, "a", "a", "zzz", None, "c"), 2)
+    table.delete(_ids(spark, "b"), 2)  # the number again
+    table.append(_df(spark, ("a", "gone", True, 0), ("c", "back", False, 0)), 3)
+    want = {"b": ("x", False), "c": ("back", False)}  # expiring what is deleted changes nothing
+    assert _dict(table.current()) == want and table.last_number() == 3
+    assert _dict(table.by_id("a")) == {} and _dict(table.by_id("c")) == {"c": ("back", False)}
+    assert table.compact() == 3 and _dict(table.current()) == want and table.compact() == 3
+    assert {f.rsplit("/", 2)[1] for f in table.unused()} >= {"changes", "deletes"}
+    with pytest.raises(ValueError, match="another kind"):
+        table.delete(_ids(spark, "b"), 3)
+    with pytest.raises(ValueError, match="another kind"):
+        table.append(_df(spark, ("b", "y", False, 1)), 2)
+
+
+def test_a_bucket_emptied_by_deletion_stays_empty_until_it_is_filled_again(spark):
+    table = PostingTable(spark, new_folder(spark, "table"), SCHEMA, ["seq"], buckets=4)
+    rows = spark.createDataFrame([(str(i), "x", False, 1) for i in range(40)], SCHEMA)
+    table.load(rows)
+    bucket = F.pmod(F.xxhash64("id"), F.lit(4))
+    one = rows.where(bucket == 1)
+    there = [r.id for r in one.collect()]
+    assert there
+    table.delete(one, 1)
+    left = {str(i) for i in range(40)} - set(there)
+    assert set(_dict(table.current())) == left
+    assert table.compact() == 1
+    assert set(_dict(table.current())) == left and _dict(table.by_id(there[0])) == {}
+    assert not any("bucket=1/" in f for f in table.current().inputFiles())
+    assert any(f.endswith("no=0/bucket=1") for f in table.unused())
+    table.append(_df(spark, (there[0], "new", False, 2)), 2)
+    assert table.compact() == 2 and _dict(table.by_id(there[0])) == {there[0]: ("new", False)}
+    table.delete(rows, 3)
+    assert table.compact() == 3 and table.current().count() == 0
+
+
+def test_deleting_writes_the_ids_alone_and_rewrites_only_their_buckets(spark):
+    table = PostingTable(spark, new_folder(spark, "table"), SCHEMA, ["seq"], buckets=4)
+    table.load(spark.createDataFrame([(str(i), "x" * 1000, False, 1) for i in range(400)], SCHEMA))
+    before = set(table.current().inputFiles())
+    table.delete(_ids(spark, "7"), 1)
+    written = spark.read.parquet(f"{table.root}/deletes/no=1")
+    assert written.columns == ["id"] and written.count() == 1
+    assert before < set(table.current().inputFiles())  # the snapshot as it was, and the ids
+    table.compact()
+    assert len(before & set(table.current().inputFiles())) == len(before) * 3 // 4
