@@ -274,3 +274,21 @@ def test_an_outer_loop_keeps_the_page_loop_within_it(spark):
     assert nested.outer.item_type == "other" and nested.pages.item_type == "page" and nested.items.selector == "//article"
     alone = spec_of({"name": "s", "procedure": {"loop": {"loop_type": "begin", "loop_item_type": "other"}, "procedure": _NESTED["procedure"]["procedure"]["procedure"]}})
     assert [r.paged for r in loop_rules(spark, [nested, alone]).collect()] == [True, False]
+
+
+def test_detail_pages_that_no_row_lists_are_not_parsed(spark, dictionaries, monkeypatch):
+    parsed = []
+
+    def spy(pages, specs, level):
+        if level == "detail":
+            parsed.extend(r.url for r in pages.select("url").collect())
+        return extract(pages, specs, level)
+
+    extract = collect.extract
+    spec = _spec("A", detail_groups=((FieldRule("job_title", "//h1"),),))
+    pages = spark.createDataFrame([("A", "p0", 0, _listing(("/1", "one", "2024-01-30")))], PAGES)
+    details = spark.createDataFrame([("A", f"/{i}", 0, f"<h1>t{i}</h1>") for i in range(400)] + [("A", None, 0, "<h1>none</h1>")], PAGES)
+    want = [r.job_url for r in collect.collect_postings(pages, [spec], AS_OF, *dictionaries, details=details).collect()]
+    monkeypatch.setattr(collect, "extract", spy)
+    got = [r.job_url for r in collect.collect_postings(pages, [spec], AS_OF, *dictionaries, details=details).collect()]
+    assert got == want == ["/1"] and "/1" in parsed and len(parsed) < 5
