@@ -2,9 +2,14 @@
 
 A batch of postings is appended as its own folder, so writing costs what the batch holds. Deleting
 is a batch too, of ids alone: it takes away what came before its number, and readers leave those
-rows out until ``compact`` drops them for good. ``compact`` folds the changes into the next snapshot and rewrites only the buckets they touch: a
-snapshot names, for each bucket, the folder that holds it. Batches are numbered upwards. A log,
-itself a small table, says which folders are whole; nothing is read and overwritten in one place.
+rows out until ``compact`` drops them for good. ``compact`` folds the changes into the next snapshot
+and rewrites only the buckets they touch: a snapshot names, for each bucket, the folder that holds it.
+Batches are numbered upwards; nothing is read and overwritten in one place.
+
+Several writers may work on one table. A log (``sources.log``) says which folders are whole. A number
+is taken there before its folder is written, so no folder has two writers, and what was written counts
+from the commit that names it; a writer that comes second looks again and goes on from there. A
+writer that was lost has left a number that nobody uses, or goes on with it when it is started again.
 """
 
 from __future__ import annotations
@@ -13,51 +18,67 @@ from collections.abc import Collection
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import index
 from ..operators.skew import join_facts
+from .log import CommitLog
 
-_LOG = "kind string, no int, bucket int"
+_LOG = "kind string, no int, bucket int, writer string, turn int"
+_BATCHES = ("changes", "deletes")
 
 
 class _State(NamedTuple):
-    """Numbers of the batches and of the deletions, of the newest snapshot (-1 for none), and of the
-    snapshot that holds each bucket."""
+    """The last version of the log, numbers of the batches and of the deletions, of the newest
+    snapshot (-1 for none), the snapshot that holds each bucket, the numbers that were taken, of
+    those for a snapshot, and per writer and turn its number and, once it is whole, its kind."""
 
+    version: int
     batches: list[int]
     deletions: list[int]
     done: int
     held: dict[int, int]
+    taken: set[int]
+    folding: set[int]
+    turns: dict[tuple[str, int], tuple[int, str | None]]
+
+    @property
+    def last(self) -> int:
+        """The largest number that counts so far."""
+        return max([self.done, *self.batches, *self.deletions])
+
+    def free(self) -> int:
+        return max([self.last, *self.taken, *self.folding]) + 1
 
 
 class PostingTable:
     def __init__(self, spark: SparkSession, root: str, schema: str, order: list[str], buckets: int = 256):
         self.spark, self.root, self.schema, self.order, self.buckets = spark, root.rstrip("/"), schema, order, buckets
-
-    def _logged(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(_LOG).parquet(f"{self.root}/log")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], _LOG)
-
-    def _log(self, rows: list[tuple]) -> None:
-        """Add rows to the log: few, one per batch, or per bucket that a snapshot holds itself."""
-        self.spark.createDataFrame(rows, _LOG).coalesce(1).write.mode("append").parquet(f"{self.root}/log")
+        self.log = CommitLog(spark, f"{self.root}/log", _LOG)
 
     def _state(self) -> _State:
-        """What the log holds: at most a row per batch and two per bucket are fetched."""
-        batch = F.when(F.col("kind").isin("changes", "deletes"), F.col("no"))
-        rows = self._logged().groupBy("kind", "bucket", batch.alias("batch")).agg(F.max("no").alias("no")).collect()
-        done = max((r.no for r in rows if r.kind == "snapshot"), default=-1)
-        emptied = {r.bucket: r.no for r in rows if r.kind == "empty"}
-        held = {r.bucket: r.no for r in rows if r.kind == "bucket" and r.no > emptied.get(r.bucket, -1)}
-        numbers = {kind: sorted(r.no for r in rows if r.kind == kind) for kind in ("changes", "deletes")}
-        return _State(numbers["changes"], numbers["deletes"], done, held)
+        """What the log holds: at most two rows per batch and two per bucket are fetched."""
+        keys = ["kind", "bucket", "writer", "turn"]
+        single = F.when(~F.col("kind").isin("bucket", "empty"), F.col("no"))
+        rows = self.log.settled().groupBy(*keys, single.alias("single")).agg(F.max("no").alias("no"), F.max("version").alias("version")).collect()
+        of = {kind: [r for r in rows if r.kind == kind] for kind in (*_BATCHES, "snapshot", "empty", "bucket", "taken", "folding")}
+        emptied = {r.bucket: r.no for r in of["empty"]}
+        held = {r.bucket: r.no for r in of["bucket"] if r.no > emptied.get(r.bucket, -1)}
+        turns: dict[tuple[str, int], tuple[int, str | None]] = {}
+        for r in sorted(of["taken"], key=lambda r: r.version):
+            turns[r.writer, r.turn] = (r.no, None)
+        for kind in _BATCHES:
+            turns |= {(r.writer, r.turn): (r.no, kind) for r in of[kind]}
+        return _State(
+            max((r.version for r in rows), default=-1),
+            *(sorted(r.no for r in of[kind]) for kind in _BATCHES),
+            max((r.no for r in of["snapshot"]), default=-1),
+            held,
+            {r.no for r in of["taken"]},
+            {r.no for r in of["folding"]},
+            turns,
+        )
 
     def _bucket(self, posting_id: Column) -> Column:
         return F.pmod(F.xxhash64(posting_id), F.lit(self.buckets)).cast("int")
@@ -67,42 +88,50 @@ class PostingTable:
 
     def last_number(self) -> int:
         """The largest number used so far, -1 for none."""
-        state = self._state()
-        return max([state.done, *state.batches, *state.deletions])
-
-    def _is_new(self, no: int, same: list[int], other: list[int], done: int) -> bool:
-        if no in same:
-            return False
-        if no in other:
-            raise ValueError(f"number {no} was used for another kind of batch")
-        if no <= done:
-            raise ValueError(f"batch {no} comes too late: the snapshot holds all batches up to {done}")
-        return True
-
-    def append(self, batch: DataFrame, no: int) -> None:
-        """Add a batch under its number; a batch that was added before changes nothing.
-
-        A new batch whose number is not above those already folded into the snapshot fails: its
-        rows would come before what is in the snapshot, and be in no result.
+        return self._state().last
+
+    def append(self, batch: DataFrame, no: int, writer: str = "") -> int:
+        """Add a batch; gives its number. A batch that was added before changes nothing.
+
+        Without a writer's name ``no`` is the number itself. If it is not above those already folded
+        into the snapshot this fails: its rows would come before what is in the snapshot, and be in
+        no result. So does a number that a named writer has. A writer with a name counts its own
+        batches: ``no`` tells them apart, and the table gives ``no`` where it is above all numbers
+        so far, else the next free one. Each writer needs a name of its own.
         """
-        state = self._state()
-        if not self._is_new(no, state.batches, state.deletions, state.done):
-            return
-        batch.write.mode("overwrite").parquet(f"{self.root}/changes/no={no}")
-        self._log([("changes", no, None)])
+        return self._add("changes", batch, no, writer)
 
-    def delete(self, ids: DataFrame, no: int) -> None:
+    def delete(self, ids: DataFrame, no: int, writer: str = "") -> int:
         """Delete the ids (column ``id``) under a number: every row of theirs with a lower one goes.
 
         Only the ids are written. A row that a later batch brings counts again; ids the table does not
-        hold, and null ids, change nothing; numbers are those of ``append``, with the same rules.
+        hold, and null ids, change nothing; numbers and writers are those of ``append``, with the same rules.
         """
-        state = self._state()
-        if not self._is_new(no, state.deletions, state.batches, state.done):
-            return
         gone = ids.select(F.col("id").cast("string").alias("id")).where("id IS NOT NULL").distinct()
-        gone.write.mode("overwrite").parquet(f"{self.root}/deletes/no={no}")
-        self._log([("deletes", no, None)])
+        return self._add("deletes", gone, no, writer)
+
+    def _add(self, kind: str, rows: DataFrame, turn: int, writer: str) -> int:
+        entry = {"writer": writer, "turn": turn}
+        written = None
+        while True:
+            state = self._state()
+            no, whole = state.turns.get((writer, turn), (None, None))
+            if whole:
+                if whole != kind:
+                    raise ValueError(f"number {turn} was used for another kind of batch")
+                return no
+            if no is None or no <= state.done:
+                if not writer and turn <= state.done:
+                    raise ValueError(f"batch {turn} comes too late: the snapshot holds all batches up to {state.done}")
+                if not writer and no is None and turn in state.taken:
+                    raise ValueError(f"number {turn} is another writer's")
+                no = max(turn, state.free()) if writer else turn
+                self.log.commit(state.version + 1, [{"kind": "taken", "no": no, **entry}])
+            elif written != no:
+                rows.write.mode("overwrite").parquet(f"{self.root}/{kind}/no={no}")
+                written = no
+            elif self.log.commit(state.version + 1, [{"kind": kind, "no": no, **entry}]):
+                return no
 
     def batch(self, no: int) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(f"{self.root}/changes/no={no}")
@@ -147,42 +176,65 @@ class PostingTable:
         return self._merged(self._snapshot(state.held), *self._later(state))
 
     def compact(self) -> int:
-        """Fold all changes into a new snapshot, rewriting the buckets they touch; its number is given."""
-        state = self._state()
-        no = max([state.done, *state.batches, *state.deletions])
-        if no == state.done:
-            return no
-        changes, gone = self._later(state)
-        ids = [part.select(self._bucket(F.col("id")).alias("b")) for part in (changes, gone) if part is not None]
-        touched = {r.b for r in reduce(DataFrame.unionAll, ids).distinct().collect()}
-        rows = self._snapshot({b: n for b, n in state.held.items() if b in touched})
-        return self._write(self._merged(rows, changes, gone), no, touched & state.held.keys())
+        """Fold all changes into a new snapshot, rewriting the buckets they touch; its number is given.
+
+        If another writer has made a snapshot in the meantime, that one stays and this one starts again.
+        """
+        while True:
+            state = self._state()
+            if state.last == state.done:
+                return state.done
+            no = self._number_for_snapshot(state, state.last)
+            if no is None:
+                continue
+            changes, gone = self._later(state)
+            ids = [part.select(self._bucket(F.col("id")).alias("b")) for part in (changes, gone) if part is not None]
+            touched = {r.b for r in reduce(DataFrame.unionAll, ids).distinct().collect()}
+            rows = self._snapshot({b: n for b, n in state.held.items() if b in touched})
+            if self._write(self._merged(rows, changes, gone), no, state, touched & state.held.keys()):
+                return no
 
     def load(self, rows: DataFrame, no: int = 0) -> int:
         """Begin an empty table with rows as they are, each id once."""
-        if self.last_number() >= 0:
-            raise ValueError("the table is not empty")
-        return self._write(rows.select(*self.columns()), no)
-
-    def _write(self, rows: DataFrame, no: int, replaced: Collection[int] = ()) -> int:
-        """Write buckets as those of snapshot ``no``; of those ``replaced``, the ones without a row are empty now."""
+        while True:
+            state = self._state()
+            if state.last >= 0:
+                raise ValueError("the table is not empty")
+            given = self._number_for_snapshot(state, no)
+            if given is not None and self._write(rows.select(*self.columns()), given, state):
+                return given
+
+    def _number_for_snapshot(self, state: _State, no: int) -> int | None:
+        """Takes ``no`` for a snapshot, or a free number if it was taken for one before; None if another commit came first."""
+        no = state.free() if no in state.folding else no
+        return no if self.log.commit(state.version + 1, [{"kind": "folding", "no": no}]) else None
+
+    def _write(self, rows: DataFrame, no: int, state: _State, replaced: Collection[int] = ()) -> bool:
+        """Write buckets as those of snapshot ``no``; of those ``replaced``, the ones without a row are empty now.
+        False if another snapshot, or a batch that belongs into this one, was committed since ``state``."""
         merged = rows.withColumn("bucket", self._bucket(F.col("id")))
         folder = f"{self.root}/snapshot/no={no}"
         dealt = merged.hint("rebalance", "bucket").sortWithinPartitions("bucket", "id")
         dealt.write.mode("overwrite").partitionBy("bucket").parquet(folder)
         written = [r.bucket for r in self.spark.read.schema(f"{self.schema}, bucket int").parquet(folder).select("bucket").distinct().collect()]
-        # The snapshot counts once this one write of the log is done.
         emptied = sorted(set(replaced).difference(written))
-        self._log([("bucket", no, b) for b in written] + [("empty", no, b) for b in emptied] + [("snapshot", no, None)])
-        return no
+        entry = [{"kind": "bucket", "no": no, "bucket": b} for b in written] + [{"kind": "empty", "no": no, "bucket": b} for b in emptied]
+        folded = {n for n in (*state.batches, *state.deletions) if n <= no}
+        while True:
+            now = self._state()
+            if now.done != state.done or not folded.issuperset(n for n in (*now.batches, *now.deletions) if n <= no):
+                return False
+            # The snapshot counts from this one commit on.
+            if self.log.commit(now.version + 1, [*entry, {"kind": "snapshot", "no": no}]):
+                return True
 
     def unused(self) -> list[str]:
         """Folders that no later read needs: folded changes, and buckets that a newer snapshot holds.
         They may be deleted once nobody reads an older state."""
-        batches, deletions, done, held = self._state()
-        old = [f"{self.root}/changes/no={n}" for n in batches if n <= done] + [f"{self.root}/deletes/no={n}" for n in deletions if n <= done]
-        copies = self._logged().where("kind = 'bucket'").select("no", "bucket").distinct().collect()
-        return old + [f"{self.root}/snapshot/no={r.no}/bucket={r.bucket}" for r in copies if held.get(r.bucket) != r.no]
+        state = self._state()
+        old = [f"{self.root}/{kind}/no={n}" for kind, numbers in zip(_BATCHES, (state.batches, state.deletions), strict=True) for n in numbers if n <= state.done]
+        copies = self.log.rows().where("kind = 'bucket'").select("no", "bucket").distinct().collect()
+        return old + [f"{self.root}/snapshot/no={r.no}/bucket={r.bucket}" for r in copies if state.held.get(r.bucket) != r.no]
 
     def by_id(self, posting_id: str) -> DataFrame:
         """Reads the id's bucket of the snapshot and what changed since."""

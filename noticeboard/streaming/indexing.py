@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.table import PostingTable
 
 
-def _first_number(spark: SparkSession, table: PostingTable, checkpoint: str) -> int:
-    """The table's number for the first batch of a checkpoint: above all used when it was begun."""
-    place = f"{checkpoint.rstrip('/')}-first"
+def _writer(spark: SparkSession, checkpoint: str) -> str:
+    """The name under which a checkpoint's batches are written; it lives and goes with the checkpoint."""
+    place = f"{checkpoint.rstrip('/')}/writer"
     try:
-        return spark.read.schema("no int").parquet(place).first().no
+        return spark.read.schema("name string").parquet(place).first().name
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-    first = table.last_number() + 1
-    spark.createDataFrame([(first,)], "no int").coalesce(1).write.parquet(place)
-    return first
+    name = uuid.uuid4().hex
+    spark.createDataFrame([(name,)], "name string").coalesce(1).write.parquet(place)
+    return name
 
 
 def index_stream(
@@ -26,10 +28,10 @@ def index_stream(
 ) -> DataFrame:
     """Take all files waiting in ``source``, then fold them into the table's snapshot.
 
-    A failed batch is retried under the same number, so the table gets each file's rows once. A
-    new checkpoint counts its batches from 0; the table's numbers go on above those it has.
+    A failed batch is retried under the same name and number, so the table gets each file's rows once.
+    Several streams, each with a checkpoint of its own, may write one table.
     """
-    first = _first_number(spark, table, checkpoint)
+    writer = _writer(spark, checkpoint)
     stream = (
         spark.readStream.schema(table.schema)
         .option("pathGlobFilter", file_glob)
@@ -38,7 +40,7 @@ def index_stream(
     )
 
     query = (
-        stream.writeStream.foreachBatch(lambda batch, no: table.append(batch, first + no))
+        stream.writeStream.foreachBatch(lambda batch, no: table.append(batch, no, writer))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -1,3 +1,5 @@
+import threading
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 import pytest
@@ -5,6 +7,7 @@ from pyspark.sql import functions as F
 
 from noticeboard.operators import index
 from noticeboard.session import cut_lineage, new_folder, shared_folder, written
+from noticeboard.sources.log import CommitLog
 from noticeboard.sources.table import PostingTable
 from noticeboard.streaming.indexing import index_stream
 
@@ -209,3 +212,57 @@ def test_deleting_writes_the_ids_alone_and_rewrites_only_their_buckets(spark):
     assert before < set(table.current().inputFiles())  # the snapshot as it was, and the ids
     table.compact()
     assert len(before & set(table.current().inputFiles())) == len(before) * 3 // 4
+
+
+def test_of_two_writers_at_once_one_gets_the_number_and_no_row_is_lost(spark):
+    table = PostingTable(spark, new_folder(spark, "table"), SCHEMA, ["seq"], buckets=4)
+    table.append(_df(spark, ("z", "first", False, 1)), 0)
+    start = threading.Barrier(3)
+
+    def write(name):
+        own = PostingTable(spark, table.root, SCHEMA, ["seq"], buckets=4)
+        start.wait()
+        return [own.append(_df(spark, (f"{name}{turn}", name, False, 1)), turn, name) for turn in (1, 2)]
+
+    def fold():
+        own = PostingTable(spark, table.root, SCHEMA, ["seq"], buckets=4)
+        start.wait()
+        return [own.compact() for _ in range(2)]
+
+    with ThreadPoolExecutor(3) as pool:
+        one, two, folds = pool.submit(write, "one"), pool.submit(write, "two"), pool.submit(fold)
+        numbers = one.result() + two.result()
+        assert folds.result() == sorted(folds.result())
+    assert len(set(numbers)) == 4 and min(numbers) >= 1 and one.result() == sorted(one.result())
+    want = {"z": ("first", False)} | {f"{n}{t}": (n, False) for n in ("one", "two") for t in (1, 2)}
+    assert _dict(table.current()) == want
+    assert table.append(_df(spark, ("one1", "again", False, 9)), 1, "one") == one.result()[0]  # a repeat
+    table.compact()
+    assert _dict(table.current()) == want and table.compact() == table.last_number()
+
+
+def test_a_version_of_the_log_is_made_once(spark):
+    log = CommitLog(spark, new_folder(spark, "log"), "no int")
+    assert log.settled().count() == 0
+    with ThreadPoolExecutor(8) as pool:
+        got = list(pool.map(lambda i: log.commit(0, [{"no": i}]), range(8)))
+    assert sum(got) == 1
+    assert [tuple(r) for r in log.settled().collect()] == [(0, got.index(True))]
+    assert log.commit(1, [{"no": 7}, {"no": 8}]) and not log.commit(1, [{"no": 9}])
+    assert sorted(r.no for r in log.settled().where("version = 1").collect()) == [7, 8]
+
+
+def test_a_lost_writer_goes_on_with_its_number_or_gets_a_later_one(spark):
+    table = PostingTable(spark, new_folder(spark, "table"), SCHEMA, ["seq"], buckets=4)
+    taken = lambda version, no, turn: table.log.commit(version, [{"kind": "taken", "no": no, "writer": "w", "turn": turn}])
+    assert taken(0, 3, 0)  # lost before its folder was written
+    with pytest.raises(ValueError, match="another writer"):
+        table.append(_df(spark, ("a", "x", False, 1)), 3)
+    assert table.append(_df(spark, ("a", "x", False, 1)), 0, "w") == 3
+    assert taken(table._state().version + 1, 4, 1)
+    table.append(_df(spark, ("b", "y", False, 1)), 5)
+    assert table.compact() == 5
+    assert table.append(_df(spark, ("b", "late", False, 1)), 1, "w") == 6  # 4 would come too late
+    assert table.log.commit(table._state().version + 1, [{"kind": "folding", "no": 6}])  # a lost compaction
+    assert table.compact() == 7 and _dict(table.current()) == {"a": ("x", False), "b": ("late", False)}
+    assert table.delete(_ids(spark, "a"), 2, "w") == 8 and set(_dict(table.current())) == {"b"}
