@@ -12,7 +12,7 @@ from ..model import POSTING_FIELDS, Limits, SiteSpec, loop_rules, site_config
 from ..operators import clean, limits
 from ..operators.extract import ANY_SITE, extract, list_with_detail, page_bounds
 from ..operators.lookup import Dictionary, with_display_name
-from ..operators.sieve import sieve
+from ..operators.sieve import sifted
 from ..session import written
 
 _LISTING = ["site", "outer_no"]
@@ -123,7 +123,7 @@ def collect_postings(
         rows = written(rows, "listed")
         listed = rows.where("not outdated").withColumn("__listing_url", F.col("url"))
         # Detail pages of addresses that no row lists are sieved out where they are read, before they are parsed.
-        asked = details.where(sieve(listed, "job_url")(F.col("url")))
+        asked = sifted(details, "url", listed, "job_url")
         joined = list_with_detail(listed, extract(asked, specs, "detail"))
         checked = clean.with_fields(joined, specs, "detail", cities, as_of, functions, keep_failed=True)
         # A page that lacks a required field but shows an old date still says that the listing has got that far.

@@ -11,7 +11,7 @@ from ..model import SiteSpec
 from ..operators import clean, index, verify
 from ..operators.extract import extract
 from ..operators.lookup import Dictionary
-from ..operators.sieve import sieve
+from ..operators.sieve import sifted
 from ..session import cut_lineage
 
 
@@ -24,8 +24,7 @@ def alive_urls(pages: DataFrame, specs: list[SiteSpec], cities: Dictionary | Non
     """
 
     def among(candidates: DataFrame) -> DataFrame:
-        wanted = sieve(candidates, "job_url")
-        asked = pages.where(wanted(F.col("url")))
+        asked = sifted(pages, "url", candidates, "job_url")
         return clean.with_fields(extract(asked, specs, "detail"), specs, "detail", cities, as_of).select("url")
 
     return among

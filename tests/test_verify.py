@@ -4,7 +4,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from noticeboard.operators import verify
+from noticeboard.operators import sieve, verify
 
 AS_OF = datetime(2024, 1, 31, 12)
 SCHEMA = "id string, job_company string, job_url string, verify_single boolean, job_expire_date timestamp_ntz"
@@ -69,11 +69,24 @@ def test_route_reports_unknown_companies(spark):
 
 
 def test_a_sieve_lets_all_wanted_values_pass_and_few_others(spark):
-    from noticeboard.operators.sieve import sieve
-
     keys = spark.range(500).select(F.concat(F.lit("http://a/"), "id").alias("k")).unionAll(spark.createDataFrame([(None,)], "k string"))
-    passes = sieve(keys, "k")
-    other = spark.range(20_000).select(F.concat(F.lit("http://a/"), "id").alias("k")).where(passes(F.col("k")))
-    assert other.where(F.regexp_extract("k", r"(\d+)$", 1).cast("int") < 500).count() == 500
-    assert other.count() < 600
-    assert spark.range(9).select(F.col("id").cast("string").alias("k")).where(sieve(keys.limit(0), "k")(F.col("k"))).count() == 0
+    rows = spark.range(20_000).select(F.concat(F.lit("http://a/"), "id").alias("k")).unionAll(keys.where("k IS NULL"))
+    passed = sieve.sifted(rows, "k", keys, "k")
+    assert passed.columns == ["k"]
+    assert passed.where(F.regexp_extract("k", r"(\d+)$", 1).cast("int") < 500).count() == 500
+    assert passed.count() < 600
+    assert sieve.sifted(rows, "k", keys.limit(0), "k").count() == 0
+
+
+def test_a_sieve_grows_with_the_keys_and_moves_no_row(spark):
+    numbers = spark.range(400_000).select(F.col("id").cast("string").alias("k"))
+    keys = numbers.where(F.col("k").cast("int") < 200_000)
+    passed = sieve.sifted(numbers, "k", keys, "k")
+    assert 200_000 <= passed.count() < 202_000  # under 1 % of the others
+    plan = passed._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    # Ten million keys: the same bits a key, in some 20 MB.
+    assert sieve.blocks_for(200_000) > 50 and sieve.blocks_for(10**7) * 4096 < 21_000_000
+    assert sieve.blocks_for(10**12) == sieve.MOST_BLOCKS
+    few = sieve.filter_blocks(keys, "k", 2)  # far more keys than it has room for: all still pass
+    assert [len(r.words) for r in few.collect()] == [512, 512]
