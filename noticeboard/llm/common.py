@@ -17,6 +17,8 @@ from ..session import cut_lineage
 
 #: Rows that are held as Python values at once.
 SLICE = 256
+#: Edges that a task contracts in the second pass, about.
+PACKED = 1 << 17
 
 
 def per_rows(df: DataFrame, function: Callable[[list[dict]], Iterable[tuple]], schema: str) -> DataFrame:
@@ -119,11 +121,13 @@ def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges ``u``, ``v`` (long): ``node``, ``component`` (smallest node reached).
 
     Nodes that are the smallest of their component are not listed. Each task first contracts its own
-    edges, then large-star and small-star rounds run until nothing changes; every round is
+    edges; what is left is packed into tasks of ``PACKED`` edges and contracted again, so that components
+    that fit are whole. Then large-star and small-star rounds run until nothing changes; every round is
     checkpointed, so its lineage stays short and a lost executor costs a re-read.
     """
     edges = edges.select(F.col("u").cast("long"), F.col("v").cast("long")).filter("u != v")
     edges = cut_lineage(edges.mapInArrow(_forest, "u long, v long"))
+    edges = cut_lineage(edges.coalesce(-(-edges.count() // PACKED) or 1).mapInArrow(_forest, "u long, v long"))
     state = None
     while True:
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
