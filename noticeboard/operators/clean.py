@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import datetime
 from functools import reduce
 
@@ -29,6 +29,9 @@ from .lookup import Dictionary, tokenize_places
 
 _ALL = ("insertBefore", "appendAfter", "regex", "join", "executeScript", *programme.FORMATTING)
 
+#: Rows whose elements a user's function gets at once.
+_SLICE = 256
+
 UserFunction = Callable[[pd.Series], pd.Series]
 
 
@@ -52,11 +55,10 @@ def affix(text: Column, before: str = "", after: str = "") -> Column:
 
 
 def user_function(function: UserFunction) -> Callable[[Column], Column]:
-    """A user's function over every element of an array column, one Arrow batch at a time: the
-    arrays are laid end to end, and their ends put back afterwards."""
+    """A user's function over every element of an array column, a slice of an Arrow batch at a time: the
+    arrays are laid end to end, and their ends put back afterwards. No more than a slice is held as Python values."""
 
-    @F.arrow_udf("array<string>")
-    def apply(values: pa.Array) -> pa.Array:
+    def changed(values: pa.Array) -> pa.Array:
         flat = values.flatten().to_pandas()
         present = flat[flat.notna()].reset_index(drop=True)
         done = flat.astype(object)
@@ -67,6 +69,12 @@ def user_function(function: UserFunction) -> Callable[[Column], Column]:
         lists = pa.ListArray.from_arrays(ends, pa.array(done, pa.string(), from_pandas=True))
         return pc.if_else(values.is_valid(), lists, pa.nulls(len(values), lists.type))
 
+    @F.arrow_udf("array<string>")
+    def apply(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for values in batches:
+            for at in range(0, len(values), _SLICE):
+                yield changed(values.slice(at, _SLICE))
+
     return apply
 
 

@@ -100,3 +100,14 @@ def test_user_functions_see_their_own_rows_only(spark):
     assert sorted(str(r.job_title) for r in got) == ["None", "X<BR/>Y", "other"]
     with pytest.raises(ValueError):
         clean.with_fields(df, specs, "list", None, AS_OF, {})
+
+
+def test_user_functions_get_a_slice_of_the_rows_at_once(spark):
+    def counted(values):
+        return values + f" of {len(values)}"
+
+    rows = [(i, [f"{i}", None, f"{i}b"] if i % 3 else None) for i in range(1500)]
+    df = spark.createDataFrame(rows, "i int, v array<string>").coalesce(1)
+    got = {r.i: r.v for r in df.withColumn("v", clean.user_function(counted)(df["v"])).collect()}
+    assert {i: v and [x and x.split(" ")[0] for x in v] for i, v in got.items()} == dict(rows)
+    assert max(int(x.split(" ")[-1]) for v in got.values() if v for x in v if x) <= 2 * 256
