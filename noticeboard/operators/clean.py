@@ -94,7 +94,7 @@ def _fields_of(df: DataFrame, everything: list[dict], cities: Dictionary | None,
         if field in TEXT_FIELDS:
             value = text_functions.strip_nonchar(value)
         if field in DATE_FIELDS:
-            df = dates.with_dates(df, {new: value})
+            df = programme.worked_out(df, new, dates.parse_date(value))
         else:
             df = df.withColumn(new, value)
         if field == LOCATION_FIELD and cities is not None and any(e["plain"] for e in everything if e["field"] == field):

@@ -117,6 +117,13 @@ def _text_step(value: Column, step: Column, kinds: set[str]) -> Column:
     return value if chosen is None else chosen.otherwise(value)
 
 
+def worked_out(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is worked out once per row. A filter or a projection above it reads the result: Spark
+    puts no copies of the expression there, as it does with a column that is only selected."""
+    rest = [c for c in df.columns if c != name]
+    return df.select(*rest, F.explode_outer(F.array(value)).alias(name))
+
+
 def _changed(entries: Column, values: Callable[..., Column]) -> Column:
     return F.transform(entries, lambda e, i: e.withField("values", values(e, i)))
 
@@ -150,27 +157,51 @@ def _table_steps(cities: Dictionary | None, functions: dict, call: Callable) ->
     return of
 
 
+def _text_pass(entries: Column, everything: list[dict], n: int, tables: list[str]) -> Column:
+    """Step ``n`` of all entries, where it is one on texts."""
+    kinds = {e["steps"][n]["kind"] for e in everything if len(e["steps"]) > n}.difference(tables)
+    text = lambda e, i: F.when(
+        F.size(e["steps"]) > n, F.transform(e["values"], lambda v: _text_step(v, e["steps"][n], kinds))
+    ).otherwise(e["values"])
+    return _changed(entries, text) if kinds else entries
+
+
+def _longest(everything: list[dict]) -> int:
+    return max((len(e["steps"]) for e in everything), default=0)
+
+
 def run(df: DataFrame, everything: list[dict], cities: Dictionary | None, functions: dict, call: Callable) -> DataFrame:
     """Put the values of ``raw`` (field to elements) through ``__rules`` and add ``__said``, field to its text: elements
-    joined, null where an element could not be read. ``everything`` lists all entries that may occur."""
-    first = lambda e: e.withField("values", F.try_element_at("raw", e["field"]))
-    read = F.filter("__rules", lambda e: e["constant"].isNull())
-    df = df.withColumn("__entries", F.transform(read, first))
+    joined, null where an element could not be read. ``everything`` lists all entries that may occur.
+
+    Entries with table steps go first and by themselves: lookups read their values once more and carry them
+    through joins, the others are worked out above those.
+    """
     table_step = _table_steps(cities, functions, call)
-    for n in range(max((len(e["steps"]) for e in everything), default=0)):
-        kinds = {e["steps"][n]["kind"] for e in everything if len(e["steps"]) > n}
-        tables = sorted(k for k in kinds if table_step(k))
-        if kinds.difference(tables):
-            text = lambda e, i, n=n, kinds=kinds: F.when(
-                F.size(e["steps"]) > n, F.transform(e["values"], lambda v: _text_step(v, e["steps"][n], kinds))
-            ).otherwise(e["values"])
-            df = df.withColumn("__entries", _changed(F.col("__entries"), text))
-        for kind in tables:
-            df = _table_step(df, n, kind, table_step(kind))
+    tables = sorted({s["kind"] for e in everything for s in e["steps"] if table_step(s["kind"])})
+    by_table = [e for e in everything if any(s["kind"] in tables for s in e["steps"])]
+    rest = [e for e in everything if e not in by_table]
+    looked_up = lambda e: F.exists(e["steps"], lambda s: s["kind"].isin(tables))
+    first = lambda e: e.withField("values", F.try_element_at("raw", e["field"]))
+    read = lambda wanted: F.transform(F.filter("__rules", lambda e: e["constant"].isNull() & wanted(e)), first)
     joined = lambda e: F.when(
         ~F.exists(e["values"], lambda v: v.isNull()), F.call_function("array_join", F.filter(e["values"], lambda v: v != ""), e["separator"])
     )
-    return df.withColumn("__said", F.map_from_entries(F.transform("__entries", lambda e: F.struct(e["field"], joined(e))))).drop("__entries")
+    said = lambda entries: F.transform(entries, lambda e: F.struct(e["field"].alias("field"), joined(e).alias("text")))
+
+    if by_table:
+        df = df.withColumn("__entries", read(looked_up))
+        for n in range(_longest(by_table)):
+            df = df.withColumn("__entries", _text_pass(F.col("__entries"), by_table, n, tables))
+            now = sorted({e["steps"][n]["kind"] for e in by_table if len(e["steps"]) > n}.intersection(tables))
+            df = worked_out(df, "__entries", F.col("__entries")) if now else df
+            for kind in now:
+                df = _table_step(df, n, kind, table_step(kind))
+    entries = read((lambda e: ~looked_up(e)) if tables else (lambda e: F.lit(True)))
+    for n in range(_longest(rest)):
+        entries = _text_pass(entries, rest, n, tables)
+    whole = F.concat(said("__entries"), said(entries)) if by_table else said(entries)
+    return worked_out(df, "__said", F.map_from_entries(whole)).drop("__entries")
 
 
 def rule_of(field: str) -> Column:

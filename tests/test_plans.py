@@ -78,3 +78,9 @@ def test_plan_of_rules_does_not_grow_with_sites(spark):
         df = clean.with_fields(rows, specs, "list", None, datetime(2024, 1, 31))
         sizes.append(len(df._jdf.queryExecution().optimizedPlan().treeString()))
     assert abs(sizes[0] - sizes[1]) < 0.01 * sizes[0]
+
+
+def test_rules_are_worked_out_once_and_not_again_in_filters(spark):
+    plan = catalog.QUERIES["many_sites"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("map_from_entries(") == 1
+    assert max(len(line) for line in plan.split("\n") if "Filter (" in line) < 5000
