@@ -28,7 +28,7 @@ _ARROW = pa.schema(
 )
 # Pages are taken as Python values a few at a time, and rows leave in batches of about so many characters.
 _PAGES_AT_ONCE = 64
-_BATCH_CHARACTERS = 8 << 20
+_BATCH_CHARACTERS = 1 << 20
 # Taken as Columns afterwards, not from the page.
 _CONSTANT_HOW = ("url", "int")
 # Attributes that a browser gives as absolute addresses.
@@ -113,6 +113,29 @@ def _size(raw: dict[str, list[str]]) -> int:
     return 100 + sum(len(v) for values in raw.values() for v in values)
 
 
+def _rows_of(batches: Iterator[pa.RecordBatch], by_site: dict[str, SiteSpec], level: str, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """The rows of a task's pages; what it holds as Python values depends on neither its pages nor their batches."""
+    versioned = "version" in schema.names
+    rows, size = [], 0
+    for batch in batches:
+        for start in range(0, batch.num_rows, _PAGES_AT_ONCE):
+            part = batch.slice(start, _PAGES_AT_ONCE)
+            for site, url, outer_no, page_no, html, *version in zip(*(column.to_pylist() for column in part.columns)):
+                spec = by_site.get(site, by_site.get(ANY_SITE))
+                if spec is None:
+                    continue
+                found = _page_rows(spec, level, url, html)
+                if versioned:  # a page without rows still counts as the newest
+                    found = chain(found, [(0, None, None, None, {})])
+                for n, pos, nodes, count, raw in found:
+                    rows.append((site, url, outer_no, page_no, n, pos, nodes, count, raw, *version))
+                    size += _size(raw)
+                    if size >= _BATCH_CHARACTERS:
+                        yield _batch(rows, schema)
+                        rows, size = [], 0
+    yield _batch(rows, schema)
+
+
 def extract(pages: DataFrame, specs: list[SiteSpec], level: str) -> DataFrame:
     """One row per list item (``level='list'``) or per page (``level='detail'``).
 
@@ -128,24 +151,7 @@ def extract(pages: DataFrame, specs: list[SiteSpec], level: str) -> DataFrame:
     schema = _ARROW.append(pa.field("version", pa.string())) if versioned else _ARROW
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, size = [], 0
-        for batch in batches:
-            for start in range(0, batch.num_rows, _PAGES_AT_ONCE):
-                part = batch.slice(start, _PAGES_AT_ONCE)
-                for site, url, outer_no, page_no, html, *version in zip(*(column.to_pylist() for column in part.columns)):
-                    spec = by_site.get(site, by_site.get(ANY_SITE))
-                    if spec is None:
-                        continue
-                    found = _page_rows(spec, level, url, html)
-                    if versioned:  # a page without rows still counts as the newest
-                        found = chain(found, [(0, None, None, None, {})])
-                    for n, pos, nodes, count, raw in found:
-                        rows.append((site, url, outer_no, page_no, n, pos, nodes, count, raw, *version))
-                        size += _size(raw)
-                        if size >= _BATCH_CHARACTERS:
-                            yield _batch(rows, schema)
-                            rows, size = [], 0
-        yield _batch(rows, schema)
+        return _rows_of(batches, by_site, level, schema)
 
     site = F.coalesce("site", ids.host(F.col("url")), F.lit(""))
     if ANY_SITE not in by_site:

@@ -178,3 +178,18 @@ def test_page_bounds(spark):
     bounds = extract.page_bounds(F.col("n"), F.col("c"), F.col("s"), F.lit(1), F.lit(-1))
     got = [tuple(r.b) for r in rows.select(bounds.alias("b")).collect()]
     assert got == [(True, 1, 4), (True, 0, 1), (True, 1, 2), (False, 1, None), (True, 1, 0), (True, 0, 1)]
+
+
+def test_rows_leave_a_task_in_small_batches():
+    import pyarrow as pa
+
+    from noticeboard.operators import extract as operator
+
+    n = 400
+    pages = [f"<ul><li><p>{k} {'x' * 9_000}</p></li><li><p>{k}b {'y' * 9_000}</p></li></ul>" for k in range(n)]
+    columns = {"site": ["s"] * n, "url": [f"u{k}" for k in range(n)], "outer_no": [0] * n, "page_no": list(range(n)), "html": pages}
+    spec = SiteSpec("*", items=Loop("//li"), list_rules=(FieldRule("job_title", "p"),))
+    out = list(operator._rows_of(iter([pa.RecordBatch.from_pydict(columns)]), {"*": spec}, "list", operator._ARROW))
+    assert max(batch.nbytes for batch in out) < 2 << 20
+    got = [(r["page_no"], r["item_pos"], dict(r["raw"])["job_title"][0].split()[0]) for batch in out for r in batch.to_pylist()]
+    assert got == [(k, i, f"{k}{'b' * i}") for k in range(n) for i in range(2)]
