@@ -5,8 +5,9 @@ A query visits cells by the sum of its two squared distances, smallest first, ta
 walks the grid of pairs, until the visited cells hold the wanted share of all vectors. The vectors
 of the visited cells are ranked by their exact cosine in double precision.
 
-The index lies in shards of neighbouring cells. Queries of neighbouring cells travel in blocks with
-the cells each of them visits; a block is joined only with the shards that one of its queries visits.
+The index lies in shards of neighbouring cells, one per partition. A query goes once to each shard of
+which it visits a cell, with a bit for each of that shard's cells. A task holds the vectors of its shard
+and streams through the queries that come after them, those of neighbouring cells side by side.
 """
 
 from __future__ import annotations
@@ -31,8 +32,12 @@ SAMPLE = 20_000
 CENTROIDS = 64
 #: Share of all vectors that a query looks at. Found by measuring recall (README).
 SHARE = 0.5
-#: Vectors per shard and queries per block, about.
-SHARD, QUERIES = 2048, 256
+#: Shards, about: fewer where one would hold under ``LEAST`` vectors, more where one would hold over ``MOST`` numbers.
+SHARDS, LEAST, MOST = 64, 2048, 1 << 23
+#: Vectors and queries that are multiplied at once.
+PIECE, QUERIES = 2048, 256
+#: Far above the rounding error of a cosine in double precision.
+SLACK = 1e-9
 
 
 @dataclass(frozen=True)
@@ -95,20 +100,90 @@ def walk(left: np.ndarray, right: np.ndarray, counts: np.ndarray, wanted: int) -
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """``vec_id`` and ``embedding`` (doubles): the vectors that take part. Null, empty, zero and non-finite ones do
-    not, nor do those whose length is not the most frequent one."""
+    """``vec_id`` and ``embedding`` (floats stay floats, others become doubles): the vectors that take part. Null, empty,
+    zero and non-finite ones do not, nor do those whose length is not the most frequent one."""
+    floats = vectors.schema["embedding"].dataType.simpleString() == "array<float>"
     x = F.col("embedding").cast("array<double>")
     size = F.sqrt(F.aggregate(x, F.lit(0.0), lambda s, v: s + v * v))
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
-    kept = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("embedding")).filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull())
+    own = F.col("embedding") if floats else x
+    kept = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), own.alias("embedding")).filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull())
     return kept.filter(~F.coalesce(bad, F.lit(True)) & (F.size("embedding") > 0) & (size > 0))
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
+def _rows(column: pa.Array) -> np.ndarray:
+    """As they are stored."""
     n = len(column)
     return column.flatten().to_numpy(zero_copy_only=False).reshape(n, -1) if n else np.zeros((0, 0))
 
 
+def _matrix(column: pa.Array) -> np.ndarray:
+    return _rows(column).astype(np.float64)
+
+
+def shards(counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last shard of each cell, both ascending; large cells span several shards of about ``size`` vectors."""
+    starts = np.concatenate(([0], np.cumsum(counts)))
+    first, last = starts[:-1] // size, (starts[1:] - 1).clip(0) // size
+    return first, np.maximum(first, last)
+
+
+@dataclass(frozen=True)
+class Piece:
+    """Vectors of a shard; ``cell`` counts from the shard's first cell."""
+
+    vec: np.ndarray
+    cell: np.ndarray
+    x: np.ndarray
+    scale: np.ndarray
+
+
+def pieces(vec: np.ndarray, cell: np.ndarray, x: np.ndarray) -> Iterator[Piece]:
+    for at in range(0, len(vec), PIECE):
+        part = x[at : at + PIECE]
+        exact = part.astype(np.float64)
+        yield Piece(vec[at : at + PIECE], cell[at : at + PIECE], part, 1 / np.sqrt((exact * exact).sum(1)))
+
+
+def nearest(held: list[Piece], ids: np.ndarray, q: np.ndarray, seen: np.ndarray, k: int) -> Iterator[tuple[int, int, float]]:
+    """The best ``k`` of a shard for each query, with exact cosines; ``seen`` says which cells a query visits.
+
+    Of each piece the best 2 ``k`` + 2 by rounded cosine, as far as they reach the best ``k`` so far, are candidates.
+    """
+    length, some, m = np.sqrt((q * q).sum(1))[:, None], seen.any(0), 2 * k + 2
+    found: list[list[tuple[float, int, int]]] = [[] for _ in ids]  # rounded cosine, piece, place in it
+    least = np.full(len(ids), -np.inf)
+    for number, piece in enumerate(held):
+        at = np.flatnonzero(some[piece.cell])
+        if not len(at):
+            continue
+        vec, cell = piece.vec[at], piece.cell[at]
+        near = q @ piece.x[at].astype(np.float64).T
+        near *= piece.scale[at]
+        near /= length
+        bar = least.copy()
+        fresh = np.flatnonzero(np.isneginf(least))
+        if len(fresh) and len(at) > m:
+            free = seen[fresh][:, cell] & (ids[fresh, None] != vec) & (near[fresh] > -np.inf)
+            bar[fresh] = np.partition(np.where(free, near[fresh], -np.inf), -m, axis=1)[:, -m]
+        row, column = np.nonzero(near >= bar[:, None])
+        taken = seen[row, cell[column]] & (ids[row] != vec[column])
+        row, column = row[taken], column[taken]
+        value = near[row, column]
+        order = np.lexsort((vec[column], -value, row))
+        row, column, value = row[order], column[order], value[order]
+        begins = np.flatnonzero(np.diff(row, prepend=-1))
+        for a, b in zip(begins.tolist(), [*begins[1:].tolist(), len(row)]):
+            r, b = int(row[a]), min(b, a + m)
+            mine = found[r] + list(zip(value[a:b].tolist(), [number] * (b - a), at[column[a:b]].tolist()))
+            if len(mine) >= k:
+                least[r] = sorted((v for v, _, _ in mine), reverse=True)[k - 1] - SLACK
+            found[r] = [x for x in mine if x[0] >= least[r]]
+    for r, query in enumerate(ids.tolist()):
+        exact = [(-_cosine(q[r], held[number].x[at].astype(np.float64)), int(held[number].vec[at])) for _, number, at in found[r]]
+        yield from ((query, v, -s) for s, v in sorted(exact)[:k])
+
+
 def fit(vectors: DataFrame, total: int) -> tuple[np.ndarray, np.ndarray] | None:
     """Centroids of both halves from a sample of about ``SAMPLE`` vectors, those of the smallest hashes of their ids."""
     drawn = vectors.filter(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, SAMPLE / max(1, total))))
@@ -133,13 +208,16 @@ def search(vectors: DataFrame, every: int = 50, k: int = 5, share: float = SHARE
     spark = vectors.sparkSession
     out = "query_id long, rank int, vec_id long, score double"
     good = written(usable(vectors), "vectors")
-    sizes = good.groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
+    wanted = F.col("vec_id") % every == 0
+    sizes = good.groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n"), F.count_if(wanted).alias("asked")).orderBy(F.desc("n"), "d").first()
     if sizes is None:
         return spark.createDataFrame([], out)
     good, total = good.filter(F.size("embedding") == sizes.d), sizes.n
     left, right = fit(good, total)
     books = spark.sparkContext.broadcast((left, right))
     cells = len(left) * len(right)
+    kind = good.schema["embedding"].dataType.simpleString()
+    placed_schema = f"vec_id long, embedding {kind}, cell int"
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, right = books.value
@@ -153,15 +231,14 @@ def search(vectors: DataFrame, every: int = 50, k: int = 5, share: float = SHARE
     copy = F.row_number().over(W.partitionBy("embedding").orderBy("vec_id"))
     # The limit on the rank reaches the map side, so equal vectors don't meet in one task.
     distinct = good.distinct().withColumn("copy", copy).filter(F.col("copy") <= k + 1).drop("copy")
-    placed = written(distinct.mapInArrow(assign, "vec_id long, embedding array<double>, cell int"), "cells")
+    placed = written(distinct.mapInArrow(assign, placed_schema), "cells")
     counts = np.zeros(cells, np.int64)
     for r in placed.groupBy("cell").agg(F.count("*").alias("n")).toLocalIterator():  # a row per cell, CENTROIDS squared at most
         counts[r.cell] = r.n
-    starts = np.concatenate(([0], np.cumsum(counts)))
-    first, last = starts[:-1] // SHARD, (starts[1:] - 1).clip(0) // SHARD
-    last = np.maximum(first, last)
+    held = int(counts.sum())
+    first, last = shards(counts, max(1, min(MOST // sizes.d, max(LEAST, -(-held // SHARDS)))))
     plan = spark.sparkContext.broadcast((Codebook(left, right, counts), first, last))
-    wanted = math.ceil(share * int(counts.sum()))
+    reach = math.ceil(share * held)
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The shard of each vector: large cells span several."""
@@ -172,61 +249,64 @@ def search(vectors: DataFrame, every: int = 50, k: int = 5, share: float = SHARE
             number = first[cell] + mixed % (last[cell] - first[cell] + 1)
             yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("embedding"), batch.column("cell"), pa.array(number.astype(np.int32))], ["vec_id", "embedding", "cell", "shard"])
 
-    packed = placed.mapInArrow(shard, "vec_id long, embedding array<double>, cell int, shard int").groupBy("shard").agg(F.collect_list(F.struct("vec_id", "cell", "embedding")).alias("rows"))
-
-    visit_schema, found_schema = "shard int, ids array<long>, queries binary, cells binary", "query_id long, vec_id long, score double"
-    visit_arrow, found_arrow = arrow_schema(visit_schema), arrow_schema(found_schema)
+    visit_schema, found_schema = f"{placed_schema}, shard int, visited binary", "query_id long, vec_id long, score double"
+    found_arrow = arrow_schema(found_schema)
 
     def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Blocks of queries with the cells each one visits, once per shard that any of them visits."""
+        """Each query once per shard of which it visits a cell, with bits for the shard's cells."""
         book, first, last = plan.value
+        weights = book.counts.tolist()
         for batch in batches:
             for at in range(0, batch.num_rows, QUERIES):
                 part = batch.slice(at, QUERIES)
-                x = _matrix(part.column("embedding"))
-                dl, dr = book.distances(_unit(x))
-                seen = np.zeros((len(x), len(book.counts)), bool)
-                for i in range(len(x)):
-                    seen[i, walk(dl[i], dr[i], book.counts, wanted)] = True
-                touched = np.zeros(int(last.max()) + 2, np.int64)
-                visited = np.flatnonzero(seen.any(0))
-                np.add.at(touched, first[visited], 1)
-                np.add.at(touched, last[visited] + 1, -1)
-                ids, queries, packed_cells = part.column("vec_id").to_pylist(), x.tobytes(), np.packbits(seen, axis=1).tobytes()
-                for number in np.flatnonzero(np.cumsum(touched) > 0).tolist():
-                    yield record_batch([(number, ids, queries, packed_cells)], visit_arrow)
-
-    asked = good.filter(F.col("vec_id") % every == 0).distinct()
-    near = asked.mapInArrow(assign, "vec_id long, embedding array<double>, cell int")
-    blocks = near.repartitionByRange("cell", "vec_id").sortWithinPartitions("cell").mapInArrow(visits, visit_schema)
+                dl, dr = book.distances(_unit(_matrix(part.column("embedding"))))
+                seen = np.zeros((part.num_rows, len(weights)), bool)
+                for i in range(len(seen)):
+                    seen[i, walk(dl[i], dr[i], weights, reach)] = True
+                for number in range(int(last.max()) + 1):
+                    bits = seen[:, np.searchsorted(last, number) : np.searchsorted(first, number, "right")]
+                    rows = np.flatnonzero(bits.any(1))
+                    if len(rows):
+                        visited = pa.array([x.tobytes() for x in np.packbits(bits[rows], axis=1)], pa.binary())
+                        there = part.take(pa.array(rows))
+                        yield pa.RecordBatch.from_arrays([*(there.column(c) for c in ("vec_id", "embedding", "cell")), pa.array(np.full(len(rows), number, np.int32)), visited], ["vec_id", "embedding", "cell", "shard", "visited"])
+
+    asked = good.filter(wanted).distinct().mapInArrow(assign, placed_schema)
+    tasks = max(1, -(-sizes.asked // (2 * QUERIES)))
+    queries = asked.repartitionByRange(tasks, "cell", "vec_id").sortWithinPartitions("cell").mapInArrow(visits, visit_schema)
+    index = placed.mapInArrow(shard, f"{placed_schema}, shard int").withColumn("visited", F.lit(None).cast("binary"))
 
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The best of one shard for each query of one block."""
+        """The best of a shard for each query that visits it; a shard's vectors come before its queries."""
+        _, first, last = plan.value
+        current, held = -1, []
         for batch in batches:
-            for i in range(batch.num_rows):
-                ids = np.array(batch.column("ids")[i].as_py(), np.int64)
-                q = np.frombuffer(batch.column("queries")[i].as_py(), np.float64).reshape(len(ids), -1)
-                bits = np.frombuffer(batch.column("cells")[i].as_py(), np.uint8).reshape(len(ids), -1)
-                rows = batch.column("rows")[i].values
-                found = pa.StructArray.from_arrays([rows.field(f) for f in range(3)], ["vec_id", "cell", "embedding"])
-                vec, cell, x = found.field("vec_id").to_numpy(), found.field("cell").to_numpy(), _matrix(found.field("embedding"))
-                seen = (bits[:, cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1
-                near = (q @ x.T) / np.sqrt((x * x).sum(1)) / np.sqrt((q * q).sum(1))[:, None]
-                near[(seen == 0) | (ids[:, None] == vec)] = -2
-                m = min(2 * k + 2, len(vec))
-                top = np.argpartition(-near, m - 1, axis=1)[:, :m] if m < len(vec) else np.tile(np.arange(m), (len(ids), 1))
-                out = []
-                for r, query in enumerate(ids.tolist()):
-                    exact = [(-_cosine(q[r], x[c]), int(vec[c])) for c in top[r] if near[r, c] > -2]
-                    out += [(query, v, -s) for s, v in sorted(exact)[:k]]
-                if out:
-                    yield record_batch(out, found_arrow)
-
-    best = blocks.join(packed, "shard").mapInArrow(rank, found_schema)
+            number, asks = batch.column("shard").to_numpy(), batch.column("visited").is_valid().to_numpy(zero_copy_only=False)
+            cuts = (np.flatnonzero(np.diff(number * 2 + asks)) + 1).tolist()
+            for a, b in zip([0, *cuts], [*cuts, len(number)]):
+                if a == b:
+                    continue
+                if number[a] != current:
+                    current, held = int(number[a]), []
+                begin, end = np.searchsorted(last, current), np.searchsorted(first, current, "right")
+                if not asks[a]:
+                    part = batch.slice(a, b - a)
+                    held += pieces(part.column("vec_id").to_numpy(), part.column("cell").to_numpy() - begin, _rows(part.column("embedding")))
+                    continue
+                for at in range(a, b, QUERIES):
+                    part = batch.slice(at, min(QUERIES, b - at))
+                    bits = np.frombuffer(b"".join(part.column("visited").to_pylist()), np.uint8).reshape(part.num_rows, -1)
+                    seen = np.unpackbits(bits, axis=1, count=int(end - begin)).astype(bool)
+                    found = list(nearest(held, part.column("vec_id").to_numpy(), _matrix(part.column("embedding")), seen, k))
+                    if found:
+                        yield record_batch(found, found_arrow)
+
+    dealt = index.unionByName(queries).repartitionById(int(last.max()) + 1, F.col("shard"))
+    best = dealt.sortWithinPartitions("shard", F.col("visited").isNotNull(), "cell").mapInArrow(rank, found_schema)
     order = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", order).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 def _cosine(a: np.ndarray, b: np.ndarray) -> float:
     """Summed exactly, so equal vectors score equally wherever they stand."""
-    return math.fsum(a * b) / math.sqrt(math.fsum(a * a) * math.fsum(b * b))
+    return math.fsum((a * b).tolist()) / math.sqrt(math.fsum((a * a).tolist()) * math.fsum((b * b).tolist()))

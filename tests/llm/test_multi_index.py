@@ -79,6 +79,55 @@ def test_one_hot_vector(spark):
     assert [i for i, _ in got[50]] == [1, 2, 4, 5, 7]
 
 
+def test_nothing_that_grows_is_broadcast(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(600)]
+    found = multi_index.search(_vectors(spark, rows), share=1.0)
+    assert _got(found) == _brute(rows)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_many_shards(spark, monkeypatch, kind):
+    monkeypatch.setattr(multi_index, "LEAST", 16)
+    rng = np.random.default_rng(11)
+    rows = [(i, rng.normal(size=6).astype(np.float32).tolist()) for i in range(500)]
+    rows += [(500 + i, rows[i % 50][1]) for i in range(100)]  # ties, queries among them
+    table = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+    assert _got(multi_index.search(table, every=7, share=1.0)) == _brute(rows, every=7)
+    assert multi_index.search(table, every=7).groupBy("query_id").count().filter("count != 5").count() == 0
+
+
+def test_shards_are_bounded_and_in_order():
+    rng = np.random.default_rng(13)
+    for size in (1, 7, 50):
+        counts = rng.integers(0, 30, 80) * rng.integers(0, 2, 80)
+        counts[40] = 333
+        first, last = multi_index.shards(counts, size)
+        assert (np.diff(first) >= 0).all() and (np.diff(last) >= 0).all() and (first <= last).all()
+        held = np.zeros(last.max() + 1)
+        for c, (a, b) in enumerate(zip(first, last)):
+            held[a : b + 1] += counts[c] / (b - a + 1)
+        assert held.sum() == pytest.approx(counts.sum()) and held.max() <= 2 * size
+
+
+def test_the_nearest_of_pieces(monkeypatch):
+    rng = np.random.default_rng(17)
+    for piece in (1, 5, 64, 1000):
+        monkeypatch.setattr(multi_index, "PIECE", piece)
+        x, cell = rng.normal(size=(200, 5)).astype(np.float32), np.sort(rng.integers(0, 9, 200))
+        x[100:140] = x[60:100] * 2  # the same direction
+        vec, seen = rng.permutation(200), rng.random((6, 9)) < 0.6
+        seen[5] = False
+        ids, q = np.array([*vec[:3], 900, 901, 902]), np.concatenate((x[:3], rng.normal(size=(3, 5)))).astype(float)
+        got = list(multi_index.nearest(list(multi_index.pieces(vec, cell, x)), ids, q, seen, 4))
+        want = []
+        for r, query in enumerate(ids.tolist()):
+            scored = [(-multi_index._cosine(q[r], x[i].astype(float)), int(vec[i])) for i in range(200) if seen[r, cell[i]] and vec[i] != query]
+            want += [(query, v, -s) for s, v in sorted(scored)[:4]]
+        assert got == want
+
+
 @pytest.mark.parametrize("rows", [[], [(0, [1.0])], [(1, [1.0]), (2, [2.0])]])
 def test_tiny_tables(spark, rows):
     assert _got(multi_index.search(_vectors(spark, rows))) == {}
