@@ -33,7 +33,7 @@ CENTROIDS = 64
 #: Share of all vectors that a query looks at. Found by measuring recall (README).
 SHARE = 0.5
 #: Shards, about: fewer where one would hold under ``LEAST`` vectors, more where one would hold over ``MOST`` numbers.
-SHARDS, LEAST, MOST = 64, 2048, 1 << 23
+SHARDS, LEAST, MOST = 48, 2048, 1 << 24
 #: Vectors and queries that are multiplied at once.
 PIECE, QUERIES = 2048, 256
 #: Far above the rounding error of a cosine in double precision.
@@ -153,20 +153,24 @@ def nearest(held: list[Piece], ids: np.ndarray, q: np.ndarray, seen: np.ndarray,
     length, some, m = np.sqrt((q * q).sum(1))[:, None], seen.any(0), 2 * k + 2
     found: list[list[tuple[float, int, int]]] = [[] for _ in ids]  # rounded cosine, piece, place in it
     least = np.full(len(ids), -np.inf)
+    unit, short = q / length, bool(np.isfinite(length).all())
     for number, piece in enumerate(held):
         at = np.flatnonzero(some[piece.cell])
         if not len(at):
             continue
         vec, cell = piece.vec[at], piece.cell[at]
-        near = q @ piece.x[at].astype(np.float64).T
-        near *= piece.scale[at]
-        near /= length
+        x, scale = piece.x[at].astype(np.float64), piece.scale[at]
+        if short and scale.all():
+            x *= scale[:, None]
+            near = unit @ x.T
+        else:  # squares beyond the range of doubles
+            near = q @ x.T * scale / length
         bar = least.copy()
         fresh = np.flatnonzero(np.isneginf(least))
         if len(fresh) and len(at) > m:
             free = seen[fresh][:, cell] & (ids[fresh, None] != vec) & (near[fresh] > -np.inf)
             bar[fresh] = np.partition(np.where(free, near[fresh], -np.inf), -m, axis=1)[:, -m]
-        row, column = np.nonzero(near >= bar[:, None])
+        row, column = np.divmod(np.flatnonzero(near >= bar[:, None]), len(at))
         taken = seen[row, cell[column]] & (ids[row] != vec[column])
         row, column = row[taken], column[taken]
         value = near[row, column]
@@ -178,7 +182,7 @@ def nearest(held: list[Piece], ids: np.ndarray, q: np.ndarray, seen: np.ndarray,
             mine = found[r] + list(zip(value[a:b].tolist(), [number] * (b - a), at[column[a:b]].tolist()))
             if len(mine) >= k:
                 least[r] = sorted((v for v, _, _ in mine), reverse=True)[k - 1] - SLACK
-            found[r] = [x for x in mine if x[0] >= least[r]]
+            found[r] = [one for one in mine if one[0] >= least[r]]
     for r, query in enumerate(ids.tolist()):
         exact = [(-_cosine(q[r], held[number].x[at].astype(np.float64)), int(held[number].vec[at])) for _, number, at in found[r]]
         yield from ((query, v, -s) for s, v in sorted(exact)[:k])
